@@ -35,7 +35,10 @@ PARAMETER_TYPES = {
 }
 
 # Largest values of the unsigned types.
-_UNSIGNED_MAX = {"byte": 255, "ushort": 65535, "uint": 4294967295, "ulong": 18446744073709551615}
+_UNSIGNED_MAX = {"byte": 255, "ushort": 65535, "uint": 4294967295}
+_ULONG_MAX = 18446744073709551615
+_INTEGERS = {"sbyte", "short", "int", "long"}
+_WHOLE = r"^\s*[+-]?\d+\s*$"
 _GUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 
 
@@ -63,6 +66,12 @@ def text_units(text: Column) -> Column:
     return F.when(F.octet_length(text) == plain, plain).otherwise(wide)
 
 
+def text_units_sql(text: str) -> str:
+    """The same as SQL text."""
+    wide = f"CAST(octet_length(encode({text}, 'UTF-16BE')) / 2 AS INT)"
+    return f"IF(octet_length({text}) = length({text}), length({text}), {wide})"
+
+
 def string_size(text: Column) -> Column:
     """Declared size of a string parameter: at least 1, null for null."""
     return F.when(text.isNotNull(), F.greatest(F.lit(1), text_units(text)))
@@ -93,10 +102,19 @@ def cast_text(text: Column, type_name: str) -> Column:
     if type_name not in PARAMETER_TYPES:
         raise ValueError(f"no database type for parameter type [{type_name}]")
     spark_type = PARAMETER_TYPES[type_name][1]
+    # Texts that cannot be numbers or flags are sorted out first: a failing try_cast raises and
+    # catches an error per row, ten times the price, and a decimal cast would round a fraction.
+    if type_name == "ulong":
+        whole = F.when(text.rlike(_WHOLE), text.try_cast("decimal(38,0)"))
+        largest = F.lit(str(_ULONG_MAX)).cast("decimal(38,0)")
+        return F.when((whole >= 0) & (whole <= largest), whole).cast(spark_type)
     if type_name in _UNSIGNED_MAX:
-        wide = text.try_cast("decimal(38,0)")
-        fits = (wide >= 0) & (wide <= F.lit(str(_UNSIGNED_MAX[type_name])).cast("decimal(38,0)"))
-        return F.when(fits, wide).cast(spark_type)
+        whole = F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
+        return F.when(whole.between(0, _UNSIGNED_MAX[type_name]), whole).cast(spark_type)
+    if type_name in _INTEGERS:
+        return F.when(text.rlike(_WHOLE), text.try_cast(spark_type))
+    if type_name == "bool":
+        return F.when(F.lower(F.trim(text)).isin("true", "false"), F.lower(F.trim(text)) == "true")
     if type_name == "char":
         return F.when(text_units(text) == 1, text)
     if type_name == "Guid":

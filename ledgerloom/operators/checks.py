@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.values import shown, string_size
+from ledgerloom.functions.values import shown, text_units_sql
 from ledgerloom.sources.master import TOOL
 from ledgerloom.sources.tables import (
     FOREIGN_KEYS,
@@ -60,34 +60,40 @@ def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """
     declared = [fk for fk in FOREIGN_KEYS if fk[0] in tables and fk[2] in tables]
     children = list(dict.fromkeys(child for child, _, _ in declared))
-    counted = _union([_key_counts(tables[c], [fk for fk in declared if fk[0] == c]) for c in children])
-    parents = _union(
+    parents = list(dict.fromkeys(parent for _, _, parent in declared))
+    counted = _union([_key_counts(tables[c], c, declared, parents) for c in children])
+    known = _union(
         [
-            tables[p].select(F.lit(p).alias("parent_table"), F.col("id").cast("bigint").alias("key_value"))
-            for p in dict.fromkeys(parent for _, _, parent in declared)
+            tables[p].selectExpr(f"{i} AS parent_no", "CAST(id AS BIGINT) AS key_value")
+            for i, p in enumerate(parents)
         ]
     )
-    return counted.join(parents, ["parent_table", "key_value"], "left_anti").select(
-        "child_table", "child_column", "parent_table", "key_value", "n_rows"
+
+    def text(position: int, number: str) -> Column:
+        return F.get(F.array(*[F.lit(fk[position]) for fk in declared]), F.col(number))
+
+    return counted.join(known, ["parent_no", "key_value"], "left_anti").select(
+        text(0, "fk_no").alias("child_table"),
+        text(1, "fk_no").alias("child_column"),
+        text(2, "fk_no").alias("parent_table"),
+        "key_value",
+        "n_rows",
     )
 
 
-def _key_counts(child: DataFrame, keys: list[tuple[str, str, str]]) -> DataFrame:
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(table).alias("child_table"),
-                F.lit(column).alias("child_column"),
-                F.lit(parent).alias("parent_table"),
-                F.col(column).cast("bigint").alias("key_value"),
-            )
-            for table, column, parent in keys
-        ]
+def _key_counts(
+    child: DataFrame, name: str, declared: list[tuple[str, str, str]], parents: list[str]
+) -> DataFrame:
+    # Numbers, not names, are grouped and shuffled.
+    entries = ", ".join(
+        f"struct({i} AS fk_no, {parents.index(parent)} AS parent_no, CAST({column} AS BIGINT) AS key_value)"
+        for i, (table, column, parent) in enumerate(declared)
+        if table == name
     )
     return (
-        child.select(F.inline(entries))
+        child.selectExpr(f"inline(array({entries}))")
         .where("key_value IS NOT NULL")
-        .groupBy("child_table", "child_column", "parent_table", "key_value")
+        .groupBy("fk_no", "parent_no", "key_value")
         .agg(F.count("*").alias("n_rows"))
     )
 
@@ -101,28 +107,29 @@ def column_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _column_report(table: str, df: DataFrame) -> DataFrame:
-    measures: list[Column] = []
-    entries: list[Column] = []
+    # As SQL text: one expression per measure, where the Column API would take dozens of calls.
+    measures, entries = [], []
     for i, c in enumerate(TABLES[table]):
-        value = F.col(c.name)
-        nothing = F.lit(0).cast("bigint")
+        nulls, too_long, size = "0L", "0L", "CAST(NULL AS INT)"
         if not c.nullable:
-            measures.append(F.count_if(value.isNull()).alias(f"nulls_{i}"))
+            nulls = f"nulls_{i}"
+            measures.append(f"count_if({c.name} IS NULL) AS {nulls}")
         if c.max_length:
-            too_long = string_size(F.rtrim(value)) > c.max_length
-            measures.append(F.count_if(too_long).alias(f"long_{i}"))
+            too_long = f"long_{i}"
+            # A text never has more UTF-16 units than UTF-8 bytes; most rows stop at the first test.
+            measures.append(
+                f"count_if(octet_length({c.name}) > {c.max_length}"
+                f" AND {text_units_sql(f'rtrim({c.name})')} > {c.max_length}) AS {too_long}"
+            )
         if c.is_text:
-            measures.append(F.max(string_size(value)).alias(f"size_{i}"))
+            size = f"greatest(1, size_{i})"
+            measures.append(f"max({text_units_sql(c.name)}) AS size_{i}")
+            size = f"IF(size_{i} IS NULL, NULL, {size})"
         entries.append(
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(c.name).alias("column_name"),
-                (nothing if c.nullable else F.col(f"nulls_{i}")).alias("null_violations"),
-                (F.col(f"long_{i}") if c.max_length else nothing).alias("length_violations"),
-                (F.col(f"size_{i}") if c.is_text else F.lit(None).cast("int")).alias("max_size"),
-            )
+            f"struct('{table}' AS table_name, '{c.name}' AS column_name, {nulls} AS null_violations,"
+            f" {too_long} AS length_violations, {size} AS max_size)"
         )
-    return df.agg(*measures).select(F.inline(F.array(*entries)))
+    return df.selectExpr(*measures).selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def completeness(

@@ -33,18 +33,18 @@ def state_select(
     ).select(*STATE_COLUMNS)
 
 
-def state_select_many(migration: DataFrame, keys: DataFrame) -> DataFrame:
-    """The state select for a table of keys; a key asked for twice counts once."""
-    asked = keys.select(*RUN_KEY).distinct()
-    return lookup(migration, asked, RUN_KEY, "left_semi").select(*STATE_COLUMNS)
+def _others(columns: list[str]) -> list[str]:
+    return [c for c in STATE_COLUMNS if c not in columns]
 
 
-def state_select_requests(
-    migration: DataFrame, requests: DataFrame, request_id: str = "request_id"
-) -> DataFrame:
-    """The state select per request: each request with every migration of its key."""
-    asked = requests.select(request_id, *RUN_KEY)
-    return migration.join(asked, RUN_KEY).select(request_id, *STATE_COLUMNS)
+def state_select_many(migration: DataFrame, keys: DataFrame) -> DataFrame:
+    """The state select for a table of keys; a key asked for twice counts once.
+
+    Requests are not paired with migrations: many requests of one hot key would repeat all its
+    rows. A request finds its rows again by its key.
+    """
+    asked = keys.select(*RUN_KEY).distinct()
+    return lookup(migration, asked, RUN_KEY, "left_semi").select(*RUN_KEY, *_others(RUN_KEY))
 
 
 def match_cardinality(

@@ -261,15 +261,9 @@ ORACLES: dict[str, str] = {
         SELECT {_STATE} FROM migration
         WHERE product_id = 7 AND environment = '1-URGENT' AND migration_run_mode_id = 100""",
     "state_select_many": duckdb_ctes("migration", "migration_run") + f"""
-        SELECT {_STATE} FROM migration m WHERE EXISTS (
+        SELECT {_STATE}, environment, migration_run_mode_id FROM migration m WHERE EXISTS (
             SELECT 1 FROM migration_run r WHERE r.finished_at IS NULL AND r.product_id = m.product_id
                AND r.environment = m.environment AND r.migration_run_mode_id = m.migration_run_mode_id)""",
-    "state_select_requests": duckdb_ctes("migration", "migration_run") + f"""
-        SELECT r.id AS request_id, {", ".join("m." + c.strip() for c in _STATE.split(","))}
-        FROM migration m JOIN migration_run r
-          ON r.product_id = m.product_id AND r.environment = m.environment
-         AND r.migration_run_mode_id = m.migration_run_mode_id
-        WHERE r.finished_at IS NULL""",
     "lookup_cardinality": duckdb_ctes("version_request", "migrator_version") + f"""
         SELECT {", ".join(VERSION_KEY)}, count(v.id) AS n_rows,
                CASE WHEN count(v.id) = 1 THEN min(v.id) END AS id,

@@ -16,7 +16,7 @@ from ledgerloom.plans.storage import new_folder
 from ledgerloom.sources import fixtures, log, master
 from ledgerloom.sources.fixtures import view
 from ledgerloom.sources.repository import Repository
-from ledgerloom.sources.tables import RUN_KEY, TABLES, VERSION_KEY
+from ledgerloom.sources.tables import TABLES, VERSION_KEY
 from ledgerloom.streaming import log_stream as stream
 
 NOW = dt.datetime(2030, 1, 2, 3, 4, 5)
@@ -51,13 +51,6 @@ def state_select_many(spark: SparkSession, sf: str) -> DataFrame:
     return select.state_select_many(view(spark, sf, "migration"), open_runs)
 
 
-@query
-def state_select_requests(spark: SparkSession, sf: str) -> DataFrame:
-    open_runs = view(spark, sf, "migration_run").where("finished_at IS NULL")
-    requests = open_runs.select(F.col("id").alias("request_id"), *RUN_KEY)
-    return select.state_select_requests(view(spark, sf, "migration"), requests)
-
-
 @query
 def lookup_cardinality(spark: SparkSession, sf: str) -> DataFrame:
     requests, versions = view(spark, sf, "version_request"), view(spark, sf, "migrator_version")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _SPARK = {"<ntz>": "TIMESTAMP_NTZ", "<explode>": "explode(array", "<end>": ")"}
 _DUCKDB = {"<ntz>": "TIMESTAMP", "<explode>": "unnest(list_value", "<end>": ")"}
@@ -264,8 +265,15 @@ def duckdb_ctes(*views: str) -> str:
     )
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A raw table; its schema is read from the file footers only the first time."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

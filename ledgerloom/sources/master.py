@@ -69,8 +69,20 @@ def master_rows(tool: str = TOOL) -> dict[str, list[tuple]]:
 
 
 def dimension(spark: SparkSession, table: str, tool: str = TOOL) -> DataFrame:
-    """One of the five dimensions (at most 12 rows) as a DataFrame."""
-    return spark.createDataFrame(master_rows(tool)[table], struct_type(table))
+    """One of the five dimensions (at most 12 rows) as literal rows."""
+    schema = struct_type(table)
+    names = ", ".join(schema.names)
+    columns = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
+    rows = ", ".join(
+        "(" + ", ".join(str(v) if isinstance(v, int) else _quoted(v) for v in row) + ")"
+        for row in master_rows(tool)[table]
+    )
+    return spark.sql(f"SELECT {columns} FROM VALUES {rows} AS t({names})")
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def dimensions(spark: SparkSession, tool: str = TOOL) -> dict[str, DataFrame]:

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.envelope import format_envelope
+from ledgerloom.functions.values import moment
 from ledgerloom.operators.changes import get_or_create_versions
 from ledgerloom.operators.checks import completeness
 from ledgerloom.plans.storage import new_folder
-from ledgerloom.sources.master import REPOSITORY_VERSION, TOOL, master_rows
+from ledgerloom.sources.master import REPOSITORY_VERSION, TOOL, dimension, master_rows
 from ledgerloom.sources.tables import LOG_TABLES, REPOSITORY_TABLES, VERSION_KEY, ddl, struct_type
 
 
@@ -82,23 +83,22 @@ class Repository:
         state = self.check().first()
         if state.status == "corrupt":
             return f"{state.result_code},{state.message}"
-        if state.status == "absent":
-            self._create(REPOSITORY_TABLES)
         request = self.spark.createDataFrame(
             [(1, repository_version, database_type, created_by_version)],
             "request_id bigint, " + ", ".join(f"{k} string" for k in VERSION_KEY),
         )
-        versions = self.read("migrator_version")
-        answer = get_or_create_versions(request, versions, now, self.tool)
-        result = answer.results.select(
-            "id", format_envelope(F.col("result_code"), F.col("message")).alias("line")
-        ).first()
-        self.append("migrator_version", answer.new_rows)
         if state.status == "absent":
+            self._create(REPOSITORY_TABLES)
+            first = request.withColumnRenamed("request_id", "id")
+            self.append("migrator_version", first.withColumn("created_at", moment(now)))
             return (
-                f"{result.id},{self.tool} repository-tables with master data and new VersionId"
-                f" [{result.id}] successfully created"
+                f"1,{self.tool} repository-tables with master data and new VersionId [1]"
+                " successfully created"
             )
+        answer = get_or_create_versions(request, self.read("migrator_version"), now, self.tool)
+        line = format_envelope(F.col("result_code"), F.col("message"))
+        result = answer.results.select(line.alias("line")).first()
+        self.append("migrator_version", answer.new_rows)
         return result.line
 
     def check_create_log(self) -> str:
@@ -113,12 +113,10 @@ class Repository:
 
     def _create(self, tables: tuple[str, ...]) -> None:
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{self.schema}` LOCATION '{self.location}'")
-        master = master_rows(self.tool)
         for table in tables:
             self.spark.sql(
                 f"CREATE TABLE {self.name(table)} ({ddl(table)}) USING PARQUET"
                 f" LOCATION '{self._folder(table)}'"
             )
-            if table in master:
-                rows = self.spark.createDataFrame(master[table], struct_type(table))
-                self.append(table, rows.coalesce(1))
+            if table in master_rows():
+                self.append(table, dimension(self.spark, table, self.tool).coalesce(1))
