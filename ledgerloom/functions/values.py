@@ -34,10 +34,17 @@ PARAMETER_TYPES = {
     "XmlDocument": ("Xml", "string"),
 }
 
-# Largest values of the unsigned types.
-_UNSIGNED_MAX = {"byte": 255, "ushort": 65535, "uint": 4294967295}
-_ULONG_MAX = 18446744073709551615
-_INTEGERS = {"sbyte", "short", "int", "long"}
+# Ranges of the integer types.
+_RANGES = {
+    "byte": (0, 255),
+    "sbyte": (-128, 127),
+    "short": (-32768, 32767),
+    "ushort": (0, 65535),
+    "int": (-2147483648, 2147483647),
+    "uint": (0, 4294967295),
+    "long": (-9223372036854775808, 9223372036854775807),
+    "ulong": (0, 18446744073709551615),
+}
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _GUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 
@@ -97,22 +104,21 @@ def duration_ms(started: Column, finished: Column) -> Column:
 def cast_text(text: Column, type_name: str) -> Column:
     """Typed value of a parameter text; null if it does not fit the type.
 
-    ``DateTimeOffset`` gives a struct, because a Spark timestamp keeps only the instant.
+    ``DateTimeOffset`` gives a struct, because a Spark timestamp keeps only the instant. A
+    decimal may carry its precision and scale: ``decimal(10,2)``.
     """
-    if type_name not in PARAMETER_TYPES:
+    base = type_name.split("(")[0]
+    if base not in PARAMETER_TYPES:
         raise ValueError(f"no database type for parameter type [{type_name}]")
-    spark_type = PARAMETER_TYPES[type_name][1]
-    # Texts that cannot be numbers or flags are sorted out first: a failing try_cast raises and
-    # catches an error per row, ten times the price, and a decimal cast would round a fraction.
-    if type_name == "ulong":
-        whole = F.when(text.rlike(_WHOLE), text.try_cast("decimal(38,0)"))
-        largest = F.lit(str(_ULONG_MAX)).cast("decimal(38,0)")
-        return F.when((whole >= 0) & (whole <= largest), whole).cast(spark_type)
-    if type_name in _UNSIGNED_MAX:
-        whole = F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
-        return F.when(whole.between(0, _UNSIGNED_MAX[type_name]), whole).cast(spark_type)
-    if type_name in _INTEGERS:
-        return F.when(text.rlike(_WHOLE), text.try_cast(spark_type))
+    spark_type = type_name if base == "decimal" and base != type_name else PARAMETER_TYPES[base][1]
+    # Texts that cannot be numbers or flags are sorted out first, and ranges are compared on a
+    # wide type: a failing try_cast raises and catches an error per row, ten times the price. A
+    # decimal cast alone would round a fraction instead of refusing it.
+    if type_name in _RANGES:
+        wide = "decimal(38,0)" if type_name == "ulong" else "bigint"
+        low, high = [F.lit(str(bound)).cast(wide) for bound in _RANGES[type_name]]
+        whole = F.when(text.rlike(_WHOLE), text.try_cast(wide))
+        return F.when(whole.between(low, high), whole).cast(spark_type)
     if type_name == "bool":
         return F.when(F.lower(F.trim(text)).isin("true", "false"), F.lower(F.trim(text)) == "true")
     if type_name == "char":

@@ -68,7 +68,8 @@ def decode(rows: DataFrame, dims: dict[str, DataFrame], columns: dict[str, str])
     """Add the name for each id column: ``columns`` maps an id column to its dimension.
 
     The new column is the id column with ``_name`` in place of ``_id``; unknown ids give null.
-    The dimensions are master data of at most 12 rows, so each is broadcast.
+    No broadcast hint: master data is a literal of known size, and a stored dimension is sized
+    by its files, so Spark broadcasts both by itself.
     """
     for id_col, dim in columns.items():
         names = dims[dim].select(
@@ -76,7 +77,7 @@ def decode(rows: DataFrame, dims: dict[str, DataFrame], columns: dict[str, str])
             F.col("name").alias(id_col.removesuffix("_id") + "_name"),
         )
         match = F.col(id_col).cast("bigint") == F.col("_dim_id")
-        rows = rows.join(F.broadcast(names), match, "left").drop("_dim_id")
+        rows = rows.join(names, match, "left").drop("_dim_id")
     return rows
 
 

@@ -349,7 +349,8 @@ ORACLES: dict[str, str] = {
         SELECT request_id, name, type_name, value,
                CASE type_name WHEN 'int' THEN 'Int32' WHEN 'sbyte' THEN 'SByte' WHEN 'string' THEN 'String'
                     END AS db_type,
-               CASE WHEN type_name = 'string' AND value IS NOT NULL THEN greatest(1, length(value)) END AS size,
+               CAST(CASE WHEN type_name = 'string' AND value IS NOT NULL THEN greatest(1, length(value)) END AS INTEGER)
+                   AS size,
                CASE WHEN count(*) OVER (PARTITION BY request_id, name) > 1 THEN 'duplicate name'
                     WHEN type_name = 'TimeSpan' THEN 'unsupported type'
                     WHEN type_name = 'sbyte' AND TRY_CAST(value AS TINYINT) IS NULL THEN 'bad value'

@@ -46,6 +46,20 @@ def test_settings(spark):
     assert one(spark, "select 1", lambda c: S.settings_section(c, "Tool")) is None
 
 
+def test_long_texts_are_taken_whole(spark):
+    lines = "x = '{CFG:SchemaName}'\n" * 200_000
+    text = f"/* [T]\n{lines}*/a\nGO\n{lines}GO\nb"
+    df = spark.createDataFrame([(text,)], "t string")
+    row = df.select(
+        F.length(S.settings_section(F.col("t"), "T")).alias("section"),
+        F.transform(S.split_blocks(S.strip_comments(F.col("t"))), F.length).alias("blocks"),
+        F.length(S.render(F.col("t"), F.create_map(F.lit("SchemaName"), F.lit("s")))).alias("rendered"),
+    ).first()
+    assert row.section == len(lines) + 1
+    assert row.blocks == [2, len(lines) + 1, 2]
+    assert row.rendered == len(text) - 2 * 200_000 * (len("{CFG:SchemaName}") - 1)
+
+
 def test_hashes(spark):
     files = spark.createDataFrame([("f", "/*[T]a*/b"), ("g", "b")], "filename string, content string")
     f, g = scripts.script_hashes(files, "T").orderBy("filename").collect()

@@ -53,6 +53,7 @@ CASTS = [
     ("float", ["1.5", "x"], [1.5, None]),
     ("double", ["1e300", "x"], [1e300, None]),
     ("decimal", ["1.25", "x"], [decimal.Decimal("1.2500000000"), None]),
+    ("decimal(5,2)", ["1.25", "12345.6"], [decimal.Decimal("1.25"), None]),
     ("bool", ["true", "False", "maybe"], [True, False, None]),
     ("string", ["", "a"], ["", "a"]),
     ("char", ["a", "ab", ""], ["a", None, None]),
