@@ -14,7 +14,14 @@ from ledgerloom.operators.changes import get_or_create_versions
 from ledgerloom.operators.checks import completeness
 from ledgerloom.plans.storage import new_folder
 from ledgerloom.sources.master import REPOSITORY_VERSION, TOOL, dimension, master_rows
-from ledgerloom.sources.tables import LOG_TABLES, REPOSITORY_TABLES, VERSION_KEY, ddl, struct_type
+from ledgerloom.sources.tables import (
+    LOG_TABLES,
+    LOOKUP_ORDER,
+    REPOSITORY_TABLES,
+    VERSION_KEY,
+    ddl,
+    struct_type,
+)
 
 
 class Repository:
@@ -48,16 +55,26 @@ class Repository:
         return self.spark.table(self.name(table))
 
     def append(self, table: str, rows: DataFrame) -> None:
-        rows.select(*struct_type(table).names).write.insertInto(self.name(table))
+        """Add rows; each file is sorted for lookups, without a shuffle."""
+        rows = rows.select(*struct_type(table).names)
+        if table in LOOKUP_ORDER:
+            rows = rows.sortWithinPartitions(*LOOKUP_ORDER[table])
+        rows.write.insertInto(self.name(table))
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """Store a new version of a table that may be computed from the old one.
 
         The rows go to a new folder and the table is then pointed there, so the files being
-        read are never overwritten and a failed write leaves the old version in place.
+        read are never overwritten and a failed write leaves the old version in place. Large
+        tables are range-partitioned by their lookup order: a lookup skips, by the file
+        statistics, all files but the few with its key.
         """
         folder = self._folder(table)
-        rows.select(*struct_type(table).names).write.parquet(folder)
+        rows = rows.select(*struct_type(table).names)
+        if table in LOOKUP_ORDER:
+            order = LOOKUP_ORDER[table]
+            rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        rows.write.parquet(folder)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{folder}'")
         self.spark.catalog.refreshTable(self.name(table))
 

@@ -80,6 +80,15 @@ REPOSITORY_TABLES = tuple(name for name in _COLUMNS if name not in LOG_TABLES)
 RUN_KEY = ["product_id", "environment", "migration_run_mode_id"]
 VERSION_KEY = ["repository_version", "repository_database_type", "created_by_version"]
 
+# How the large tables are looked up; stored rows are kept in this order. The id comes last, so
+# that the rows of one hot key can lie in several files.
+LOOKUP_ORDER = {
+    "migration_run": [*RUN_KEY, "id"],
+    "migration": [*RUN_KEY, "id"],
+    "migration_history": ["migration_id", "id"],
+    "migration_log": ["product_id", "id"],
+}
+
 _SPARK_TYPES = {
     "smallint": T.ShortType(),
     "int": T.IntegerType(),

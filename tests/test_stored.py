@@ -5,8 +5,12 @@ import uuid
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgerloom.operators import changes
+from ledgerloom.operators.select import state_select
 from ledgerloom.sources import log
+from ledgerloom.sources.fixtures import view
 from ledgerloom.sources.repository import Repository
 from ledgerloom.sources.tables import REPOSITORY_TABLES, struct_type
 from ledgerloom.streaming import log_stream as stream
@@ -115,6 +119,27 @@ class TestRepository:
             "-1,Tool repository incomplete or corrupt. Repository contains [9] tables instead of [10]."
         )
 
+    def test_replaced_table_is_laid_out_for_lookups(self, spark, conf, repo):
+        conf({"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "6"})
+        repo.check_create("1.0", "Spark", NOW)
+        rows = view(spark, "/root/testdata/sf0.001", "migration")
+        repo.replace("migration", rows)
+        stored = repo.read("migration")
+        ranges = (
+            stored.groupBy(F.input_file_name().alias("f"))
+            .agg(F.min("product_id").alias("low"), F.max("product_id").alias("high"))
+            .orderBy("low")
+            .collect()
+        )
+        assert len(ranges) == 6
+        assert all(a.high <= b.low for a, b in zip(ranges, ranges[1:]))
+        key = (13, "1-URGENT", 100)
+        expected = sorted(tuple(r) for r in state_select(rows, *key).select("id", "filename").collect())
+        got = state_select(stored, *key)
+        assert sorted(tuple(r) for r in got.select("id", "filename").collect()) == expected
+        text = got._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [IsNotNull(product_id)" in text
+
     def test_log_tables(self, repo):
         assert repo.check_create_log() == "1,Database logging infrastructure successfully created"
         assert repo.check_create_log() == "0,Database logging infrastructure already exists"
