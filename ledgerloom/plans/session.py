@@ -14,6 +14,18 @@ SETTINGS = {
 }
 
 
+# Bytes of input per shuffle partition: small enough to sort in an executor's memory.
+_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int, cores: int) -> int:
+    """Partitions for shuffling the whole input: one per 128 MB, but at least one per core.
+
+    AQE merges the ones that turn out small, so too many cost little and too few spill.
+    """
+    return max(cores, -(-input_bytes // _PARTITION_BYTES))
+
+
 def build_session(app: str = "ledgerloom", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

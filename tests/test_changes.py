@@ -100,6 +100,39 @@ class TestProducts:
         assert abs(created - dt.datetime.now(dt.UTC).replace(tzinfo=None)) < dt.timedelta(minutes=5)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_products_against_one_by_one(spark, seed):
+    rng = random.Random(seed)
+    stored = [(i, f"n{rng.randint(0, 9)}{i}") for i in range(1, 8)]
+    pool = [n for _, n in stored] + [f"new{i}" for i in range(12)] + [None, "", "  "]
+    requests = [(i, "hot" if rng.random() < 0.35 else rng.choice(pool), f"d{i}") for i in range(90)]
+
+    table, expected = dict((n, i) for i, n in stored), {}
+    for i, name, _ in requests:
+        if not (name or "").rstrip(" "):
+            expected[i] = "not allowed"
+        elif name in table:
+            expected[i] = "found"
+        else:
+            table[name], expected[i] = i, "created"
+
+    answer = changes.get_or_create_products(names(spark, requests), product_table(spark, stored), NOW)
+    results = answer.results.collect()
+    assert len(results) == len(requests)
+    assert all(expected[r.request_id] in r.message for r in results)
+    ids = {}
+    for r in results:
+        name = requests[r.request_id][1]
+        if r.id is not None:
+            assert ids.setdefault(name, r.id) == r.id
+    assert {n: i for n, i in ids.items() if (i, n) in stored} == {n: i for i, n in stored if n in ids}
+    new = {r.name: r for r in answer.new_rows.collect()}
+    assert sorted(r.id for r in new.values()) == list(range(8, 8 + len(new)))
+    assert {n: r.id for n, r in new.items()} == {n: ids[n] for n in new}
+    firsts = {requests[i][1]: requests[i][2] for i, what in expected.items() if what == "created"}
+    assert {n: r.description for n, r in new.items()} == firsts
+
+
 def test_versions(spark):
     stored = version_table(
         spark, [(1, "v1", "Spark", "b1"), (2, "v2", "Spark", "b1"), (3, "v2", "Spark", "b1")]

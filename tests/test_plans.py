@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from ledgerloom.operators import changes
 from ledgerloom.operators.ids import assign_ids, next_id_base
+from ledgerloom.plans.session import shuffle_partitions
 from ledgerloom.plans.storage import ensure_checkpoint_dir, new_folder
 from ledgerloom.sources.tables import struct_type
 
@@ -108,3 +109,8 @@ def test_storage_follows_the_session(spark):
     assert ensure_checkpoint_dir(spark) == folder
     assert new_folder(spark, "x").startswith(folder + "/x-")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_shuffle_partitions():
+    assert shuffle_partitions(0, 8) == 8
+    assert shuffle_partitions(100 * 10**12, 4000) == 745_059
