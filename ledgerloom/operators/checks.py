@@ -72,7 +72,8 @@ def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     def text(position: int, number: str) -> Column:
         return F.get(F.array(*[F.lit(fk[position]) for fk in declared]), F.col(number))
 
-    return counted.join(known, ["parent_no", "key_value"], "left_anti").select(
+    # The value first: Spark sorts by the leading key, and the number alone is the same for many.
+    return counted.join(known, ["key_value", "parent_no"], "left_anti").select(
         text(0, "fk_no").alias("child_table"),
         text(1, "fk_no").alias("child_column"),
         text(2, "fk_no").alias("parent_table"),

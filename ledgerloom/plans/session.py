@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE splits hot partitions of joins and picks broadcasts from sizes measured at run time.
+# AQE splits hot partitions of joins, picks broadcasts from sizes measured at run time, and joins by
+# hash instead of by sorting where every partition of one side was measured to be small.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }

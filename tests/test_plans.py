@@ -62,6 +62,12 @@ def test_ids_where_and_next_base(spark):
         assign_ids(rows, ["id"], digits=9)
 
 
+def test_history_is_cut_before_the_shuffle(spark):
+    text = plan(entry.queries()["current_from_history"](spark, SF))
+    shuffle = text.index("Exchange hashpartitioning(migration_id")
+    assert "WindowGroupLimit" in text[shuffle:] and "Partial" in text[shuffle:]
+
+
 SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
