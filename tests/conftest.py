@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
         "ledgerloom-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
