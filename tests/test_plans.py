@@ -7,14 +7,15 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from ledgerloom.operators import changes
-from ledgerloom.operators.ids import assign_ids, next_id_base
+from ledgerloom.operators import changes, ids
+from ledgerloom.operators.ids import assign_ids, next_id_base, running_sums
+from ledgerloom.plans.queries import QUERIES
 from ledgerloom.plans.session import shuffle_partitions
 from ledgerloom.plans.storage import ensure_checkpoint_dir, new_folder
 from ledgerloom.sources.tables import struct_type
 
 SF = "/root/testdata/sf0.001"
-LAZY = [q for q in entry.queries() if q not in ("log_stream", "repository_load", "file_order")]
+LAZY = [q for q in QUERIES if q not in ("log_stream", "repository_load", "file_order")]
 
 
 def plan(df, mode="executedPlan"):
@@ -42,13 +43,34 @@ def test_only_bucket_counts_go_to_one_task(spark):
     text = plan(assign_ids(keys, ["k"]))
     single = text.split("Exchange SinglePartition")
     assert len(single) == 2
-    assert "groupBy" not in single[0] and "HashAggregate(keys=[_bucket" in single[1].split("\n")[1]
+    assert "functions=[sum(_n" in single[1].split("\n")[1]
+    assert "BroadcastHashJoin" not in text
 
 
-@pytest.mark.parametrize("digits", [1, 2, 3, 4])
-def test_ids_do_not_depend_on_the_buckets(spark, digits):
+def test_running_sums(spark, conf):
+    """Totals before a row, with more ranges than one task sums."""
+    conf({"spark.sql.shuffle.partitions": "7"})
+    rows = spark.range(1000).selectExpr("id % 10 AS g", "id", "CAST(id % 3 AS BIGINT) AS n")
+    got = running_sums(rows, [F.desc("g"), "id"], {"before": F.col("n"), "rank": F.lit(1)}).collect()
+    before = rank = 0
+    for row in sorted(got, key=lambda r: (-r.g, r.id)):
+        assert (row.before, row["rank"]) == (before, rank)
+        before, rank = before + row.n, rank + 1
+    assert rank == 1000
+    assert running_sums(rows.limit(0), ["id"], {"before": F.col("n")}).count() == 0
+
+
+def test_offsets_over_several_runs_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(ids, "_BUCKETS_PER_SUM", 4)
+    keys = spark.range(500).selectExpr("CAST(id AS STRING) AS k")
+    got = {r.k: r.id for r in assign_ids(keys, ["k"], buckets=64).collect()}
+    assert [got[k] for k in sorted(got, key=lambda k: hashlib.md5(k.encode()).hexdigest())] == list(range(1, 501))
+
+
+@pytest.mark.parametrize("buckets", [1, 16, 100, 4096])
+def test_ids_do_not_depend_on_the_buckets(spark, buckets):
     keys = spark.range(500).selectExpr("CAST(id AS STRING) AS k")
-    got = {r.k: r.id for r in assign_ids(keys, ["k"], start=10, digits=digits).collect()}
+    got = {r.k: r.id for r in assign_ids(keys, ["k"], start=10, buckets=buckets).collect()}
     ordered = sorted(got, key=lambda k: hashlib.md5(k.encode()).hexdigest())
     assert [got[k] for k in ordered] == list(range(11, 511))
 
@@ -59,7 +81,7 @@ def test_ids_where_and_next_base(spark):
     assert sorted(r.new_id for r in got if r.wanted) == list(range(20, 30))
     assert {r.new_id for r in got if not r.wanted} == {None}
     with pytest.raises(ValueError):
-        assign_ids(rows, ["id"], digits=9)
+        assign_ids(rows, ["id"], buckets=2**40)
 
 
 def test_history_is_cut_before_the_shuffle(spark):
