@@ -86,8 +86,9 @@ def running_sums(rows: DataFrame, order: list[Column | str], sums: dict[str, Col
     values = {f"_value_{n}": sums[n] for n in names}
     ranged = rows.withColumns(values).repartitionByRange(*order)
     folder = new_folder(rows.sparkSession, "ranged")
-    ranged.withColumn("_range", F.spark_partition_id()).write.parquet(folder)
-    stored = rows.sparkSession.read.schema(ranged.schema.add("_range", "int")).parquet(folder)
+    numbered = ranged.withColumn("_range", F.spark_partition_id())
+    numbered.write.parquet(folder)
+    stored = rows.sparkSession.read.schema(numbered.schema).parquet(folder)
     counts = stored.groupBy("_range").agg(*[F.sum(f"_value_{n}").alias(n) for n in names])
     offsets = _offsets(counts, "_range", names)
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
