@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def row_key(*columns: Column) -> Column:
     """A 64-bit key of a row; never null, equal for rows that are the same in these columns."""
     return F.xxhash64(*columns)
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once, however often ``then`` names it."""
+    return F.element_at(F.transform(F.array(value), then), 1)

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, simhash
+from ledgerloom.llm import decontaminate, fingerprints, mixing, pii, simhash
 from ledgerloom.llm.common import table
 
+# A secret in production; fixed here so that reruns agree.
+PII_KEY = "example key"
+
 QUERIES = {}
-ORACLES = {"op2_mix": mixing.ORACLE}
+ORACLES = {"op1_decontaminate": decontaminate.ORACLE, "op2_mix": mixing.ORACLE}
 
 
 def query(fn):
@@ -16,11 +20,41 @@ def query(fn):
     return fn
 
 
+@query
+def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    listed = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", listed, "contaminated")
+
+
 @query
 def op2_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+@query
+def op6_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = fingerprints.with_next(table(spark, sf, "documents"))
+    return pairs.select(
+        "doc_id",
+        F.col("n_chars").cast("bigint").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.packed(F.col("bins")).alias("fingerprint"),
+        fingerprints.packed(F.col("edited_bins")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("bins"), F.col("edited_bins")).alias("near_edited"),
+        fingerprints.likeness(F.col("bins"), F.col("next_bins")).alias("near_next"),
+    )
+
+
+@query
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with pseudonyms, and how many values of each kind were found."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    done = pii.pseudonymise(docs, key=PII_KEY, counts="found")
+    per_kind = [F.col("found")[k].alias(f"n_{k}") for k in pii.KINDS]
+    return done.select("doc_id", "text", F.sha2("text", 256).alias("text_sha256"), *per_kind)
+
+
 @query
 def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
