@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,3 +44,16 @@ def row_key(*columns: Column) -> Column:
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
     """``then(value)`` with the value computed once, however often ``then`` names it."""
     return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python workers may not have it on their path."""
+    name = "ledgerloom-package.zip"
+    if any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-"), name)
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(path)

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, fingerprints, mixing, pii, simhash
+from ledgerloom.llm import decontaminate, fingerprints, language, mixing, pii, secret_scan, simhash, tokens, urls
 from ledgerloom.llm.common import table
 
 # A secret in production; fixed here so that reruns agree.
 PII_KEY = "example key"
 
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES = {}
-ORACLES = {"op1_decontaminate": decontaminate.ORACLE, "op2_mix": mixing.ORACLE}
+ORACLES = {"op1_decontaminate": decontaminate.ORACLE, "op2_mix": mixing.ORACLE, "op3_urls": urls.ORACLE}
 
 
 def query(fn):
@@ -32,6 +34,33 @@ def op2_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+@query
+def op3_urls(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge(table(spark, sf, "pages"), urls.RULES)
+
+
+@query
+def op4_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = language.identify(docs, language.learn(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("plain", lambda s: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secret_scan.KINDS],
+        F.sha2(secret_scan.listed(F.col("plain")), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op6_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     pairs = fingerprints.with_next(table(spark, sf, "documents"))
@@ -58,3 +87,9 @@ def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op10_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = tokens.read_vocabulary(VOCABULARY)
+    return tokens.token_counts(table(spark, sf, "documents"), pieces)

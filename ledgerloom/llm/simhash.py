@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import ship_package, stored
 from ledgerloom.operators.joins import lookup
 
 SHINGLE_WORDS = 3
@@ -181,6 +181,7 @@ def near_duplicates(
     its row gets the smallest id of its group, or null if the group has none. Other columns take
     no part. Runs jobs when called.
     """
+    ship_package(docs.sparkSession)
     prints = stored(
         docs.select(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), words, seed).alias("fp")),
         "simhash",
