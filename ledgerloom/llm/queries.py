@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, fingerprints, language, mixing, pii, secret_scan, simhash, tokens, urls
+from ledgerloom.llm import decontaminate, fingerprints, language, mixing, pii, repeats, secret_scan, simhash, tokens, urls
 from ledgerloom.llm.common import table
 
 # A secret in production; fixed here so that reruns agree.
@@ -89,6 +89,14 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op9_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    left = repeats.without_repeats(table(spark, sf, "documents"))
+    return left.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op10_tokens(spark: SparkSession, sf: str) -> DataFrame:
     pieces = tokens.read_vocabulary(VOCABULARY)
