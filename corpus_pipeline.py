@@ -5,19 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, simhash
-from ledgerloom.llm.common import stored, table
-from ledgerloom.operators.joins import lookup
+from ledgerloom.llm import decontaminate, language, mixing, pii, simhash
+from ledgerloom.llm.common import fresh, row_key, stored, table
 
-# Similarity over words and bits has no counterpart in SQL; tests compare with brute force.
+# Learned languages and bit distances have no counterpart in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
+# A secret in production; fixed here so that reruns agree.
+PII_KEY = "example key"
+
+
+def _by_key(docs: DataFrame, rows: DataFrame, how: str) -> tuple[DataFrame, str]:
+    """The documents whose row key is (semi join) or is not (anti join) among ``rows``, and the
+    name of their key column."""
+    name = fresh(docs, "row_key")
+    keyed = docs.withColumn(name, row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(rows.select(F.col("row_key").alias(name)), name, how), name
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language that most of their letters are in go."""
+    return language.accepted(docs, language.learn(docs))
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near-duplicates."""
+    """One document, that with the smallest id, of each group of near-duplicates stays.
+
+    Of rows with the same id and text one stays.
+    """
     groups = simhash.near_duplicates(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return lookup(docs, kept, ["doc_id"], "inner").select(*docs.columns)
+    kept, key = _by_key(docs, groups.where("is_first"), "left_semi")
+    return kept.dropDuplicates([key]).select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    kept, _ = _by_key(docs, found.where("contaminated"), "left_anti")
+    return kept.select(*docs.columns)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by pseudonyms of the same length."""
+    return pii.pseudonymise(docs, key=PII_KEY)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +55,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-STAGES = [("simhash", near_duplicates), ("mix", mix)]
+STAGES = [
+    ("language", identify_language),
+    ("simhash", near_duplicates),
+    ("decontaminate", decontaminated),
+    ("pii", without_personal_data),
+    ("mix", mix),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,6 +46,14 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, whose Python workers may not have it on their path."""
     name = "ledgerloom-package.zip"

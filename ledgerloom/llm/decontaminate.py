@@ -115,8 +115,8 @@ def contamination(
     every shared passage shares one. Hashes that meet are extended to the stretches around them,
     and these are compared as texts, so the result is exact.
 
-    Returns id, ``n_words``, ``n_hit``, ``n_items``, ``item_ids`` (as strings, sorted) and
-    ``contaminated``. Rows with equal id and text count as one document and give one row; a null
+    Returns id, ``n_words``, ``n_hit``, ``n_items``, ``item_ids`` (as strings, sorted),
+    ``contaminated`` and ``row_key``, a hash of id and text. Rows with equal id and text count as one document and give one row; a null
     id is an id like any other. Null texts have no words, and items without words match nothing.
     An item without id hits words but is in no list. Runs jobs on the benchmark when called.
     """
@@ -211,6 +211,7 @@ def contamination(
         F.size("item_ids").cast("bigint").alias("n_items"),
         "item_ids",
         (F.size("spans") > 0).alias("contaminated"),
+        F.col("_key").alias("row_key"),
     )
 
 

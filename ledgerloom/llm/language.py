@@ -8,10 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import ship_package
+from ledgerloom.llm.common import fresh, ship_package
 
 UNKNOWN = "und"
 # Labelled documents per language that the word scores are learned from, about.
@@ -234,12 +234,12 @@ def learn(
     by the number of languages times ``BUCKETS``, whatever the number of documents.
     """
     ship_package(docs.sparkSession)
-    labelled = docs.select(
+    known = docs.select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col(id_col)))
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("_n"))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("_n"))
     drawn = F.pmod(F.xxhash64(F.lit("sample"), "_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.join(F.broadcast(sizes), "lang").where(drawn * F.col("_n") < per_language)  # a row per language
+    sample = known.join(F.broadcast(sizes), "lang").where(drawn * F.col("_n") < per_language)  # a row per language
     counts = _counted(sample.select("lang", "text")).toPandas()
     languages = sorted(counts["lang"].unique().tolist())
     table = np.zeros((BUCKETS + len(SCRIPTS) + 1, len(languages)))
@@ -251,6 +251,24 @@ def learn(
     return Model(languages, np.log(shares).astype(np.float32), np.where(used, 0, _IMPOSSIBLE).astype(np.float32))
 
 
+def labelled(text: Column, model: Model, spark: SparkSession, penalty: float = SWITCH_PENALTY) -> Column:
+    """A struct of ``lang``, ``score`` and ``spans`` for a text column; see ``identify``."""
+    ship_package(spark)
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang string, score double, spans array<struct<start:int,end:int,lang:string>>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            found = predict(sent.value, [t or "" for t in texts], penalty)
+            yield pd.DataFrame({
+                "lang": [f[0] for f in found],
+                "score": [f[1] for f in found],
+                "spans": [[{"start": a, "end": b, "lang": c} for a, b, c in f[2]] for f in found],
+            })
+
+    return of(text)
+
+
 def identify(
     docs: DataFrame,
     model: Model,
@@ -266,19 +284,20 @@ def identify(
     language as (start, end, lang) in code points. A row per row; a text that is null or has no
     letter gets ``und``, score 0 and no span.
     """
-    ship_package(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("lang string, score double, spans array<struct<start:int,end:int,lang:string>>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            found = predict(sent.value, [t or "" for t in texts], penalty)
-            yield pd.DataFrame({
-                "lang": [f[0] for f in found],
-                "score": [f[1] for f in found],
-                "spans": [[{"start": a, "end": b, "lang": c} for a, b, c in f[2]] for f in found],
-            })
-
-    return docs.select(F.col(id_col).alias("doc_id"), of(F.col(text_col)).alias("_l")).select(
+    found = labelled(F.col(text_col), model, docs.sparkSession, penalty)
+    return docs.select(F.col(id_col).alias("doc_id"), found.alias("_l")).select(
         "doc_id", F.col("_l.lang").alias("lang_pred"), "_l.score", "_l.spans"
     )
+
+
+def accepted(
+    docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.5, penalty: float = SWITCH_PENALTY
+) -> DataFrame:
+    """The documents with a language that at least ``least_score`` of their letters are in.
+
+    Texts that are null or have no letter are rejected. Rows and columns stay as they are.
+    """
+    name = fresh(docs, "_language")
+    found = docs.withColumn(name, labelled(F.col(text_col), model, docs.sparkSession, penalty))
+    label = F.col(name)
+    return found.where((label.lang != UNKNOWN) & (label.score >= least_score)).drop(name)

@@ -86,7 +86,8 @@ def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf, "documents"))
+    groups = simhash.near_duplicates(table(spark, sf, "documents"))
+    return groups.select("doc_id", "fingerprint", "component_id")
 
 
 @query

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import ship_package, stored
+from ledgerloom.llm.common import row_key, ship_package, stored
 from ledgerloom.operators.joins import lookup
 
 SHINGLE_WORDS = 3
@@ -179,18 +179,32 @@ def near_duplicates(
     of at most ``radius`` differing bits lead to. A row per input row. Texts that are null or
     hold no word have fingerprint zero and are linked like any other. A null id counts as no id:
     its row gets the smallest id of its group, or null if the group has none. Other columns take
-    no part. Runs jobs when called.
+    no part. ``row_key`` is a hash of id and text, and ``is_first`` marks the row of a group with
+    the smallest id (then key; a row that is repeated is marked each time). Runs jobs when called.
     """
     ship_package(docs.sparkSession)
     prints = stored(
-        docs.select(F.col(id_col).alias("doc_id"), simhash(F.col(text_col), words, seed).alias("fp")),
+        docs.select(
+            F.col(id_col).alias("doc_id"),
+            row_key(F.col(id_col), F.col(text_col)).alias("row_key"),
+            simhash(F.col(text_col), words, seed).alias("fp"),
+        ),
         "simhash",
     )
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("_least")), "simhash-distinct")
+    # Rows without id come after all others.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("_least")
+    distinct = stored(prints.groupBy("fp").agg(least), "simhash-distinct")
     roots = smallest_reachable(near_links(distinct.select("fp"), radius))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
-    smallest = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
-    known = lookup(rooted.select("fp", "root"), smallest, ["root"]).select("fp", "component_id")
-    return lookup(prints, known, ["fp"]).select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+    smallest = rooted.groupBy("root").agg(F.min("_least").alias("_first"))
+    known = lookup(rooted.select("fp", "root"), smallest, ["root"]).select("fp", "_first")
+    first = F.col("_first")
+    return lookup(prints, known, ["fp"]).select(
+        "doc_id",
+        as_hex(F.col("fp")).alias("fingerprint"),
+        first.doc_id.alias("component_id"),
+        "row_key",
+        (F.col("doc_id").eqNullSafe(first.doc_id) & (F.col("row_key") == first.row_key)).alias("is_first"),
+    )
