@@ -1,0 +1,100 @@
+"""Secrets: plain patterns, layers of encoding, spans and awkward texts."""
+
+import base64
+import gzip
+import re
+import urllib.parse
+import zlib
+
+import cases
+import pytest
+
+from ledgerloom.llm import secret_scan as S
+
+SECRET = "password=hunter2hunter2"
+
+
+def brute(text):
+    """Each kind by a scan over all starts."""
+    text, found = text or "", []
+    assign = re.compile(S._ASSIGN.pattern, re.I | re.A)
+    for kind, pattern, least in (("assign", assign, 6), ("access", re.compile("AKIA[A-Z0-9]+"), 20), ("hex", re.compile("[0-9a-f]+"), 24)):
+        at = 0
+        while at < len(text):
+            m = pattern.match(text, at)
+            if m and len(m[2] if kind == "assign" else m[0]) >= least:
+                found.append((kind, *m.span()))
+            at = m.end() if m else at + 1
+    return sorted(found, key=lambda s: (s[1], S.KINDS.index(s[0])))
+
+
+def test_plain_spans(spark):
+    texts = cases.texts_of("/root/testdata/sf0.01")
+    odd = ["Api_Key : 'x.y/z+w=='", "tokentoken=abc", "ſecret=abcdefgh", "AKIA" * 6, "0" * 23 + "g" + "0" * 24, "SECRET\"  =  'abc12'", "token=short token=longer123"]
+    texts |= {-1 - i: t for i, t in enumerate(odd)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: [tuple(s) for s in r.plain] for r in S.find_secrets(docs).collect()}
+    assert got == {i: brute(t) for i, t in texts.items()}
+    assert any(got.values())
+
+
+def wrap(text, kind):
+    data = text.encode()
+    return {
+        "url": lambda: "".join(f"%{b:02x}" for b in data),
+        "quoted": lambda: urllib.parse.quote(text, safe=""),
+        "unicode": lambda: "".join(f"\\u{ord(c):04x}" for c in text),
+        "hexescape": lambda: "".join(f"\\x{b:02x}" for b in data),
+        "entity": lambda: "".join(f"&#{ord(c)};" for c in text),
+        "base64": lambda: base64.b64encode(data).decode(),
+        "urlsafe": lambda: base64.urlsafe_b64encode(data).decode().rstrip("="),
+        "gzip": lambda: base64.b64encode(gzip.compress(data)).decode(),
+        "zlib": lambda: base64.b64encode(zlib.compress(data)).decode(),
+    }[kind]()
+
+
+KINDS = ["url", "quoted", "unicode", "hexescape", "entity", "base64", "urlsafe", "gzip", "zlib"]
+
+
+@pytest.mark.parametrize("inner", KINDS)
+@pytest.mark.parametrize("outer", [None, *KINDS])
+def test_layers(inner, outer):
+    """Every nesting is unwrapped, and the span lies in the outermost run."""
+    run = wrap(SECRET, inner)
+    run = wrap(run, outer) if outer else run
+    before, after = "see é\U0001f600 ", " there"
+    plain, every, cut = S.scan(before + run + after)
+    inside = [s for s in every if s[0] == "assign"]
+    assert inside and all(len(before) <= a < b <= len(before) + len(run) for _, a, b in inside)
+    assert set(plain) <= set(every) and cut == 0
+
+
+def test_exact_place_in_escapes():
+    text = "x %70assword%3Dsecret99 y"
+    spans = S.scan(text)[1]
+    assert ("assign", 2, 23) in spans
+
+
+def test_deep_and_cyclic():
+    run = SECRET
+    for _ in range(25):
+        run = base64.b64encode(zlib.compress(run.encode())).decode()
+    assert any(s[0] == "assign" for s in S.scan(run)[1])
+    assert S.scan("%25" * 200)[1] == []  # each round of decoding gives fewer
+    bomb = base64.b64encode(gzip.compress(b" " * 1_000_000 + SECRET.encode())).decode()
+    assert S.scan(bomb, limit=1000)[2] == 1 and S.scan(bomb)[2] == 0 and len(S.scan(bomb)[1]) == 1
+
+
+def test_clean_text_has_no_layers():
+    for text in cases.texts_of().values():
+        assert all(not S.base_spans(layer.text) for layer, _ in S.layers(text or ""))
+
+
+def test_awkward_rows(spark):
+    docs = cases.awkward(spark)
+    rows = S.find_secrets(docs).collect()
+    assert len(rows) == docs.count()
+    found = {r.doc_id: (r.plain, r.spans) for r in rows}
+    assert found[3] == found[4] == found[12] == ([], [])
+    assert [s.kind for s in found[14][0]] == ["assign", "access"]
+    assert S.find_secrets(cases.empty(spark)).count() == 0
