@@ -29,6 +29,8 @@ _SEPARATOR = b"\xff"
 _WINDOWS_AT_ONCE = 1 << 20
 _SORTED_AT_ONCE = 1 << 18
 _HOT_BYTES = 1 << 19
+# Places of the hash in windows that are compared together first, in hashes of more than one part.
+_BLOCK = 16
 # Entries of the table of counts per symbol and place; beyond it places are searched.
 _COUNT_ENTRIES = 1 << 26
 
@@ -267,11 +269,20 @@ _CUT_TYPES = {
 _CUT_SCHEMA = "_key bigint, first int, n int, gram bigint, part int, copied boolean, hot boolean, bytes binary"
 
 
+_SETTLED_TYPES = {
+    "_key": pa.int64(), "first": pa.int32(), "n": pa.int32(), "part": pa.int32(), "core": pa.binary(),
+    "windows": pa.list_(pa.int32()), "found": pa.list_(pa.bool_()), "bytes": pa.binary(),
+}
+_SETTLED_SCHEMA = (
+    "_key bigint, first int, n int, part int, core binary, windows array<int>, found array<boolean>, bytes binary"
+)
+
+
 def _settle(min_bytes: int) -> Callable:
     """Runs of repeated windows of the segments of a partition, sorted by hash and part.
 
-    Windows of a hot hash that occur once in their part come out with a digest instead, and of the
-    others of such a hash one per class, for they may have partners in other parts.
+    The windows of a hash with several parts may have partners in other parts. One window of each
+    class comes out as well, in blocks; see ``_blocks``.
     """
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,18 +307,6 @@ def _settled(rows: list[dict], min_bytes: int) -> Iterator[pa.RecordBatch]:
     keys = np.array([r["_key"] for r in rows])
     copied, hot = np.array([r["copied"] for r in rows]), np.array([r["hot"] for r in rows])
     part, place, number = repeated_windows([r["bytes"] for r in rows], windows, copied, min_bytes)
-
-    def batch(part: np.ndarray, place: np.ndarray, n: np.ndarray, digests: list | None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys[part]),
-                pa.array((firsts[part] + place).astype(np.int32)),
-                pa.array(n.astype(np.int32)),
-                pa.array(digests or [None] * len(part), pa.binary()),
-            ],
-            names=["_key", "first", "n", "digest"],
-        )
-
     # Segments that occur more than once are repeated as a whole and known to be so.
     own = (number >= 0) & ~copied[part]
     by_place = np.lexsort((place[own], part[own]))
@@ -316,16 +315,57 @@ def _settled(rows: list[dict], min_bytes: int) -> Iterator[pa.RecordBatch]:
         new = np.ones(len(p), bool)
         new[1:] = (p[1:] != p[:-1]) | (at[1:] != at[:-1] + 1)
         starts = np.flatnonzero(new)
-        yield batch(p[starts], at[starts], np.diff(np.append(starts, len(p))), None)
+        n = np.diff(np.append(starts, len(p)))
+        columns = {"_key": keys[p[starts]], "first": firsts[p[starts]] + at[starts], "n": n}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(columns[c], t) if c in columns else pa.nulls(len(n), t) for c, t in _SETTLED_TYPES.items()],
+            names=list(_SETTLED_TYPES),
+        )
     if hot.any():
         chosen = np.flatnonzero(hot[part])
         _, one = np.unique(number[chosen], return_index=True)
         chosen = chosen[one]
-        p, at, found = part[chosen], place[chosen], number[chosen] >= 0
-        digest = xxhash.xxh3_128_digest
-        digests = [digest(rows[i]["bytes"][a : a + min_bytes]) for i, a in zip(p.tolist(), at.tolist())]
-        # Windows already found have no place of their own to report: n is 0.
-        yield batch(p, at, np.where(found, 0, 1), digests)
+        chosen = chosen[np.lexsort((place[chosen], part[chosen]))]
+        blocks = _blocks(rows, part[chosen], place[chosen], number[chosen] >= 0, min_bytes)
+        yield pa.RecordBatch.from_pylist(list(blocks), schema=pa.schema(list(_SETTLED_TYPES.items())))
+
+
+def _blocks(
+    rows: list[dict], part: np.ndarray, place: np.ndarray, found: np.ndarray, min_bytes: int
+) -> Iterator[dict]:
+    """Windows of segments, joined where the hash stands at nearly the same place in them.
+
+    Windows with their hash at ``_BLOCK`` neighbouring places have all but ``_BLOCK - 1`` bytes in
+    common, the core. Only windows of equal cores can be equal, so most are ruled out by one digest
+    for the block. A row has the core's digest, the bytes of the block, and the windows in it with
+    whether they are known to be repeated.
+    """
+    gram = _gram_of(min_bytes)
+    for i in np.unique(part).tolist():
+        row, mine = rows[i], np.flatnonzero(part == i)
+        data = row["bytes"]
+        hashes = gram_hashes(np.frombuffer(data, np.uint8), gram).view(np.int64)
+        stands = np.flatnonzero(hashes == row["gram"])
+        starts = place[mine]
+        at = stands[np.searchsorted(stands, starts)]
+        block = (at - starts) // _BLOCK
+        new = np.ones(len(mine), bool)
+        new[1:] = (block[1:] != block[:-1]) | (at[1:] != at[:-1])
+        edges = [*np.flatnonzero(new).tolist(), len(mine)]
+        for a, b in zip(edges, edges[1:]):
+            first, last = int(starts[a]), int(starts[b - 1])
+            core = int(at[a]) - int(block[a]) * _BLOCK
+            shared = data[core : core + max(0, min_bytes - _BLOCK + 1)]
+            yield {
+                "_key": row["_key"],
+                "first": row["first"] + first,
+                "n": None,
+                "part": row["part"],
+                "core": xxhash.xxh3_128_digest(shared),
+                "windows": (starts[a:b] - first).tolist(),
+                "found": found[mine[a:b]].tolist(),
+                "bytes": data[first : last + min_bytes],
+            }
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,6 +397,25 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _across_parts(blocks: DataFrame, min_bytes: int) -> DataFrame:
+    """Windows not known to be repeated that have an equal one in another part."""
+    cores = blocks.groupBy("core").agg(F.min("part").alias("_low"), F.max("part").alias("_high"))
+    shared = lookup(blocks, cores.where("_low != _high").select("core"), ["core"], "inner")
+    place = F.col("place") + 1
+    windows = shared.select(
+        "_key", "first", "part", "bytes", F.inline(F.arrays_zip("windows", "found")).alias("place", "found")
+    ).select(
+        "_key",
+        (F.col("first") + F.col("place")).alias("first"),
+        "found",
+        F.md5(F.substring("bytes", place, F.lit(min_bytes))).alias("digest"),
+    )
+    # Each part shows a window once, so two rows are two parts.
+    twice = windows.groupBy("digest").agg(F.count("*").alias("_times")).where("_times > 1").select("digest")
+    alone = windows.where("NOT found")
+    return lookup(alone, twice, ["digest"], "inner").select("_key", "first", F.lit(1).alias("n"))
+
+
 def without_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES
 ) -> DataFrame:
@@ -418,26 +477,20 @@ def without_repeats(
             F.col("_bytes").isNotNull().alias("hot"),
         ).alias("w"),
     ).groupBy("_key").agg(F.collect_list("w").alias("wanted"))
-    # This join and the last one read the same exchange of the texts.
-    cut = whole.join(wanted, "_key").select("doc_id", "_key", "text", "wanted").mapInArrow(_cut(min_bytes), _CUT_SCHEMA)
-    settled = (
+    cut = whole.join(wanted, "_key").select("_key", "text", "wanted").mapInArrow(_cut(min_bytes), _CUT_SCHEMA)
+    settled = stored(
         cut.repartition("gram", "part")
         .sortWithinPartitions("gram", "part")
-        .mapInArrow(_settle(min_bytes), "_key bigint, first int, n int, digest binary")
-    )
-    # A window with a digest comes at most once from each part; two parts make it a repeat.
-    alone = F.when(F.col("digest").isNull(), F.struct("_key", "first")).alias("alone")
-    compared = settled.groupBy("digest", alone).agg(
-        F.count("*").alias("_times"), F.collect_list(F.struct("_key", "first", "n")).alias("_windows")
-    )
-    unequal = (
-        compared.where("digest IS NULL OR _times > 1").select(F.inline("_windows")).where("n > 0")
+        .mapInArrow(_settle(min_bytes), _SETTLED_SCHEMA),
+        "settled",
     )
+    near = settled.where("core IS NULL").select("_key", "first", "n")
+    far = _across_parts(settled.where("core IS NOT NULL"), min_bytes)
 
     copies = distinct.where("copied").select("gram", "digest")
     equal = lookup(hits.where("_differ"), copies, ["gram", "digest"], "inner")
     spans = hits.where("NOT _differ").select("_key", "first", whole_width)
-    for more in (equal, unequal):
+    for more in (equal, near, far):
         spans = spans.union(more.select("_key", "first", whole_width))
     per_text = spans.groupBy("_key").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans"))
     return (
