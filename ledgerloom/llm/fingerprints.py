@@ -101,7 +101,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     edited text the last third of the code points, rounded down, is replaced by as many from the
     start of the next text, or all it has.
 
-    Returns id, ``text``, ``n_chars``, ``edited``, ``bins``, ``edited_bins`` and ``next_bins``. Rows
+    Returns id, ``next_id``, ``text``, ``n_chars``, ``edited``, ``bins``, ``edited_bins`` and ``next_bins``. Rows
     with equal id and text count as one document; of rows with equal id the order is that of a
     hash, and rows without id come last. A null text is empty. Runs jobs when called.
     """
@@ -121,7 +121,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
     asked = ranked.select("_key", "_rank").join(before, "_rank").drop("_rank")
 
-    # Both joins read the same exchange of the texts by key, so it must have the same columns.
+    # Both joins read the same exchange of the texts by key, if both need the same columns of it:
+    # as long as next_id is asked for.
     heads = whole.join(asked, "_key").select(
         F.col("_before").alias("_key"),
         F.col("doc_id").alias("next_id"),

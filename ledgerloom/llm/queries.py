@@ -72,6 +72,7 @@ def op6_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
         fingerprints.packed(F.col("edited_bins")).alias("edited_fingerprint"),
         fingerprints.likeness(F.col("bins"), F.col("edited_bins")).alias("near_edited"),
         fingerprints.likeness(F.col("bins"), F.col("next_bins")).alias("near_next"),
+        "next_id",
     )
 
 
