@@ -17,7 +17,9 @@ def parse_envelope(line: Column) -> Column:
     fine and logged as Debug; negative ones are errors. An unreadable code gives nulls.
     """
     parts = F.split(line, ",", 2)
-    code = F.get(parts, F.lit(0)).try_cast("bigint")
+    head = F.get(parts, F.lit(0))
+    # Tested first: a failing try_cast raises and catches an error per row.
+    code = F.when(head.rlike(r"^\s*[+-]?[0-9]+\s*$"), head.try_cast("bigint"))
     return F.struct(
         code.alias("result_code"),
         F.get(parts, F.lit(1)).alias("message"),

@@ -27,13 +27,17 @@ def split_blocks(text: Column, delimiter: str = BLOCK_DELIMITER) -> Column:
 
 
 def settings_section(text: Column, tag: str) -> Column:
-    """Content of the first ``/* [tag] ... */`` comment, or null."""
+    """Contents of all ``/* [tag] ... */`` comments, a line break between them, or null.
+
+    These are the comments that ``without_settings`` takes out, so a text is hashed as a whole.
+    """
     pattern = rf"(?s){re.escape(COMMENT_START)}\s*\[{re.escape(tag)}\](.*?){re.escape(COMMENT_END)}"
-    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    return F.when(F.size(found) > 0, F.array_join(found, "\n"))
 
 
 def without_settings(text: Column, tag: str) -> Column:
-    """The text without its ``/* [tag] ... */`` comment: what is executed."""
+    """The text without its ``/* [tag] ... */`` comments: what is executed."""
     pattern = rf"(?s){re.escape(COMMENT_START)}\s*\[{re.escape(tag)}\].*?{re.escape(COMMENT_END)}"
     return F.regexp_replace(text, pattern, "")
 

@@ -46,6 +46,12 @@ _RANGES = {
     "ulong": (0, 18446744073709551615),
 }
 _WHOLE = r"^\s*[+-]?\d+\s*$"
+_FLOATING = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$|^\s*(?:NaN|[+-]?Infinity)\s*$"
+_DECIMAL = r"^\s*[+-]?0*(\d*)(?:\.(\d*?)0*)?\s*$"
+_DIGIT = r"\d"
+_SIZED = r"\(\s*(\d+)\s*,\s*(\d+)\s*\)"
+_DATE_TIME = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?)?\s*$"
+_OFFSET_TIME = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?\s*$"
 _GUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 
 
@@ -101,12 +107,27 @@ def duration_ms(started: Column, finished: Column) -> Column:
     return F.floor(seconds * 1000).cast("bigint")
 
 
+def _fits_decimal(text: Column, precision: Column, scale: Column) -> Column:
+    """Whether a decimal text can be stored without losing a digit."""
+    whole = F.length(F.regexp_extract(text, _DECIMAL, 1))
+    fraction = F.length(F.regexp_extract(text, _DECIMAL, 2))
+    return text.rlike(_DECIMAL) & text.rlike(_DIGIT) & (whole <= precision - scale) & (fraction <= scale)
+
+
+def _decimal_size(spark_type: str) -> tuple[int, int]:
+    precision, scale = spark_type.removeprefix("decimal(").removesuffix(")").split(",")
+    return int(precision), int(scale)
+
+
 def cast_text(text: Column, type_name: str) -> Column:
     """Typed value of a parameter text; null if it does not fit the type.
 
-    ``DateTimeOffset`` gives a struct, because a Spark timestamp keeps only the instant. A
-    decimal may carry its precision and scale: ``decimal(10,2)``.
+    Nothing is lost in silence: a decimal with more digits than its type keeps, 28 before and 10
+    after the point unless it carries its size like ``decimal(10,2)``, does not fit, and neither
+    does a ``DateTime`` with a zone. ``DateTimeOffset`` gives a struct, because a Spark timestamp
+    keeps only the instant. A trailing ``?`` (nullable) means nothing here.
     """
+    type_name = type_name.rstrip("?")
     base = type_name.split("(")[0]
     if base not in PARAMETER_TYPES:
         raise ValueError(f"no database type for parameter type [{type_name}]")
@@ -126,14 +147,17 @@ def cast_text(text: Column, type_name: str) -> Column:
     if type_name == "Guid":
         return F.when(text.rlike(_GUID), F.lower(text))
     if type_name == "DateTime":
-        return floor_date(text.try_cast("timestamp_ntz"))
+        return floor_date(F.when(text.rlike(_DATE_TIME), text.try_cast("timestamp_ntz")))
     if type_name == "DateTimeOffset":
-        instant = text.try_cast("timestamp")
+        instant = F.when(text.rlike(_OFFSET_TIME), text.try_cast("timestamp"))
         offset = F.regexp_extract(text, r"([+-]\d{2}:?\d{2}|Z)$", 1)
         return F.when(instant.isNotNull(), F.struct(instant.alias("instant"), offset.alias("offset")))
     if spark_type in ("string", "binary"):
         return text.cast(spark_type)
-    return text.try_cast(spark_type)
+    if base == "decimal":
+        precision, scale = _decimal_size(spark_type)
+        return F.when(_fits_decimal(text, F.lit(precision), F.lit(scale)), text.try_cast(spark_type))
+    return F.when(text.rlike(_FLOATING), text.try_cast(spark_type))
 
 
 def bind_columns(df: DataFrame, types: dict[str, str], errors: str = "bind_errors") -> DataFrame:
@@ -148,16 +172,28 @@ def bind_columns(df: DataFrame, types: dict[str, str], errors: str = "bind_error
     )
 
 
+def _base_type(type_name: Column) -> Column:
+    """A type name without a trailing ``?`` (nullable) and without the size of a decimal."""
+    plain = F.regexp_replace(type_name, r"\?$", "")
+    return F.when(plain.rlike(rf"^decimal{_SIZED}$"), "decimal").otherwise(plain)
+
+
 def database_type(type_name: Column) -> Column:
-    """Database type of a parameter type; a trailing ``?`` (nullable) is ignored; null if unknown."""
+    """Database type of a parameter type; null if unknown."""
     mapping = F.create_map(*[F.lit(x) for name, (db, _) in PARAMETER_TYPES.items() for x in (name, db)])
-    return F.try_element_at(mapping, F.regexp_replace(type_name, r"\?$", ""))
+    return F.try_element_at(mapping, _base_type(type_name))
 
 
 def fits_type(type_name: Column, text: Column) -> Column:
-    """Whether a parameter text fits the type named in the same row; null texts always fit."""
-    base = F.regexp_replace(type_name, r"\?$", "")
+    """Whether a parameter text fits the type named in the same row; null texts always fit.
+
+    A decimal with a size has to fit that size.
+    """
+    base = _base_type(type_name)
     fits = F.lit(False)
     for name in reversed(PARAMETER_TYPES):
         fits = F.when(base == name, cast_text(text, name).isNotNull()).otherwise(fits)
+    size = [F.when(type_name.rlike(_SIZED), F.regexp_extract(type_name, _SIZED, i).cast("int")) for i in (1, 2)]
+    sized = F.coalesce(_fits_decimal(text, *size), F.lit(False))
+    fits = F.when((base == "decimal") & type_name.rlike(_SIZED), sized).otherwise(fits)
     return F.when(base.isin(*PARAMETER_TYPES), text.isNull() | fits).otherwise(F.lit(False))

@@ -1,6 +1,8 @@
 """Changes to the ledger, for any number of requests at once.
 
-Every function returns new DataFrames; storing them is up to ``sources.repository``.
+The outcome of a batch is written to the shared folder when it is computed, so answers and new rows
+belong together and stay as they are whatever is stored in the ledger later. Storing the new rows
+is up to ``sources.repository``.
 """
 
 from __future__ import annotations
@@ -8,15 +10,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.values import is_blank, moment, shown
+from ledgerloom.functions.values import is_blank, moment, shown, text_units
 from ledgerloom.operators.ids import assign_ids, next_id_base
 from ledgerloom.operators.joins import lookup
-from ledgerloom.sources.master import RESULT_FIXED, TOOL
+from ledgerloom.plans.storage import stored
+from ledgerloom.sources.master import MODE_IDS, RESULT_FIXED, RESULT_IDS, TOOL
 from ledgerloom.sources.tables import RUN_KEY, TABLES, VERSION_KEY
 
 
@@ -30,58 +32,100 @@ def ignoring_case(value: Column) -> Column:
     return F.lower(F.rtrim(value))
 
 
-def _resolve(
+def _named(columns: list[tuple[str, Column]]) -> Column:
+    """Names of the columns whose condition holds, with blanks between; an empty text for none."""
+    return F.concat_ws(" ", *[F.when(holds, F.lit(name)) for name, holds in columns])
+
+
+def _too_long(table: str, columns: list[str]) -> Column:
+    """Names of the text columns that do not fit their table; trailing blanks do not count."""
+    limits = {c.name: c.max_length for c in TABLES[table] if c.max_length}
+    return _named([(n, text_units(F.rtrim(F.col(n))) > limits[n]) for n in columns])
+
+
+@dataclass(frozen=True)
+class GetOrCreate:
+    """``results``: request_id, result_code, message, id. ``new_rows``: rows to append.
+
+    Both are read from the stored outcome.
+    """
+
+    results: DataFrame
+    new_rows: DataFrame
+
+
+_RESULT = ["request_id", "result_code", "message", "id"]
+
+
+def _get_or_create(
     requests: DataFrame,
     ledger: DataFrame,
+    table: str,
     key: list[str],
-    valid: Column,
+    refusal: Column,
+    messages: dict[str, Column],
+    values: dict[str, Column],
     equal: Callable[[Column], Column],
-) -> DataFrame:
-    """One row per distinct requested key: its first request, its id and how it came about.
+) -> GetOrCreate:
+    """Ids of the requested keys; a key without a ledger row gets a new one, once.
 
-    A key with no ledger row gets a new id; one with several rows gets none (``ambiguous``).
+    ``refusal`` is a message for requests that can't be stored, null for the others. The messages
+    by status may name the column ``_id``. The ledger is cut down to the asked keys before it is
+    grouped, and only keys that are not in it are numbered.
     """
     parts = [f"_key_{k}" for k in key]
     keyed = [equal(F.col(k)).alias(p) for k, p in zip(key, parts)]
-    asked = requests.where(valid).groupBy(*keyed).agg(F.min("request_id").alias("_first"))
-    known = ledger.groupBy(*keyed).agg(F.count("*").alias("_rows"), F.min("id").alias("_known_id"))
-    both = asked.join(known, parts, "left")
-    numbered = assign_ids(
-        both, parts, next_id_base(ledger), id_col="_new_id", where=F.col("_rows").isNull()
+    refused = refusal.alias("_refusal")
+    asked = (
+        requests.select("request_id", *keyed, refused)
+        .where("_refusal IS NULL")
+        .groupBy(*parts)
+        .agg(F.min("request_id").alias("_first"))
     )
-    status = (
-        F.when(F.col("_new_id").isNotNull(), "created")
-        .when(F.col("_rows") == 1, "found")
-        .otherwise("ambiguous")
+    asked = stored(asked, f"{table}-asked")
+    known = (
+        lookup(ledger.select(*keyed, "id"), asked, parts, "left_semi")
+        .groupBy(*parts)
+        .agg(F.count("*").alias("_rows"), F.min("id").alias("_known_id"))
     )
-    return numbered.select(
+    both = stored(lookup(asked, known, parts), f"{table}-keys")
+    fresh = both.where("_rows IS NULL").select(*parts, "_first")
+    numbered = assign_ids(fresh, parts, next_id_base(ledger), id_col="_id")
+    once = F.col("_rows") == 1
+    stood = both.where("_rows IS NOT NULL").select(
         *parts,
         "_first",
-        F.when(status == "created", F.col("_new_id"))
-        .when(status == "found", F.col("_known_id"))
-        .alias("_id"),
-        status.alias("_status"),
+        F.when(once, F.col("_known_id")).alias("_id"),
+        F.when(once, "found").otherwise("ambiguous").alias("_status"),
     )
+    resolved = stood.unionByName(numbered.withColumn("_status", F.lit("created")))
 
-
-def _answers(
-    requests: DataFrame, resolved: DataFrame, key: list[str], equal: Callable[[Column], Column]
-) -> DataFrame:
-    """Each request with the outcome of its key; later requests of a new key find it."""
-    parts = [f"_key_{k}" for k in key]
-    rows = requests.select("*", *[equal(F.col(k)).alias(p) for k, p in zip(key, parts)])
-    joined = lookup(rows, resolved, parts)
-    repeated = (F.col("_status") == "created") & (F.col("request_id") != F.col("_first"))
-    status = F.when(F.col("_status").isNull(), "invalid").when(repeated, "found")
-    return joined.withColumn("_status", status.otherwise(F.col("_status")))
-
-
-@dataclass(frozen=True)
-class GetOrCreate:
-    """``results``: request_id, result_code, message, id. ``new_rows``: rows to append."""
-
-    results: DataFrame
-    new_rows: DataFrame
+    joined = lookup(requests.select("*", *keyed, refused), resolved, parts)
+    is_new = (F.col("_status") == "created") & (F.col("request_id") == F.col("_first"))
+    status = (
+        F.when(F.col("_refusal").isNotNull(), "refused")
+        .when(is_new, "created")
+        .when(F.col("_status") == "created", "found")
+        .otherwise(F.col("_status"))
+    )
+    valid = F.col("_refusal").isNull()
+    rows = joined.withColumn("_id", F.when(valid, F.col("_id"))).withColumn("_status", status)
+    message = F.col("_refusal")
+    for name, text in messages.items():
+        message = F.when(F.col("_status") == name, text).otherwise(message)
+    new = F.struct(
+        *[values.get(c.name, F.col(c.name)).cast(c.spark_type).alias(c.name) for c in TABLES[table] if c.name != "id"]
+    )
+    outcome = rows.select(
+        "request_id",
+        F.coalesce("_id", F.lit(-1).cast("bigint")).alias("result_code"),
+        message.alias("message"),
+        F.col("_id").alias("id"),
+        F.when(F.col("_status") == "created", new).alias("new"),
+    )
+    outcome = stored(outcome, f"{table}-outcome")
+    new_rows = outcome.where("new IS NOT NULL").select("id", "new.*")
+    return GetOrCreate(outcome.select(*_RESULT), new_rows)
 
 
 def get_or_create_products(
@@ -93,32 +137,23 @@ def get_or_create_products(
     """Id of each requested product name; unknown names are added once.
 
     ``requests`` has ``request_id`` (unique), ``name`` and ``description``. Requests count in
-    the order of their ids. An empty name is an error. A name stored twice has no answer.
+    the order of their ids. An empty name, a text that is too long for the table, and a name that
+    is stored more than once are errors. Runs jobs and stores the outcome.
     """
-    valid = ~is_blank(F.col("name"))
-    resolved = _resolve(requests, products, ["name"], valid, equal)
-    rows = _answers(requests, resolved, ["name"], equal)
-    status, new_id = F.col("_status"), F.col("_id")
-    known = F.concat(
-        F.lit("Product ["), "name", F.lit("] with Id ["), new_id.cast("string"), F.lit("] ")
-    )
-    message = (
-        F.when(
-            status == "invalid",
-            F.concat(F.lit("Product with empty name ["), shown(F.col("name")), F.lit("] is not allowed!")),
-        )
-        .when(status == "found", F.concat(known, F.lit("found")))
-        .when(status == "created", F.concat(known, F.lit("successfully created")))
-    )
-    code = F.when(status == "invalid", F.lit(-1).cast("bigint")).otherwise(new_id)
-    results = rows.select(
-        "request_id", code.alias("result_code"), message.alias("message"), new_id.alias("id")
-    )
-    created = resolved.where(F.col("_status") == "created").select("_id", "_first")
-    new_rows = created.join(requests, F.col("_first") == F.col("request_id")).select(
-        F.col("_id").alias("id"), "name", "description", moment(now).alias("created_at")
-    )
-    return GetOrCreate(results, new_rows)
+    too_long = _too_long("product", ["name", "description"])
+    # Result messages.
+    refusal = F.when(
+        is_blank(F.col("name")),
+        F.concat(F.lit("Product with empty name ["), shown(F.col("name")), F.lit("] is not allowed!")),
+    ).when(too_long != "", F.concat(F.lit("Product with too long ["), too_long, F.lit("] is not allowed!")))
+    known = F.concat(F.lit("Product ["), "name", F.lit("] with Id ["), F.col("_id").cast("string"), F.lit("] "))
+    messages = {
+        "found": F.concat(known, F.lit("found")),
+        "created": F.concat(known, F.lit("successfully created")),
+        "ambiguous": F.concat(F.lit("Multiple [Product]-entries found for Product ["), "name", F.lit("].")),
+    }
+    values = {"created_at": moment(now)}
+    return _get_or_create(requests, products, "product", ["name"], refusal, messages, values, equal)
 
 
 def get_or_create_versions(
@@ -131,35 +166,28 @@ def get_or_create_versions(
     """Id of each requested version (three-part key); unknown versions are added once.
 
     ``requests`` has ``request_id`` (unique) and the three key columns. A key stored more than
-    once is an error, and so is a null in a key: the ledger could not store it.
+    once is an error, and so are a null and a too long text in a key: the ledger could not store
+    them. Runs jobs and stores the outcome.
     """
-    valid = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in VERSION_KEY])
-    resolved = _resolve(requests, versions, VERSION_KEY, valid, equal)
-    rows = _answers(requests, resolved, VERSION_KEY, equal)
-    status, new_id = F.col("_status"), F.col("_id")
-    text_id = new_id.cast("string")
+    missing = _named([(k, F.col(k).isNull()) for k in VERSION_KEY])
+    too_long = _too_long("migrator_version", VERSION_KEY)
     layout, store, build = [shown(F.col(k)) for k in VERSION_KEY]
+    # Result messages.
     entry = F.concat(
         F.lit("RepositoryVersion ["), layout, F.lit("], RepositoryDatabaseType ["), store,
         F.lit(f"], {tool}Version ["), build, F.lit("]."),
     )
-    exists = f"{tool} repository already exists. "
-    message = (
-        F.when(status == "invalid", F.concat(F.lit("Incomplete version key: "), entry))
-        .when(status == "ambiguous", F.concat(F.lit("Multiple [MigratorVersion]-entries found for "), entry))
-        .when(status == "found", F.concat(F.lit(exists + "Using VersionId ["), text_id, F.lit("].")))
-        .otherwise(F.concat(F.lit(exists + "New VersionId ["), text_id, F.lit("] created.")))
-    )
-    failed = status.isin("invalid", "ambiguous")
-    code = F.when(failed, F.lit(-1).cast("bigint")).otherwise(new_id)
-    results = rows.select(
-        "request_id", code.alias("result_code"), message.alias("message"), new_id.alias("id")
-    )
-    created = resolved.where(F.col("_status") == "created").select("_id", "_first")
-    new_rows = created.join(requests, F.col("_first") == F.col("request_id")).select(
-        F.col("_id").alias("id"), *VERSION_KEY, moment(now).alias("created_at")
+    exists, text_id = f"{tool} repository already exists. ", F.col("_id").cast("string")
+    refusal = F.when(missing != "", F.concat(F.lit("Incomplete version key: "), entry)).when(
+        too_long != "", F.concat(F.lit("Version key with too long ["), too_long, F.lit("] is not allowed!"))
     )
-    return GetOrCreate(results, new_rows)
+    messages = {
+        "ambiguous": F.concat(F.lit("Multiple [MigratorVersion]-entries found for "), entry),
+        "found": F.concat(F.lit(exists + "Using VersionId ["), text_id, F.lit("].")),
+        "created": F.concat(F.lit(exists + "New VersionId ["), text_id, F.lit("] created.")),
+    }
+    values = {"created_at": moment(now)}
+    return _get_or_create(requests, versions, "migrator_version", VERSION_KEY, refusal, messages, values, equal)
 
 
 def repair_runs(
@@ -189,21 +217,35 @@ def repair_runs(
 @dataclass(frozen=True)
 class Admission:
     """``results``: request_id, result_code, message, id. ``new_runs``: rows to append.
-    ``runs``: the whole run table afterwards."""
+    ``repair_keys``: run keys whose open runs end first.
+
+    All three are stored and do not change. ``runs``, the whole run table afterwards, is computed
+    from the run table as it is when ``runs`` is evaluated.
+    """
 
     results: DataFrame
     new_runs: DataFrame
+    repair_keys: DataFrame
     runs: DataFrame
 
 
 # Columns a run cannot be stored without.
 _REQUIRED = [*RUN_KEY, "migrator_version_id", "migration_result_id"]
+_RUN_TEXTS = ["environment", "from_release_version", "to_release_version"]
+
+
+def _parents(table: DataFrame, rows: DataFrame, column: str, *more: Column) -> DataFrame:
+    """One row per id of ``table`` that ``rows`` refers to, however often it is stored."""
+    asked = rows.select(F.col(column)).distinct()
+    found = lookup(table.withColumnRenamed("id", column), asked, [column], "left_semi")
+    return found.groupBy(column).agg(F.lit(True).alias(f"_has_{column}"), *more)
 
 
 def admit_runs(
     requests: DataFrame,
     runs: DataFrame,
     products: DataFrame,
+    versions: DataFrame,
     now: dt.datetime | None = None,
     fix: str | None = None,
     fix_result_id: int = RESULT_FIXED,
@@ -214,22 +256,61 @@ def admit_runs(
     outcome is that of handling them one by one by (requested_at, request_id): the first one of
     a free key enters, and later ones find its run open. A request whose column ``fix`` is true
     first ends all open runs of its key, those entered before it included, and so always enters.
-    No run ends by itself during a batch. Requests without a required value are errors.
+    No run ends by itself during a batch.
+
+    Requests that the ledger could not store are errors and do not hold their key: without a
+    required value, with a product, version, mode or result that does not exist, or with a text
+    that is too long. Ids are dense over the admitted requests.
 
-    Ids are dense over all requests, so rejected ones leave gaps.
+    Runs jobs and stores the outcome. All is decided on the narrow columns; whole requests are
+    shuffled once, to make the new runs.
     """
     wants_fix = F.coalesce(F.col(fix), F.lit(False)) if fix else F.lit(False)
-    valid = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in _REQUIRED])
-    complete = requests.select("*", wants_fix.alias("_fix")).where(valid)
+    narrow = stored(
+        requests.select(
+            "request_id",
+            "requested_at",
+            *_REQUIRED,
+            wants_fix.alias("_fix"),
+            _too_long("migration_run", _RUN_TEXTS).alias("_too_long"),
+        ),
+        "run-requests",
+    )
+    names = _parents(products.select("id", "name"), narrow, "product_id", F.min("name").alias("_product"))
+    builds = _parents(versions.select("id"), narrow, "migrator_version_id")
+    checked = lookup(lookup(narrow, names, ["product_id"]), builds, ["migrator_version_id"])
+    missing = _named([(c, F.col(c).isNull()) for c in _REQUIRED])
+    unknown = _named(
+        [
+            ("product_id", F.col("_has_product_id").isNull()),
+            ("migrator_version_id", F.col("_has_migrator_version_id").isNull()),
+            ("migration_run_mode_id", ~F.col("migration_run_mode_id").isin(MODE_IDS)),
+            ("migration_result_id", ~F.col("migration_result_id").isin(RESULT_IDS)),
+        ]
+    )
+    # Result messages.
+    what = lambda kind, columns: F.concat(
+        F.lit(f"MigrationRun {kind} ["), columns, F.lit("] is not allowed!")
+    )
+    refusal = (
+        F.when(missing != "", what("without", missing))
+        .when(unknown != "", what("with unknown", unknown))
+        .when(F.col("_too_long") != "", what("with too long", F.col("_too_long")))
+    )
+    checked = stored(
+        checked.select("request_id", "requested_at", *RUN_KEY, "_fix", "_product", refusal.alias("_refusal")),
+        "run-checked",
+    )
+    complete = checked.where("_refusal IS NULL")
 
     # Per key: the first request, and the last one that repairs. Both combine on the map side.
     turn = F.struct("requested_at", "request_id", "_fix")
     keyed = complete.groupBy(*RUN_KEY).agg(
         F.min(turn).alias("_first"), F.max(F.when(F.col("_fix"), turn)).alias("_last_fix")
     )
-    open_keys = (
-        runs.where(F.col("finished_at").isNull()).select(*RUN_KEY).distinct().withColumn("_open", F.lit(True))
-    )
+    asked = complete.select(*RUN_KEY).distinct()
+    open_runs = runs.where(F.col("finished_at").isNull()).select(*RUN_KEY)
+    open_keys = lookup(open_runs, asked, RUN_KEY, "left_semi").distinct().withColumn("_open", F.lit(True))
     state = keyed.join(open_keys, RUN_KEY, "left")
     first_id = F.col("_first.request_id")
     enters = F.col("_open").isNull() | F.col("_first._fix")
@@ -243,60 +324,67 @@ def admit_runs(
     marks = state.select(F.inline(F.when(two, F.array(first, last)).otherwise(F.array(first))))
 
     # From here on the join key is the unique request id, so hot run keys play no part.
-    numbered = assign_ids(requests, ["request_id"], next_id_base(runs), id_col="_id")
-    names = products.select(F.col("id").alias("product_id"), F.col("name").alias("_product"))
-    rows = lookup(lookup(numbered, marks, ["request_id"]), names, ["product_id"])
-    entered = valid & (wants_fix | F.coalesce(F.col("_enters"), F.lit(False)))
-    run_id = F.when(entered, F.col("_id"))
-    text_id = F.col("_id").cast("string")
+    valid = F.col("_refusal").isNull()
+    entered = valid & (F.col("_fix") | F.coalesce(F.col("_enters"), F.lit(False)))
+    decided = lookup(checked, marks, ["request_id"]).select(
+        "request_id",
+        *[F.col(c).alias(f"_{c}") for c in RUN_KEY],
+        "_product",
+        "_refusal",
+        entered.alias("_entered"),
+        F.coalesce("_stays", F.lit(False)).alias("_stays"),
+    )
+    decided = stored(decided, "run-decided")
+    entering = decided.where("_entered").select("request_id")
+    numbered = assign_ids(entering, ["request_id"], next_id_base(runs), id_col="_id")
+    answered = lookup(decided, numbered, ["request_id"])
+    rows = lookup(requests, answered, ["request_id"])
+    # Result messages.
     message = (
-        F.when(
-            ~valid,
-            F.concat(
-                F.lit("MigrationRun without ["),
-                F.concat_ws(" ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in _REQUIRED]),
-                F.lit("] is not allowed!"),
-            ),
-        )
+        F.when(F.col("_refusal").isNotNull(), F.col("_refusal"))
         .when(
-            entered,
+            F.col("_entered"),
             F.concat(
-                F.lit("MigrationRun with Id ["), text_id,
-                F.lit("] successfully created for ProductId ["), shown(F.col("product_id")), F.lit("]"),
+                F.lit("MigrationRun with Id ["), F.col("_id").cast("string"),
+                F.lit("] successfully created for ProductId ["), shown(F.col("_product_id")), F.lit("]"),
             ),
         )
         .otherwise(
             F.concat(
                 F.lit("MigrationRun for Product ["), shown(F.col("_product")),
-                F.lit("] with Id ["), shown(F.col("product_id")),
+                F.lit("] with Id ["), shown(F.col("_product_id")),
                 F.lit("] is currently in progress. Parallel migrations for the same product with"
-                      " MigrationRunModeId [Migrate="), shown(F.col("migration_run_mode_id")),
+                      " MigrationRunModeId [Migrate="), shown(F.col("_migration_run_mode_id")),
                 F.lit("] are not allowed!"),
             )
         )
     )
-    results = rows.select(
-        "request_id",
-        F.coalesce(run_id, F.lit(-1).cast("bigint")).alias("result_code"),
-        message.alias("message"),
-        run_id.alias("id"),
-    )
-    stays = F.coalesce(F.col("_stays"), F.lit(False))
+    stays = F.col("_stays")
     values = {
-        "id": F.col("_id"),
         "migration_result_id": F.when(stays, F.col("migration_result_id")).otherwise(F.lit(fix_result_id)),
         "started_at": moment(now),
         "finished_at": F.when(~stays, moment(now)),
         "duration_in_ms": F.lit(None),
     }
-    new_runs = lookup(numbered, marks, ["request_id"]).where(entered).select(
+    new = F.struct(
         *[
             values.get(c.name, F.col(c.name)).cast(c.spark_type).alias(c.name)
             for c in TABLES["migration_run"]
+            if c.name != "id"
         ]
     )
-    repaired = repair_runs(runs, complete.where("_fix"), now, fix_result_id)
-    return Admission(results, new_runs, repaired.unionByName(new_runs))
+    outcome = rows.select(
+        "request_id",
+        F.coalesce("_id", F.lit(-1).cast("bigint")).alias("result_code"),
+        message.alias("message"),
+        F.col("_id").alias("id"),
+        F.when(F.col("_entered"), new).alias("new"),
+    )
+    outcome = stored(outcome, "run-outcome")
+    new_runs = outcome.where("new IS NOT NULL").select("id", "new.*")
+    repair_keys = complete.where("_fix").select(*RUN_KEY).distinct()
+    repaired = repair_runs(runs, repair_keys, now, fix_result_id)
+    return Admission(outcome.select(*_RESULT), new_runs, repair_keys, repaired.unionByName(new_runs))
 
 
 def current_from_history(history: DataFrame) -> DataFrame:

@@ -80,10 +80,14 @@ def render_templates(
     """Fill the placeholders of each template from its row of ``config``.
 
     ``keys`` maps a placeholder key to a column of ``config``. Adds ``rendered`` and
-    ``unresolved``, the keys without a value, joined by commas.
+    ``unresolved``, the keys without a value, joined by commas. Of several rows of ``config`` for
+    one template the smallest counts.
     """
-    rows = lookup(templates, config.select(*on, *keys.values()), on)
-    values = F.create_map(*[x for key, column in keys.items() for x in (F.lit(key), F.col(column))])
+    first = F.min(F.struct(*keys.values())).alias("_config")
+    rows = lookup(templates, config.groupBy(*on).agg(first), on)
+    values = F.create_map(
+        *[x for key, column in keys.items() for x in (F.lit(key), F.col("_config")[column])]
+    )
     unknown = F.filter(
         S.placeholder_keys(F.col(text)), lambda key: F.try_element_at(values, key).isNull()
     )

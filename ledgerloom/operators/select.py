@@ -51,10 +51,13 @@ def match_cardinality(
     keys: DataFrame, ledger: DataFrame, on: list[str], id_col: str = "id"
 ) -> DataFrame:
     """For each distinct key: rows in the ledger, the id if there is exactly one, and the case."""
-    found = ledger.groupBy(*on).agg(
-        F.count("*").alias("_rows"), F.min(id_col).alias("_first_id")
-    )
     asked = keys.select(*on).distinct()
+    # Of the ledger only the asked keys are grouped.
+    found = (
+        lookup(ledger.select(*on, id_col), asked, on, "left_semi")
+        .groupBy(*on)
+        .agg(F.count("*").alias("_rows"), F.min(id_col).alias("_first_id"))
+    )
     rows = F.coalesce(F.col("_rows"), F.lit(0))
     return asked.join(found, on, "left").select(
         *on,

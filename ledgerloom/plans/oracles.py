@@ -58,7 +58,7 @@ def _pk_duplicates() -> str:
         for table, (column,) in rules.items():
             parts.append(
                 f"""SELECT '{table}' AS table_name, '{column}' AS key_columns,
-                CAST({column} AS VARCHAR) AS key_value, count(*) AS n_rows
+                coalesce(CAST({column} AS VARCHAR), 'NULL') AS key_value, count(*) AS n_rows
                 FROM {table} GROUP BY {column} HAVING count(*) > 1"""
             )
     return _all_tables() + "\n" + "\nUNION ALL\n".join(parts)
@@ -126,55 +126,95 @@ def _decode(table: str, columns: dict[str, str], keep: str) -> str:
     return f"{duckdb_ctes(table)}, {dims} SELECT {keep}, {ids}, {names} FROM {table} m {joins}"
 
 
-# New products: first request of each name that is not blank and not stored, in the order of md5.
-_PRODUCTS = duckdb_ctes("product_request", "product") + """,
+def _reasons(kind: str, columns: dict[str, str]) -> str:
+    """A message that lists the columns whose condition holds, or null."""
+    parts = ", ".join(f"CASE WHEN {holds} THEN '{name}' END" for name, holds in columns.items())
+    return f"nullif('{kind} [' || concat_ws(' ', {parts}) || '] is not allowed!', '{kind} [] is not allowed!')"
+
+
+def _long(column: str, limit: int) -> str:
+    return f"length(rtrim({column})) > {limit}"
+
+
+# New products: first request of each name that is not blank, not too long for the DDL and not
+# stored, in the order of md5.
+_PRODUCTS = duckdb_ctes("product_request", "product") + f""",
+    judged AS (
+        SELECT *, CASE WHEN name IS NULL OR length(rtrim(name)) = 0
+                       THEN 'Product with empty name [' || coalesce(name, 'NULL') || '] is not allowed!'
+                       ELSE {_reasons("Product with too long", {"name": _long("name", 100), "description": _long("description", 1000)})}
+                       END AS refusal
+        FROM product_request),
+    known AS (SELECT name, count(*) AS n, min(id) AS id FROM product WHERE name IS NOT NULL GROUP BY name),
     named AS (
-        SELECT name, min(request_id) AS first_id FROM product_request
-        WHERE name IS NOT NULL AND length(rtrim(name)) > 0 GROUP BY name),
+        SELECT name, min(request_id) AS first_id FROM judged WHERE refusal IS NULL GROUP BY name),
     fresh AS (
         SELECT n.name, n.first_id,
                (SELECT coalesce(max(id), 0) FROM product)
                + row_number() OVER (ORDER BY md5(n.name), n.name) AS new_id
         FROM named n WHERE NOT EXISTS (SELECT 1 FROM product p WHERE p.name = n.name)),
     answered AS (
-        SELECT r.request_id, r.name, p.id AS known_id, f.new_id, f.first_id,
-               coalesce(p.id, f.new_id) AS id,
-               (r.name IS NULL OR length(rtrim(r.name)) = 0) AS blank
-        FROM product_request r LEFT JOIN product p ON p.name = r.name
-        LEFT JOIN fresh f ON f.name = r.name),
+        SELECT r.request_id, r.name, r.refusal, k.id AS known_id, f.first_id, k.n > 1 AS twice,
+               CASE WHEN refusal IS NULL AND coalesce(k.n, 1) = 1 THEN coalesce(k.id, f.new_id) END AS id
+        FROM judged r LEFT JOIN known k ON k.name = r.name LEFT JOIN fresh f ON f.name = r.name),
     product_answer AS (
-        SELECT request_id, CASE WHEN blank THEN -1 ELSE id END AS result_code,
-               CASE WHEN blank THEN 'Product with empty name [' || coalesce(name, 'NULL') || '] is not allowed!'
+        SELECT request_id, coalesce(id, -1) AS result_code,
+               CASE WHEN refusal IS NOT NULL THEN refusal
+                    WHEN twice THEN 'Multiple [Product]-entries found for Product [' || name || '].'
                     ELSE 'Product [' || name || '] with Id [' || id || '] '
                          || CASE WHEN known_id IS NULL AND request_id = first_id
-                                 THEN 'successfully created' ELSE 'found' END END AS message,
-               CASE WHEN NOT blank THEN id END AS id
+                                 THEN 'successfully created' ELSE 'found' END END AS message, id
         FROM answered)"""
 
 _KEY_TEXT = " || chr(31) || ".join(VERSION_KEY)
+_VERSION_ENTRY = f"""'RepositoryVersion [' || coalesce(repository_version, 'NULL') || '], RepositoryDatabaseType ['
+    || coalesce(repository_database_type, 'NULL') || '], {TOOL}Version [' || coalesce(created_by_version, 'NULL') || '].'"""
 _VERSIONS = duckdb_ctes("version_request", "migrator_version") + f""",
+    judged AS (
+        SELECT *, CASE WHEN {" OR ".join(f"{k} IS NULL" for k in VERSION_KEY)}
+                       THEN 'Incomplete version key: ' || {_VERSION_ENTRY}
+                       ELSE {_reasons("Version key with too long", {k: _long(k, 100) for k in VERSION_KEY})}
+                       END AS refusal
+        FROM version_request),
     known AS (
         SELECT {", ".join(VERSION_KEY)}, count(*) AS n, min(id) AS id FROM migrator_version
         GROUP BY {", ".join(VERSION_KEY)}),
     asked AS (
-        SELECT {", ".join(VERSION_KEY)}, min(request_id) AS first_id FROM version_request
+        SELECT {", ".join(VERSION_KEY)}, min(request_id) AS first_id FROM judged WHERE refusal IS NULL
         GROUP BY {", ".join(VERSION_KEY)}),
     fresh AS (
         SELECT *, (SELECT max(id) FROM migrator_version) + row_number() OVER (ORDER BY md5({_KEY_TEXT})) AS new_id
         FROM asked ANTI JOIN known USING ({", ".join(VERSION_KEY)}))
     SELECT r.request_id,
-           CASE WHEN k.n > 1 THEN -1 ELSE coalesce(k.id, f.new_id) END AS result_code,
-           CASE WHEN k.n > 1 THEN 'Multiple [MigratorVersion]-entries found for RepositoryVersion ['
+           CASE WHEN refusal IS NOT NULL OR k.n > 1 THEN -1 ELSE coalesce(k.id, f.new_id) END AS result_code,
+           CASE WHEN refusal IS NOT NULL THEN refusal
+                WHEN k.n > 1 THEN 'Multiple [MigratorVersion]-entries found for RepositoryVersion ['
                     || r.repository_version || '], RepositoryDatabaseType [' || r.repository_database_type
                     || '], {TOOL}Version [' || r.created_by_version || '].'
                 WHEN k.n = 1 THEN '{TOOL} repository already exists. Using VersionId [' || k.id || '].'
                 WHEN r.request_id = f.first_id
                     THEN '{TOOL} repository already exists. New VersionId [' || f.new_id || '] created.'
                 ELSE '{TOOL} repository already exists. Using VersionId [' || f.new_id || '].' END AS message,
-           CASE WHEN k.n > 1 THEN NULL ELSE coalesce(k.id, f.new_id) END AS id
-    FROM version_request r LEFT JOIN known k USING ({", ".join(VERSION_KEY)})
+           CASE WHEN refusal IS NULL AND coalesce(k.n, 1) = 1 THEN coalesce(k.id, f.new_id) END AS id
+    FROM judged r LEFT JOIN known k USING ({", ".join(VERSION_KEY)})
     LEFT JOIN fresh f USING ({", ".join(VERSION_KEY)})"""
 
+# A request the DDL lets into the run table; the parents are the tables its foreign keys name.
+_MODE_IDS = ", ".join(str(row[0]) for row in master_rows()["migration_run_mode"])
+_RESULT_IDS = ", ".join(str(row[0]) for row in master_rows()["migration_result"])
+_NEEDED = ("product_id", "environment", "migration_run_mode_id", "migrator_version_id", "migration_result_id")
+_RUN_REFUSAL = f"""coalesce(
+    {_reasons("MigrationRun without", {c: f"{c} IS NULL" for c in _NEEDED})},
+    {_reasons("MigrationRun with unknown", {
+        "product_id": "product_id NOT IN (SELECT id FROM product)",
+        "migrator_version_id": "migrator_version_id NOT IN (SELECT id FROM migrator_version)",
+        "migration_run_mode_id": f"migration_run_mode_id NOT IN ({_MODE_IDS})",
+        "migration_result_id": f"migration_result_id NOT IN ({_RESULT_IDS})",
+    })},
+    {_reasons("MigrationRun with too long", {
+        c: _long(c, 100) for c in ("environment", "from_release_version", "to_release_version")
+    })})"""
+
 _REPAIRED = f"""
     SELECT m.* REPLACE (
         CASE WHEN m.finished_at IS NULL AND a.product_id IS NOT NULL THEN 91
@@ -182,19 +222,17 @@ _REPAIRED = f"""
         CASE WHEN m.finished_at IS NULL AND a.product_id IS NOT NULL THEN {_NOW}
              ELSE m.finished_at END AS finished_at)
     FROM migration_run m
-    LEFT JOIN (SELECT DISTINCT {_RUN_KEY} FROM run_request
+    LEFT JOIN (SELECT DISTINCT {_RUN_KEY} FROM <asked>
                WHERE fix AND environment IS NOT NULL) a USING ({_RUN_KEY})"""
 
 
 def _admission(fix: str) -> str:
     """Requests in order per key; ``fix`` is the SQL of the repair flag."""
-    return duckdb_ctes("run_request", "migration_run", "product") + f""",
+    return duckdb_ctes("run_request", "migration_run", "product", "migrator_version") + f""",
     open_key AS (SELECT DISTINCT {_RUN_KEY} FROM migration_run WHERE finished_at IS NULL),
     numbered AS (
-        SELECT *, (SELECT max(id) FROM migration_run)
-                  + row_number() OVER (ORDER BY md5(CAST(request_id AS VARCHAR))) AS new_id,
-               {fix} AS wants_fix, environment IS NOT NULL AS valid
-        FROM run_request),
+        SELECT *, {fix} AS wants_fix, refusal IS NULL AS valid
+        FROM (SELECT *, {_RUN_REFUSAL} AS refusal FROM run_request)),
     placed AS (
         SELECT n.*, o.product_id IS NOT NULL AS was_open,
                row_number() OVER w AS turn,
@@ -207,14 +245,17 @@ def _admission(fix: str) -> str:
          AND o.migration_run_mode_id = n.migration_run_mode_id
         WINDOW w AS (PARTITION BY n.valid, n.product_id, n.environment, n.migration_run_mode_id
                      ORDER BY n.requested_at, n.request_id)),
+    entering AS (SELECT *, valid AND (wants_fix OR (turn = 1 AND NOT was_open)) AS entered FROM placed),
     decided AS (
-        SELECT *, valid AND (wants_fix OR (turn = 1 AND NOT was_open)) AS entered FROM placed)"""
+        SELECT *, CASE WHEN entered THEN (SELECT max(id) FROM migration_run) + row_number() OVER (
+                      PARTITION BY entered ORDER BY md5(CAST(request_id AS VARCHAR))) END AS new_id
+        FROM entering)"""
 
 
 def _admission_results(fix: str) -> str:
     return _admission(fix) + """
     SELECT d.request_id, CASE WHEN entered THEN new_id ELSE -1 END AS result_code,
-           CASE WHEN NOT valid THEN 'MigrationRun without [environment] is not allowed!'
+           CASE WHEN NOT valid THEN refusal
                 WHEN entered THEN 'MigrationRun with Id [' || new_id
                     || '] successfully created for ProductId [' || d.product_id || ']'
                 ELSE 'MigrationRun for Product [' || coalesce(p.name, 'NULL') || '] with Id ['
@@ -222,12 +263,12 @@ def _admission_results(fix: str) -> str:
                     || ' with MigrationRunModeId [Migrate=' || d.migration_run_mode_id
                     || '] are not allowed!' END AS message,
            CASE WHEN entered THEN new_id END AS id
-    FROM decided d LEFT JOIN product p ON p.id = d.product_id"""
+    FROM decided d LEFT JOIN (SELECT id, min(name) AS name FROM product GROUP BY id) p ON p.id = d.product_id"""
 
 
 def _admission_ledger() -> str:
     return _admission("fix") + f""",
-    repaired AS ({_REPAIRED})
+    repaired AS ({_REPAIRED.replace("<asked>", "(SELECT * FROM numbered WHERE valid)")})
     SELECT * FROM repaired
     UNION ALL BY NAME
     SELECT new_id AS id, migrator_version_id, product_id, migration_run_mode_id,
@@ -313,7 +354,7 @@ ORACLES: dict[str, str] = {
         SELECT f.new_id AS id, f.name, r.description, {_NOW} AS created_at
         FROM fresh f JOIN product_request r ON r.request_id = f.first_id""",
     "version_get_or_create": _VERSIONS,
-    "run_repair": duckdb_ctes("migration_run", "run_request") + _REPAIRED,
+    "run_repair": duckdb_ctes("migration_run", "run_request") + _REPAIRED.replace("<asked>", "run_request"),
     "run_admission": _admission_results("false"),
     "run_insert": _admission_results("fix"),
     "run_ledger_after_insert": _admission_ledger(),
@@ -377,7 +418,8 @@ ORACLES: dict[str, str] = {
     "script_hash": duckdb_ctes("script_with_settings") + rf"""
         SELECT filename, doc_id, release_version, target_group_alias, sha256(content) AS file_hash,
                CASE WHEN regexp_matches(content, '{_SETTINGS}')
-                    THEN sha256(regexp_extract(content, '{_SETTINGS}', 1)) END AS config_hash,
+                    THEN sha256(array_to_string(regexp_extract_all(content, '{_SETTINGS}', 1), chr(10)))
+                    END AS config_hash,
                sha256(regexp_replace(content, '{_SETTINGS}', '', 'g')) AS blocks_hash
         FROM script_with_settings""",
     "file_order": duckdb_ctes("script") + """
@@ -397,5 +439,29 @@ ORACLES: dict[str, str] = {
         FROM log_entry""",
     "log_stream": duckdb_ctes("migration_log") + " SELECT * FROM migration_log",
     "repository_load": duckdb_ctes("migration_run", "run_request") + f""",
-        repaired AS ({_REPAIRED})""" + _SUMMARY.format(runs="repaired"),
+        repaired AS ({_REPAIRED.replace("<asked>", "run_request")})""" + _SUMMARY.format(runs="repaired"),
+    "run_apply": _admission_results("fix"),
+    "run_ledger_applied": _admission_ledger(),
+    "product_apply": _PRODUCTS + " SELECT * FROM product_answer",
+    "log_append_stored": duckdb_ctes("log_entry", "migration_log") + f"""
+        SELECT * FROM migration_log
+        UNION ALL BY NAME
+        SELECT (SELECT max(id) FROM migration_log)
+               + row_number() OVER (ORDER BY md5(CAST(migration_run_id AS VARCHAR))) AS id,
+               *, {_NOW} AS created_at
+        FROM log_entry""",
+    "log_stream_once": duckdb_ctes("migration_log") + " SELECT * FROM migration_log",
+    "parameter_types": duckdb_ctes("typed_parameter") + """
+        SELECT request_id, name, type_name, value,
+               CASE regexp_replace(replace(type_name, '?', ''), '[(].*', '')
+                    WHEN 'byte' THEN 'Byte' WHEN 'sbyte' THEN 'SByte' WHEN 'short' THEN 'Int16'
+                    WHEN 'ushort' THEN 'UInt16' WHEN 'int' THEN 'Int32' WHEN 'uint' THEN 'UInt32'
+                    WHEN 'long' THEN 'Int64' WHEN 'ulong' THEN 'UInt64' WHEN 'float' THEN 'Single'
+                    WHEN 'double' THEN 'Double' WHEN 'decimal' THEN 'Decimal' WHEN 'bool' THEN 'Boolean'
+                    WHEN 'string' THEN 'String' WHEN 'char' THEN 'StringFixedLength' WHEN 'Guid' THEN 'Guid'
+                    WHEN 'DateTime' THEN 'DateTime' WHEN 'DateTimeOffset' THEN 'DateTimeOffset'
+                    WHEN 'byte[]' THEN 'Binary' ELSE 'Xml' END AS db_type,
+               CAST(CASE WHEN type_name = 'string' THEN length(value) END AS INTEGER) AS size,
+               CASE WHEN fits THEN 'ok' ELSE 'bad value' END AS status
+        FROM typed_parameter""",
 }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import values as V
 from ledgerloom.functions.envelope import format_envelope, parse_envelope
 from ledgerloom.operators import changes, checks, parameters, scripts, select
-from ledgerloom.plans.storage import new_folder
+from ledgerloom.plans.storage import new_folder, remove_folder, stored
 from ledgerloom.sources import fixtures, log, master
 from ledgerloom.sources.fixtures import view
 from ledgerloom.sources.repository import Repository
@@ -154,6 +154,7 @@ def _admit(spark: SparkSession, sf: str, fix: str | None = None) -> changes.Admi
         view(spark, sf, "run_request"),
         view(spark, sf, "migration_run"),
         view(spark, sf, "product"),
+        view(spark, sf, "migrator_version"),
         NOW,
         fix,
     )
@@ -211,6 +212,11 @@ def parameter_binding(spark: SparkSession, sf: str) -> DataFrame:
     return parameters.bind_parameters(view(spark, sf, "parameter"))
 
 
+@query
+def parameter_types(spark: SparkSession, sf: str) -> DataFrame:
+    return parameters.bind_parameters(view(spark, sf, "typed_parameter"))
+
+
 # --- scripts -----------------------------------------------------------------------------
 
 
@@ -267,16 +273,80 @@ def log_stream(spark: SparkSession, sf: str) -> DataFrame:
         entries, fixtures.events_to_log, f"{target}/log", f"{target}/checkpoint"
     )
     running.awaitTermination()
+    remove_folder(spark, f"{target}/checkpoint")
     return spark.read.schema(log.log_schema()).parquet(f"{target}/log")
 
 
 @query
-def repository_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Create a repository, append products, store runs and then their repaired version."""
+def log_append_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The log after new entries were appended to the stored one."""
+    folder = new_folder(spark, "log")
+    log.append_log(view(spark, sf, "migration_log").select(*log.log_schema().names), folder)
+    stored_log = spark.read.schema(log.log_schema()).parquet(folder)
+    rows = log.log_rows(view(spark, sf, "log_entry"), stored_log, ["migration_run_id"], NOW)
+    log.append_log(stored(rows, "log-rows"), folder)
+    return spark.read.schema(log.log_schema()).parquet(folder)
+
+
+@query
+def log_stream_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of a source that sends every event twice, without the repeats."""
+    schema = fixtures.raw(spark, sf, "events").schema
+    entries = stream.read_stream(spark, sf, schema, "events.parquet")
+    twice = entries.withColumn("_again", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_again")
+    once = stream.without_repeats(twice, ["event_id"], "ts", "1 day")
+    target = new_folder(spark, "log-stream-once")
+    running = stream.append_stream(once, fixtures.events_to_log, f"{target}/log", f"{target}/checkpoint")
+    running.awaitTermination()
+    remove_folder(spark, f"{target}/checkpoint")
+    return spark.read.schema(log.log_schema()).parquet(f"{target}/log")
+
+
+def _in_repository(spark: SparkSession, sf: str, tables: list[str], then: Callable) -> DataFrame:
+    """What ``then`` returns from a repository with the given tables, which is removed again."""
     repo = Repository(spark, f"loaded_{uuid.uuid4().hex}", prefix="app_")
-    repo.check_create("1.0", "Spark", NOW)
-    repo.append("product", view(spark, sf, "product"))
-    repo.append("migration_run", view(spark, sf, "migration_run"))
-    asked = view(spark, sf, "run_request").where("fix")
-    repo.replace("migration_run", changes.repair_runs(repo.read("migration_run"), asked, NOW))
-    return select.run_summary(repo.read("migration_run"))
+    try:
+        repo.check_create("1.0", "Spark", NOW)
+        for table in tables:
+            repo.replace(table, view(spark, sf, table))
+        return stored(then(repo), "from-repository")
+    finally:
+        repo.drop()
+
+
+@query
+def repository_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Create a repository, store products and runs, repair the open runs and clean up."""
+
+    def work(repo: Repository) -> DataFrame:
+        repo.repair_runs(view(spark, sf, "run_request").where("fix"), NOW)
+        repo.vacuum()
+        return select.run_summary(repo.read("migration_run"))
+
+    return _in_repository(spark, sf, ["product", "migration_run"], work)
+
+
+@query
+def product_apply(spark: SparkSession, sf: str) -> DataFrame:
+    """The answers to a batch of product requests, read after its new rows were stored."""
+    requests = view(spark, sf, "product_request")
+    return _in_repository(spark, sf, ["product"], lambda repo: repo.apply_products(requests, NOW))
+
+
+@query
+def run_apply(spark: SparkSession, sf: str) -> DataFrame:
+    """The answers to a batch of run requests, read after its runs were repaired and stored."""
+    requests = view(spark, sf, "run_request")
+    tables = ["product", "migrator_version", "migration_run"]
+    return _in_repository(spark, sf, tables, lambda repo: repo.apply_runs(requests, NOW, "fix"))
+
+
+@query
+def run_ledger_applied(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored run table after a batch of run requests was applied to it."""
+
+    def work(repo: Repository) -> DataFrame:
+        repo.apply_runs(view(spark, sf, "run_request"), NOW, "fix")
+        return repo.read("migration_run")
+
+    return _in_repository(spark, sf, ["product", "migrator_version", "migration_run"], work)

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE splits hot partitions of joins, picks broadcasts from sizes measured at run time, and joins by
-# hash instead of by sorting where every partition of one side was measured to be small.
+# AQE splits hot partitions of joins and picks broadcasts from sizes measured at run time.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
@@ -28,10 +26,17 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
     return max(cores, -(-input_bytes // _PARTITION_BYTES))
 
 
-def build_session(app: str = "ledgerloom", master: str | None = None, **settings: str) -> SparkSession:
+def build_session(
+    app: str = "ledgerloom", master: str | None = None, input_bytes: int | None = None, **settings: str
+) -> SparkSession:
+    """A session for this library; with ``input_bytes``, its shuffles are sized for so much input."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if input_bytes is not None:
+        n = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return spark

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -32,3 +32,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to and read from the shared folder.
+
+    They are computed once, survive lost executors, and no longer follow changes of their sources.
+    """
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    path, files = _file_system(spark, folder)
+    return [str(f.getPath()) for f in files.listStatus(path) if f.isDirectory()] if files.exists(path) else []
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _file_system(spark, folder)
+    files.delete(path, True)

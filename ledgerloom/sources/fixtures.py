@@ -25,17 +25,29 @@ _VERSION_KEY = (
 )
 
 VIEWS = {
+    # Some ids are not those that runs and migrations name, some names are null and some texts too
+    # long, and some products are stored twice.
     "product": """
-        SELECT c_custkey AS id, c_name AS name, c_mktsegment AS description,
+        SELECT CASE WHEN c_custkey % 97 = 13 THEN -c_custkey ELSE c_custkey END AS id,
+               CASE WHEN c_custkey % 89 = 0 THEN CAST(NULL AS STRING) ELSE c_name END AS name,
+               CASE WHEN c_custkey % 61 = 0 THEN repeat(c_mktsegment, 150) ELSE c_mktsegment END AS description,
                CAST('1992-01-01 00:00:00' AS <ntz>) AS created_at
-        FROM {customer}""",
-    # Versions known before 1998; those of 1996 with status P are stored twice.
+        FROM {customer}
+        UNION ALL
+        SELECT c_custkey, c_name, 'stored again', CAST('1992-01-02 00:00:00' AS <ntz>)
+        FROM {customer} WHERE c_custkey % 53 = 0""",
+    # All versions; those of 1996 with status P are stored twice, and those from 1998 on under
+    # another name and id, so that runs and requests miss them.
     "migrator_version": f"""
         SELECT CAST(id AS BIGINT) AS id, repository_version, repository_database_type,
                created_by_version, min(created_at) AS created_at
         FROM (
-            SELECT {_VERSION_ID} AS id, {_VERSION_KEY}, o_orderdate AS created_at
-            FROM {{orders}} WHERE year(o_orderdate) < 1998
+            SELECT {_VERSION_ID} + CASE WHEN year(o_orderdate) < 1998 THEN 0 ELSE 5 END AS id,
+                   CASE WHEN year(o_orderdate) < 1998 THEN 'V' ELSE 'next-V' END
+                   || CAST(year(o_orderdate) AS STRING) AS repository_version,
+                   o_orderpriority AS repository_database_type, o_orderstatus AS created_by_version,
+                   o_orderdate AS created_at
+            FROM {{orders}}
             UNION ALL
             SELECT {_VERSION_ID} + 4 AS id, {_VERSION_KEY}, o_orderdate AS created_at
             FROM {{orders}} WHERE year(o_orderdate) = 1996 AND o_orderstatus = 'P'
@@ -44,13 +56,15 @@ VIEWS = {
     # Every 7th run is open.
     "migration_run": f"""
         SELECT o_orderkey AS id, CAST({_VERSION_ID} AS BIGINT) AS migrator_version_id,
-               o_custkey AS product_id, {_MODE} AS migration_run_mode_id,
-               CAST(CASE WHEN o_orderkey % 7 = 0 THEN 10 WHEN o_orderkey % 11 = 0 THEN 90 ELSE 100 END
-                    AS SMALLINT) AS migration_result_id,
-               o_orderpriority AS environment,
+               o_custkey AS product_id,
+               CAST(CASE WHEN o_orderkey % 223 = 2 THEN 55 ELSE {_MODE} END AS SMALLINT) AS migration_run_mode_id,
+               CAST(CASE WHEN o_orderkey % 227 = 3 THEN 12 WHEN o_orderkey % 7 = 0 THEN 10
+                    WHEN o_orderkey % 11 = 0 THEN 90 ELSE 100 END AS SMALLINT) AS migration_result_id,
+               CASE WHEN o_orderkey % 229 = 4 THEN CAST(NULL AS STRING) ELSE o_orderpriority END AS environment,
                CASE WHEN o_orderstatus <> 'P' THEN 'R' || CAST(year(o_orderdate) - 1 AS STRING) END
                     AS from_release_version,
-               'R' || CAST(year(o_orderdate) AS STRING) AS to_release_version,
+               CASE WHEN o_orderkey % 233 = 5 AND o_orderkey % 7 <> 0 THEN repeat('R', 101)
+                    ELSE 'R' || CAST(year(o_orderdate) AS STRING) END AS to_release_version,
                o_orderdate AS started_at,
                CASE WHEN o_orderkey % 7 = 0 THEN NULL
                     ELSE o_orderdate + INTERVAL 1 SECOND * CAST(floor(o_totalprice) AS INT) END
@@ -58,23 +72,30 @@ VIEWS = {
                CAST(NULL AS BIGINT) AS duration_in_ms
         FROM {{orders}}""",
     "migration_run_meta": """
-        SELECT o_orderkey AS migration_run_id,
+        SELECT CASE WHEN o_orderkey % 239 = 6 THEN -o_orderkey ELSE o_orderkey END AS migration_run_id,
                '{"priority": "' || o_orderpriority || '"}' AS migration_run_settings_json,
                CASE WHEN o_orderstatus = 'F' THEN 'customer ' || CAST(o_custkey AS STRING) END AS description
-        FROM {orders}""",
+        FROM {orders}
+        UNION ALL
+        SELECT o_orderkey, CAST(NULL AS STRING), 'stored again' FROM {orders} WHERE o_orderkey % 241 = 0""",
     # The raw line items repeat (order, line), so ids repeat as well.
     "migration": f"""
-        SELECT l_orderkey * 8 + l_linenumber AS id, o_custkey AS product_id,
-               l_orderkey AS migration_run_id, {_MODE} AS migration_run_mode_id,
-               CAST(CASE l_linestatus WHEN 'O' THEN 100 ELSE 50 END AS SMALLINT) AS migration_operation_id,
+        SELECT l_orderkey * 8 + l_linenumber AS id,
+               o_custkey AS product_id,
+               CASE WHEN l_partkey % 223 = 2 THEN -l_orderkey ELSE l_orderkey END AS migration_run_id,
+               CAST(CASE WHEN l_partkey % 227 = 3 THEN 55 ELSE {_MODE} END AS SMALLINT) AS migration_run_mode_id,
+               CAST(CASE WHEN l_partkey % 229 = 4 THEN 77 WHEN l_linestatus = 'O' THEN 100 ELSE 50 END
+                    AS SMALLINT) AS migration_operation_id,
                CAST(CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN 10 WHEN 3 THEN 11 WHEN 4 THEN 90
                     WHEN 5 THEN 91 WHEN 6 THEN 99 ELSE 100 END AS SMALLINT) AS migration_result_id,
-               CAST(CASE l_returnflag WHEN 'A' THEN 99 WHEN 'N' THEN 11 ELSE 10 END AS SMALLINT)
-                    AS migration_state_id,
+               CAST(CASE WHEN l_partkey % 233 = 5 THEN 98 WHEN l_returnflag = 'A' THEN 99
+                    WHEN l_returnflag = 'N' THEN 11 ELSE 10 END AS SMALLINT) AS migration_state_id,
                o_orderpriority AS environment,
-               'R' || CAST(year(l_shipdate) AS STRING) AS release_version,
+               CASE WHEN l_partkey % 239 = 6 THEN CAST(NULL AS STRING)
+                    ELSE 'R' || CAST(year(l_shipdate) AS STRING) END AS release_version,
                l_returnflag AS target_group_alias, l_linestatus AS target_alias,
-               'file_' || CAST(l_partkey AS STRING) AS filename, l_linenumber AS file_order_id,
+               CASE WHEN l_partkey % 241 = 7 THEN repeat('f', 201)
+                    ELSE 'file_' || CAST(l_partkey AS STRING) END AS filename, l_linenumber AS file_order_id,
                md5(CAST(l_partkey AS STRING)) AS file_up_hash,
                CASE WHEN l_tax > 0.04 THEN md5(CAST(l_suppkey AS STRING)) END AS file_up_config_hash,
                md5(CAST(l_partkey * 2 AS STRING)) AS file_up_blocks_hash,
@@ -98,14 +119,18 @@ VIEWS = {
         FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
     # Each order is one recorded version of its customer's migration file.
     "migration_history": f"""
-        SELECT o_orderkey AS id, o_custkey AS migration_id, o_custkey AS product_id,
-               o_orderkey AS migration_run_id, {_MODE} AS migration_run_mode_id,
+        SELECT o_orderkey AS id, o_custkey AS migration_id,
+               o_custkey AS product_id,
+               CASE WHEN o_orderkey % 223 = 2 THEN -o_orderkey ELSE o_orderkey END AS migration_run_id,
+               {_MODE} AS migration_run_mode_id,
                CAST(CASE o_orderstatus WHEN 'P' THEN 50 ELSE 100 END AS SMALLINT) AS migration_operation_id,
                CAST(CASE WHEN o_orderkey % 11 = 0 THEN 90 ELSE 100 END AS SMALLINT) AS migration_result_id,
                CAST(CASE o_orderstatus WHEN 'F' THEN 99 WHEN 'O' THEN 11 ELSE 10 END AS SMALLINT)
                     AS migration_state_id,
                o_orderpriority AS environment, 'R' || CAST(year(o_orderdate) AS STRING) AS release_version,
-               o_orderstatus AS target_group_alias, 'main' AS target_alias,
+               CASE WHEN o_orderkey % 227 = 3 THEN CAST(NULL AS STRING) ELSE o_orderstatus END
+                    AS target_group_alias,
+               CASE WHEN o_orderkey % 229 = 4 THEN repeat('main', 26) ELSE 'main' END AS target_alias,
                'file_' || CAST(o_custkey AS STRING) AS filename, 1 AS file_order_id,
                md5(CAST(o_orderkey AS STRING)) AS file_up_hash, CAST(NULL AS STRING) AS file_up_config_hash,
                md5(CAST(o_custkey AS STRING)) AS file_up_blocks_hash,
@@ -125,9 +150,10 @@ VIEWS = {
                CAST(NULL AS SMALLINT) AS run_mode_id, CAST(user_id AS INT) AS product_id,
                CAST(NULL AS INT) AS migration_run_id, CAST(NULL AS STRING) AS environment,
                CAST(NULL AS STRING) AS release_version, CAST(NULL AS STRING) AS target_group_alias,
-               CAST(NULL AS STRING) AS target_alias, CAST(NULL AS STRING) AS filename,
+               CAST(NULL AS STRING) AS target_alias,
+               CASE WHEN event_id % 251 = 9 THEN repeat('long', 76) END AS filename,
                CAST(NULL AS INT) AS file_order_id, CAST(NULL AS INT) AS file_block_id,
-               props AS message, ts AS created_at
+               props AS message, CASE WHEN event_id % 257 = 8 THEN NULL ELSE ts END AS created_at
         FROM {events}""",
     # Each line break of a document becomes a GO line.
     "script": """
@@ -135,13 +161,16 @@ VIEWS = {
                source AS target_group_alias,
                replace(text, chr(10), chr(10) || 'GO' || chr(10)) AS content
         FROM {documents}""",
-    # The same files with a settings comment at the top, and a GO line inside that comment.
+    # The same files with a settings comment at the top, and a GO line inside that comment; every
+    # ninth has a second one at its end.
     "script_with_settings": """
         SELECT 'doc_' || CAST(doc_id AS STRING) AS filename, doc_id, lang AS release_version,
                source AS target_group_alias,
                CASE WHEN lang = 'fr' THEN '' ELSE '/* [Settings]' || chr(10) || 'lang=' || lang || chr(10)
                     || 'GO' || chr(10) || '*/' || chr(10) END
-               || replace(text, chr(10), chr(10) || 'GO' || chr(10)) AS content
+               || replace(text, chr(10), chr(10) || 'GO' || chr(10))
+               || CASE WHEN doc_id % 9 = 0 THEN '/*[Settings] n=' || CAST(doc_id AS STRING) || ' */' ELSE '' END
+               AS content
         FROM {documents}""",
     # A later state of the files: some renamed (removed + added), some changed.
     "script_next": """
@@ -161,26 +190,38 @@ VIEWS = {
         SELECT source AS target_group_alias, 'schema_' || source AS schema_name,
                CASE WHEN source < 'src15' THEN 'base{CFG:SchemaName}' END AS table_base_name
         FROM {documents} GROUP BY source""",
-    # Names to get or create: 64 hot part names (some blank), new supplier names, known customer names.
+    # Names to get or create: 64 hot part names (some blank), new supplier names (some too long),
+    # known customer names.
     "product_request": """
         SELECT p_partkey * 3 AS request_id,
                CASE p_size WHEN 50 THEN '   ' WHEN 49 THEN CAST(NULL AS STRING) ELSE p_name END AS name,
                p_type AS description
         FROM {part}
         UNION ALL
-        SELECT s_suppkey * 3 + 1, s_name, 'supplier' FROM {supplier}
+        SELECT s_suppkey * 3 + 1, CASE WHEN s_suppkey % 17 = 0 THEN repeat(s_name, 9) ELSE s_name END,
+               CASE WHEN s_suppkey % 19 = 0 THEN repeat('supplier', 126) ELSE 'supplier' END FROM {supplier}
         UNION ALL
         SELECT c_custkey * 3 + 2, c_name, c_mktsegment FROM {customer}""",
-    "version_request": f"SELECT o_orderkey AS request_id, {_VERSION_KEY} FROM {{orders}}",
-    # Every run asks to run again; those that ended in an error ask for a repair as well.
+    "version_request": """
+        SELECT o_orderkey AS request_id,
+               CASE WHEN o_orderkey % 257 = 1 THEN repeat('V', 101)
+                    ELSE 'V' || CAST(year(o_orderdate) AS STRING) END AS repository_version,
+               o_orderpriority AS repository_database_type,
+               CASE WHEN o_orderkey % 263 = 1 THEN CAST(NULL AS STRING) ELSE o_orderstatus END
+                   AS created_by_version
+        FROM {orders}""",
+    # Every run asks to run again; those that ended in an error ask for a repair as well. Some name
+    # a product, mode, result or version that does not exist, or a text that is too long.
     "run_request": f"""
         SELECT o_orderkey AS request_id,
                o_orderdate + INTERVAL 1 SECOND * CAST(floor(o_totalprice) AS INT) AS requested_at,
-               o_custkey AS product_id, CASE WHEN o_orderkey % 501 = 1 THEN CAST(NULL AS STRING)
-                    ELSE o_orderpriority END AS environment,
-               {_MODE} AS migration_run_mode_id, CAST({_VERSION_ID} AS BIGINT) AS migrator_version_id,
-               CAST(10 AS SMALLINT) AS migration_result_id,
-               CAST(NULL AS STRING) AS from_release_version,
+               CASE WHEN o_orderkey % 503 = 2 THEN -o_custkey ELSE o_custkey END AS product_id,
+               CASE WHEN o_orderkey % 501 = 1 THEN CAST(NULL AS STRING)
+                    WHEN o_orderkey % 509 = 3 THEN repeat('e', 101) ELSE o_orderpriority END AS environment,
+               CAST(CASE WHEN o_orderkey % 521 = 4 THEN 55 ELSE {_MODE} END AS SMALLINT) AS migration_run_mode_id,
+               CAST({_VERSION_ID} AS BIGINT) AS migrator_version_id,
+               CAST(CASE WHEN o_orderkey % 523 = 5 THEN 12 ELSE 10 END AS SMALLINT) AS migration_result_id,
+               CASE WHEN o_orderkey % 541 = 6 THEN repeat('r', 101) END AS from_release_version,
                'R' || CAST(year(o_orderdate) AS STRING) AS to_release_version,
                o_orderkey % 11 = 0 AS fix
         FROM {{orders}}""",
@@ -212,6 +253,27 @@ VIEWS = {
         SELECT event_id, CASE event_type WHEN 'error' THEN '@UserId' ELSE '@Message' END, 'string',
                CASE event_type WHEN 'view' THEN '' WHEN 'click' THEN CAST(NULL AS STRING) ELSE props END
         FROM {events}""",
+    # A call parameter of every type, good and bad in turn, and whether the store would take it whole.
+    "typed_parameter": """
+        SELECT event_id AS request_id, '@P' AS name, s.type_name, s.value, s.fits
+        FROM {events} e JOIN (VALUES
+            (0, 'byte', '255', true), (1, 'byte', '256', false), (2, 'sbyte', '-128', true), (3, 'sbyte', '128', false),
+            (4, 'short', '-32768', true), (5, 'short', '40000', false), (6, 'ushort', '65535', true),
+            (7, 'ushort', '-1', false), (8, 'int', ' 12 ', true), (9, 'int', '2147483648', false),
+            (10, 'uint', '4294967295', true), (11, 'uint', '1.5', false), (12, 'long', '-9223372036854775808', true),
+            (13, 'long', '9223372036854775808', false), (14, 'ulong', '18446744073709551615', true),
+            (15, 'ulong', '18446744073709551616', false), (16, 'float', '1.5e3', true), (17, 'float', 'x', false),
+            (18, 'double', '-.25', true), (19, 'double', '1,5', false), (20, 'decimal', '12345.0123456789', true),
+            (21, 'decimal', '0.123456789012345', false), (22, 'decimal(10,2)', '12345678.90', true),
+            (23, 'decimal(10,2)', '1.005', false), (24, 'decimal(5,0)', '123456', false), (25, 'bool', 'True', true),
+            (26, 'bool', 'yes', false), (27, 'string', 'any', true), (28, 'char', 'x', true), (29, 'char', 'xy', false),
+            (30, 'Guid', '0F8FAD5B-D9CB-469F-A165-70867728950E', true), (31, 'Guid', '0F8FAD5B', false),
+            (32, 'DateTime', '2020-01-01 10:00:00', true), (33, 'DateTime', '2020-01-01T10:00:00+05:00', false),
+            (34, 'DateTime', '2020-13-01', false), (35, 'DateTimeOffset', '2020-01-01T10:00:00+05:00', true),
+            (36, 'DateTimeOffset', 'soon', false), (37, 'byte[]', 'bytes', true), (38, 'XElement', '<a/>', true),
+            (39, 'XmlDocument', '<a/>', true), (40, 'int?', CAST(NULL AS STRING), true), (41, 'int?', 'x', false),
+            (42, 'decimal?', '2.50', true), (43, 'decimal', '1e3', false), (44, 'DateTime', '1000-01-01', true)
+        ) s(place, type_name, value, fits) ON event_id % 45 = s.place""",
     "event_text": """
         SELECT event_id, CAST(user_id AS STRING) AS user_text,
                regexp_extract(props, '([0-9]+)', 1) AS k_text,

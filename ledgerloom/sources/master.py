@@ -53,10 +53,12 @@ EVENTS = [
 ]
 
 # Ids with a meaning of their own.
-RESULT_RUNNING = 10
 RESULT_FIXED = 91
 MODE_MIGRATE = 100
 
+MODE_IDS = [row[0] for row in RUN_MODES]
+RESULT_IDS = [row[0] for row in RESULTS]
+
 
 def master_rows(tool: str = TOOL) -> dict[str, list[tuple]]:
     return {

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.envelope import format_envelope
 from ledgerloom.functions.values import moment
-from ledgerloom.operators.changes import get_or_create_versions
+from ledgerloom.operators import changes
 from ledgerloom.operators.checks import completeness
-from ledgerloom.plans.storage import new_folder
+from ledgerloom.plans.storage import remove_folder, stored, subfolders
 from ledgerloom.sources.master import REPOSITORY_VERSION, TOOL, dimension, master_rows
 from ledgerloom.sources.tables import (
     LOG_TABLES,
@@ -24,11 +24,16 @@ from ledgerloom.sources.tables import (
 )
 
 
+# Open runs, which change, are kept apart from the finished ones, which don't.
+_OPEN_RUNS = "migration_run_open"
+
+
 class Repository:
     """Ledger tables in one schema. ``prefix`` comes before every table name.
 
-    A store without transactions cannot undo a half-done creation; the next check then reports
-    the repository as incomplete.
+    The tables lie below ``location``, by default the schema's folder in the warehouse. A store
+    without transactions cannot undo a half-done creation; the next check then reports the
+    repository as incomplete.
     """
 
     def __init__(
@@ -42,7 +47,8 @@ class Repository:
         self.spark = spark
         self.schema = schema
         self.prefix = prefix
-        self.location = location or new_folder(spark, schema)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        self.location = location or f"{warehouse}/{schema}.db"
         self.tool = tool
 
     def name(self, table: str) -> str:
@@ -52,14 +58,26 @@ class Repository:
         return self.spark.catalog.tableExists(self.name(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table))
+        rows = self.spark.table(self.name(table))
+        if table == "migration_run":
+            return rows.union(self.spark.table(self.name(_OPEN_RUNS)))
+        return rows
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows; each file is sorted for lookups, without a shuffle."""
+        if table == "migration_run":
+            rows = stored(rows, "new-runs")  # computed once for both tables
+            self._insert(table, rows.where("finished_at IS NOT NULL"))
+            self._insert(_OPEN_RUNS, rows.where("finished_at IS NULL"))
+        else:
+            self._insert(table, rows)
+
+    def _insert(self, stored_as: str, rows: DataFrame) -> None:
+        table = "migration_run" if stored_as == _OPEN_RUNS else stored_as
         rows = rows.select(*struct_type(table).names)
         if table in LOOKUP_ORDER:
             rows = rows.sortWithinPartitions(*LOOKUP_ORDER[table])
-        rows.write.insertInto(self.name(table))
+        rows.write.insertInto(self.name(stored_as))
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """Store a new version of a table that may be computed from the old one.
@@ -67,16 +85,79 @@ class Repository:
         The rows go to a new folder and the table is then pointed there, so the files being
         read are never overwritten and a failed write leaves the old version in place. Large
         tables are range-partitioned by their lookup order: a lookup skips, by the file
-        statistics, all files but the few with its key.
+        statistics, all files but the few with its key. Old folders stay until ``vacuum``.
         """
-        folder = self._folder(table)
+        if table == "migration_run":
+            finished = self._write(table, rows.where("finished_at IS NOT NULL"))
+            still_open = self._write(_OPEN_RUNS, rows.where("finished_at IS NULL"))
+            self._point(table, finished)
+            self._point(_OPEN_RUNS, still_open)
+        else:
+            self._point(table, self._write(table, rows))
+
+    def _write(self, stored_as: str, rows: DataFrame) -> str:
+        """Rows in a new folder, in lookup order."""
+        table = "migration_run" if stored_as == _OPEN_RUNS else stored_as
+        folder = self._folder(stored_as)
         rows = rows.select(*struct_type(table).names)
         if table in LOOKUP_ORDER:
             order = LOOKUP_ORDER[table]
             rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         rows.write.parquet(folder)
-        self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{folder}'")
-        self.spark.catalog.refreshTable(self.name(table))
+        return folder
+
+    def _point(self, stored_as: str, folder: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(stored_as)} SET LOCATION '{folder}'")
+        self.spark.catalog.refreshTable(self.name(stored_as))
+
+    def repair_runs(self, keys: DataFrame, now: dt.datetime | None = None) -> None:
+        """End the open runs of the given keys.
+
+        Only open runs are read and written: those that stay open to a new folder, the ended ones
+        behind the finished runs. ``keys`` must not depend on the run table.
+        """
+        now = now or dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        repaired = changes.repair_runs(self.spark.table(self.name(_OPEN_RUNS)), keys, now)
+        still_open = self._write(_OPEN_RUNS, repaired.where("finished_at IS NULL"))
+        self._insert("migration_run", repaired.where("finished_at IS NOT NULL"))
+        self._point(_OPEN_RUNS, still_open)
+
+    def apply_products(self, requests: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+        """Get or create products, store the new ones, and return the answers."""
+        answer = changes.get_or_create_products(requests, self.read("product"), now)
+        self.append("product", answer.new_rows)
+        return answer.results
+
+    def apply_versions(self, requests: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+        """Get or create versions, store the new ones, and return the answers."""
+        answer = changes.get_or_create_versions(requests, self.read("migrator_version"), now, self.tool)
+        self.append("migrator_version", answer.new_rows)
+        return answer.results
+
+    def apply_runs(self, requests: DataFrame, now: dt.datetime | None = None, fix: str | None = None) -> DataFrame:
+        """Admit run requests, repair and store runs, and return the answers."""
+        answer = changes.admit_runs(
+            requests, self.read("migration_run"), self.read("product"), self.read("migrator_version"), now, fix
+        )
+        if fix:
+            self.repair_runs(answer.repair_keys, now)
+        self.append("migration_run", answer.new_runs)
+        return answer.results
+
+    def vacuum(self) -> None:
+        """Delete the folders that no table points to any more; no query may still read them."""
+        for row in self.catalog().collect():
+            full = f"`{self.schema}`.`{row.table_name}`"
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Location'")
+            current = described.first().data_type.rstrip("/").rsplit("/", 1)[-1]
+            for folder in subfolders(self.spark, f"{self.location}/{row.table_name.removeprefix(self.prefix)}"):
+                if folder.rstrip("/").rsplit("/", 1)[-1] != current:
+                    remove_folder(self.spark, folder)
+
+    def drop(self) -> None:
+        """Remove the schema, its tables and their files."""
+        self.spark.sql(f"DROP SCHEMA IF EXISTS `{self.schema}` CASCADE")
+        remove_folder(self.spark, self.location)
 
     def catalog(self) -> DataFrame:
         """The tables of the schema, as ``schema_name`` and ``table_name``."""
@@ -112,11 +193,11 @@ class Repository:
                 f"1,{self.tool} repository-tables with master data and new VersionId [1]"
                 " successfully created"
             )
-        answer = get_or_create_versions(request, self.read("migrator_version"), now, self.tool)
+        answer = changes.get_or_create_versions(request, self.read("migrator_version"), now, self.tool)
+        if not answer.new_rows.isEmpty():
+            self.append("migrator_version", answer.new_rows)
         line = format_envelope(F.col("result_code"), F.col("message"))
-        result = answer.results.select(line.alias("line")).first()
-        self.append("migrator_version", answer.new_rows)
-        return result.line
+        return answer.results.select(line.alias("line")).first().line
 
     def check_create_log(self) -> str:
         """Create the log tables if absent; envelope code 1 if created, 0 if present."""
@@ -131,9 +212,9 @@ class Repository:
     def _create(self, tables: tuple[str, ...]) -> None:
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{self.schema}` LOCATION '{self.location}'")
         for table in tables:
-            self.spark.sql(
-                f"CREATE TABLE {self.name(table)} ({ddl(table)}) USING PARQUET"
-                f" LOCATION '{self._folder(table)}'"
-            )
+            for name in (table, _OPEN_RUNS) if table == "migration_run" else (table,):
+                self.spark.sql(
+                    f"CREATE TABLE {self.name(name)} ({ddl(table)}) USING PARQUET LOCATION '{self._folder(name)}'"
+                )
             if table in master_rows():
                 self.append(table, dimension(self.spark, table, self.tool).coalesce(1))

@@ -29,6 +29,10 @@ def version_table(spark, rows):
     return spark.createDataFrame([(*row, EARLY) for row in rows], struct_type("migrator_version"))
 
 
+def one_version(spark):
+    return version_table(spark, [(1, "v", "Spark", "b")])
+
+
 def run_table(spark, rows):
     """Rows of (id, key, finished)."""
     data = [
@@ -85,12 +89,20 @@ class TestProducts:
         assert got[3].id == 5
         assert [r.name for r in answer.new_rows.collect()] == ["abc"]
 
-    def test_name_stored_twice_has_no_answer(self, spark):
+    def test_name_stored_twice_is_an_error(self, spark):
         stored = product_table(spark, [(1, "A"), (2, "A")])
         answer = changes.get_or_create_products(names(spark, [(1, "A", None)]), stored, NOW)
-        assert answer.results.first()[1:] == (None, None, None)
+        assert answer.results.first()[1:] == (-1, "Multiple [Product]-entries found for Product [A].", None)
         assert answer.new_rows.count() == 0
 
+    def test_too_long_texts_are_refused(self, spark):
+        rows = [(1, "n" * 101, None), (2, "ok", "d" * 1001), (3, "n" * 100 + "  ", None), (4, "ok", None)]
+        answer = changes.get_or_create_products(names(spark, rows), product_table(spark, []), NOW)
+        got = {r.request_id: (r.result_code, r.message) for r in answer.results.collect()}
+        assert got[1] == (-1, "Product with too long [name] is not allowed!")
+        assert got[2] == (-1, "Product with too long [description] is not allowed!")
+        assert got[3][0] > 0 and "successfully created" in got[4][1]
+
     def test_empty_tables(self, spark):
         nothing = product_table(spark, [])
         assert changes.get_or_create_products(names(spark, []), nothing).results.count() == 0
@@ -202,7 +214,9 @@ class TestAdmission:
                 (5, (1, None, 100), 0, None),
             ],
         )
-        answer = changes.admit_runs(requests, runs, product_table(spark, [(1, "Shop")]), NOW)
+        # A product stored twice gives one answer.
+        products = product_table(spark, [(1, "Shop"), (1, "Shop")])
+        answer = changes.admit_runs(requests, runs, products, one_version(spark), NOW)
         got = {r.request_id: r for r in answer.results.collect()}
         text = (
             "MigrationRun for Product [{}] with Id [{}] is currently in progress. Parallel migrations"
@@ -210,9 +224,12 @@ class TestAdmission:
         )
         assert (got[1].result_code, got[1].message) == (-1, text.format("Shop", 1))
         assert (got[2].result_code, got[2].message) == (-1, text.format("Shop", 1))
-        assert (got[4].result_code, got[4].message) == (-1, text.format("NULL", 9))
+        assert (got[4].result_code, got[4].message) == (
+            -1, "MigrationRun with unknown [product_id] is not allowed!"
+        )
+        assert len(got) == answer.results.count() == 5
         assert got[5].message == "MigrationRun without [environment] is not allowed!"
-        assert 42 <= got[3].id <= 46
+        assert got[3].id == 42
         assert got[3].message == (
             f"MigrationRun with Id [{got[3].id}] successfully created for ProductId [1]"
         )
@@ -223,12 +240,43 @@ class TestAdmission:
 
     def test_empty_ledger_and_no_requests(self, spark):
         runs, products = run_table(spark, []), product_table(spark, [])
-        nothing = changes.admit_runs(request_table(spark, []), runs, products, NOW)
+        nothing = changes.admit_runs(request_table(spark, []), runs, products, version_table(spark, []), NOW)
         assert nothing.results.count() == nothing.runs.count() == 0
-        one = changes.admit_runs(
-            request_table(spark, [(7, (1, "DEV", 100), 0, False)]), runs, products, NOW, "fix"
-        )
+        request = request_table(spark, [(7, (1, "DEV", 100), 0, False)])
+        products = product_table(spark, [(1, "Shop")])
+        one = changes.admit_runs(request, runs, products, one_version(spark), NOW, "fix")
         assert one.results.first().result_code == 1
+        none = changes.admit_runs(request, runs, products, version_table(spark, []), NOW, "fix")
+        assert none.results.first().message == "MigrationRun with unknown [migrator_version_id] is not allowed!"
+
+    def test_refused_requests_do_not_hold_their_key(self, spark):
+        """What the foreign keys and lengths of the run table keep out."""
+        key, long = (1, "DEV", 100), (1, "e" * 101, 100)
+        rows = [(1, (1, "DEV", 55), 0, None), (2, long, 0, None), (3, key, 1, None), (4, key, 2, None)]
+        good = request_table(spark, rows)
+        first = good.where("request_id = 3")
+        early = first.withColumn("requested_at", F.lit(EARLY).cast("timestamp_ntz"))
+        bad = [
+            early.withColumn("request_id", F.lit(n)).withColumn(c, F.lit(v).cast(t))
+            for n, c, v, t in [
+                (10, "migration_result_id", 12, "smallint"), (11, "migrator_version_id", 777, "bigint"),
+                (12, "from_release_version", "r" * 101, "string"), (13, "migration_result_id", None, "smallint"),
+            ]
+        ]
+        requests = good
+        for more in bad:
+            requests = requests.unionByName(more)
+        answer = changes.admit_runs(requests, run_table(spark, []), product_table(spark, [(1, "S")]), one_version(spark), NOW)
+        got = {r.request_id: r.message for r in answer.results.collect()}
+        text = "MigrationRun {} is not allowed!"
+        assert got[1] == text.format("with unknown [migration_run_mode_id]")
+        assert got[2] == text.format("with too long [environment]")
+        assert got[10] == text.format("with unknown [migration_result_id]")
+        assert got[11] == text.format("with unknown [migrator_version_id]")
+        assert got[12] == text.format("with too long [from_release_version]")
+        assert got[13] == text.format("without [migration_result_id]")
+        assert "successfully created" in got[3] and "in progress" in got[4]
+        assert [r.id for r in answer.new_runs.collect()] == [1]
 
     @pytest.mark.parametrize("seed", range(6))
     @pytest.mark.parametrize("with_fix", [True, False])
@@ -249,7 +297,8 @@ class TestAdmission:
         answer = changes.admit_runs(
             request_table(spark, requests),
             run_table(spark, runs),
-            product_table(spark, [(1, "one"), (2, "two")]),
+            product_table(spark, [(i, f"p{i}") for i in range(1, 5)]),
+            one_version(spark),
             NOW,
             "fix" if with_fix else None,
         )

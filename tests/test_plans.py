@@ -11,8 +11,9 @@ import __spark_entry__ as entry
 from ledgerloom.operators import changes, ids
 from ledgerloom.operators.ids import assign_ids, next_id_base, running_sums
 from ledgerloom.plans.queries import QUERIES
-from ledgerloom.plans.session import shuffle_partitions
+from ledgerloom.plans.session import build_session, shuffle_partitions
 from ledgerloom.plans.storage import ensure_checkpoint_dir, new_folder
+from ledgerloom.sources.fixtures import view
 from ledgerloom.sources.tables import struct_type
 
 SF = "/root/testdata/sf0.001"
@@ -100,7 +101,7 @@ SKEW = {
 }
 
 
-def test_hot_name_is_split(spark, conf):
+def test_hot_name_is_split(spark, conf, monkeypatch):
     """One name holds a third of the requests: AQE splits its partition and no row is lost."""
     conf(SKEW)
     requests = spark.range(0, 60_000, 1, 16).selectExpr(
@@ -109,6 +110,8 @@ def test_hot_name_is_split(spark, conf):
         "'x' AS description",
     )
     products = spark.createDataFrame([], struct_type("product"))
+    # The outcome as a plan instead of a stored table.
+    monkeypatch.setattr(changes, "stored", lambda df, name: df)
     results = changes.get_or_create_products(requests, products).results
     rows = results.collect()
     assert len(rows) == 60_000
@@ -142,3 +145,32 @@ def test_storage_follows_the_session(spark):
 def test_shuffle_partitions():
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(100 * 10**12, 4000) == 745_059
+
+
+def test_session_sized_for_its_input(spark, conf):
+    conf({"spark.sql.shuffle.partitions": "4"})
+    assert build_session(input_bytes=64 * 128 * 1024 * 1024) is spark
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+
+
+def test_request_table_is_read_twice(spark, conf, tmp_path):
+    """The narrow columns once to decide, the whole rows once to make new runs."""
+    conf({"spark.sql.maxMetadataStringLength": "2000"})
+    requests = view(spark, SF, "run_request")
+    path = str(tmp_path / "requests")
+    requests.write.parquet(path)
+    counted = spark.read.parquet(path)
+    reads = []
+    real = changes.stored
+
+    def stored(df, name):
+        reads.append(df._jdf.queryExecution().executedPlan().toString().count(path))
+        return real(df, name)
+
+    try:
+        changes.stored = stored
+        tables = [view(spark, SF, t) for t in ("migration_run", "product", "migrator_version")]
+        changes.admit_runs(counted, *tables, fix="fix")
+    finally:
+        changes.stored = real
+    assert sum(reads) == 2

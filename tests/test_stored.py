@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import changes
 from ledgerloom.operators.select import state_select
+from ledgerloom.plans.storage import subfolders
 from ledgerloom.sources import log
 from ledgerloom.sources.fixtures import view
 from ledgerloom.sources.repository import Repository
@@ -119,6 +120,59 @@ class TestRepository:
             "-1,Tool repository incomplete or corrupt. Repository contains [9] tables instead of [10]."
         )
 
+    def test_answers_stay_as_they_are(self, spark, repo):
+        """Before and after the new rows are stored; also for runs, with and without repair."""
+        repo.check_create("1.0", "Spark", NOW)
+        names = spark.createDataFrame([(1, "A", None), (2, "A", None)], "request_id int, name string, description string")
+        answer = changes.get_or_create_products(names, repo.read("product"), NOW)
+        before = sorted(answer.results.collect())
+        repo.append("product", answer.new_rows)
+        assert sorted(answer.results.collect()) == before and answer.new_rows.count() == 1
+        assert [r.message.rsplit(" ", 1)[1] for r in before] == ["created", "found"]
+        keys = spark.createDataFrame([(1, "v", "Spark", "b")], "request_id int, repository_version string, repository_database_type string, created_by_version string")
+        versions = changes.get_or_create_versions(keys, repo.read("migrator_version"), NOW)
+        before = versions.results.collect()
+        repo.append("migrator_version", versions.new_rows)
+        assert versions.results.collect() == before
+        columns = "request_id bigint, requested_at timestamp_ntz, product_id bigint, environment string, migration_run_mode_id smallint, migrator_version_id bigint, migration_result_id smallint, from_release_version string, to_release_version string, fix boolean"
+        asked = [(i, at(i), 1, "DEV", 100, 1, 10, None, None, False) for i in (1, 2)]
+        requests = spark.createDataFrame(asked, columns)
+        runs = changes.admit_runs(requests, repo.read("migration_run"), repo.read("product"), repo.read("migrator_version"), NOW)
+        before = sorted(runs.results.collect())
+        repo.append("migration_run", runs.new_runs)
+        assert sorted(runs.results.collect()) == before and [r.result_code for r in before] == [1, -1]
+        fixed = repo.apply_runs(requests.withColumn("fix", F.lit(True)), NOW, "fix")
+        got = sorted(fixed.collect())
+        stored = {r.id: r for r in repo.read("migration_run").collect()}
+        assert {r.id for r in got} == {2, 3} and set(stored) == {1, 2, 3}
+        assert [stored[i].finished_at is None for i in (1, 2, 3)].count(True) == 1
+
+    def test_repair_leaves_finished_runs_alone(self, spark, repo):
+        repo.check_create("1.0", "Spark", NOW)
+        repo.replace("migration_run", view(spark, "/root/testdata/sf0.001", "migration_run"))
+        finished = spark.table(repo.name("migration_run"))
+        files = set(finished.inputFiles())
+        n_open, n = spark.table(repo.name("migration_run_open")).count(), repo.read("migration_run").count()
+        keys = view(spark, "/root/testdata/sf0.001", "run_request").where("fix")
+        expected = changes.repair_runs(repo.read("migration_run"), keys, NOW).where("finished_at IS NULL").count()
+        repo.repair_runs(keys, NOW)
+        left = spark.table(repo.name("migration_run_open")).count()
+        assert left == expected < n_open and repo.read("migration_run").count() == n
+        assert files <= set(spark.table(repo.name("migration_run")).inputFiles())
+        repo.vacuum()
+        assert repo.read("migration_run").count() == n
+        assert len(subfolders(spark, f"{repo.location}/migration_run_open")) == 1
+        repo.drop()
+        assert subfolders(spark, repo.location) == [] and not repo.exists("product")
+
+    def test_nothing_is_written_for_a_known_version(self, spark, repo):
+        repo.check_create("1.0", "Spark", NOW)
+        files = repo.read("migrator_version").inputFiles()
+        for _ in range(2):
+            repo.check_create("1.0", "Spark", NOW)
+        spark.catalog.refreshTable(repo.name("migrator_version"))
+        assert repo.read("migrator_version").inputFiles() == files
+
     def test_replaced_table_is_laid_out_for_lookups(self, spark, conf, repo):
         conf({"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "6"})
         repo.check_create("1.0", "Spark", NOW)

@@ -117,3 +117,18 @@ def test_envelopes(spark):
         (None, None, None, None),
     ]
     assert df.select(format_envelope(F.lit(3), F.lit("a, b"))).first()[0] == "3,a, b"
+
+
+def test_binding_loses_nothing(spark):
+    """Digits and zones that a type can't keep are refused, sizes and nullable marks are known."""
+    cases = [
+        ("decimal", "0.123456789012345", False), ("decimal", "1234567890123456789012345678.0123456789", True),
+        ("decimal", "0001.50", True), ("decimal", ".", False), ("decimal(4,2)", "99.99", True),
+        ("decimal(4,2)", "100", False), ("decimal(4,2)", "1.001", False), ("decimal(4,2)?", "1.10", True),
+        ("DateTime", "2020-01-01T10:00:00+05:00", False), ("DateTime", "2020-01-01 10:00:00Z", False),
+        ("DateTime", "2020-01-01 10:00:00.123456", True), ("int?", None, True), ("int?", "1", True),
+    ]
+    rows = [(i, "@p", t, v) for i, (t, v, _) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "request_id int, name string, type_name string, value string")
+    got = {r.request_id: r.status for r in bind_parameters(df).collect()}
+    assert got == {i: "ok" if fits else "bad value" for i, (_, _, fits) in enumerate(cases)}
