@@ -24,8 +24,9 @@ SWITCH_PENALTY = 12.0
 SCRIPT_SHARE = 0.01
 
 _IMPOSSIBLE = -1e4
-# Characters scored at once.
-_CHARS_AT_ONCE = 1 << 21
+# Characters scored at once, and characters of texts that go through Viterbi together.
+_CHARS_AT_ONCE = 1 << 20
+_CHARS_TOGETHER = 1 << 23
 
 # First and last code point of the main ranges of scripts.
 SCRIPTS = {
@@ -97,7 +98,8 @@ def words_of(texts: list[str]) -> Words:
     first = np.flatnonzero(new)
     at = places[first]
     doc = np.searchsorted(offsets, at, "right") - 1
-    return Words(doc, at - offsets[doc], places[last] + 1 - offsets[doc], kind[at] - 1, first, triples)
+    start, end = (at - offsets[doc]).astype(np.int32), (places[last] + 1 - offsets[doc]).astype(np.int32)
+    return Words(doc.astype(np.int32), start, end, kind[at] - 1, first, triples)
 
 
 @functools.cache
@@ -110,11 +112,11 @@ def _lower() -> np.ndarray:
     return codes
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts of about ``_CHARS_AT_ONCE`` characters, with the number of the first."""
+def _chunks(texts: list[str], most: int) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of about ``most`` characters, with the number of the first."""
     start = size = 0
     for i, text in enumerate(texts):
-        if size and size + len(text) > _CHARS_AT_ONCE:
+        if size and size + len(text) > most:
             yield start, texts[start:i]
             start, size = i, 0
         size += len(text)
@@ -171,18 +173,22 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
 
 def predict(model: Model, texts: list[str], penalty: float = SWITCH_PENALTY) -> list[tuple[str, float, list]]:
     """(language, share of its letters, spans) per text; a span is (start, end, language)."""
+    return [found for _, some in _chunks(texts, _CHARS_TOGETHER) for found in _predict(model, some, penalty)]
+
+
+def _predict(model: Model, texts: list[str], penalty: float) -> list[tuple[str, float, list]]:
     found: list[tuple[str, float, list]] = [(UNKNOWN, 0.0, [])] * len(texts)
     parts = []
-    for first, chunk in _chunks(texts):
+    for first, chunk in _chunks(texts, _CHARS_AT_ONCE):
         words = words_of(chunk)
-        parts.append((words.doc + first, words.start, words.end, model.word_scores(words)))
+        parts.append((words.doc + np.int32(first), words.start, words.end, model.word_scores(words)))
     if not parts or not model.languages:
         return found
     doc, start, end, scores = (np.concatenate(p) for p in zip(*parts))
     sizes = np.bincount(doc, minlength=len(texts))
     labels = viterbi(scores, sizes, penalty)
     n = len(model.languages)
-    letters = np.bincount(doc * n + labels, end - start, len(texts) * n).reshape(-1, n)
+    letters = np.bincount(doc.astype(np.int64) * n + labels, end - start, len(texts) * n).reshape(-1, n)
     change = np.ones(len(doc), bool)
     change[1:] = (doc[1:] != doc[:-1]) | (labels[1:] != labels[:-1])
     begins = np.flatnonzero(change)
@@ -202,7 +208,7 @@ def _counted(sample: DataFrame) -> DataFrame:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                for _, chunk in _chunks(texts.tolist()):
+                for _, chunk in _chunks(texts.tolist(), _CHARS_AT_ONCE):
                     words = words_of(chunk)
                     lengths = np.diff(np.append(words.first, len(words.triples)))
                     counts = np.bincount(words.triples, minlength=BUCKETS)
