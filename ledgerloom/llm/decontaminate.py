@@ -17,8 +17,8 @@ GRAM = 5
 _PLACE_BITS = 26
 _PLACES = 1 << _PLACE_BITS
 
-# Rows of the benchmark side, of about 100 bytes each, up to which it is sent to all executors.
-BROADCAST_ROWS = 100_000
+# Bytes of a table of the benchmark side up to which it is sent to all executors.
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def words_of(text: Column) -> Column:
@@ -66,6 +66,7 @@ def fingerprints(words: Column, width: int) -> Column:
 
 def _prints(words: Column, widths: list[int]) -> Column:
     """(width, hash, place) of all fingerprints for all widths."""
+
     def split(width: int) -> Column:
         return F.transform(
             fingerprints(words, width),
@@ -81,8 +82,9 @@ def _prints(words: Column, widths: list[int]) -> Column:
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """A stored table, marked for broadcast if it is counted to be small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """A stored table, marked for broadcast if its rows were measured to be small."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def _covered(spans: Column) -> Column:

@@ -47,7 +47,7 @@ def run(spark, docs, items, window=10):
 def test_random_texts(spark, monkeypatch, window, broadcast):
     """Few different words, so passages overlap, repeat and are in many items; short items too."""
     if not broadcast:
-        monkeypatch.setattr(D, "BROADCAST_ROWS", -1)
+        monkeypatch.setattr(D, "BROADCAST_BYTES", -1)
     random.seed(window)
     draw = lambda n: " ".join(random.choice(["a", "B", "c", "\u00e9"]) for _ in range(n))
     items = [(i, draw(random.choice([12, 15, 20, 9, 7]))) for i in range(30)] + [(None, draw(11)), (40, None), (41, "!")]
