@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.storage import new_folder
+from ledgerloom.plans.storage import stored as stored
 
 # Words are runs of anything but the six ASCII white-space characters.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
@@ -25,13 +25,6 @@ def lower_ascii(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to and read from the shared folder: computed once, safe from lost executors."""
-    folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

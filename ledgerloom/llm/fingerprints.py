@@ -110,6 +110,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         F.col(id_col).alias("doc_id"), row_key(F.col(id_col), text).alias("_key"), text.alias("text")
     )
     narrow = whole.select("doc_id", "_key", F.char_length("text").alias("n_chars")).distinct()
+    narrow = stored(narrow, "lengths")  # ordering looks at its input twice
     ranked = stored(
         running_sums(narrow, [F.col("doc_id").desc_nulls_last(), "_key"], {"_rank": F.lit(1)}), "ranked"
     )

@@ -81,6 +81,8 @@ def mix(
         F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("|" + seed))).alias("_turn"),
         word_count(F.col(text_col)).alias("size"),
     )
+    # Stored, for ordering looks at its input twice.
+    narrow = stored(narrow, "sizes")
     source = ["_no_source", "_source"]
     queue = [*source, "_turn", "doc_id", "size"]
     rows = running_sums(narrow, queue, {"_before": F.col("size"), "_row": F.lit(1)})
