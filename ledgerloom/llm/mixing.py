@@ -36,19 +36,18 @@ def source_targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFr
         [most / F.col("weight"), "source_rank"],
         {"_full": most, "_spent": F.col("weight").cast("bigint")},
     )
-    sums = sources.agg(
-        F.sum("source_size").cast("bigint").alias("_total"), F.sum("weight").cast("bigint").alias("_weights")
-    )
-    left, weights = F.col("_total") - F.col("_full"), F.col("_weights") - F.col("_spent")
-    reached = left * F.col("weight") <= most * weights
-    levels = ordered.crossJoin(F.broadcast(sums)).where(reached)  # one row on the right
-    level = levels.agg(F.min_by(left / weights, F.struct(most / F.col("weight"), "source_rank")).alias("_level"))
-    share = F.col("_level") * F.col("weight")
-    return (
-        sources.crossJoin(F.broadcast(level))  # one row on the right
-        .withColumn("target", F.least(most.cast("double"), share))
-        .drop("_level")
+    total = sources.agg(F.sum("source_size").cast("bigint")).scalar()
+    all_weights = sources.agg(F.sum("weight").cast("bigint")).scalar()
+    left, weights = total - F.col("_full"), all_weights - F.col("_spent")
+    first_open = F.min_by(F.col("_level"), F.struct(most / F.col("weight"), "source_rank"))
+    level = (
+        ordered.withColumns({"_left": left, "_weights": weights})
+        .where(F.col("_left") * F.col("weight") <= most * F.col("_weights"))
+        .withColumn("_level", F.col("_left") / F.col("_weights"))
+        .agg(first_open)
+        .scalar()
     )
+    return sources.withColumn("target", F.least(most.cast("double"), level * F.col("weight")))
 
 
 def mix(

@@ -430,7 +430,7 @@ def without_repeats(
     when called.
     """
     ship_package(docs.sparkSession)
-    text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     whole = docs.select(
         F.col(id_col).alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("_key"), text.alias("text")
     )
