@@ -297,7 +297,7 @@ def identify(
 
 
 def accepted(
-    docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.5, penalty: float = SWITCH_PENALTY
+    docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.3, penalty: float = SWITCH_PENALTY
 ) -> DataFrame:
     """The documents with a language that at least ``least_score`` of their letters are in.
 
