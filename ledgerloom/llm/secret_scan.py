@@ -132,13 +132,19 @@ def unfolded(data: bytes, limit: int = MAX_UNFOLDED) -> tuple[bytes, bool] | Non
     return (out, bool(reader.unconsumed_tail)) if out else None
 
 
-def _readable(data: bytes) -> str | None:
-    """The data as text, if it can be one: UTF-8 without control characters but white space."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text.isprintable() or all(c.isprintable() or c in "\t\n\r\x0b\x0c" for c in text) else None
+# ASCII characters in turn with zero bytes. The shortest secret of the patterns has twelve characters.
+_WIDE = re.compile(r"(?:[\x01-\x7f]\x00){8}")
+
+
+def _texts(text: str) -> Iterator[str]:
+    """What bytes, given as Latin-1, may say: the patterns are ASCII, so Latin-1 loses nothing that
+    UTF-8 or another such code has; UTF-16 is read in both byte orders from even and odd places."""
+    yield text
+    if _WIDE.search(text):
+        data = text.encode("latin-1")
+        for start in (0, 1):
+            for code in ("utf-16-le", "utf-16-be"):
+                yield data[start:].decode(code, "replace")
 
 
 def _base64(run: str) -> bytes | None:
@@ -177,9 +183,8 @@ def layers(text: str, limit: int = MAX_UNFOLDED) -> Iterator[tuple[Layer, bool]]
             cut = False
             while (inner := unfolded(data, limit)) is not None:
                 data, cut = inner[0], cut or inner[1]
-            if (readable := _readable(data)) is not None:
-                start, end = m.span() if layer.starts is None else layer.origin(*m.span())
-                new.append((Layer(readable, start, end), cut))
+            start, end = m.span() if layer.starts is None else layer.origin(*m.span())
+            new += [(Layer(t, start, end), cut) for t in _texts(data.decode("latin-1"))]
         for found, cut in new:
             place = (found.starts, found.ends) if isinstance(found.starts, int) else None
             mark = (place, hashlib.sha256(found.text.encode("utf-8", "surrogatepass")).digest())

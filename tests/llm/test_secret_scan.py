@@ -69,6 +69,23 @@ def test_layers(inner, outer):
     assert set(plain) <= set(every) and cut == 0
 
 
+ODD = ["\u00a0", "\u3000", "\u200b", "\ufeff", "\x1b", "\x00", "\u4f60"]
+
+
+@pytest.mark.parametrize("code", ["utf-8", "utf-16", "utf-16-le", "utf-16-be"])
+def test_layers_with_odd_characters(code):
+    """Characters that are not printable and other codes do not hide what stands beside them."""
+    for odd in ODD:
+        data = f"{odd} see {odd}{SECRET}{odd} there".encode(code)
+        for packed in (data, b"\xff" + data, gzip.compress(data), zlib.compress(data)):
+            run = base64.b64encode(packed).decode()
+            assert ("assign", 2, 2 + len(run)) in S.scan(f"x {run} y")[1], (odd, code)
+    latin = base64.b64encode(f"caf\xe9 {SECRET}".encode("latin-1")).decode()
+    assert S.scan(latin)[1] == [("assign", 0, len(latin))]
+    twice = base64.b64encode(base64.b64encode(SECRET.encode()).decode().encode(code)).decode()
+    assert [s[0] for s in S.scan(twice)[1]] == ["assign"]
+
+
 def test_exact_place_in_escapes():
     text = "x %70assword%3Dsecret99 y"
     spans = S.scan(text)[1]
