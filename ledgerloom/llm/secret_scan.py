@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import binascii
+import contextlib
 import hashlib
 import html
+import itertools
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -27,8 +29,8 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
-# Bytes one compressed layer may unfold to; a larger one is read up to there and counted as cut.
-MAX_UNFOLDED = 64 * 1024 * 1024
+# Bytes of a layer that are decoded and scanned at a time.
+CHUNK = 4 * 1024 * 1024
 
 Span = tuple[str, int, int]
 
@@ -116,20 +118,120 @@ def _unicode(run: str) -> str | None:
     return new if new != run else None
 
 
-def unfolded(data: bytes, limit: int = MAX_UNFOLDED) -> tuple[bytes, bool] | None:
-    """Content of gzip or zlib data and whether it was cut; nothing if it is neither."""
+Source = Callable[[], Iterator[bytes]]
+
+
+def _packed(data: bytes) -> int | None:
+    """Window bits for zlib if the data begins as gzip or zlib do."""
     if data[:2] == b"\x1f\x8b":
-        kind = 31
-    elif len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-        kind = 15
-    else:
-        return None
-    reader = zlib.decompressobj(kind)
-    try:
-        out = reader.decompress(data, limit)
-    except zlib.error:
-        return None
-    return (out, bool(reader.unconsumed_tail)) if out else None
+        return 31
+    if len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
+        return 15
+    return None
+
+
+def _before_damage(reader, data: bytes) -> Iterator[bytes]:
+    """What a reader makes of damaged data before the damage: by blocks, then by single bytes."""
+    for step in (4096, 1):
+        for i in range(0, len(data), step):
+            before = reader.copy()
+            try:
+                out = reader.decompress(data[i : i + step])
+            except zlib.error:
+                reader, data = before, data[i : i + step]
+                break
+            if out:
+                yield out
+    with contextlib.suppress(zlib.error):
+        while out := reader.decompress(data, 1):
+            yield out
+            data = reader.unconsumed_tail
+
+
+def _members(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """Content of gzip and zlib members one after another, in chunks, up to where it is damaged."""
+    reader, rest = None, b""
+    for chunk in chunks:
+        rest += chunk
+        while rest or reader:
+            if reader is None:
+                if len(rest) < 3:
+                    break
+                if (bits := _packed(rest)) is None:
+                    return
+                reader = zlib.decompressobj(bits)
+            before = reader.copy()
+            try:
+                out = reader.decompress(rest, CHUNK)
+            except zlib.error:
+                yield from _before_damage(before, rest)
+                return
+            if out:
+                yield out
+            if reader.eof:
+                rest, reader = reader.unused_data.lstrip(b"\0"), None  # zero bytes may fill up
+            else:
+                rest = reader.unconsumed_tail
+                if not rest and len(out) < CHUNK:
+                    break
+
+
+def _unfolded(chunks: Iterator[bytes], limit: int | None, on_cut: Callable[[], None]) -> Iterator[bytes]:
+    """The members, with a limit only so many bytes of them; ``on_cut`` is called if there are more."""
+    left = limit
+    for out in _members(chunks):
+        if left is None:
+            yield out
+            continue
+        if left < len(out):
+            on_cut()
+            if left:
+                yield out[:left]
+            return
+        left -= len(out)
+        yield out
+
+
+def _levels(source: Source, limit: int | None, on_cut: Callable[[int], None]) -> Iterator[Source]:
+    """The data, and what it unfolds to as long as that is gzip or zlib data again."""
+
+    def inside(outer: Source, level: int) -> Source:
+        return lambda: _unfolded(outer(), limit, lambda: on_cut(level))
+
+    for level in itertools.count(1):
+        yield source
+        head = b""
+        for chunk in source():
+            head += chunk
+            if len(head) > 2:
+                break
+        if _packed(head) is None or next(_unfolded(source(), limit, lambda: None), None) is None:
+            return
+        source = inside(source, level)
+
+
+# The end of the last place that no match, encoded run or wrapped line goes across: a character
+# that none of them has, also not as half of UTF-16; a blank after what ends no name, mark or escape
+# of _ASSIGN; an empty line; three zero bytes.
+_APART = re.compile(r"""(?s:.*)(?:[^A-Za-z0-9+/_.=\-"' :%\\{}&#;\r\n\t\x00]|[G-MO-SU-XZg-mo-su-xz]\x20|\n\n|\x00{3})""")
+
+
+def _pieces(source: Source) -> Iterator[str]:
+    """The data as Latin-1, in pieces of about a chunk between which no match or run is cut.
+
+    What stays open at the end of a chunk goes into the next piece, however long it is.
+    """
+    parts: list[str] = []
+    for chunk in source():
+        if parts and (m := _APART.match(parts[-1])):
+            last = parts.pop()
+            yield "".join([*parts, last[: m.end()]])
+            parts = [last[m.end() :]]
+        text = chunk.decode("latin-1")
+        # Any number of blanks is as good as one in the patterns.
+        parts.append(re.sub("\x20{2,}", "\x20", text) if len(chunk) >= CHUNK else text)
+    if parts:
+        yield "".join(parts)
 
 
 # ASCII characters in turn with zero bytes. The shortest secret of the patterns has twelve characters.
@@ -159,54 +261,69 @@ def _base64(run: str) -> bytes | None:
         return None
 
 
-def layers(text: str, limit: int = MAX_UNFOLDED) -> Iterator[tuple[Layer, bool]]:
-    """All layers under a text and whether each was cut, without the text itself.
+def layers(text: str, limit: int | None = None, cuts: set | None = None) -> Iterator[tuple[Layer, bool]]:
+    """All layers under a text and whether any was cut so far, without the text itself.
 
-    A worklist: each layer is unwrapped in every way, and each new one goes on the list until
-    none is left. A layer whose text and place were seen before is not taken again.
+    Each layer is unwrapped in every way, and each new one likewise, until none is left; the inner
+    ones come first, so that of each depth one piece of about ``CHUNK`` bytes is held. A layer
+    whose text and place were seen before is not taken again. Places that ``limit`` cut are
+    added to ``cuts``.
     """
-    todo = [Layer(text, None, None)]
-    seen = set()
-    while todo:
-        layer = todo.pop()
+    cuts = set() if cuts is None else cuts
+    seen, runs = set(), itertools.count()
+
+    def is_new(layer: Layer) -> bool:
+        place = (layer.starts, layer.ends) if isinstance(layer.starts, int) else None
+        mark = (place, hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest())
+        new = mark not in seen
+        seen.add(mark)
+        return new
+
+    def under(layer: Layer) -> Iterator[Layer]:
         if layer.starts is None and ("%" in text or "\\" in text or "&#" in text or "U+" in text):
             if _URL.search(text) or _UNICODE.search(text):
                 layer = Layer(text, list(range(len(text))), list(range(1, len(text) + 1)))
-        new: list[tuple[Layer, bool]] = []
         for pattern, decode in ((_URL, _url), (_UNICODE, _unicode)):
-            if layer.starts is not None and (found := _replaced(layer, pattern, decode)):
-                new.append((found, False))
+            if layer.starts is not None and (found := _replaced(layer, pattern, decode)) and is_new(found):
+                yield found
         for m in _BASE64.finditer(layer.text):
             data = _base64(m[0])
             if data is None:
                 continue
-            cut = False
-            while (inner := unfolded(data, limit)) is not None:
-                data, cut = inner[0], cut or inner[1]
             start, end = m.span() if layer.starts is None else layer.origin(*m.span())
-            new += [(Layer(t, start, end), cut) for t in _texts(data.decode("latin-1"))]
-        for found, cut in new:
-            place = (found.starts, found.ends) if isinstance(found.starts, int) else None
-            mark = (place, hashlib.sha256(found.text.encode("utf-8", "surrogatepass")).digest())
-            if mark not in seen:
-                seen.add(mark)
-                todo.append(found)
-                yield found, cut
+            blocks = lambda d=data: (d[i : i + CHUNK] for i in range(0, len(d), CHUNK))
+            for source in _levels(blocks, limit, lambda level, run=next(runs): cuts.add((run, level))):
+                any_new = False
+                for piece in _pieces(source):
+                    for found in (Layer(t, start, end) for t in _texts(piece)):
+                        if is_new(found):
+                            any_new = True
+                            yield found
+                if not any_new:  # as in data that unfolds to itself
+                    break
+
+    todo = [under(Layer(text, None, None))]
+    while todo:
+        layer = next(todo[-1], None)
+        if layer is None:
+            todo.pop()
+            continue
+        yield layer, bool(cuts)
+        todo.append(under(layer))
 
 
-def scan(text: str | None, limit: int = MAX_UNFOLDED) -> tuple[list[Span], list[Span], int]:
+def scan(text: str | None, limit: int | None = None) -> tuple[list[Span], list[Span], int]:
     """Plain spans, all spans with those of the layers, and the number of layers that were cut."""
     text = text or ""
     plain = base_spans(text)
-    every, n_cut = set(plain), 0
-    for layer, cut in layers(text, limit):
-        n_cut += cut
+    every, cuts = set(plain), set()
+    for layer, _ in layers(text, limit, cuts):
         every.update((kind, *layer.origin(a, b)) for kind, a, b in base_spans(layer.text))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
-    return sorted(plain, key=order), sorted(every, key=order), n_cut
+    return sorted(plain, key=order), sorted(every, key=order), len(cuts)
 
 
-def _found(text: Column, limit: int) -> Column:
+def _found(text: Column, limit: int | None) -> Column:
     spans = "array<struct<kind:string,start:int,end:int>>"
 
     @F.pandas_udf(f"plain {spans}, every {spans}, n_cut int")
@@ -226,15 +343,15 @@ def _found(text: Column, limit: int) -> Column:
 
 
 def find_secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_unfolded: int = MAX_UNFOLDED
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_unfolded: int | None = None
 ) -> DataFrame:
     """Secrets of each document as spans (kind, start, end) in code points.
 
     ``plain`` has the matches in the text itself; ``spans`` also those in its decoded layers, with
     the place of the outermost encoded run. Unwrapped are URL escapes, Unicode and numeric
     character escapes, base64 (both alphabets), gzip and zlib, in any nesting, until nothing new
-    comes up. A compressed layer is read up to ``max_unfolded`` bytes; ``n_cut`` counts those that
-    have more, so a document with 0 was read whole.
+    comes up. All members of a compressed layer are read as a stream to their end. Only with
+    ``max_unfolded``, each is read up to so many bytes, and ``n_cut`` counts those that have more.
 
     A row per row. A null text is empty and has no spans.
     """
