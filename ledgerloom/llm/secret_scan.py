@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-import binascii
+import bisect
 import contextlib
 import hashlib
 import html
@@ -96,9 +96,14 @@ _UNICODE = re.compile(
 _UNICODE_ONE = re.compile(
     r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)|U\+([0-9A-F]+)|(&#[0-9xXA-Fa-f]+;)"
 )
+# A run of either alphabet, and runs on lines one after another, which may be one wrapped run.
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)++={0,2}")
 # Sixteen characters make twelve bytes, less than any secret of the patterns needs with its name.
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
-_LETTERS = re.compile(r"[a-z]+|[A-Z]?[a-z]+|[A-Z]+")
+_LEAST = 16
+# How gzip data and zlib data of the usual window begin in base64.
+_PACKED_BASE64 = re.compile("H4sI|e(?:A[E-H]|F[4-7]|J[w-z]|N[o-r])")
 
 
 def _url(run: str) -> str:
@@ -249,16 +254,59 @@ def _texts(text: str) -> Iterator[str]:
                 yield data[start:].decode(code, "replace")
 
 
-def _base64(run: str) -> bytes | None:
-    if _LETTERS.fullmatch(run):
-        return None  # a plain word
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4))
-    except binascii.Error:
-        return None
+_STANDARD = str.maketrans("-_", "+/")
+
+
+def _decoded(body: str, start: int) -> Source:
+    """The base64 run from ``start`` on, decoded in blocks; a last character alone has no byte."""
+
+    def blocks() -> Iterator[bytes]:
+        end = len(body) - ((len(body) - start) % 4 == 1)
+        at, size = start, 4096  # a short one first, which shows whether it is compressed data
+        while at < end:
+            block = body[at : min(at + size, end)].translate(_STANDARD)
+            yield base64.b64decode(block + "=" * (-len(block) % 4))
+            at, size = at + size, max(CHUNK // 4, 1) * 4
+
+    return blocks
+
+
+def _starts(body: str) -> list[tuple[int, bool]]:
+    """Where in a run of base64 characters the encoded data may begin, and whether only if compressed.
+
+    A run may have swallowed what stands before a '/', '_' or '-', or on a line before. Of the
+    places with the same remainder by four, the first one gives all bytes of the others: the
+    beginning of the run, the first place after such a mark, or else any. Compressed data needs
+    its very beginning.
+    """
+    first = {0: 0}
+    for m in re.finditer("[/_-]+", body):
+        first.setdefault(m.end() % 4, m.end())
+        if len(first) == 4:
+            break
+    for remainder in range(1, 4):
+        first.setdefault(remainder, remainder)
+    packed = (m.start() for m in _PACKED_BASE64.finditer(body))
+    after = (m.end() for m in re.finditer("[/_-]", body))
+    others = (at for at in (*packed, *after) if _packed(b"".join(_decoded(body[at : at + 4], 0)())))
+    plain = set(first.values())
+    return [(at, at not in plain) for at in sorted(plain.union(others)) if len(body) - at >= _LEAST]
+
+
+def _candidates(text: str) -> Iterator[tuple[int, int, Source, bool]]:
+    """Start, end and data of all that may be base64, runs and joined lines, and whether it counts
+    only if it is compressed."""
+    for m in _BASE64.finditer(text):
+        body = m[0].rstrip("=")
+        for at, packed in _starts(body):
+            yield m.start() + at, m.end(), _decoded(body, at), packed
+    for m in _WRAPPED.finditer(text):
+        lines = [(r.start(), r.end()) for r in _RUN.finditer(text, *m.span())]
+        body = "".join(text[a:b] for a, b in lines)
+        ends = list(itertools.accumulate(b - a for a, b in lines))
+        for at, packed in _starts(body):
+            line = bisect.bisect_right(ends, at)
+            yield lines[line][1] - (ends[line] - at), m.end(), _decoded(body, at), packed
 
 
 def layers(text: str, limit: int | None = None, cuts: set | None = None) -> Iterator[tuple[Layer, bool]]:
@@ -286,13 +334,11 @@ def layers(text: str, limit: int | None = None, cuts: set | None = None) -> Iter
         for pattern, decode in ((_URL, _url), (_UNICODE, _unicode)):
             if layer.starts is not None and (found := _replaced(layer, pattern, decode)) and is_new(found):
                 yield found
-        for m in _BASE64.finditer(layer.text):
-            data = _base64(m[0])
-            if data is None:
-                continue
-            start, end = m.span() if layer.starts is None else layer.origin(*m.span())
-            blocks = lambda d=data: (d[i : i + CHUNK] for i in range(0, len(d), CHUNK))
-            for source in _levels(blocks, limit, lambda level, run=next(runs): cuts.add((run, level))):
+        for start, end, data, packed in _candidates(layer.text):
+            if layer.starts is not None:
+                start, end = layer.origin(start, end)
+            levels = _levels(data, limit, lambda level, run=next(runs): cuts.add((run, level)))
+            for source in itertools.islice(levels, int(packed), None):
                 any_new = False
                 for piece in _pieces(source):
                     for found in (Layer(t, start, end) for t in _texts(piece)):
@@ -349,8 +395,8 @@ def find_secrets(
 
     ``plain`` has the matches in the text itself; ``spans`` also those in its decoded layers, with
     the place of the outermost encoded run. Unwrapped are URL escapes, Unicode and numeric
-    character escapes, base64 (both alphabets), gzip and zlib, in any nesting, until nothing new
-    comes up. All members of a compressed layer are read as a stream to their end. Only with
+    character escapes, base64 (both alphabets, also wrapped or after '/', '_' or '-'), gzip and
+    zlib, in any nesting, until nothing new comes up. All members of a compressed layer are read as a stream to their end. Only with
     ``max_unfolded``, each is read up to so many bytes, and ``n_cut`` counts those that have more.
 
     A row per row. A null text is empty and has no spans.

@@ -111,6 +111,32 @@ def test_chunks_cut_nothing(monkeypatch, chunk):
             assert (kind, 0, len(run)) in S.scan(run)[1], (part, n)
 
 
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("lead", ["see:\n", "see -\n", "data\n", "-----BEGIN DATA-----\n"])
+def test_wrapped_base64(width, lead):
+    for data in (gzip.compress(bytes(range(256)) + SECRET.encode()), zlib.compress(bytes(range(256)) + SECRET.encode()), b"?" * (width // 4 * 3 - 9) + SECRET.encode()):
+        run = base64.b64encode(data).decode()
+        for glue in ("\n", "\r\n", "\n    "):
+            text = lead + glue.join(run[i : i + width] for i in range(0, len(run), width))
+            found = [s for s in S.scan(text)[1] if s[0] == "assign"]
+            assert any(s[2] == len(text) for s in found), (lead, glue)
+            inner = base64.b64encode(text.encode()).decode()
+            assert ("assign", 0, len(inner)) in S.scan(inner)[1]
+
+
+def test_base64_after_marks():
+    for packed in (SECRET.encode(), gzip.compress(SECRET.encode()), zlib.compress(SECRET.encode())):
+        run = base64.b64encode(packed).decode()
+        for lead in ("https://h.example/x/", "id_", "a-b_", "https://h.example/p/ab/abc/", "/", "xy-"):
+            (kind, start, end), *_ = [s for s in S.scan(lead + run)[1] if s[0] == "assign"]
+            assert start <= len(lead) and end == len(lead) + len(run), lead
+    # One span for one run; the marks are part of it.
+    run = base64.b64encode(b"\xff\xef\xbe" * 9 + SECRET.encode()).decode()
+    assert "/" in run and S.scan(run)[1] == [("assign", 0, len(run))]
+    run = base64.b64encode(SECRET.encode()).decode()
+    assert ("assign", 2, 2 + len(run)) in S.scan("x/" + run)[1]
+
+
 def test_layer_that_unfolds_to_itself_ends(monkeypatch):
     monkeypatch.setattr(S, "_members", lambda chunks: iter(list(chunks)))
     assert S.scan(base64.b64encode(gzip.compress(b"x" * 40)).decode())[1] == []
