@@ -24,7 +24,7 @@ def _by_key(docs: DataFrame, rows: DataFrame, how: str) -> tuple[DataFrame, str]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language that 30% of their letters are in go, such as those without letters."""
+    """Documents in none of the languages go, which are those without letters; those in several stay."""
     return language.accepted(docs, language.learn(docs))
 
 

@@ -296,14 +296,15 @@ def identify(
     )
 
 
-def accepted(
-    docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.3, penalty: float = SWITCH_PENALTY
-) -> DataFrame:
-    """The documents with a language that at least ``least_score`` of their letters are in.
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
+    """The documents in any of the learned languages, also in several of them.
 
-    Texts that are null or have no letter are rejected. Rows and columns stay as they are.
+    Every word is labelled, so it is texts without a letter, and null ones, that are rejected. A
+    corpus without labels teaches no language; then whether there is a letter decides as well.
+    Rows and columns stay as they are.
     """
+    if not model.languages:
+        return docs.where(F.coalesce(F.rlike(F.col(text_col), F.lit(r"\p{L}")), F.lit(False)))
     name = fresh(docs, "_language")
     found = docs.withColumn(name, labelled(F.col(text_col), model, docs.sparkSession, penalty))
-    label = F.col(name)
-    return found.where((label.lang != UNKNOWN) & (label.score >= least_score)).drop(name)
+    return found.where(F.col(name).lang != UNKNOWN).drop(name)

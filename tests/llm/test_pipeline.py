@@ -7,6 +7,7 @@ import duckdb
 import oracle
 import test_decontaminate
 import test_simhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import mixing, pii
@@ -65,5 +66,22 @@ def test_awkward_rows(spark):
     assert mixed.count() == private.count() == clean.count()
 
 
+def test_texts_of_many_languages_stay(spark):
+    whole = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = whole.select("doc_id", "text", "lang")
+    parts = [r.text for r in whole.where("n_chars BETWEEN 400 AND 900").groupBy("lang").agg(F.first("text").alias("text")).orderBy("lang").collect()]
+    greek = "\u03c3\u03c0\u03af\u03c4\u03b9 \u03ba\u03b1\u03b9 \u03ba\u03ae\u03c0\u03bf\u03c2 " * 30
+    assert len(parts) >= 4
+    joined = ["\n\n".join(p[:400] for p in parts[:n]) for n in (1, 2, 3, 4)] + ["\n\n".join([*(p[:400] for p in parts[:4]), greek])]
+    added = [(-1 - i, text, None) for i, text in enumerate(joined)] + [(-9, "12 !", None)]
+    taught = [(10**9 + i, greek, "el") for i in range(40)]
+    more = docs.unionByName(spark.createDataFrame(added + taught, docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, more, "").where("doc_id < 0").collect()}
+    assert kept == {-1, -2, -3, -4, -5}
+    unlabelled = more.withColumn("lang", F.lit(None).cast("string"))
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, unlabelled, "").where("doc_id < 0").collect()}
+    assert kept == {-1, -2, -3, -4, -5}
+
+
 def test_empty_table(spark):
     assert [d.count() for d in stages(spark, cases.empty(spark))] == [0] * 6
