@@ -8,13 +8,29 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import let
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+# Characters of an IBAN by country.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC",
+}
+_IBAN = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}" for n, c in _IBAN_LENGTHS.items())
+_DAY = "(?:0?[1-9]|[12][0-9]|3[01])"
 # The first pattern that matches at a place counts.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "iban": rf"(?<![0-9A-Za-z])(?:{_IBAN})(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
-    "date": r"(?<![0-9A-Za-z-])(?:1[89]|2[01])[0-9]{2}([-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])(?![0-9A-Za-z-])",
+    "date": r"(?<![0-9A-Za-z-])(?:1[89]|2[01])[0-9]{2}([-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])(?!(?!T[0-9]{2}:)[0-9A-Za-z-])"
+    rf"|(?<![0-9A-Za-z./-]){_DAY}([-/.]){_DAY}\2(?:1[89]|2[01])[0-9]{{2}}(?!(?!T[0-9]{{2}}:)[0-9A-Za-z]|[-/.][0-9])",
     "phone": r"(?<![0-9A-Za-z])\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}(?![0-9A-Za-z])"
-    r"|(?<![0-9A-Za-z])(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])",
+    r"|(?<![0-9A-Za-z])(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])"
+    # Any grouping of 8 to 15 digits after a plus; area codes in brackets; national numbers with 0.
+    r"|(?<![0-9A-Za-z])\+(?=[1-9](?:[ .()/-]{0,2}[0-9]){7,14}(?![0-9A-Za-z]))[1-9][0-9]{0,2}(?:[ ./-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})){2,7}(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z])\([0-9]{2,5}\)[ /-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z.,/-])0[0-9](?:[ .-][0-9]{2}){4}(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z.,/-])0[1-9][0-9]{1,3}[ /-][0-9]{3,4}[ .-]?[0-9]{3,5}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "number": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
@@ -158,6 +174,73 @@ def _date(text: Column, key: str) -> Column:
     return F.when(day.isNull(), text).otherwise(let(F.date_diff(day, first), of))
 
 
+def _remainder(iban: Column) -> Column:
+    """The number that an IBAN without blanks stands for, its first four characters last, modulo 97."""
+    turned = F.concat(F.substr(iban, F.lit(5)), F.left(iban, F.lit(4)))
+    codes = F.transform(_chars(turned), lambda c: F.ascii(c))
+
+    def add(total: Column, code: Column) -> Column:
+        return F.when(code < 65, total * 10 + code - 48).otherwise(total * 100 + code - 55) % 97
+
+    return F.aggregate(codes, F.lit(0), add)
+
+
+def _iban(text: Column, key: str) -> Column:
+    """Another account of the same country, with check digits that fit; no change where they don't."""
+
+    def of(plain: Column) -> Column:
+        rest = _text_pseudonym(F.substr(text, F.lit(5)), "iban", key)
+        country = F.left(text, F.lit(2))
+
+        def closed(new: Column) -> Column:
+            off = _remainder(F.concat(country, F.lit("00"), F.replace(new, F.lit(" "), F.lit(""))))
+            return F.concat(country, F.lpad((98 - off).cast("string"), 2, "0"), new)
+
+        return F.when(_remainder(plain) == 1, let(rest, closed)).otherwise(text)
+
+    return let(F.replace(text, F.lit(" "), F.lit("")), of)
+
+
+def _day_first_or_last(text: Column, key: str) -> Column:
+    """The same for day, month and year, or month, day and year, in digits as many as before.
+
+    Numbers up to 12 stay so, so it does not matter which one is the month; days from 29 on keep
+    their month, and 29 February gets another leap year. No change where the day does not exist.
+    """
+
+    def of(parts: Column) -> Column:
+        a, b, year = (F.get(parts, i) for i in range(3))
+        x, y, n = a.cast("int"), b.cast("int"), year.cast("int") - 1800
+        day, month = F.greatest(x, y), F.least(x, y)
+        exists = F.try_to_date(F.concat(year, F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-"), F.lpad(day.cast("string"), 2, "0")), "yyyy-MM-dd").isNotNull()
+        late, leap = day > 28, (day == 29) & (month == 2)
+        skipped = F.floor(n / 4).cast("int")
+        nth = skipped - 1 - F.when(skipped > 25, 1).otherwise(0) - F.when(skipped > 75, 1).otherwise(0)
+
+        def low(v: Column) -> Column:
+            return F.when(late, v).when(v > 12, 13).otherwise(1)
+
+        def size(v: Column, s: Column) -> Column:
+            return F.when(late, 1).when(v > 12, 16).when(F.char_length(s) == 1, 9).otherwise(12)
+
+        values = F.array(x - low(x), y - low(y), F.when(leap, nth).otherwise(F.floor(n / 20).cast("int")), F.when(leap, 0).otherwise(n % 20))
+        radices = F.array(size(x, a), size(y, b), F.when(leap, 97).otherwise(20), F.when(leap, 1).otherwise(20))
+        tweak = F.concat_ws(",", F.lit("day"), low(x).cast("string"), low(y).cast("string"))
+
+        def shown(v: Column) -> Column:
+            q = F.get(v, 2) + 1
+            q = q + F.when(q >= 25, 1).otherwise(0)
+            q = q + F.when(q >= 75, 1).otherwise(0)
+            new = F.when(leap, 1800 + 4 * q).otherwise(1800 + F.get(v, 2) * 20 + F.get(v, 3))
+            one = lambda i, u, s: F.lpad((F.get(v, i) + low(u)).cast("string"), F.char_length(s), F.lit("0"))
+            mark = F.substr(text, F.char_length(a) + 1, F.lit(1))
+            return F.concat(one(0, x, a), mark, one(1, y, b), mark, new.cast("string"))
+
+        return F.when(exists, let(permuted(values, radices, tweak, key), shown)).otherwise(text)
+
+    return let(F.split(text, "[-/.]"), of)
+
+
 def kind_of(found: Column) -> Column:
     """The kind of a match of ``ANY``."""
     digits = F.regexp_replace(found, "[^0-9]", "")
@@ -165,7 +248,8 @@ def kind_of(found: Column) -> Column:
         F.when(F.contains(found, F.lit("@")), "email")
         .when(F.rlike(found, F.lit(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$")) & (F.char_length(digits) <= 12)
               & F.rlike(found, F.lit(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$")), "ip")
-        .when(F.rlike(found, F.lit(r"^[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}$")), "date")
+        .when(F.rlike(found, F.lit("^[A-Z]")), "iban")
+        .when(F.rlike(found, F.lit(r"^(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})$")), "date")
         .when(F.rlike(found, F.lit("^[0-9]{3}-[0-9]{2}-[0-9]{4}$")), "ssn")
         .when(F.rlike(found, F.lit("^[+(]")) | (F.char_length(digits) < 13), "phone")
         .otherwise("number")
@@ -181,7 +265,9 @@ def pseudonym(found: Column, key: str) -> Column:
     return (
         F.when(kind == "email", F.concat(_text_pseudonym(name, "email", key), F.regexp_extract(found, at_end, 0)))
         .when(kind == "ip", _address(found, key))
-        .when(kind == "date", _date(found, key))
+        .when(kind == "iban", _iban(found, key))
+        .when((kind == "date") & F.rlike(found, F.lit("^[0-9]{4}")), _date(found, key))
+        .when(kind == "date", _day_first_or_last(found, key))
         .when(kind == "phone", _after(found, country, lambda rest: _text_pseudonym(rest, "phone", key, True)))
         .when(kind == "ssn", _text_pseudonym(found, "ssn", key))
         .otherwise(_number(found, key))
@@ -191,10 +277,11 @@ def pseudonym(found: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = "", counts: str | None = None) -> DataFrame:
     """The documents with all personal data in their texts replaced, in place and in length.
 
-    Found are e-mail addresses, IPv4 addresses, dates, telephone and social security numbers, and
-    numbers of 13 to 19 digits such as those of cards. Validated are octets, days of the calendar
-    (a day that does not exist is left as it is) and the check sum of long numbers, which stays
-    valid if it was. Each value is permuted among those of its format by a Feistel network under
+    Found are e-mail addresses, IBANs, IPv4 addresses, dates in digits (year, day or month first),
+    telephone numbers (with a country code in any grouping, or national ones with separators),
+    social security numbers, and numbers of 13 to 19 digits such as those of cards. Octets, days of
+    the calendar and check digits of IBANs are validated: a day that does not exist and an IBAN that
+    does not check are left as they are. The check sum of a long number stays valid if it was. Each value is permuted among those of its format by a Feistel network under
     ``key``, so equal values get equal pseudonyms in all documents, and different ones different.
 
     A row per row, with all its columns; with ``counts``, a column of that name has the number of
