@@ -141,7 +141,8 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
     """The best label of every word: the sum of its scores less ``penalty`` per change is largest.
 
     ``scores`` has the words of all texts one after another, ``sizes`` the words of each text. All
-    texts go forward together, a word each at a time.
+    texts go forward together, a word each at a time. Sums are kept relative to the best one, so they
+    stay exact in any length of text.
     """
     n_texts, n_labels = len(sizes), scores.shape[1]
     labels = np.zeros(len(scores), np.uint8)
@@ -162,6 +163,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
             came[rows] = np.where(now >= switched, same, best[:, None].astype(np.uint8))
             np.maximum(now, switched, out=now)
         now += scores[rows]
+        now -= now.max(axis=1, keepdims=True)
     label = value.argmax(axis=1).astype(np.uint8)
     for t in range(longest - 1, -1, -1):
         n = active[t]

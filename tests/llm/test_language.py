@@ -49,6 +49,20 @@ def test_best_path():
         at += n
 
 
+def test_best_path_of_long_texts():
+    """Large sums do not blur the differences between labels."""
+    rng = np.random.default_rng(6)
+    scores = rng.normal(0, 2, (3000, 3)).astype(np.float32)
+    sizes = np.array([1000, 2000])
+    exact = language.viterbi(scores.astype(np.float64), sizes, 1.5)
+    first = np.array([0, 1000])
+    shifted = scores.copy()
+    shifted[first] -= np.float32(2**28)  # as after millions of words, the same for all labels
+    assert (shifted[first] == shifted[first][:, :1]).all()
+    got = language.viterbi(shifted, sizes, 1.5)
+    assert (got != exact).sum() < 10
+
+
 def test_scripts_narrow(spark):
     rows = [(i, t, x) for i in range(0, 200, 2) for t, x in [("дом и сад", "ru"), ("house and garden", "en"), ("σπίτι και κήπος", "el")]]
     model = language.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
