@@ -140,8 +140,13 @@ def _by_index(parsed: DataFrame, content: bytes, verdicts: list[str]) -> DataFra
 
 
 def _by_join(parsed: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same without sending rules to executors: candidate texts meet rules in a join."""
-    rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
+    """The same without sending rules to executors: candidate texts meet rules in a join.
+
+    Of rules with the same text, that with the largest ``number`` counts.
+    """
+    rules = rules.groupBy(F.concat("host", "path").alias("rule")).agg(
+        F.max_by(F.struct("path", "verdict"), "number").alias("_last")
+    ).select("rule", "_last.*")
     lengths = sorted(r[0] for r in rules.select(F.char_length("path")).distinct().collect())
     labels = F.split("host", r"\.")
     starts = F.filter(
@@ -155,7 +160,7 @@ def _by_join(parsed: DataFrame, rules: DataFrame) -> DataFrame:
         F.flatten(F.transform(parents, lambda p: F.transform(starts, lambda s: F.concat(p, s))))
     )
     pairs = parsed.select("host", "path").distinct()
-    known = rules.select(F.concat("host", "path").alias("rule"), "verdict")
+    known = rules.select("rule", "verdict")
     met = lookup(pairs.select("host", "path", F.explode(keys).alias("rule")), known, ["rule"], "inner")
     best = met.groupBy("host", "path").agg(
         F.max_by(F.struct("rule", "verdict"), F.char_length("rule")).alias("_r")
@@ -189,7 +194,9 @@ def judge(
     )
     verdicts = sorted({r.verdict for r in rules})
     if sum(24 + len(r.text) for r in rules) > max_index_bytes:
-        listed = parsed.sparkSession.createDataFrame([(r.host, r.path, r.verdict) for r in rules], "host string, path string, verdict string")
+        listed = parsed.sparkSession.createDataFrame(
+            [(i, r.host, r.path, r.verdict) for i, r in enumerate(rules)], "number bigint, host string, path string, verdict string"
+        )
         return _by_join(parsed, listed)
     return _by_index(parsed, RuleIndex.build(rules, verdicts), verdicts)
 

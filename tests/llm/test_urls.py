@@ -37,6 +37,14 @@ def test_rules(spark, limit):
     assert sorted(tuple(map(str, r)) for r in got) == expected
 
 
+@pytest.mark.parametrize("limit", [urls.MAX_INDEX_BYTES, 0])
+def test_last_of_conflicting_rules_counts(spark, limit):
+    rules = [Rule("a.net", "/", "block"), Rule("a.net", "/", "allow"), Rule("b.net", "/", "allow"), Rule("b.net", "/", "block")]
+    pages = spark.createDataFrame([(1, "http://a.net/x"), (2, "http://b.net/x")], "page_id int, url string")
+    got = urls.judge(pages, rules, max_index_bytes=limit).collect()
+    assert {r.page_id: (r.rule, r.verdict) for r in got} == {1: ("a.net/", "allow"), 2: ("b.net/", "block")}
+
+
 def test_random_rules_and_collisions(monkeypatch):
     """Digests of two bits only, so that whole texts must decide."""
     monkeypatch.setattr(urls, "_digest", lambda text: sum(text) % 4)
