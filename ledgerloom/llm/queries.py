@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, fingerprints, language, mixing, pii, repeats, secret_scan, simhash, tokens, urls
+from ledgerloom.llm import (
+    decontaminate,
+    dialogue,
+    fingerprints,
+    language,
+    lines,
+    mixing,
+    phrases,
+    pii,
+    repeats,
+    secret_scan,
+    simhash,
+    tokens,
+    urls,
+)
 from ledgerloom.llm.common import table
 
 # A secret in production; fixed here so that reruns agree.
@@ -14,7 +28,14 @@ PII_KEY = "example key"
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES = {}
-ORACLES = {"op1_decontaminate": decontaminate.ORACLE, "op2_mix": mixing.ORACLE, "op3_urls": urls.ORACLE}
+ORACLES = {
+    "op1_decontaminate": decontaminate.ORACLE,
+    "op2_mix": mixing.ORACLE,
+    "op3_urls": urls.ORACLE,
+    "op11_dialogue": dialogue.ORACLE,
+    "op12_lines": lines.ORACLE,
+    "op13_phrases": phrases.ORACLE,
+}
 
 
 def query(fn):
@@ -103,3 +124,29 @@ def op9_repeats(spark: SparkSession, sf: str) -> DataFrame:
 def op10_tokens(spark: SparkSession, sf: str) -> DataFrame:
     pieces = tokens.read_vocabulary(VOCABULARY)
     return tokens.token_counts(table(spark, sf, "documents"), pieces)
+
+
+@query
+def op11_dialogue(spark: SparkSession, sf: str) -> DataFrame:
+    given = table(spark, sf, "conversations")
+    edits, summary = dialogue.repair(dialogue.damaged(given), copies=F.col("copies"))
+    repaired = summary.drop("conv_id").join(dialogue.digests(edits), "conv")
+    ids = given.select("conv_id", dialogue.conversation_key(F.col("conv_id")).alias("conv")).distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return ids.join(repaired, "conv", "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+@query
+def op12_lines(spark: SparkSession, sf: str) -> DataFrame:
+    left = lines.without_repeated_lines(table(spark, sf, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op13_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))
