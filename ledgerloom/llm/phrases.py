@@ -28,7 +28,7 @@ MOST_BUCKETS = 1 << 25
 _PAGE = 1 << 16
 
 # Words, and different words, a task holds of all languages before it counts them.
-_HELD_WORDS = 1 << 21
+_HELD_WORDS = 1 << 20
 
 # Buckets of the ranking inside a language.
 _RANK_BUCKETS = 64
@@ -124,7 +124,7 @@ def _windows(batches: Iterator[pa.RecordBatch], flags: np.ndarray, longest: int)
     """Different windows with their counts: from each word on up to ``longest`` words, ending where
     the piece ends or a pair is too rare to be part of a phrase."""
     for lang, words in _by_language(batches):
-        line = np.asarray(words.line)
+        line = np.asarray(words.line + [0] * longest)
         bucket = words.buckets(line, len(flags) * 8)
         joined = (bucket >= 0) & ((flags[bucket >> 3] >> (bucket & 7).astype("u1")) & 1).astype(bool)
         window = np.zeros((longest, len(line)), dtype="i4")

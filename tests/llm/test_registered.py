@@ -18,6 +18,9 @@ COLUMNS = {
     "op8_simhash": "doc_id fingerprint component_id",
     "op9_repeats": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op10_tokens": "doc_id n_words n_tokens",
+    "op11_dialogue": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op12_lines": "doc_id n_lines n_dropped kept_sha256",
+    "op13_phrases": "lang rank phrase a l r n score",
 }
 
 
