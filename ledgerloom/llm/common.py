@@ -30,8 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def row_key(*columns: Column) -> Column:
-    """A 64-bit key of a row; never null, equal for rows that are the same in these columns."""
-    return F.xxhash64(*columns)
+    """A 128-bit key of a row, a pair of hashes with different seeds; never null, equal for rows that
+    are the same in these columns."""
+    return F.struct(*[F.xxhash64(F.lit(seed), *columns).alias(name) for seed, name in ((1, "a"), (2, "b"))])
 
 
 def let(value: Column, then: Callable[[Column], Column]) -> Column:

@@ -37,39 +37,42 @@ def _gram(width: int) -> int:
     return min(width, GRAM)
 
 
-def fingerprints(words: Column, width: int) -> Column:
-    """Per stretch of ``width`` words the smallest hash of its grams, as packed hash and place.
-
-    Two texts that share ``width`` words in a row share the smallest hash of that stretch.
-    ``words`` has to be computed already, for each gram looks it up.
-    """
-    gram = _gram(width)
-    grams_each = width - gram + 1
-    n = F.size(words)
-    packed = F.transform(
-        _upto(n - (gram - 1)),
+def _grams(words: Column, gram: int) -> Column:
+    """Per word the hash of the ``gram`` words from it on, packed with its place."""
+    return F.transform(
+        _upto(F.size(words) - (gram - 1)),
         lambda i: F.xxhash64(F.slice(words, i, gram))
         .bitwiseAND(F.lit(-_PLACES))
         .bitwiseOR(i.cast("bigint").bitwiseAND(F.lit(_PLACES - 1))),
     )
+
+
+def _least(grams: Column, grams_each: int) -> Column:
+    """Of each stretch of so many grams the least one, each once; a shorter text has none."""
     if grams_each == 1:
-        return packed
-    # Each stretch takes the least of its grams; a text shorter than a stretch has none.
-    least = let(
-        packed,
-        lambda g: F.transform(
-            _upto(F.size(g) - (grams_each - 1)), lambda i: F.array_min(F.slice(g, i, grams_each))
-        ),
+        return grams
+    least = F.transform(
+        _upto(F.size(grams) - (grams_each - 1)), lambda i: F.array_min(F.slice(grams, i, grams_each))
     )
     return F.array_distinct(least)
 
 
+def fingerprints(words: Column, width: int) -> Column:
+    """Per stretch of ``width`` words the smallest hash of its grams, as packed hash and place.
+
+    Two texts that share ``width`` words in a row share the smallest hash of that stretch.
+    ``words`` has to be computed already, for each gram looks it up.
+    """
+    gram = _gram(width)
+    return let(_grams(words, gram), lambda g: _least(g, width - gram + 1))
+
+
 def _prints(words: Column, widths: list[int]) -> Column:
-    """(width, hash, place) of all fingerprints for all widths."""
+    """(width, hash, place) of all fingerprints for all widths; grams of a size are hashed once."""
 
-    def split(width: int) -> Column:
+    def split(packed: Column, width: int) -> Column:
         return F.transform(
-            fingerprints(words, width),
+            packed,
             lambda v: F.struct(
                 F.lit(width).alias("width"),
                 v.bitwiseAND(F.lit(-_PLACES)).alias("hash"),
@@ -77,8 +80,13 @@ def _prints(words: Column, widths: list[int]) -> Column:
             ),
         )
 
-    parts = [split(w) for w in widths]
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+    def of(gram: int) -> Column:
+        same = [w for w in widths if _gram(w) == gram]
+        return let(
+            _grams(words, gram), lambda g: F.concat(*[split(_least(g, w - gram + 1), w) for w in same])
+        )
+
+    return F.concat(*[of(gram) for gram in sorted({_gram(w) for w in widths})])
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -118,7 +126,7 @@ def contamination(
     and these are compared as texts, so the result is exact.
 
     Returns id, ``n_words``, ``n_hit``, ``n_items``, ``item_ids`` (as strings, sorted),
-    ``contaminated`` and ``row_key``, a hash of id and text. Rows with equal id and text count as one document and give one row; a null
+    ``contaminated`` and ``row_key``, a 128-bit hash of id and text. Rows with equal id and text count as one document and give one row; a null
     id is an id like any other. Null texts have no words, and items without words match nothing.
     An item without id hits words but is in no list. Runs jobs on the benchmark when called.
     """
@@ -149,19 +157,34 @@ def contamination(
     known = of_items[0]
     for more in of_items[1:]:
         known = known.union(more)
-    known = _small(stored(known.select("width", "hash").distinct(), "benchmark-prints"))
+    # A print of width 0 stands for the document itself and carries its number of words.
+    itself = known.sparkSession.range(1).select(F.lit(0).alias("width"), F.lit(0).cast("bigint").alias("hash"))
+    known = _small(stored(known.select("width", "hash").distinct().union(itself), "benchmark-prints"))
 
     keyed = docs.select(
         F.col(id_col).alias("doc_id"),
         row_key(F.col(id_col), F.col(text_col)).alias("_key"),
         F.col(text_col).alias("text"),
     )
+    own = lambda w: F.array(
+        F.struct(F.lit(0).alias("width"), F.lit(0).cast("bigint").alias("hash"), F.size(w).alias("place"))
+    )
     prints = keyed.select(
+        "doc_id",
         "_key",
-        F.inline(let(words_of(F.col("text")), lambda w: _prints(w, widths))).alias("width", "hash", "place"),
+        F.inline(let(words_of(F.col("text")), lambda w: F.concat(own(w), _prints(w, widths)))).alias(
+            "width", "hash", "place"
+        ),
     )
     met = prints.join(known, ["width", "hash"], "left_semi")
-    hits = met.groupBy("_key").agg(F.collect_set(F.struct("width", "place")).alias("hits"))
+    is_own = F.col("width") == 0
+    narrow = met.groupBy("_key", "doc_id").agg(
+        F.max(F.when(is_own, F.col("place"))).alias("n_words"),
+        F.collect_set(F.when(~is_own, F.struct("width", "place"))).alias("hits"),
+    )
+    # A row per document without its text; only texts with hits are split again.
+    narrow = stored(narrow, "document-hits")
+    hits = _small(narrow.where(F.size("hits") > 0).select("_key", "hits"))
 
     def stretches(words: Column, hit: Column) -> Column:
         n, gram = F.size(words), F.least(F.lit(GRAM), hit.width)
@@ -182,28 +205,22 @@ def contamination(
             spans, lambda s: F.struct(s.first.alias("first"), s.last.alias("last"), passage(s).alias("passage"))
         )
 
-    found = lookup(keyed, hits, ["_key"]).select(
-        "doc_id",
-        "_key",
-        let(
-            words_of(F.col("text")),
-            lambda w: F.struct(F.size(w).alias("n_words"), candidates(w).alias("candidates")),
-        ).alias("r"),
+    found = lookup(keyed.drop("doc_id"), hits, ["_key"], "inner").select(
+        "_key", F.explode(let(words_of(F.col("text")), candidates)).alias("s")
     )
-    spread = found.select(
-        "doc_id", "_key", "r.n_words", F.explode_outer("r.candidates").alias("s")
-    ).select("doc_id", "_key", "n_words", "s.*")
-    marked = lookup(spread, passages, ["passage"])
-    span = F.when(F.col("set_id").isNotNull(), F.struct("first", "last"))
-    per_doc = marked.groupBy("doc_id", "_key", "n_words").agg(
-        F.collect_set(span).alias("spans"), F.collect_set("set_id").alias("set_ids")
+    marked = lookup(found.select("_key", "s.*"), passages, ["passage"], "inner")
+    per_doc = marked.groupBy("_key").agg(
+        F.collect_set(F.struct("first", "last")).alias("spans"), F.collect_set("set_id").alias("set_ids")
     )
-    listed = lookup(
-        per_doc.select("*", F.explode_outer("set_ids").alias("set_id")).drop("set_ids"), sets, ["set_id"]
+    listed = lookup(per_doc.select("_key", "spans", F.explode("set_ids").alias("set_id")), sets, ["set_id"], "inner")
+    in_items = listed.groupBy("_key").agg(
+        F.first("spans").alias("_spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("_item_ids"),
     )
-    result = listed.groupBy("doc_id", "_key", "n_words").agg(
-        F.first("spans").alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
+    result = lookup(narrow.drop("hits"), in_items, ["_key"]).select(
+        "*",
+        F.coalesce("_spans", F.array().cast("array<struct<first:int,last:int>>")).alias("spans"),
+        F.coalesce("_item_ids", F.array().cast("array<string>")).alias("item_ids"),
     )
     n_hit = _covered(F.col("spans")).cast("bigint")
     return result.select(

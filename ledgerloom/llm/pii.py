@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ _IBAN = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}"
 _DAY = "(?:0?[1-9]|[12][0-9]|3[01])"
 # The first pattern that matches at a place counts.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # Labels and dots are one class: a repeated group would recurse once for each label.
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}",
     "iban": rf"(?<![0-9A-Za-z])(?:{_IBAN})(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z-])(?:1[89]|2[01])[0-9]{2}([-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])(?!(?!T[0-9]{2}:)[0-9A-Za-z-])"
@@ -131,18 +134,54 @@ def _luhn(number: Column) -> Column:
     return F.pmod(F.aggregate(doubled, F.lit(0), lambda a, x: a + x), F.lit(10))
 
 
+def _digits(text: Column) -> Column:
+    return F.regexp_replace(text, "[^0-9]", "")
+
+
+def _laid_out(digits: Column, like: Column) -> Column:
+    """The digits with the other characters of ``like`` between them, at the same places."""
+    upto = lambda i: F.char_length(_digits(F.left(like, i + 1)))
+    return F.array_join(
+        F.transform(
+            _chars(like), lambda c, i: F.when(c.between("0", "9"), F.substr(digits, upto(i), F.lit(1))).otherwise(c)
+        ),
+        "",
+    )
+
+
 def _number(number: Column, key: str) -> Column:
-    """All digits but the last are permuted; the last keeps the check sum, valid or not."""
-    length = F.char_length(number)
-    body, last = F.left(number, length - 1), F.right(number, F.lit(1))
-    new = _text_pseudonym(body, "number", key)
-    zero = F.lit("0")
+    """Another number of as many digits whose check sum holds, in the layout of the given one.
+
+    The digits are permuted without their layout, so a number has one pseudonym in all layouts.
+    """
+
+    def of(digits: Column) -> Column:
+        body = F.left(digits, F.char_length(digits) - 1)
+
+        def closed(n: Column) -> Column:
+            return F.concat(n, F.pmod(-_luhn(F.concat(n, F.lit("0"))), F.lit(10)).cast("string"))
+
+        return let(let(_text_pseudonym(body, "number", key), closed), lambda new: _laid_out(new, number))
+
+    return let(_digits(number), of)
+
 
-    def closed(n: Column) -> Column:
-        off = _luhn(F.concat(body, last)) - _luhn(F.concat(n, zero))
-        return F.concat(n, F.pmod(off, F.lit(10)).cast("string"))
+# Areas, groups and serials that no social security number has.
+_SSN = r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"
 
-    return let(new, closed)
+
+def _ssn(text: Column, key: str) -> Column:
+    """Area, group and serial replaced by others that exist."""
+    area, group, serial = (F.split(text, "-")[i].cast("int") for i in range(3))
+    nth = area - 1 - F.when(area > 666, 1).otherwise(0)
+
+    def shown(v: Column) -> Column:
+        new = F.get(v, 0) + 1 + F.when(F.get(v, 0) >= 665, 1).otherwise(0)
+        parts = [(new, 3), (F.get(v, 1) + 1, 2), (F.get(v, 2) + 1, 4)]
+        return F.concat_ws("-", *[F.lpad(n.cast("string"), size, "0") for n, size in parts])
+
+    values, radices = F.array(nth, group - 1, serial - 1), F.array(F.lit(898), F.lit(99), F.lit(9999))
+    return let(permuted(values, radices, F.lit("ssn"), key), shown)
 
 
 def _address(address: Column, key: str) -> Column:
@@ -241,52 +280,69 @@ def _day_first_or_last(text: Column, key: str) -> Column:
     return let(F.split(text, "[-/.]"), of)
 
 
+# Of what has the form of personal data but is none.
+NONE = "none"
+
+
 def kind_of(found: Column) -> Column:
-    """The kind of a match of ``ANY``."""
-    digits = F.regexp_replace(found, "[^0-9]", "")
+    """The kind of a match of ``ANY``; ``none`` for numbers that no one has.
+
+    A long number needs its check sum, and a social security number an area, group and serial
+    that exist.
+    """
+    digits = _digits(found)
     return (
         F.when(F.contains(found, F.lit("@")), "email")
         .when(F.rlike(found, F.lit(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$")) & (F.char_length(digits) <= 12)
               & F.rlike(found, F.lit(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$")), "ip")
         .when(F.rlike(found, F.lit("^[A-Z]")), "iban")
         .when(F.rlike(found, F.lit(r"^(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})$")), "date")
-        .when(F.rlike(found, F.lit("^[0-9]{3}-[0-9]{2}-[0-9]{4}$")), "ssn")
+        .when(F.rlike(found, F.lit("^[0-9]{3}-[0-9]{2}-[0-9]{4}$")), F.when(F.rlike(found, F.lit(_SSN)), "ssn").otherwise(NONE))
         .when(F.rlike(found, F.lit("^[+(]")) | (F.char_length(digits) < 13), "phone")
-        .otherwise("number")
+        .otherwise(F.when(_luhn(found) == 0, "number").otherwise(NONE))
     )
 
 
 def pseudonym(found: Column, key: str) -> Column:
     """The pseudonym of one match; equal matches have equal ones."""
-    kind = kind_of(found)
     country = r"^(?:\+[1-9][0-9]{0,2}(?=[ .(-])|\+[1-9])"
     at_end = r"\.[A-Za-z]+$"
     name = F.regexp_replace(found, at_end, "")
-    return (
-        F.when(kind == "email", F.concat(_text_pseudonym(name, "email", key), F.regexp_extract(found, at_end, 0)))
-        .when(kind == "ip", _address(found, key))
-        .when(kind == "iban", _iban(found, key))
-        .when((kind == "date") & F.rlike(found, F.lit("^[0-9]{4}")), _date(found, key))
-        .when(kind == "date", _day_first_or_last(found, key))
-        .when(kind == "phone", _after(found, country, lambda rest: _text_pseudonym(rest, "phone", key, True)))
-        .when(kind == "ssn", _text_pseudonym(found, "ssn", key))
-        .otherwise(_number(found, key))
-    )
+
+    def of(kind: Column) -> Column:
+        return (
+            F.when(kind == "email", F.concat(_text_pseudonym(name, "email", key), F.regexp_extract(found, at_end, 0)))
+            .when(kind == "ip", _address(found, key))
+            .when(kind == "iban", _iban(found, key))
+            .when((kind == "date") & F.rlike(found, F.lit("^[0-9]{4}")), _date(found, key))
+            .when(kind == "date", _day_first_or_last(found, key))
+            .when(kind == "phone", _after(found, country, lambda rest: _text_pseudonym(rest, "phone", key, True)))
+            .when(kind == "ssn", _ssn(found, key))
+            .when(kind == "number", _number(found, key))
+            .otherwise(found)
+        )
+
+    return let(kind_of(found), of)
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = "", counts: str | None = None) -> DataFrame:
+def pseudonymise(docs: DataFrame, text_col: str = "text", *, key: str, counts: str | None = None) -> DataFrame:
     """The documents with all personal data in their texts replaced, in place and in length.
 
     Found are e-mail addresses, IBANs, IPv4 addresses, dates in digits (year, day or month first),
     telephone numbers (with a country code in any grouping, or national ones with separators),
     social security numbers, and numbers of 13 to 19 digits such as those of cards. Octets, days of
-    the calendar and check digits of IBANs are validated: a day that does not exist and an IBAN that
-    does not check are left as they are. The check sum of a long number stays valid if it was. Each value is permuted among those of its format by a Feistel network under
-    ``key``, so equal values get equal pseudonyms in all documents, and different ones different.
+    the calendar, check digits of IBANs, check sums of long numbers and areas, groups and serials are
+    validated: what does not hold is left as it is. Each value is permuted among the valid ones of its
+    format by a Feistel network under ``key``, which must not be empty, so equal values get equal
+    pseudonyms in all documents, long numbers also in any layout, and different ones different.
 
     A row per row, with all its columns; with ``counts``, a column of that name has the number of
     values found per kind, a map. Null texts stay null, and texts without personal data as they are.
     """
+    if not key:
+        raise ValueError("pseudonyms without a key can be undone by anyone")
+    # Of a fixed length, and plans and logs show it instead of the key.
+    key = hashlib.sha256(key.encode()).hexdigest()
     text = F.col(text_col)
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     between = F.split(text, ANY, -1)

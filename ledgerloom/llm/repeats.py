@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import row_key, ship_package, stored
+from ledgerloom.llm.common import ship_package, stored
 from ledgerloom.operators.joins import lookup
 
 MIN_BYTES = 200
@@ -432,7 +432,7 @@ def without_repeats(
     ship_package(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     whole = docs.select(
-        F.col(id_col).alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("_key"), text.alias("text")
+        F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_key"), text.alias("text")
     )
     found = stored(
         whole.select("_key", "text").mapInArrow(

@@ -46,3 +46,10 @@ def empty(spark):
 
 def texts_of(sf: str = SF) -> dict[int, str]:
     return dict(duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet'").fetchall())
+
+
+def dense(times: int = 10_000) -> list[str]:
+    """Long texts made of what single patterns look for, again and again."""
+    parts = ["a.", "a-", "1.", "1-", "1 ", "0 1", "+1", "+1 2 ", "(1)", "12-", "DE1", "DE89 ", "@", "a@", "a@b.", ".", "-",
+             "%25", "%41", "\\u0041", "&#65;", "QUJD", "/", "token=", "AKIA", "0af", "\n", " \t", "!", "x.\n", "é", "😀"]
+    return ["x@" + "a." * times + "com", "x" * times + "@y.org", *[p * times for p in parts]]
