@@ -31,11 +31,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near-duplicates stays.
 
-    Of rows with the same id and text one stays.
+    Of rows with the same id and text the one with the least other columns stays.
     """
     groups = simhash.near_duplicates(docs)
     kept, key = _by_key(docs, groups.where("is_first"), "left_semi")
-    return kept.dropDuplicates([key]).select(*docs.columns)
+    one = kept.groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("one"))
+    return one.select(*[F.col("one")[c].alias(c) for c in docs.columns])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
