@@ -50,8 +50,8 @@ _FLOATING = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$|^\s*(?:NaN|[+-]?
 _DECIMAL = r"^\s*[+-]?0*(\d*)(?:\.(\d*?)0*)?\s*$"
 _DIGIT = r"\d"
 _SIZED = r"\(\s*(\d+)\s*,\s*(\d+)\s*\)"
-_DATE_TIME = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?)?\s*$"
-_OFFSET_TIME = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?\s*$"
+_DATE_TIME = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,6}0{0,3})?)?)?\s*$"
+_OFFSET_TIME = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,6}0{0,3})?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?\s*$"
 _GUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 
 
@@ -124,7 +124,7 @@ def cast_text(text: Column, type_name: str) -> Column:
 
     Nothing is lost in silence: a decimal with more digits than its type keeps, 28 before and 10
     after the point unless it carries its size like ``decimal(10,2)``, does not fit, and neither
-    does a ``DateTime`` with a zone. ``DateTimeOffset`` gives a struct, because a Spark timestamp
+    does a ``DateTime`` with a zone or a time finer than microseconds. ``DateTimeOffset`` gives a struct, because a Spark timestamp
     keeps only the instant. A trailing ``?`` (nullable) means nothing here.
     """
     type_name = type_name.rstrip("?")

@@ -16,7 +16,7 @@ def script_blocks(
     files: DataFrame, text: str = "content", delimiter: str = S.BLOCK_DELIMITER
 ) -> DataFrame:
     """One row per executable block, numbered from 1 inside its file, comments removed."""
-    blocks = S.split_blocks(S.strip_comments(F.col(text)), delimiter)
+    blocks = S.split_blocks(F.col(text), delimiter, comments=False)
     others = [c for c in files.columns if c != text]
     return files.select(*others, F.posexplode(blocks).alias("_pos", "block")).select(
         *others, (F.col("_pos") + 1).alias("block_no"), F.col("block")
@@ -27,7 +27,7 @@ def block_counts(
     files: DataFrame, text: str = "content", delimiter: str = S.BLOCK_DELIMITER
 ) -> DataFrame:
     """Files with their number of blocks; no row per block is made."""
-    blocks = F.size(S.split_blocks(S.strip_comments(F.col(text)), delimiter))
+    blocks = F.size(S.split_blocks(F.col(text), delimiter, comments=False))
     return files.select(*[c for c in files.columns if c != text], blocks.alias("blocks_total"))
 
 

@@ -295,6 +295,38 @@ _SUMMARY = """
 # Comments out, then blocks between GO lines; blank blocks do not count.
 _BLOCKS = r"""regexp_split_to_array(regexp_replace(content, '(?s)/\*.*?\*/', '', 'g'),
     '(?im)^[ \t]*GO[ \t]*\r?$')"""
+
+# The same from left to right: d is the depth of comments, q the open quote, bracket or line comment,
+# p the last character of a mark, o the text so far and c that of the open comment, which counts if
+# it is never closed. Line breaks outside the code are chr(1) until the blocks are cut.
+_SCANNED = r"""
+    pieces AS (
+        SELECT doc_id, release_version, list_transform(
+                   regexp_extract_all(content, ']]|[-/*''"\[\]\n]|[^-/*''"\[\]\n]+'),
+                   lambda t: {'d': 0, 'q': '', 'p': '', 'o': t, 'c': ''}) AS tokens
+        FROM script_marked),
+    scanned AS (
+        SELECT doc_id, release_version, list_reduce(
+            list_prepend({'d': 0, 'q': '', 'p': '', 'o': '', 'c': ''}, tokens), lambda a, t: CASE
+                WHEN a.d = 1 AND a.p || t.o = '*/' THEN {'d': 0, 'q': '', 'p': '', 'o': a.o, 'c': ''}
+                WHEN a.d > 0 AND a.p || t.o IN ('*/', '/*')
+                    THEN {'d': a.d + CASE t.o WHEN '*' THEN 1 ELSE -1 END, 'q': '', 'p': '', 'o': a.o, 'c': a.c || t.o}
+                WHEN a.d > 0 THEN {'d': a.d, 'q': '', 'p': t.o, 'o': a.o, 'c': a.c || t.o}
+                WHEN a.q = '' AND a.p || t.o = '/*'
+                    THEN {'d': 1, 'q': '', 'p': '', 'o': left(a.o, length(a.o) - 1), 'c': '/*'}
+                WHEN a.q = '' AND a.p || t.o = '--' THEN {'d': 0, 'q': '--', 'p': '', 'o': a.o || t.o, 'c': ''}
+                WHEN a.q = '' THEN {'d': 0, 'q': CASE WHEN t.o IN ('''', '"', '[') THEN t.o ELSE '' END,
+                                    'p': t.o, 'o': a.o || t.o, 'c': ''}
+                WHEN a.q = '--' AND t.o = chr(10) OR a.q = '[' AND t.o = ']' OR a.q IN ('''', '"') AND t.o = a.q
+                    THEN {'d': 0, 'q': '', 'p': '', 'o': a.o || t.o, 'c': ''}
+                ELSE {'d': 0, 'q': a.q, 'p': '', 'o': a.o || CASE WHEN t.o = chr(10) THEN chr(1) ELSE t.o END, 'c': ''}
+            END) AS s
+        FROM pieces),
+    cut AS (
+        SELECT doc_id, release_version, list_filter(
+                   regexp_split_to_array(s.o || s.c, '(?im)^[ \t]*GO[ \t]*\r?$'),
+                   lambda b: regexp_matches(replace(b, chr(1), chr(10)), '\S')) AS blocks
+        FROM scanned)"""
 _SETTINGS = r"(?s)/\*\s*\[Settings\](.*?)\*/"
 
 ORACLES: dict[str, str] = {
@@ -411,6 +443,9 @@ ORACLES: dict[str, str] = {
         FROM (SELECT doc_id, unnest(blocks) AS block, generate_subscripts(blocks, 1) AS pos
               FROM (SELECT doc_id, list_filter({_BLOCKS}, lambda b: regexp_matches(b, '\S')) AS blocks
                     FROM script_with_settings) s) t""",
+    "script_marked_blocks": duckdb_ctes("script_marked") + "," + _SCANNED + """
+        SELECT doc_id, release_version, CAST(pos AS INTEGER) AS block_no, replace(block, chr(1), chr(10)) AS block
+        FROM (SELECT doc_id, release_version, unnest(blocks) AS block, generate_subscripts(blocks, 1) AS pos FROM cut)""",
     "script_block_counts": duckdb_ctes("script") + rf"""
         SELECT filename, doc_id, release_version, target_group_alias,
                CAST(len(list_filter({_BLOCKS}, lambda b: regexp_matches(b, '\S'))) AS INTEGER) AS blocks_total

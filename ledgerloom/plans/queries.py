@@ -233,6 +233,12 @@ def script_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return scripts.script_blocks(files)
 
 
+@query
+def script_marked_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks of scripts with nested comments, and with marks in literals, names and line comments."""
+    return scripts.script_blocks(view(spark, sf, "script_marked"))
+
+
 @query
 def script_block_counts(spark: SparkSession, sf: str) -> DataFrame:
     return scripts.block_counts(view(spark, sf, "script"))

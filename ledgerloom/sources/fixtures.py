@@ -172,6 +172,24 @@ VIEWS = {
                || CASE WHEN doc_id % 9 = 0 THEN '/*[Settings] n=' || CAST(doc_id AS STRING) || ' */' ELSE '' END
                AS content
         FROM {documents}""",
+    # The same files with what a lexer has to tell apart between their lines: line comments with marks,
+    # nested comments, and literals and names with marks and GO lines; some end inside one of them.
+    "script_marked": """
+        SELECT doc_id, lang AS release_version,
+               replace(text, chr(10), chr(10) || 'GO' || chr(10) || CASE doc_id % 8
+                   WHEN 0 THEN '-- see /* here' || chr(10) || 'SELECT 1' || chr(10) || '-- end */' || chr(10)
+                   WHEN 1 THEN '/* a /* b' || chr(10) || 'GO' || chr(10) || '*/ DROP TABLE t; */'
+                   WHEN 2 THEN 'PRINT ' || chr(39) || '/* keep' || chr(10) || 'GO' || chr(10)
+                        || chr(39) || chr(39) || ' */' || chr(39) || chr(10)
+                   WHEN 3 THEN 'SELECT [a]]/*' || chr(10) || 'GO' || chr(10) || '] FROM "b--' || chr(39) || chr(10)
+                        || 'go' || chr(10) || '"' || chr(10)
+                   WHEN 4 THEN '/* don' || chr(39) || 't /*/ x */ */ -- ' || chr(39) || chr(10) || ' GO ' || chr(10)
+                   WHEN 5 THEN '/*/* 1 */ /* "2" */ /* [3 */*/GO' || chr(10) || '**/ / *' || chr(10)
+                   WHEN 6 THEN chr(39) || chr(10) || 'GO' || chr(10) || '--' || chr(39) || '/**/' || chr(10)
+                   ELSE '' END)
+               || CASE doc_id % 5 WHEN 1 THEN '/* open' || chr(10) || 'GO' || chr(10) || 'x'
+                   WHEN 2 THEN chr(39) || 'open' || chr(10) || 'GO' || chr(10) || 'x' ELSE '' END AS content
+        FROM {documents}""",
     # A later state of the files: some renamed (removed + added), some changed.
     "script_next": """
         SELECT CASE WHEN doc_id % 10 = 0 THEN 'new_' ELSE 'doc_' END || CAST(doc_id AS STRING) AS filename,
@@ -272,8 +290,11 @@ VIEWS = {
             (34, 'DateTime', '2020-13-01', false), (35, 'DateTimeOffset', '2020-01-01T10:00:00+05:00', true),
             (36, 'DateTimeOffset', 'soon', false), (37, 'byte[]', 'bytes', true), (38, 'XElement', '<a/>', true),
             (39, 'XmlDocument', '<a/>', true), (40, 'int?', CAST(NULL AS STRING), true), (41, 'int?', 'x', false),
-            (42, 'decimal?', '2.50', true), (43, 'decimal', '1e3', false), (44, 'DateTime', '1000-01-01', true)
-        ) s(place, type_name, value, fits) ON event_id % 45 = s.place""",
+            (42, 'decimal?', '2.50', true), (43, 'decimal', '1e3', false), (44, 'DateTime', '1000-01-01', true),
+            (45, 'DateTime', '2020-01-01 00:00:00.1234567', false), (46, 'DateTime', '2020-01-01 00:00:00.1234560', true),
+            (47, 'DateTimeOffset', '2020-01-01T00:00:00.123456789Z', false),
+            (48, 'DateTimeOffset', '2020-01-01T00:00:00.123456000Z', true)
+        ) s(place, type_name, value, fits) ON event_id % 49 = s.place""",
     "event_text": """
         SELECT event_id, CAST(user_id AS STRING) AS user_text,
                regexp_extract(props, '([0-9]+)', 1) AS k_text,

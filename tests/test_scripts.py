@@ -1,4 +1,6 @@
 import hashlib
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +41,103 @@ def test_strip_comments(spark):
     assert one(spark, "a{-x-}b", lambda c: S.strip_comments(c, "{-", "-}")) == "ab"
 
 
+def lexed(text, start="/*", end="*/", comments=False):
+    """Blocks and the text without comments, one character after the other."""
+    depth, quote, i, out, opened = 0, "", 0, [], 0
+    close = {"'": "'", '"': '"', "[": "]", "--": "\n"}
+    while i < len(text):
+        two, one = text[i : i + 2], text[i]
+        if depth:
+            if two in (start, end):
+                depth += 1 if two == start else -1
+                out += [(c, "comment") for c in two]
+                i += 2
+                continue
+            out.append((one, "comment"))
+        elif not quote and two == start:
+            depth, opened = 1, len(out)
+            out += [(c, "comment") for c in two]
+            i += 2
+            continue
+        elif not quote:
+            quote = two if two == "--" else one if one in "'\"[" else ""
+            out += [(c, "code") for c in (quote or one)]
+            i += len(quote) or 1
+            continue
+        elif quote == "[" and two == "]]":
+            out += [("]", "quoted")] * 2
+            i += 2
+            continue
+        else:
+            ends = one == close[quote]
+            out.append((one, "code" if ends and quote == "--" else "quoted"))
+            quote = "" if ends else quote
+        i += 1
+    if depth:
+        out[opened:] = [(c, "code") for c, _ in out[opened:]]
+    kept = [(c, kind) for c, kind in out if comments or kind != "comment"]
+    lines, blocks = [[]], [[]]
+    for c, kind in kept:
+        lines[-1].append((c, kind))
+        if c == "\n" and kind == "code":
+            lines.append([])
+    for line in lines:
+        body = "".join(c for c, _ in line)
+        bare = body[:-1] if line and line[-1] == ("\n", "code") else body
+        if re.fullmatch(r"[ \t]*GO[ \t]*\r?", bare, re.I):
+            blocks.append([body[len(bare) :]])
+        else:
+            blocks[-1].append(body)
+    whole = ["".join(b) for b in blocks]
+    return [b for b in whole if re.search(r"[^ \t\n\x0b\f\r]", b)], "".join(c for c, _ in kept)
+
+
+PROBES = [
+    "-- see /* here\nSELECT 1\nGO\n-- end */\nSELECT 2",
+    "/* a /* b */ DROP TABLE t; */\nSELECT 1",
+    "SELECT '/* keep */'",
+    "PRINT 'a\nGO\nb'\nGO\nSELECT 1",
+    "SELECT [a]]\nGO\n/*] /* x */\nGO\n\"--\nGO\n\"",
+    "/* don't /*/ */ */ it's\nGO\n' -- '\nGO\nx",
+    "a /* open\nGO\n'b", "'open\nGO\n/* b", "/**/*/ /*/ */ --", "\u0001\n'\u0001\n\u0001\u0002\u0003'\nGO\nx", "]]\nGO\n]",
+]
+
+
+def test_lexer(spark):
+    random.seed(5)
+    parts = ["/*", "*/", "--", "'", '"', "[", "]", "]]", "\n", "\nGO\n", "\ngo \t\r\n", "GO", "x", " ", "*", "/", "-", "é\U0001f600", "\u0001"]
+    texts = PROBES + ["".join(random.choices(parts, k=random.randint(1, 40))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(8)
+    rows = df.select(
+        "t",
+        S.strip_comments(F.col("t")).alias("rest"),
+        S.split_blocks(F.col("t"), comments=False).alias("blocks"),
+        S.split_blocks(F.col("t")).alias("with_comments"),
+    ).collect()
+    for r in rows:
+        blocks, rest = lexed(r.t)
+        assert (r.rest, r.blocks) == (rest, blocks), r.t
+        assert r.with_comments == lexed(r.t, comments=True)[0], r.t
+
+
+def test_probes(spark):
+    """The statements that a pattern alone lost or made up."""
+    assert one(spark, PROBES[0], lambda c: S.split_blocks(c, comments=False)) == [
+        "-- see /* here\nSELECT 1\n", "\n-- end */\nSELECT 2",
+    ]
+    assert one(spark, PROBES[1], S.strip_comments) == "\nSELECT 1"
+    assert one(spark, PROBES[2], S.strip_comments) == PROBES[2]
+    assert one(spark, PROBES[3], lambda c: S.split_blocks(c, comments=False)) == ["PRINT 'a\nGO\nb'\n", "\nSELECT 1"]
+
+
+@pytest.mark.parametrize("part", ["/* ", "/* */", "'", "''", "--", "[", "x\nGO\n", "/*'*/\n", "- ", "/"])
+def test_long_scripts_full_of_marks(spark, part):
+    text = "/* /* */ */" + part * 50_000
+    blocks, rest = lexed(text)
+    got = one(spark, text, lambda c: F.struct(S.strip_comments(c), F.size(S.split_blocks(c, comments=False))))
+    assert tuple(got) == (rest, len(blocks))
+
+
 def test_settings(spark):
     text = "/* other */\n/* [Tool]\nx=1\n*/\nselect 1"
     assert one(spark, text, lambda c: S.settings_section(c, "Tool")) == "\nx=1\n"
