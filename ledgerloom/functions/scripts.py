@@ -156,17 +156,38 @@ def _unguarded(text: Column) -> Column:
     return F.replace(whole, F.lit(_GUARDED_GUARD), F.lit(_GUARD))
 
 
-def _plain(text: Column, start: str, end: str) -> Column:
-    """Whether a pattern finds the comments: none in another one, nor literals, names, line comments."""
-    marks = "|".join(map(re.escape, [*_OPENING, _LINE_COMMENT]))
+def _without_plain(text: Column, start: str, end: str) -> Column:
+    return F.regexp_replace(text, f"(?s){re.escape(start)}.*?{re.escape(end)}", "")
+
+
+def _nested(text: Column, start: str, end: str) -> Column:
+    """Whether a comment starts before another one has ended."""
     a, b = re.escape(start), re.escape(end)
     # Possessive, so that it loops instead of recursing.
-    nested = f"{a}(?:[^{re.escape(start[0] + end[0])}]|(?!{a}|{b})(?s:.))*+{a}"
-    return ~text.rlike(f"{marks}|{nested}")
+    inside = f"(?:[^{re.escape(start[0] + end[0])}]|(?!{a}|{b})(?s:.))*+"
+    return F.contains(text, F.lit(start)) & text.rlike(f"{a}{inside}{a}")
 
 
-def _without_plain(text: Column, start: str, end: str) -> Column:
-    return F.regexp_replace(text, f"(?s){re.escape(start)}.*?{re.escape(end)}", "")
+def _by_need(
+    text: Column, start: str, end: str, plain: Callable[[Column], Column], lexed: Callable[[Column], Column]
+) -> Column:
+    """``plain`` of the text without what a pattern takes for comments, or ``lexed`` of the text.
+
+    A pattern finds the comments if none is inside another one, and if what it leaves has neither
+    literals nor names nor line comments.
+    """
+
+    def of(whole: Column, rest: Column) -> Column:
+        clean = F.lit(True)
+        for mark in (*_OPENING, _LINE_COMMENT):
+            clean = clean & ~F.contains(rest, F.lit(mark))
+        return F.when(clean, plain(rest)).otherwise(lexed(whole))
+
+    def choose(whole: Column) -> Column:
+        simple = _let(_without_plain(whole, start, end), lambda rest: of(whole, rest))
+        return F.when(_nested(whole, start, end), lexed(whole)).otherwise(simple)
+
+    return _let(text, choose)
 
 
 def strip_comments(text: Column, start: str = COMMENT_START, end: str = COMMENT_END) -> Column:
@@ -175,8 +196,8 @@ def strip_comments(text: Column, start: str = COMMENT_START, end: str = COMMENT_
     Marks in literals, in quoted or bracketed names, and in line comments are no comments. A comment
     that is not closed stays.
     """
-    return F.when(_plain(text, start, end), _without_plain(text, start, end)).otherwise(
-        _unguarded(_lexed(text, start, end, True))
+    return _by_need(
+        text, start, end, lambda rest: rest, lambda whole: _unguarded(_lexed(whole, start, end, True))
     )
 
 
@@ -194,13 +215,15 @@ def split_blocks(
     """
     # (?d): only \n ends a line, whatever else Java would take for a line end.
     line = rf"(?imd)^[ \t]*{re.escape(delimiter)}[ \t]*\r?$"
-    plain = _plain(text, start, end)
+
+    def lexed(whole: Column) -> Column:
+        return F.transform(F.split(_lexed(whole, start, end, not comments), line), _unguarded)
+
     if comments:
-        plain = plain & ~F.contains(text, F.lit(start))
-    lexed = F.split(_lexed(text, start, end, not comments), line)
-    blocks = F.when(plain, F.split(text if comments else _without_plain(text, start, end), line)).otherwise(
-        F.transform(lexed, _unguarded)
-    )
+        marks = "|".join(map(re.escape, (start, *_OPENING, _LINE_COMMENT)))
+        blocks = _let(text, lambda whole: F.when(whole.rlike(marks), lexed(whole)).otherwise(F.split(whole, line)))
+    else:
+        blocks = _by_need(text, start, end, lambda rest: F.split(rest, line), lexed)
     return F.filter(blocks, lambda block: block.rlike(r"\S"))
 
 

@@ -56,6 +56,25 @@ class GetOrCreate:
 
 _RESULT = ["request_id", "result_code", "message", "id"]
 
+# Takes a number of ids and returns the one before the first of them.
+Reserve = Callable[[int], int]
+# Writes an outcome and returns it as it was written.
+Store = Callable[[DataFrame], DataFrame]
+
+
+def new_rows_of(outcome: DataFrame) -> DataFrame:
+    """The rows that a stored outcome adds to its table."""
+    return outcome.where("new IS NOT NULL").select("id", "new.*")
+
+
+def results_of(outcome: DataFrame) -> DataFrame:
+    return outcome.select(*_RESULT)
+
+
+def repair_keys_of(outcome: DataFrame) -> DataFrame:
+    """The run keys whose open runs a stored outcome ends: those of admitted requests that repair."""
+    return outcome.where("repairs").select(*[F.col(f"new.{c}").alias(c) for c in RUN_KEY]).distinct()
+
 
 def _get_or_create(
     requests: DataFrame,
@@ -66,6 +85,8 @@ def _get_or_create(
     messages: dict[str, Column],
     values: dict[str, Column],
     equal: Callable[[Column], Column],
+    reserve: Reserve | None,
+    store: Store | None,
 ) -> GetOrCreate:
     """Ids of the requested keys; a key without a ledger row gets a new one, once.
 
@@ -82,7 +103,6 @@ def _get_or_create(
         .groupBy(*parts)
         .agg(F.min("request_id").alias("_first"))
     )
-    asked = stored(asked, f"{table}-asked")
     known = (
         lookup(ledger.select(*keyed, "id"), asked, parts, "left_semi")
         .groupBy(*parts)
@@ -90,7 +110,8 @@ def _get_or_create(
     )
     both = stored(lookup(asked, known, parts), f"{table}-keys")
     fresh = both.where("_rows IS NULL").select(*parts, "_first")
-    numbered = assign_ids(fresh, parts, next_id_base(ledger), id_col="_id")
+    base = next_id_base(ledger) if reserve is None else reserve(fresh.count())
+    numbered = assign_ids(fresh, parts, base, id_col="_id")
     once = F.col("_rows") == 1
     stood = both.where("_rows IS NOT NULL").select(
         *parts,
@@ -123,9 +144,8 @@ def _get_or_create(
         F.col("_id").alias("id"),
         F.when(F.col("_status") == "created", new).alias("new"),
     )
-    outcome = stored(outcome, f"{table}-outcome")
-    new_rows = outcome.where("new IS NOT NULL").select("id", "new.*")
-    return GetOrCreate(outcome.select(*_RESULT), new_rows)
+    outcome = stored(outcome, f"{table}-outcome") if store is None else store(outcome)
+    return GetOrCreate(results_of(outcome), new_rows_of(outcome))
 
 
 def get_or_create_products(
@@ -133,12 +153,15 @@ def get_or_create_products(
     products: DataFrame,
     now: dt.datetime | None = None,
     equal: Callable[[Column], Column] = same_text,
+    reserve: Reserve | None = None,
+    store: Store | None = None,
 ) -> GetOrCreate:
     """Id of each requested product name; unknown names are added once.
 
     ``requests`` has ``request_id`` (unique), ``name`` and ``description``. Requests count in
     the order of their ids. An empty name, a text that is too long for the table, and a name that
-    is stored more than once are errors. Runs jobs and stores the outcome.
+    is stored more than once are errors. Runs jobs and stores the outcome, with ``store`` if it is
+    given; ``reserve`` gives out ids, by default those after the highest one in the table.
     """
     too_long = _too_long("product", ["name", "description"])
     # Result messages.
@@ -153,7 +176,9 @@ def get_or_create_products(
         "ambiguous": F.concat(F.lit("Multiple [Product]-entries found for Product ["), "name", F.lit("].")),
     }
     values = {"created_at": moment(now)}
-    return _get_or_create(requests, products, "product", ["name"], refusal, messages, values, equal)
+    return _get_or_create(
+        requests, products, "product", ["name"], refusal, messages, values, equal, reserve, store
+    )
 
 
 def get_or_create_versions(
@@ -162,6 +187,8 @@ def get_or_create_versions(
     now: dt.datetime | None = None,
     tool: str = TOOL,
     equal: Callable[[Column], Column] = same_text,
+    reserve: Reserve | None = None,
+    store: Store | None = None,
 ) -> GetOrCreate:
     """Id of each requested version (three-part key); unknown versions are added once.
 
@@ -171,10 +198,10 @@ def get_or_create_versions(
     """
     missing = _named([(k, F.col(k).isNull()) for k in VERSION_KEY])
     too_long = _too_long("migrator_version", VERSION_KEY)
-    layout, store, build = [shown(F.col(k)) for k in VERSION_KEY]
+    layout, database, build = [shown(F.col(k)) for k in VERSION_KEY]
     # Result messages.
     entry = F.concat(
-        F.lit("RepositoryVersion ["), layout, F.lit("], RepositoryDatabaseType ["), store,
+        F.lit("RepositoryVersion ["), layout, F.lit("], RepositoryDatabaseType ["), database,
         F.lit(f"], {tool}Version ["), build, F.lit("]."),
     )
     exists, text_id = f"{tool} repository already exists. ", F.col("_id").cast("string")
@@ -187,7 +214,9 @@ def get_or_create_versions(
         "created": F.concat(F.lit(exists + "New VersionId ["), text_id, F.lit("] created.")),
     }
     values = {"created_at": moment(now)}
-    return _get_or_create(requests, versions, "migrator_version", VERSION_KEY, refusal, messages, values, equal)
+    return _get_or_create(
+        requests, versions, "migrator_version", VERSION_KEY, refusal, messages, values, equal, reserve, store
+    )
 
 
 def repair_runs(
@@ -249,6 +278,8 @@ def admit_runs(
     now: dt.datetime | None = None,
     fix: str | None = None,
     fix_result_id: int = RESULT_FIXED,
+    reserve: Reserve | None = None,
+    store: Store | None = None,
 ) -> Admission:
     """Admit run requests whose key (product, environment, mode) has no open run.
 
@@ -262,19 +293,17 @@ def admit_runs(
     required value, with a product, version, mode or result that does not exist, or with a text
     that is too long. Ids are dense over the admitted requests.
 
-    Runs jobs and stores the outcome. All is decided on the narrow columns; whole requests are
-    shuffled once, to make the new runs.
+    Runs jobs and stores the outcome, with ``store`` if it is given; ``reserve`` gives out ids, by
+    default those after the highest one in the table. All is decided on the narrow columns; whole
+    requests are shuffled once, to make the new runs.
     """
     wants_fix = F.coalesce(F.col(fix), F.lit(False)) if fix else F.lit(False)
-    narrow = stored(
-        requests.select(
-            "request_id",
-            "requested_at",
-            *_REQUIRED,
-            wants_fix.alias("_fix"),
-            _too_long("migration_run", _RUN_TEXTS).alias("_too_long"),
-        ),
-        "run-requests",
+    narrow = requests.select(
+        "request_id",
+        "requested_at",
+        *_REQUIRED,
+        wants_fix.alias("_fix"),
+        _too_long("migration_run", _RUN_TEXTS).alias("_too_long"),
     )
     names = _parents(products.select("id", "name"), narrow, "product_id", F.min("name").alias("_product"))
     builds = _parents(versions.select("id"), narrow, "migrator_version_id")
@@ -297,9 +326,8 @@ def admit_runs(
         .when(unknown != "", what("with unknown", unknown))
         .when(F.col("_too_long") != "", what("with too long", F.col("_too_long")))
     )
-    checked = stored(
-        checked.select("request_id", "requested_at", *RUN_KEY, "_fix", "_product", refusal.alias("_refusal")),
-        "run-checked",
+    checked = checked.select(
+        "request_id", "requested_at", *RUN_KEY, "_fix", "_product", refusal.alias("_refusal")
     )
     complete = checked.where("_refusal IS NULL")
 
@@ -333,10 +361,12 @@ def admit_runs(
         "_refusal",
         entered.alias("_entered"),
         F.coalesce("_stays", F.lit(False)).alias("_stays"),
+        (entered & F.col("_fix")).alias("_repairs"),
     )
     decided = stored(decided, "run-decided")
     entering = decided.where("_entered").select("request_id")
-    numbered = assign_ids(entering, ["request_id"], next_id_base(runs), id_col="_id")
+    base = next_id_base(runs) if reserve is None else reserve(entering.count())
+    numbered = assign_ids(entering, ["request_id"], base, id_col="_id")
     answered = lookup(decided, numbered, ["request_id"])
     rows = lookup(requests, answered, ["request_id"])
     # Result messages.
@@ -379,12 +409,12 @@ def admit_runs(
         message.alias("message"),
         F.col("_id").alias("id"),
         F.when(F.col("_entered"), new).alias("new"),
+        F.col("_repairs").alias("repairs"),
     )
-    outcome = stored(outcome, "run-outcome")
-    new_runs = outcome.where("new IS NOT NULL").select("id", "new.*")
-    repair_keys = complete.where("_fix").select(*RUN_KEY).distinct()
+    outcome = stored(outcome, "run-outcome") if store is None else store(outcome)
+    new_runs, repair_keys = new_rows_of(outcome), repair_keys_of(outcome)
     repaired = repair_runs(runs, repair_keys, now, fix_result_id)
-    return Admission(outcome.select(*_RESULT), new_runs, repair_keys, repaired.unionByName(new_runs))
+    return Admission(results_of(outcome), new_runs, repair_keys, repaired.unionByName(new_runs))
 
 
 def current_from_history(history: DataFrame) -> DataFrame:

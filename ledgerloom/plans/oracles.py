@@ -485,6 +485,18 @@ ORACLES: dict[str, str] = {
                + row_number() OVER (ORDER BY md5(CAST(migration_run_id AS VARCHAR))) AS id,
                *, {_NOW} AS created_at
         FROM log_entry""",
+    "product_ledger_applied_twice": _PRODUCTS + f"""
+        SELECT id, name, description, created_at FROM product
+        UNION ALL
+        SELECT f.new_id, f.name, r.description, {_NOW} FROM fresh f JOIN product_request r ON r.request_id = f.first_id""",
+    "run_ledger_applied_twice": _admission_ledger(),
+    "log_append_numbered": duckdb_ctes("log_entry", "migration_log") + f"""
+        SELECT * FROM migration_log
+        UNION ALL BY NAME
+        SELECT (SELECT max(id) FROM migration_log)
+               + row_number() OVER (ORDER BY md5(CAST(migration_run_id AS VARCHAR))) AS id,
+               *, {_NOW} AS created_at
+        FROM log_entry""",
     "log_stream_once": duckdb_ctes("migration_log") + " SELECT * FROM migration_log",
     "parameter_types": duckdb_ctes("typed_parameter") + """
         SELECT request_id, name, type_name, value,

@@ -356,3 +356,40 @@ def run_ledger_applied(spark: SparkSession, sf: str) -> DataFrame:
         return repo.read("migration_run")
 
     return _in_repository(spark, sf, ["product", "migrator_version", "migration_run"], work)
+
+
+@query
+def product_ledger_applied_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored products after one batch was applied twice."""
+
+    def work(repo: Repository) -> DataFrame:
+        for _ in range(2):
+            repo.apply_products(view(spark, sf, "product_request"), NOW, batch="names")
+        return repo.read("product")
+
+    return _in_repository(spark, sf, ["product"], work)
+
+
+@query
+def run_ledger_applied_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored run table after one batch, with repairs, was applied twice."""
+
+    def work(repo: Repository) -> DataFrame:
+        for _ in range(2):
+            repo.apply_runs(view(spark, sf, "run_request"), NOW, "fix", batch="runs")
+        return repo.read("migration_run")
+
+    return _in_repository(spark, sf, ["product", "migrator_version", "migration_run"], work)
+
+
+@query
+def log_append_numbered(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored log after entries were appended, numbered by its high-water mark."""
+
+    def work(repo: Repository) -> DataFrame:
+        repo.check_create_log()
+        repo.replace("migration_log", view(spark, sf, "migration_log"))
+        repo.append_log(view(spark, sf, "log_entry"), ["migration_run_id"], NOW)
+        return repo.read("migration_log")
+
+    return _in_repository(spark, sf, [], work)

@@ -57,3 +57,37 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
 def remove_folder(spark: SparkSession, folder: str) -> None:
     path, files = _file_system(spark, folder)
     files.delete(path, True)
+
+
+def files_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none if there is no such folder."""
+    path, files = _file_system(spark, folder)
+    listed = files.listStatus(path) if files.exists(path) else []
+    return [f.getPath().getName() for f in listed if f.isFile()]
+
+
+def is_file(spark: SparkSession, name: str) -> bool:
+    path, files = _file_system(spark, name)
+    return files.exists(path) and files.getFileStatus(path).isFile()
+
+
+def create_file(spark: SparkSession, name: str, text: str) -> bool:
+    """Create a small file; false if it is there already."""
+    path, files = _file_system(spark, name)
+    files.mkdirs(path.getParent())
+    if not files.createNewFile(path):
+        return False
+    if text:
+        with_text = files.create(path, True)
+        with_text.write(bytearray(text.encode()))
+        with_text.close()
+    return True
+
+
+def read_text(spark: SparkSession, name: str) -> str:
+    path, files = _file_system(spark, name)
+    size = files.getFileStatus(path).getLen()
+    opened = files.open(path)
+    text = "".join(chr(opened.read()) for _ in range(size))
+    opened.close()
+    return text

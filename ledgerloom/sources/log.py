@@ -14,13 +14,15 @@ from ledgerloom.sources.tables import TABLES, struct_type
 
 
 def log_rows(
-    entries: DataFrame, log: DataFrame, key: list[str], now: dt.datetime | None = None
+    entries: DataFrame, log: DataFrame | int, key: list[str], now: dt.datetime | None = None
 ) -> DataFrame:
     """Log rows for new entries: the store adds the id and the time.
 
-    ``key`` names columns that tell the entries apart. Ids continue after those in ``log``.
+    ``key`` names columns that tell the entries apart. Ids continue after those in ``log``, or after
+    the given one; then no log is read.
     """
-    numbered = assign_ids(entries, key, next_id_base(log)).withColumn("created_at", moment(now))
+    base = log if isinstance(log, int) else next_id_base(log)
+    numbered = assign_ids(entries, key, base).withColumn("created_at", moment(now))
     return numbered.select(
         *[F.col(c.name).cast(c.spark_type).alias(c.name) for c in TABLES["migration_log"]]
     )

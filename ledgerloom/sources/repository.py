@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.envelope import format_envelope
 from ledgerloom.functions.values import moment
 from ledgerloom.operators import changes
 from ledgerloom.operators.checks import completeness
+from ledgerloom.operators.joins import lookup
 from ledgerloom.plans.storage import remove_folder, stored, subfolders
+from ledgerloom.sources import log
+from ledgerloom.sources.batches import RequestLedger
+from ledgerloom.sources.marks import HighWater
 from ledgerloom.sources.master import REPOSITORY_VERSION, TOOL, dimension, master_rows
 from ledgerloom.sources.tables import (
     LOG_TABLES,
@@ -28,12 +33,19 @@ from ledgerloom.sources.tables import (
 _OPEN_RUNS = "migration_run_open"
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.UTC).replace(tzinfo=None)
+
+
 class Repository:
     """Ledger tables in one schema. ``prefix`` comes before every table name.
 
-    The tables lie below ``location``, by default the schema's folder in the warehouse. A store
-    without transactions cannot undo a half-done creation; the next check then reports the
-    repository as incomplete.
+    The tables lie below ``location``, by default the schema's folder in the warehouse, each in a
+    folder with the prefix, so several repositories share a schema. A store without transactions
+    cannot undo a half-done creation; the next check then reports the repository as incomplete.
+
+    Batches have an identity: one that is applied again, also after a failure in between, gets the
+    same answers and stores nothing twice. One writer at a time applies batches.
     """
 
     def __init__(
@@ -63,8 +75,14 @@ class Repository:
             return rows.union(self.spark.table(self.name(_OPEN_RUNS)))
         return rows
 
+    def _ids(self, table: str) -> HighWater:
+        return HighWater(self.spark, f"{self.location}/_ids/{self.prefix}{table}")
+
+    def _requests(self, table: str) -> RequestLedger:
+        return RequestLedger(self.spark, f"{self.location}/_requests/{self.prefix}{table}")
+
     def append(self, table: str, rows: DataFrame) -> None:
-        """Add rows; each file is sorted for lookups, without a shuffle."""
+        """Add rows; each file is sorted for lookups, without a shuffle. Ids after theirs are free."""
         if table == "migration_run":
             rows = stored(rows, "new-runs")  # computed once for both tables
             self._insert(table, rows.where("finished_at IS NOT NULL"))
@@ -77,7 +95,20 @@ class Repository:
         rows = rows.select(*struct_type(table).names)
         if table in LOOKUP_ORDER:
             rows = rows.sortWithinPartitions(*LOOKUP_ORDER[table])
+        top, rows = self._observed(rows)
         rows.write.insertInto(self.name(stored_as))
+        self._raise(table, top)
+
+    def _observed(self, rows: DataFrame) -> tuple[Observation | None, DataFrame]:
+        """The rows, and their highest id once they are written, without another pass."""
+        if dict(rows.dtypes).get("id") != "bigint":
+            return None, rows
+        top = Observation()
+        return top, rows.observe(top, F.max("id").alias("id"))
+
+    def _raise(self, table: str, top: Observation | None) -> None:
+        if top is not None:
+            self._ids(table).raise_to(top.get["id"])
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """Store a new version of a table that may be computed from the old one.
@@ -103,61 +134,156 @@ class Repository:
         if table in LOOKUP_ORDER:
             order = LOOKUP_ORDER[table]
             rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        top, rows = self._observed(rows)
         rows.write.parquet(folder)
+        self._raise(table, top)
         return folder
 
     def _point(self, stored_as: str, folder: str) -> None:
         self.spark.sql(f"ALTER TABLE {self.name(stored_as)} SET LOCATION '{folder}'")
         self.spark.catalog.refreshTable(self.name(stored_as))
 
-    def repair_runs(self, keys: DataFrame, now: dt.datetime | None = None) -> None:
-        """End the open runs of the given keys.
+    def repair_runs(
+        self, keys: DataFrame, now: dt.datetime | None = None, below: int | None = None, again: bool = False
+    ) -> None:
+        """End the open runs of the given keys, with ``below`` only those with a smaller id.
 
         Only open runs are read and written: those that stay open to a new folder, the ended ones
-        behind the finished runs. ``keys`` must not depend on the run table.
+        behind the finished runs. ``keys`` must not depend on the run table. ``again`` leaves out
+        runs that an earlier try, which failed in between, has put there already.
         """
-        now = now or dt.datetime.now(dt.UTC).replace(tzinfo=None)
-        repaired = changes.repair_runs(self.spark.table(self.name(_OPEN_RUNS)), keys, now)
+        now = _now() if now is None else now
+        runs = self.spark.table(self.name(_OPEN_RUNS))
+        older = F.lit(True) if below is None else F.col("id") < below
+        repaired = changes.repair_runs(runs.where(older), keys, now).unionByName(runs.where(~older))
         still_open = self._write(_OPEN_RUNS, repaired.where("finished_at IS NULL"))
-        self._insert("migration_run", repaired.where("finished_at IS NOT NULL"))
+        ended = repaired.where("finished_at IS NOT NULL")
+        self._insert("migration_run", self._missing(ended, self.spark.table(self.name("migration_run"))) if again else ended)
         self._point(_OPEN_RUNS, still_open)
 
-    def apply_products(self, requests: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+    def _missing(self, rows: DataFrame, table: DataFrame) -> DataFrame:
+        """The rows whose id is not in the stored table yet; written, because it is about to change."""
+        ends = rows.agg(F.min("id"), F.max("id")).first()
+        near = table.where(F.col("id").between(*ends)).select("id").distinct()
+        return stored(lookup(rows, near, ["id"], "left_anti"), "missing-rows")
+
+    def _store(self, table: str, outcome: DataFrame, again: bool) -> None:
+        """Store what an outcome changes; ``again`` after a try that may have stored a part of it."""
+        new = changes.new_rows_of(outcome)
+        if table == "migration_run" and not outcome.where("repairs").isEmpty():
+            first = new.agg(F.min("id").alias("id"), F.min("started_at").alias("at")).first()
+            self.repair_runs(changes.repair_keys_of(outcome), first["at"], below=first["id"], again=again)
+        if again:
+            new = self._missing(new, self.read(table))
+        if not new.isEmpty():
+            self.append(table, new)
+
+    def recover(self, table: str) -> None:
+        """Store what batches before a failure have decided and not stored."""
+        for note, outcome in self._requests(table).pending():
+            if outcome is not None:
+                self._store(table, outcome, again=True)
+            self._requests(table).stored(note)
+
+    def _apply(
+        self, table: str, requests: DataFrame, batch: str | None, decide: Callable[[DataFrame, Callable], object]
+    ) -> DataFrame:
+        """Answers to a batch: those in the request ledger, and of the others by ``decide``."""
+        ledger = self._requests(table)
+        self.recover(table)
+        batch = batch or uuid.uuid4().hex
+        known = ledger.answered(batch)
+        if known is not None:
+            answered = known.select("request_id").distinct()
+            requests = lookup(requests, answered, ["request_id"], "left_anti")
+            if requests.isEmpty():
+                return changes.results_of(known)
+        written: list[tuple[str, DataFrame]] = []
+
+        def store(outcome: DataFrame) -> DataFrame:
+            written.append(ledger.write(batch, outcome))
+            return written[0][1]
+
+        answer = decide(requests, store)
+        [(note, outcome)] = written
+        self._store(table, outcome, again=False)
+        ledger.stored(note)
+        return answer.results if known is None else changes.results_of(known).unionByName(answer.results)
+
+    def apply_products(
+        self, requests: DataFrame, now: dt.datetime | None = None, batch: str | None = None
+    ) -> DataFrame:
         """Get or create products, store the new ones, and return the answers."""
-        answer = changes.get_or_create_products(requests, self.read("product"), now)
-        self.append("product", answer.new_rows)
-        return answer.results
+        reserve = self._ids("product").reserve
+        return self._apply(
+            "product",
+            requests,
+            batch,
+            lambda asked, store: changes.get_or_create_products(
+                asked, self.read("product"), now, reserve=reserve, store=store
+            ),
+        )
 
-    def apply_versions(self, requests: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+    def apply_versions(
+        self, requests: DataFrame, now: dt.datetime | None = None, batch: str | None = None
+    ) -> DataFrame:
         """Get or create versions, store the new ones, and return the answers."""
-        answer = changes.get_or_create_versions(requests, self.read("migrator_version"), now, self.tool)
-        self.append("migrator_version", answer.new_rows)
-        return answer.results
+        reserve = self._ids("migrator_version").reserve
+        return self._apply(
+            "migrator_version",
+            requests,
+            batch,
+            lambda asked, store: changes.get_or_create_versions(
+                asked, self.read("migrator_version"), now, self.tool, reserve=reserve, store=store
+            ),
+        )
 
-    def apply_runs(self, requests: DataFrame, now: dt.datetime | None = None, fix: str | None = None) -> DataFrame:
+    def apply_runs(
+        self, requests: DataFrame, now: dt.datetime | None = None, fix: str | None = None, batch: str | None = None
+    ) -> DataFrame:
         """Admit run requests, repair and store runs, and return the answers."""
-        answer = changes.admit_runs(
-            requests, self.read("migration_run"), self.read("product"), self.read("migrator_version"), now, fix
-        )
-        if fix:
-            self.repair_runs(answer.repair_keys, now)
-        self.append("migration_run", answer.new_runs)
-        return answer.results
+        now = _now() if now is None else now
+        return self._apply(
+            "migration_run",
+            requests,
+            batch,
+            lambda asked, store: changes.admit_runs(
+                asked, self.read("migration_run"), self.read("product"), self.read("migrator_version"),
+                now, fix, reserve=self._ids("migration_run").reserve, store=store,
+            ),
+        )
+
+    def append_log(self, entries: DataFrame, key: list[str], now: dt.datetime | None = None) -> None:
+        """Append entries to the log with ids after its highest one, which is not read for it.
+
+        ``key`` names columns that tell the entries apart.
+        """
+        base = self._ids("migration_log").reserve(entries.count())
+        self.append("migration_log", log.log_rows(entries, base, key, now))
+
+    def _stored_as(self) -> list[str]:
+        """Own tables that exist."""
+        return [t for t in (*REPOSITORY_TABLES, *LOG_TABLES, _OPEN_RUNS) if self.exists(t)]
 
     def vacuum(self) -> None:
-        """Delete the folders that no table points to any more; no query may still read them."""
-        for row in self.catalog().collect():
-            full = f"`{self.schema}`.`{row.table_name}`"
-            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Location'")
+        """Delete the folders that no table of this repository points to any more; no query may
+        still read them."""
+        for table in self._stored_as():
+            described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").where("col_name = 'Location'")
             current = described.first().data_type.rstrip("/").rsplit("/", 1)[-1]
-            for folder in subfolders(self.spark, f"{self.location}/{row.table_name.removeprefix(self.prefix)}"):
+            for folder in subfolders(self.spark, f"{self.location}/{self.prefix}{table}"):
                 if folder.rstrip("/").rsplit("/", 1)[-1] != current:
                     remove_folder(self.spark, folder)
 
     def drop(self) -> None:
-        """Remove the schema, its tables and their files."""
-        self.spark.sql(f"DROP SCHEMA IF EXISTS `{self.schema}` CASCADE")
-        remove_folder(self.spark, self.location)
+        """Remove the tables of this repository with their files, and the schema if nothing else is in it."""
+        for table in self._stored_as():
+            self.spark.sql(f"DROP TABLE {self.name(table)}")
+            for kept in (f"{self.prefix}{table}", f"_ids/{self.prefix}{table}", f"_requests/{self.prefix}{table}"):
+                remove_folder(self.spark, f"{self.location}/{kept}")
+        if self.spark.catalog.databaseExists(self.schema) and not self.spark.catalog.listTables(self.schema):
+            self.spark.sql(f"DROP SCHEMA `{self.schema}`")
+            remove_folder(self.spark, self.location)
 
     def catalog(self) -> DataFrame:
         """The tables of the schema, as ``schema_name`` and ``table_name``."""
@@ -189,15 +315,14 @@ class Repository:
             self._create(REPOSITORY_TABLES)
             first = request.withColumnRenamed("request_id", "id")
             self.append("migrator_version", first.withColumn("created_at", moment(now)))
+            # Result messages, here and below.
             return (
                 f"1,{self.tool} repository-tables with master data and new VersionId [1]"
                 " successfully created"
             )
-        answer = changes.get_or_create_versions(request, self.read("migrator_version"), now, self.tool)
-        if not answer.new_rows.isEmpty():
-            self.append("migrator_version", answer.new_rows)
+        answer = self.apply_versions(request, now)
         line = format_envelope(F.col("result_code"), F.col("message"))
-        return answer.results.select(line.alias("line")).first().line
+        return answer.select(line.alias("line")).first().line
 
     def check_create_log(self) -> str:
         """Create the log tables if absent; envelope code 1 if created, 0 if present."""
@@ -207,7 +332,7 @@ class Repository:
         return "1,Database logging infrastructure successfully created"
 
     def _folder(self, table: str) -> str:
-        return f"{self.location}/{table}/{uuid.uuid4().hex}"
+        return f"{self.location}/{self.prefix}{table}/{uuid.uuid4().hex}"
 
     def _create(self, tables: tuple[str, ...]) -> None:
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{self.schema}` LOCATION '{self.location}'")

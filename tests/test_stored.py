@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import changes
 from ledgerloom.operators.select import state_select
-from ledgerloom.plans.storage import subfolders
+from ledgerloom.plans.storage import create_file, subfolders
 from ledgerloom.sources import log
 from ledgerloom.sources.fixtures import view
+from ledgerloom.sources.marks import HighWater
 from ledgerloom.sources.repository import Repository
 from ledgerloom.sources.tables import REPOSITORY_TABLES, struct_type
 from ledgerloom.streaming import log_stream as stream
@@ -161,7 +162,7 @@ class TestRepository:
         assert files <= set(spark.table(repo.name("migration_run")).inputFiles())
         repo.vacuum()
         assert repo.read("migration_run").count() == n
-        assert len(subfolders(spark, f"{repo.location}/migration_run_open")) == 1
+        assert len(subfolders(spark, f"{repo.location}/app_migration_run_open")) == 1
         repo.drop()
         assert subfolders(spark, repo.location) == [] and not repo.exists("product")
 
@@ -206,3 +207,165 @@ class TestRepository:
         rows = spark.createDataFrame([(1, "x" * 101, None, NOW)], struct_type("product"))
         with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|length limitation"):
             repo.append("product", rows)
+
+    def test_two_prefixes_in_one_schema(self, spark):
+        """Neither vacuum nor drop touches the tables of another prefix."""
+        schema = f"ledger_{uuid.uuid4().hex}"
+        a, b = Repository(spark, schema, prefix="a_"), Repository(spark, schema, prefix="b_")
+        names = spark.createDataFrame([(1, "A", None)], "request_id int, name string, description string")
+        for repo in (a, b):
+            repo.check_create("1.0", "Spark", NOW)
+            repo.apply_products(names, NOW)
+        a.replace("product", a.read("product"))
+        a.vacuum()
+        assert [r.read("product").count() for r in (a, b)] == [1, 1] == [r.read("migrator_version").count() for r in (a, b)]
+        a.drop()
+        assert not a.exists("product") and b.read("product").count() == 1 and b.check().first().status == "complete"
+        assert b.apply_products(names, NOW).first().message == "Product [A] with Id [1] found"
+        b.drop()
+        assert not spark.catalog.databaseExists(schema)
+
+
+class Broken(Exception):
+    pass
+
+
+class TestBatches:
+    """A batch applied again, as a whole or after a failure at any step, has the outcome of one."""
+
+    COLUMNS = (
+        "request_id bigint, requested_at timestamp_ntz, product_id bigint, environment string, migration_run_mode_id smallint,"
+        " migrator_version_id bigint, migration_result_id smallint, from_release_version string, to_release_version string, fix boolean"
+    )
+
+    def repository(self, spark):
+        repo = Repository(spark, f"ledger_{uuid.uuid4().hex}", prefix="app_")
+        repo.check_create("1.0", "Spark", NOW)
+        names = spark.createDataFrame([(i, f"P{i}", None) for i in range(1, 4)], "request_id int, name string, description string")
+        repo.apply_products(names, NOW)
+        repo.apply_runs(self.requests(spark, [(1, 1, False), (2, 2, False)]), NOW, "fix")
+        return repo
+
+    def requests(self, spark, rows):
+        rows = [(i, at(i), product, "DEV", 100, 1, 10, None, None, fix) for i, product, fix in rows]
+        return spark.createDataFrame(rows, self.COLUMNS)
+
+    def state(self, repo):
+        return {t: sorted(map(str, repo.read(t).collect())) for t in ("product", "migration_run")}
+
+    # Product 1 is open and repaired twice, 2 is open, 3 is free.
+    RUNS = [(11, 1, True), (12, 1, True), (13, 2, False), (14, 3, False), (15, 3, False), (16, 9, False)]
+    NAMES = [(1, "P2"), (2, "Q"), (3, "Q"), (4, " ")]
+
+    def names(self, spark, rows=NAMES):
+        return spark.createDataFrame([(*r, None) for r in rows], "request_id int, name string, description string")
+
+    @pytest.fixture(scope="class")
+    def once(self, spark):
+        """Answers and tables of runs applied once, and then also of products."""
+        repo = self.repository(spark)
+        runs = sorted(repo.apply_runs(self.requests(spark, self.RUNS), NOW, "fix").collect())
+        after_runs = self.state(repo)
+        products = sorted(repo.apply_products(self.names(spark), NOW).collect())
+        return runs, after_runs, products, self.state(repo)
+
+    def test_again_as_a_whole(self, spark, once):
+        twice = self.repository(spark)
+        runs, _, products, state = once
+        expected = [products, runs]
+        later = NOW + dt.timedelta(days=1)
+        for now in (NOW, later):
+            got = [sorted(twice.apply_products(self.names(spark), now, "b1").collect()),
+                   sorted(twice.apply_runs(self.requests(spark, self.RUNS), now, "fix", "b2").collect())]
+            assert got == expected and self.state(twice) == state
+        # Another batch in between changes nothing about it, and it ends no run of that batch.
+        twice.apply_runs(self.requests(spark, [(21, 3, True)]), NOW, "fix", "b3")
+        before = self.state(twice)
+        assert sorted(twice.apply_runs(self.requests(spark, self.RUNS), later, "fix", "b2").collect()) == expected[1]
+        assert self.state(twice) == before
+
+    def test_a_batch_that_grows(self, spark):
+        repo = self.repository(spark)
+        first = repo.apply_products(self.names(spark), NOW, "b/1").collect()
+        grown = repo.apply_products(self.names(spark, [*self.NAMES, (5, "R")]), NOW, "b/1").collect()
+        assert sorted(grown)[:4] == sorted(first) and sorted(grown)[4].message == "Product [R] with Id [5] successfully created"
+        assert repo.read("product").count() == 5
+
+    @pytest.mark.parametrize("step", ["_store", "append", "repair_runs", "_point", "_insert:0", "_insert:1", "_insert:2"])
+    def test_again_after_a_failure(self, spark, monkeypatch, once, step):
+        broken = self.repository(spark)
+        requests = self.requests(spark, self.RUNS)
+        name, _, n = step.partition(":")
+        calls = []
+
+        def fail(*args, **more):
+            calls.append(1)
+            if len(calls) > int(n or 0):
+                raise Broken
+            return original(*args, **more)
+
+        original = getattr(broken, name)
+        monkeypatch.setattr(broken, name, fail)
+        with pytest.raises(Broken):
+            broken.apply_runs(requests, NOW, "fix", "b")
+        monkeypatch.undo()
+        assert sorted(broken.apply_runs(requests, NOW + dt.timedelta(days=1), "fix", "b").collect()) == once[0]
+        assert self.state(broken) == once[1]
+
+    def test_the_next_batch_finishes_the_one_before(self, spark, monkeypatch):
+        repo = self.repository(spark)
+        monkeypatch.setattr(repo, "append", lambda *a: (_ for _ in ()).throw(Broken()))
+        with pytest.raises(Broken):
+            repo.apply_products(self.names(spark), NOW, "b1")
+        monkeypatch.undo()
+        answer = repo.apply_products(self.names(spark, [(1, "Q")]), NOW, "b2").first()
+        assert answer.message == "Product [Q] with Id [4] found" and repo.read("product").count() == 4
+
+
+class TestHighWater:
+    def test_claims(self, spark, tmp_path):
+        marks = HighWater(spark, str(tmp_path / "ids"))
+        assert marks.top() is None and marks.reserve(3) == 0 and marks.reserve(2) == 3 and marks.top() == 5
+        marks.raise_to(4)
+        marks.raise_to(None)
+        assert marks.top() == 5 and marks.reserve(0) == 5
+        marks.raise_to(100)
+        assert HighWater(spark, marks.folder).reserve(1) == 100
+        assert len(list((tmp_path / "ids").glob("0*"))) <= 3
+
+    def test_two_writers(self, spark, tmp_path, monkeypatch):
+        """A writer whose range was taken between its look and its claim takes the next one."""
+        first, second = (HighWater(spark, str(tmp_path / "ids")) for _ in range(2))
+        look, taken = first.top, []
+
+        def late():
+            top = look()
+            if not taken:
+                taken.append(second.reserve(4))
+            return top
+
+        monkeypatch.setattr(first, "top", late)
+        assert first.reserve(2) == 4 and taken == [0] and second.top() == 6
+
+    def test_a_writer_that_failed(self, spark, tmp_path):
+        marks = HighWater(spark, str(tmp_path / "ids"))
+        marks.reserve(7)
+        create_file(spark, f"{marks.folder}/{7:020d}", "")
+        assert marks.reserve(1) == 8 and marks.top() == 9
+
+    def test_log_is_not_read_for_an_append(self, spark):
+        repo = Repository(spark, f"ledger_{uuid.uuid4().hex}")
+        repo.check_create_log()
+        sf = "/root/testdata/sf0.001"
+        repo.replace("migration_log", view(spark, sf, "migration_log").where("created_at IS NOT NULL"))
+        top, n = repo.read("migration_log").agg(F.max("id")).first()[0], repo.read("migration_log").count()
+        scans = []
+        original = repo.read
+        repo.read = lambda table: scans.append(table) or original(table)
+        entries = view(spark, sf, "log_entry")
+        repo.append_log(entries, ["migration_run_id"], NOW)
+        rows = log.log_rows(entries, 5, ["migration_run_id"], NOW)
+        assert scans == [] and "migration_log" not in rows._jdf.queryExecution().optimizedPlan().toString()
+        ids = [r.id for r in original("migration_log").where(F.col("id") > top).select("id").collect()]
+        assert sorted(ids) == list(range(top + 1, top + 1 + entries.count())) and original("migration_log").count() == n + len(ids)
+        repo.drop()
