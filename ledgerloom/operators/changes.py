@@ -417,14 +417,18 @@ def admit_runs(
     return Admission(results_of(outcome), new_runs, repair_keys, repaired.unionByName(new_runs))
 
 
-def current_from_history(history: DataFrame) -> DataFrame:
-    """Current state of each migration: its history row with the largest id.
+def newest_history(history: DataFrame) -> DataFrame:
+    """The history row with the largest id of each migration.
 
     Spark turns the filter on the first row into a group limit that already runs before the
     shuffle, so of a hot migration each task passes on one row only. This beats ``max_by`` of a
     struct, which sorts as well and builds the struct for every row.
     """
-    body = [c.name for c in TABLES["migration"] if c.name != "id"]
     newest = Window.partitionBy("migration_id").orderBy(F.desc("id"))
-    first = history.withColumn("_nth", F.row_number().over(newest)).where("_nth = 1")
-    return first.select(F.col("migration_id").alias("id"), *body)
+    return history.withColumn("_nth", F.row_number().over(newest)).where("_nth = 1").drop("_nth")
+
+
+def current_from_history(history: DataFrame) -> DataFrame:
+    """Current state of each migration: that of its newest history row."""
+    body = [c.name for c in TABLES["migration"] if c.name != "id"]
+    return newest_history(history).select(F.col("migration_id").alias("id"), *body)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.values import shown, text_units_sql
@@ -107,7 +108,8 @@ def column_report(tables: dict[str, DataFrame]) -> DataFrame:
     return _union([_column_report(name, df) for name, df in tables.items()])
 
 
-def _column_report(table: str, df: DataFrame) -> DataFrame:
+def _column_measures(table: str) -> tuple[list[str], str]:
+    """Aggregates over the rows of a table, and the report rows made of them."""
     # As SQL text: one expression per measure, where the Column API would take dozens of calls.
     measures, entries = [], []
     for i, c in enumerate(TABLES[table]):
@@ -130,7 +132,29 @@ def _column_report(table: str, df: DataFrame) -> DataFrame:
             f"struct('{table}' AS table_name, '{c.name}' AS column_name, {nulls} AS null_violations,"
             f" {too_long} AS length_violations, {size} AS max_size)"
         )
-    return df.selectExpr(*measures).selectExpr(f"inline(array({', '.join(entries)}))")
+    return measures, f"inline(array({', '.join(entries)}))"
+
+
+def _column_report(table: str, df: DataFrame) -> DataFrame:
+    measures, entries = _column_measures(table)
+    return df.selectExpr(*measures).selectExpr(entries)
+
+
+def observe_columns(table: str, df: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The rows, and the report that ``column_report`` gives of them once they have been written.
+
+    Nulls, lengths and widths are counted while the rows pass by; no other pass is needed.
+    """
+    measures, entries = _column_measures(table)
+    seen = Observation()
+    observed = df.observe(seen, *[F.expr(m) for m in measures])
+
+    def report() -> DataFrame:
+        values = [(k, v) for k, v in seen.get.items()]
+        types = ", ".join(f"{k} {'int' if k.startswith('size_') else 'bigint'}" for k, _ in values)
+        return df.sparkSession.createDataFrame([tuple(v for _, v in values)], types).selectExpr(entries)
+
+    return observed, report
 
 
 def completeness(

@@ -380,6 +380,7 @@ ORACLES: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM migrator_version v WHERE v.id = r.migrator_version_id)""",
     "pk_duplicates": _pk_duplicates(),
     "null_length_report": _null_length_report(),
+    "null_length_on_write": _null_length_report(),
     "completeness": _completeness(),
     "product_get_or_create": _PRODUCTS + " SELECT * FROM product_answer",
     "product_new_rows": _PRODUCTS + f"""
@@ -391,6 +392,7 @@ ORACLES: dict[str, str] = {
     "run_insert": _admission_results("fix"),
     "run_ledger_after_insert": _admission_ledger(),
     "current_from_history": _current_from_history(),
+    "current_kept_up_to_date": _current_from_history(),
     "envelope_parse": duckdb_ctes("result_line") + """,
         cut AS (SELECT event_id, line, strpos(line, ',') AS comma FROM result_line),
         parts AS (
@@ -497,6 +499,8 @@ ORACLES: dict[str, str] = {
                + row_number() OVER (ORDER BY md5(CAST(migration_run_id AS VARCHAR))) AS id,
                *, {_NOW} AS created_at
         FROM log_entry""",
+    "log_stream_numbered": duckdb_ctes("migration_log") + """
+        SELECT * REPLACE (row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR))) AS id) FROM migration_log""",
     "log_stream_once": duckdb_ctes("migration_log") + " SELECT * FROM migration_log",
     "parameter_types": duckdb_ctes("typed_parameter") + """
         SELECT request_id, name, type_name, value,

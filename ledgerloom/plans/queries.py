@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -14,6 +15,7 @@ from ledgerloom.functions.envelope import format_envelope, parse_envelope
 from ledgerloom.operators import changes, checks, parameters, scripts, select
 from ledgerloom.plans.storage import new_folder, remove_folder, stored
 from ledgerloom.sources import fixtures, log, master
+from ledgerloom.sources.current import CurrentState
 from ledgerloom.sources.fixtures import view
 from ledgerloom.sources.repository import Repository
 from ledgerloom.sources.tables import TABLES, VERSION_KEY
@@ -117,6 +119,19 @@ def null_length_report(spark: SparkSession, sf: str) -> DataFrame:
     return checks.column_report(_ledger(spark, sf))
 
 
+@query
+def null_length_on_write(spark: SparkSession, sf: str) -> DataFrame:
+    """The same report of all tables, made while they are written."""
+    reports = []
+    for table, rows in _ledger(spark, sf).items():
+        observed, report = checks.observe_columns(table, rows)
+        folder = new_folder(spark, table)
+        observed.write.parquet(folder)
+        remove_folder(spark, folder)
+        reports.append(report())
+    return functools.reduce(DataFrame.union, reports)
+
+
 @query
 def completeness(spark: SparkSession, sf: str) -> DataFrame:
     return checks.completeness(view(spark, sf, "catalog_schema"), view(spark, sf, "catalog_table"))
@@ -180,6 +195,18 @@ def current_from_history(spark: SparkSession, sf: str) -> DataFrame:
     return changes.current_from_history(view(spark, sf, "migration_history"))
 
 
+@query
+def current_kept_up_to_date(spark: SparkSession, sf: str) -> DataFrame:
+    """The kept state after the history came in three parts, the oldest one last and one twice."""
+    history = view(spark, sf, "migration_history")
+    year = F.year("started_at")
+    state = CurrentState(spark, new_folder(spark, "current"), buckets=32)
+    newest = history.where(year >= 1997)
+    for part in (newest, history.where((year >= 1994) & (year < 1997)), newest, history.where(year < 1994)):
+        state.merge(part)
+    return state.read()
+
+
 # --- values ------------------------------------------------------------------------------
 
 
@@ -283,6 +310,20 @@ def log_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(log.log_schema()).parquet(f"{target}/log")
 
 
+@query
+def log_stream_numbered(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of a stream whose rows are numbered from batch to batch."""
+    schema = fixtures.raw(spark, sf, "events").schema
+    entries = stream.read_stream(spark, sf, schema, "events.parquet")
+    target = new_folder(spark, "log-stream-numbered")
+    running = stream.append_numbered_stream(
+        entries, fixtures.events_to_log, ["id"], f"{target}/log", f"{target}/checkpoint"
+    )
+    running.awaitTermination()
+    remove_folder(spark, f"{target}/checkpoint")
+    return spark.read.schema(log.log_schema()).parquet(f"{target}/log").select(*log.log_schema().names)
+
+
 @query
 def log_append_stored(spark: SparkSession, sf: str) -> DataFrame:
     """The log after new entries were appended to the stored one."""

@@ -84,10 +84,21 @@ def create_file(spark: SparkSession, name: str, text: str) -> bool:
     return True
 
 
+def write_file(spark: SparkSession, name: str, text: str) -> None:
+    """Write a small file that is there as a whole or not at all."""
+    path, files = _file_system(spark, name)
+    draft, _ = _file_system(spark, f"{path.getParent().getParent()}/_{uuid.uuid4().hex}")
+    files.mkdirs(path.getParent())
+    out = files.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not files.rename(draft, path):
+        raise FileExistsError(name)
+
+
 def read_text(spark: SparkSession, name: str) -> str:
     path, files = _file_system(spark, name)
-    size = files.getFileStatus(path).getLen()
     opened = files.open(path)
-    text = "".join(chr(opened.read()) for _ in range(size))
+    data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(opened)
     opened.close()
-    return text
+    return bytes(data).decode()

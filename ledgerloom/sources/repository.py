@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.envelope import format_envelope
 from ledgerloom.functions.values import moment
 from ledgerloom.operators import changes
-from ledgerloom.operators.checks import completeness
+from ledgerloom.operators.checks import completeness, observe_columns
 from ledgerloom.operators.joins import lookup
 from ledgerloom.plans.storage import remove_folder, stored, subfolders
 from ledgerloom.sources import log
@@ -37,6 +37,14 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.UTC).replace(tzinfo=None)
 
 
+class RefusedRows(ValueError):
+    """Rows that break the rules of their table; ``columns``: nulls and too long texts by column."""
+
+    def __init__(self, table: str, columns: dict[str, tuple[int, int]]):
+        super().__init__(f"{table}: {columns}")
+        self.columns = columns
+
+
 class Repository:
     """Ledger tables in one schema. ``prefix`` comes before every table name.
 
@@ -110,23 +118,25 @@ class Repository:
         if top is not None:
             self._ids(table).raise_to(top.get["id"])
 
-    def replace(self, table: str, rows: DataFrame) -> None:
+    def replace(self, table: str, rows: DataFrame, checked: bool = False) -> None:
         """Store a new version of a table that may be computed from the old one.
 
+        With ``checked``, rows with nulls or texts that the table does not allow are refused: they are
+        counted while they are written, and the table keeps its old version.
+
         The rows go to a new folder and the table is then pointed there, so the files being
         read are never overwritten and a failed write leaves the old version in place. Large
         tables are range-partitioned by their lookup order: a lookup skips, by the file
         statistics, all files but the few with its key. Old folders stay until ``vacuum``.
         """
+        parts = {table: rows}
         if table == "migration_run":
-            finished = self._write(table, rows.where("finished_at IS NOT NULL"))
-            still_open = self._write(_OPEN_RUNS, rows.where("finished_at IS NULL"))
-            self._point(table, finished)
-            self._point(_OPEN_RUNS, still_open)
-        else:
-            self._point(table, self._write(table, rows))
+            parts = {table: rows.where("finished_at IS NOT NULL"), _OPEN_RUNS: rows.where("finished_at IS NULL")}
+        folders = {stored_as: self._write(stored_as, part, checked) for stored_as, part in parts.items()}
+        for stored_as, folder in folders.items():
+            self._point(stored_as, folder)
 
-    def _write(self, stored_as: str, rows: DataFrame) -> str:
+    def _write(self, stored_as: str, rows: DataFrame, checked: bool = False) -> str:
         """Rows in a new folder, in lookup order."""
         table = "migration_run" if stored_as == _OPEN_RUNS else stored_as
         folder = self._folder(stored_as)
@@ -135,7 +145,14 @@ class Repository:
             order = LOOKUP_ORDER[table]
             rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         top, rows = self._observed(rows)
+        report = None
+        if checked:
+            rows, report = observe_columns(table, rows)
         rows.write.parquet(folder)
+        broken = report().where("null_violations > 0 OR length_violations > 0").collect() if report else []
+        if broken:
+            remove_folder(self.spark, folder)
+            raise RefusedRows(table, {r.column_name: (r.null_violations, r.length_violations) for r in broken})
         self._raise(table, top)
         return folder
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerloom.operators.ids import assign_ids
+from ledgerloom.plans.storage import files_in, is_file, read_text, write_file
+
 
 def read_stream(
     spark: SparkSession,
@@ -57,3 +60,47 @@ def append_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _batch_start(spark: SparkSession, log_path: str, batch: int, count: Callable[[], int]) -> int:
+    """The highest id before a batch, the same however often the batch runs.
+
+    The first run of a batch notes where its ids start and how many they are, before it writes them.
+    """
+    notes = f"{log_path}/_starts"
+    own = f"{notes}/{batch:020d}"
+    if not is_file(spark, own):
+        earlier = [name for name in files_in(spark, notes) if int(name) < batch]
+        before = sum(map(int, read_text(spark, f"{notes}/{max(earlier)}").split())) if earlier else 0
+        write_file(spark, own, f"{before} {count()}")
+    return int(read_text(spark, own).split()[0])
+
+
+def append_numbered_stream(
+    entries: DataFrame,
+    to_log: Callable[[DataFrame], DataFrame],
+    key: list[str],
+    log_path: str,
+    checkpoint_path: str,
+) -> StreamingQuery:
+    """Append the entries available now to the log, with ids that go on from batch to batch.
+
+    ``to_log`` gives log rows; their ``id`` is replaced. ``key`` names columns of them, not null
+    together, that tell the rows of a batch apart. Ids are dense over all batches. The number of a batch is its
+    commit key: a batch that runs again after a failure takes the same ids and replaces what it
+    wrote. The rows of a batch lie in a folder of their own, ``batch=<number>``.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = to_log(batch)
+        names = rows.columns
+        start = _batch_start(batch.sparkSession, log_path, number, rows.count)
+        numbered = assign_ids(rows, key, start, id_col="_numbered").withColumn("id", F.col("_numbered"))
+        numbered.select(*names).write.mode("overwrite").parquet(f"{log_path}/batch={number}")
+
+    return (
+        entries.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(availableNow=True)
+        .start()
+    )
