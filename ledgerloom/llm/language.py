@@ -20,6 +20,10 @@ SAMPLE_PER_LANGUAGE = 2000
 BUCKETS = 1 << 15
 # What changing the language between two words costs, in natural logarithms.
 SWITCH_PENALTY = 12.0
+# Languages that are learned, those with the most labelled documents; labels of words are bytes.
+MOST_LANGUAGES = 250
+# A document is in the learned languages if this part of its letters is in words of any of them.
+LEAST_SHARE = 0.5
 # A language is a candidate for a script that at least this part of its learned letters are in.
 SCRIPT_SHARE = 0.01
 
@@ -131,10 +135,14 @@ class Model:
     candidates: np.ndarray  # scripts x languages, 0 or _IMPOSSIBLE
 
     def word_scores(self, words: Words) -> np.ndarray:
-        if not len(words.first):
-            return np.zeros((0, len(self.languages)), np.float32)
-        sums = np.add.reduceat(self.scores[words.triples], words.first, axis=0)
-        return sums + self.candidates[words.script]
+        """A column per language, and a last one for words of none: all triples are equally likely."""
+        n = len(self.languages)
+        found = np.zeros((len(words.first), n + 1), np.float32)
+        if len(found):
+            found[:, :n] = np.add.reduceat(self.scores[words.triples], words.first, axis=0)
+            found[:, :n] += self.candidates[words.script]
+            found[:, n] = (words.end - words.start) * -np.log(BUCKETS)
+        return found
 
 
 def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
@@ -173,13 +181,16 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray
     return labels
 
 
-def predict(model: Model, texts: list[str], penalty: float = SWITCH_PENALTY) -> list[tuple[str, float, list]]:
-    """(language, share of its letters, spans) per text; a span is (start, end, language)."""
+def predict(model: Model, texts: list[str], penalty: float = SWITCH_PENALTY) -> list[tuple[str, float, float, list]]:
+    """(language, share of its letters, share of letters in any language, spans) per text.
+
+    A span is (start, end, language), in ``und`` where the words are of no learned language.
+    """
     return [found for _, some in _chunks(texts, _CHARS_TOGETHER) for found in _predict(model, some, penalty)]
 
 
-def _predict(model: Model, texts: list[str], penalty: float) -> list[tuple[str, float, list]]:
-    found: list[tuple[str, float, list]] = [(UNKNOWN, 0.0, [])] * len(texts)
+def _predict(model: Model, texts: list[str], penalty: float) -> list[tuple[str, float, float, list]]:
+    found: list[tuple[str, float, float, list]] = [(UNKNOWN, 0.0, 0.0, [])] * len(texts)
     parts = []
     for first, chunk in _chunks(texts, _CHARS_AT_ONCE):
         words = words_of(chunk)
@@ -190,17 +201,24 @@ def _predict(model: Model, texts: list[str], penalty: float) -> list[tuple[str,
     sizes = np.bincount(doc, minlength=len(texts))
     labels = viterbi(scores, sizes, penalty)
     n = len(model.languages)
-    letters = np.bincount(doc.astype(np.int64) * n + labels, end - start, len(texts) * n).reshape(-1, n)
+    names = [*model.languages, UNKNOWN]
+    letters = np.bincount(doc.astype(np.int64) * (n + 1) + labels, end - start, len(texts) * (n + 1))
+    letters = letters.reshape(-1, n + 1)
     change = np.ones(len(doc), bool)
     change[1:] = (doc[1:] != doc[:-1]) | (labels[1:] != labels[:-1])
     begins = np.flatnonzero(change)
     closes = np.concatenate((begins[1:], [len(doc)])) - 1
     spans: dict[int, list] = {}
     for a, b in zip(begins.tolist(), closes.tolist()):
-        spans.setdefault(int(doc[a]), []).append((int(start[a]), int(end[b]), model.languages[labels[a]]))
-    best, total = letters.argmax(axis=1), letters.sum(axis=1)
+        spans.setdefault(int(doc[a]), []).append((int(start[a]), int(end[b]), names[labels[a]]))
+    total = letters.sum(axis=1)
+    # Where no word is of a learned language, the one with the best scores is named, with share 0.
+    likely = np.zeros((len(texts), n))
+    np.add.at(likely, doc, scores[:, :n])
+    best = np.where(letters[:, :n].any(axis=1), letters[:, :n].argmax(axis=1), likely.argmax(axis=1))
     for i, runs in spans.items():
-        found[i] = (model.languages[best[i]], float(letters[i, best[i]] / total[i]), runs)
+        known = float(letters[i, :n].sum() / total[i])
+        found[i] = (model.languages[best[i]], float(letters[i, best[i]] / total[i]), known, runs)
     return found
 
 
@@ -235,9 +253,11 @@ def learn(
     text_col: str = "text",
     lang_col: str = "lang",
     per_language: int = SAMPLE_PER_LANGUAGE,
+    most_languages: int = MOST_LANGUAGES,
 ) -> Model:
     """Word scores from about ``per_language`` labelled documents of each language.
 
+    Of more than ``most_languages`` values of the label, those with the most documents are learned.
     The sample is drawn by a hash of the ids, so reruns agree. What comes to the driver is bounded
     by the number of languages times ``BUCKETS``, whatever the number of documents.
     """
@@ -245,9 +265,9 @@ def learn(
     known = docs.select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col(id_col)))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("_n"))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(most_languages)
     drawn = F.pmod(F.xxhash64(F.lit("sample"), "_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.join(F.broadcast(sizes), "lang").where(drawn * F.col("_n") < per_language)  # a row per language
+    sample = known.join(F.broadcast(sizes), "lang").where(drawn * F.col("_n") < per_language)  # at most that many rows
     counts = _counted(sample.select("lang", "text")).toPandas()
     languages = sorted(counts["lang"].unique().tolist())
     table = np.zeros((BUCKETS + len(SCRIPTS) + 1, len(languages)))
@@ -255,23 +275,23 @@ def learn(
     triples, scripts = table[:BUCKETS], table[BUCKETS:]
     shares = (triples + 0.5) / (triples.sum(axis=0) + 0.5 * BUCKETS)
     used = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1)
-    used |= ~used.any(axis=1, keepdims=True)  # an unknown script speaks for no language
     return Model(languages, np.log(shares).astype(np.float32), np.where(used, 0, _IMPOSSIBLE).astype(np.float32))
 
 
 def labelled(text: Column, model: Model, spark: SparkSession, penalty: float = SWITCH_PENALTY) -> Column:
-    """A struct of ``lang``, ``score`` and ``spans`` for a text column; see ``identify``."""
+    """A struct of ``lang``, ``score``, ``known`` and ``spans`` for a text column; see ``identify``."""
     ship_package(spark)
     sent = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double, spans array<struct<start:int,end:int,lang:string>>")
+    @F.pandas_udf("lang string, score double, known double, spans array<struct<start:int,end:int,lang:string>>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             found = predict(sent.value, [t or "" for t in texts], penalty)
             yield pd.DataFrame({
                 "lang": [f[0] for f in found],
                 "score": [f[1] for f in found],
-                "spans": [[{"start": a, "end": b, "lang": c} for a, b, c in f[2]] for f in found],
+                "known": [f[2] for f in found],
+                "spans": [[{"start": a, "end": b, "lang": c} for a, b, c in f[3]] for f in found],
             })
 
     return of(text)
@@ -287,21 +307,29 @@ def identify(
     """The language of each text, from its letters alone.
 
     The script of a word narrows the languages it can be in; its letter triples score them; and
-    the best path over all words, where each change of language costs ``penalty``, labels spans.
-    ``lang_pred`` is the language of most letters, ``score`` their share, ``spans`` the runs of one
-    language as (start, end, lang) in code points. A row per row; a text that is null or has no
-    letter gets ``und``, score 0 and no span.
+    the best path over all words, where each change of language costs ``penalty``, labels spans. Words
+    that random letters explain better, such as those in a script of no learned language, are ``und``.
+    ``lang_pred`` is the language of most letters, ``score`` their share of all letters, ``known`` the share
+    of letters in any learned language, ``spans`` the runs of one language as (start, end, lang) in
+    code points. A row per row; a text that is null or has no letter gets ``und``, score 0 and no span.
     """
     found = labelled(F.col(text_col), model, docs.sparkSession, penalty)
     return docs.select(F.col(id_col).alias("doc_id"), found.alias("_l")).select(
-        "doc_id", F.col("_l.lang").alias("lang_pred"), "_l.score", "_l.spans"
+        "doc_id", F.col("_l.lang").alias("lang_pred"), "_l.score", "_l.known", "_l.spans"
     )
 
 
-def accepted(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """The documents in any of the learned languages, also in several of them.
+def accepted(
+    docs: DataFrame,
+    model: Model,
+    text_col: str = "text",
+    penalty: float = SWITCH_PENALTY,
+    least_share: float = LEAST_SHARE,
+) -> DataFrame:
+    """The documents in the learned languages, also in several of them.
 
-    Every word is labelled, so it is texts without a letter, and null ones, that are rejected. A
+    Texts with less than ``least_share`` of their letters in words of any learned language are rejected, and
+    so are texts without a letter, and null ones. A
     corpus without labels teaches no language; then whether there is a letter decides as well.
     Rows and columns stay as they are.
     """
@@ -309,4 +337,5 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
         return docs.where(F.coalesce(F.rlike(F.col(text_col), F.lit(r"\p{L}")), F.lit(False)))
     name = fresh(docs, "_language")
     found = docs.withColumn(name, labelled(F.col(text_col), model, docs.sparkSession, penalty))
-    return found.where(F.col(name).lang != UNKNOWN).drop(name)
+    language = F.col(name)
+    return found.where((language.lang != UNKNOWN) & (language.known >= least_share)).drop(name)

@@ -6,6 +6,7 @@ import cases
 import duckdb
 import oracle
 import test_decontaminate
+import test_language
 import test_pii
 import test_simhash
 from pyspark.sql import functions as F
@@ -88,3 +89,14 @@ def test_texts_of_many_languages_stay(spark):
 
 def test_empty_table(spark):
     assert [d.count() for d in stages(spark, cases.empty(spark))] == [0] * 6
+
+
+def test_foreign_documents_go(spark):
+    """The language stage rejects texts in no learned language, and only these."""
+    docs = spark.read.parquet(f"{cases.SF}/documents.parquet")
+    foreign = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(test_language.FOREIGN)], "doc_id bigint, text string")
+    others = [F.lit(None).cast(t).alias(c) for c, t in docs.dtypes if c not in ("doc_id", "text")]
+    all_docs = docs.unionByName(foreign.select("*", *others))
+    _, stage = corpus_pipeline.STAGES[0]
+    kept = {r.doc_id for r in stage(spark, all_docs, cases.SF).select("doc_id").collect()}
+    assert kept == {i for i, t in cases.texts_of().items() if any(c.isalpha() for c in t or "")}
