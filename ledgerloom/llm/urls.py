@@ -12,7 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import lower_ascii, ship_package
@@ -38,6 +39,11 @@ class Rule:
     def text(self) -> str:
         return self.host + self.path
 
+    @property
+    def can_fit(self) -> bool:
+        """No URL has these marks in its host, and a path is empty or starts with a slash."""
+        return not set("/?#") & set(self.host) and (not self.path or self.path[0] == "/")
+
 
 def _digest(text: bytes) -> int:
     return xxhash.xxh64_intdigest(text)
@@ -60,7 +66,7 @@ class RuleIndex:
     @staticmethod
     def build(rules: Iterable[Rule], verdicts: list[str]) -> bytes:
         """Of rules with the same text the last one counts."""
-        last = {r.text.encode(): r for r in rules}
+        last = {r.text.encode(): r for r in rules if r.can_fit}
         texts = sorted(last, key=lambda t: (_digest(t), t))
         lengths = sorted({len(last[t].path) for t in texts})
         numbers = [len(texts), len(lengths), *lengths, *map(_digest, texts)]
@@ -75,15 +81,16 @@ class RuleIndex:
     def best(self, hosts: list[str], paths: list[str]) -> list[int]:
         """Per URL the place of the longest rule that covers it, -1 if none does.
 
-        Probed are all parent domains with all starts of the path as long as that of some rule.
+        Lengths are in code points; of two as long, that with the longer host counts. Probed are all parent domains with all starts of the path as long as that of some rule.
         """
-        rows, keys = [], []
+        rows, keys, sizes = [], [], []
         for row, (host, path) in enumerate(zip(hosts, paths)):
             starts = [path[:n] for n in self.lengths if n <= len(path)]
             labels = host.split(".")
             for i in range(len(labels)):
                 parent = ".".join(labels[i:])
                 keys += [(parent + start).encode() for start in starts]
+                sizes += [(len(parent) + len(start), len(parent)) for start in starts]
             rows += [row] * (len(keys) - len(rows))
         result = [-1] * len(hosts)
         if not keys or not len(self.digests):
@@ -91,26 +98,31 @@ class RuleIndex:
         probes = np.fromiter(map(_digest, keys), np.uint64, len(keys))
         places = np.searchsorted(self.digests, probes)
         inside = np.minimum(places, len(self.digests) - 1)
-        lengths = [-1] * len(hosts)
+        longest = [(-1, -1)] * len(hosts)
         for k in np.flatnonzero(self.digests[inside] == probes).tolist():
             place, row = int(places[k]), rows[k]
             # Rules of one digest stand together; the whole text decides.
             while place < len(self.digests) and self.digests[place] == probes[k]:
-                if self.text(place) == keys[k] and len(keys[k]) > lengths[row]:
-                    result[row], lengths[row] = place, len(keys[k])
+                if self.text(place) == keys[k] and sizes[k] > longest[row]:
+                    result[row], longest[row] = place, sizes[k]
                 place += 1
         return result
 
 
-def _mapped(content: bytes) -> RuleIndex:
-    """The index mapped from a file that the Python workers of an executor share."""
-    path = os.path.join(tempfile.gettempdir(), f"rules-{hashlib.sha256(content).hexdigest()}.idx")
-    if not os.path.exists(path):
-        own = f"{path}.{os.getpid()}"
-        with open(own, "wb") as file:
+def _shipped(spark: SparkSession, content: bytes) -> str:
+    """The name of a file with the content that Spark copies to every executor, once."""
+    name = f"rules-{hashlib.sha256(content).hexdigest()}.idx"
+    if not any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        path = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-"), name)
+        with open(path, "wb") as file:
             file.write(content)
-        os.replace(own, path)
-    with open(path, "rb") as file:
+        spark.sparkContext.addFile(path)
+    return name
+
+
+def _mapped(name: str) -> RuleIndex:
+    """The index mapped from its file, whose pages the Python workers of an executor share."""
+    with open(SparkFiles.get(name), "rb") as file:
         return RuleIndex(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
 
 
@@ -124,11 +136,11 @@ def path_of(url: Column) -> Column:
 
 def _by_index(parsed: DataFrame, content: bytes, verdicts: list[str]) -> DataFrame:
     ship_package(parsed.sparkSession)
-    sent = parsed.sparkSession.sparkContext.broadcast(content)
+    name = _shipped(parsed.sparkSession, content)
 
     @F.pandas_udf("rule string, verdict string")
     def probe(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        index = _mapped(sent.value)
+        index = _mapped(name)
         for hosts, paths in batches:
             best = index.best(hosts.tolist(), paths.tolist())
             yield pd.DataFrame({
@@ -144,8 +156,9 @@ def _by_join(parsed: DataFrame, rules: DataFrame) -> DataFrame:
 
     Of rules with the same text, that with the largest ``number`` counts.
     """
-    rules = rules.groupBy(F.concat("host", "path").alias("rule")).agg(
-        F.max_by(F.struct("path", "verdict"), "number").alias("_last")
+    fits = ~F.rlike("host", F.lit("[/?#]")) & ((F.col("path") == "") | F.startswith("path", F.lit("/")))
+    rules = rules.where(fits).groupBy(F.concat("host", "path").alias("rule")).agg(
+        F.max_by(F.struct("host", "path", "verdict"), "number").alias("_last")
     ).select("rule", "_last.*")
     lengths = sorted(r[0] for r in rules.select(F.char_length("path")).distinct().collect())
     labels = F.split("host", r"\.")
@@ -160,10 +173,10 @@ def _by_join(parsed: DataFrame, rules: DataFrame) -> DataFrame:
         F.flatten(F.transform(parents, lambda p: F.transform(starts, lambda s: F.concat(p, s))))
     )
     pairs = parsed.select("host", "path").distinct()
-    known = rules.select("rule", "verdict")
+    known = rules.select("rule", "verdict", F.char_length("host").alias("_host"))
     met = lookup(pairs.select("host", "path", F.explode(keys).alias("rule")), known, ["rule"], "inner")
     best = met.groupBy("host", "path").agg(
-        F.max_by(F.struct("rule", "verdict"), F.char_length("rule")).alias("_r")
+        F.max_by(F.struct("rule", "verdict"), F.struct(F.char_length("rule"), "_host")).alias("_r")
     )
     found = lookup(parsed, best, ["host", "path"])
     return found.select(
@@ -173,13 +186,17 @@ def _by_join(parsed: DataFrame, rules: DataFrame) -> DataFrame:
 
 def judge(
     pages: DataFrame,
-    rules: list[Rule],
+    rules: list[Rule] | DataFrame,
     id_col: str = "page_id",
     url_col: str = "url",
     max_index_bytes: int = MAX_INDEX_BYTES,
 ) -> DataFrame:
     """The verdict on each URL: that of the longest rule that covers it, else ``allow``.
 
+    ``rules`` are a list, or a table with ``number`` (unique), ``host``, ``path`` and ``verdict``; of rules with the same
+    text the last one, or that with the largest number, counts. The longest rule has the most code
+    points, and of two as long the longer host.
+
     The rules are an array of sorted 64-bit digests with verdicts and texts beside them. Every
     worker maps it from a local file, probes the digests of all parents and path starts of a
     batch of URLs by binary search, and compares whole texts where a digest is found. An index of
@@ -192,12 +209,20 @@ def judge(
     parsed = pages.select(
         F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")
     )
-    verdicts = sorted({r.verdict for r in rules})
-    if sum(24 + len(r.text) for r in rules) > max_index_bytes:
+    if isinstance(rules, list):
         listed = parsed.sparkSession.createDataFrame(
             [(i, r.host, r.path, r.verdict) for i, r in enumerate(rules)], "number bigint, host string, path string, verdict string"
         )
+        size = sum(24 + len(r.text.encode()) for r in rules)
+    else:
+        listed = rules.select("number", "host", "path", "verdict")
+        bytes_of = F.octet_length(F.concat("host", "path")) + 24
+        size = listed.agg(F.sum(bytes_of)).first()[0] or 0
+    if size > max_index_bytes:
         return _by_join(parsed, listed)
+    if not isinstance(rules, list):
+        rules = [Rule(r.host, r.path, r.verdict) for r in listed.orderBy("number").collect()]
+    verdicts = sorted({r.verdict for r in rules})
     return _by_index(parsed, RuleIndex.build(rules, verdicts), verdicts)
 
 
