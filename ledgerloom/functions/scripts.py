@@ -247,6 +247,34 @@ def content_hash(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def _block_hash(block: Column) -> Column:
+    """Hash of a block without white space at its ends, which changes when blocks are added."""
+    return content_hash(F.btrim(block, F.lit(" \t\n\x0b\x0c\r")))
+
+
+def chain_hash(blocks: Column, n: Column | int | None = None) -> Column:
+    """Hash of the first ``n`` blocks (all without ``n``), each one hashed onto that of those before.
+
+    It is that of no blocks for n = 0, and null for more blocks than there are.
+    """
+    part = blocks if n is None else F.slice(blocks, F.lit(1), n if isinstance(n, Column) else F.lit(n))
+    chained = F.aggregate(
+        part, content_hash(F.lit("")), lambda so_far, block: content_hash(F.concat(so_far, _block_hash(block)))
+    )
+    return chained if n is None else F.when(F.size(blocks) >= n, chained)
+
+
+def chain_hashes(blocks: Column) -> Column:
+    """``chain_hash`` of the first 0, 1, 2 ... blocks."""
+    return F.aggregate(
+        blocks,
+        F.array(content_hash(F.lit(""))),
+        lambda found, block: F.concat(
+            found, F.array(content_hash(F.concat(F.element_at(found, -1), _block_hash(block))))
+        ),
+    )
+
+
 def placeholder_keys(text: Column) -> Column:
     """Distinct placeholder keys of a text, in order of first use."""
     return F.array_distinct(F.regexp_extract_all(text, F.lit(PLACEHOLDER), F.lit(1)))

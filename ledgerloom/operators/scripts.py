@@ -42,6 +42,72 @@ def script_hashes(files: DataFrame, tag: str, text: str = "content") -> DataFram
     )
 
 
+def script_progress(files: DataFrame, migrated: Column, text: str = "content") -> DataFrame:
+    """What a ledger keeps of files that were run up to a block, to go on from there later.
+
+    Adds ``blocks_migrated``, ``blocks_total``, ``migrated_hash`` (of the blocks that were run) and
+    ``blocks_hash`` (of all blocks). A file has run at least none and at most all of its blocks.
+    """
+    others = [c for c in files.columns if c != text]
+    split = files.select(*others, migrated.alias("_asked"), S.split_blocks(F.col(text), comments=False).alias("_blocks"))
+    total = F.size("_blocks")
+    done = split.select(
+        *others, "_blocks", total.alias("blocks_total"), F.greatest(F.lit(0), F.least(F.col("_asked"), total)).alias("blocks_migrated")
+    )
+    return done.select(
+        *others,
+        "blocks_migrated",
+        "blocks_total",
+        S.chain_hash(F.col("_blocks"), F.col("blocks_migrated")).alias("migrated_hash"),
+        S.chain_hash(F.col("_blocks")).alias("blocks_hash"),
+    )
+
+
+def resume_points(
+    progress: DataFrame, current: DataFrame, path: list[str] = PATH, text: str = "content"
+) -> DataFrame:
+    """Where each file goes on: the first block to run and how many there are.
+
+    ``progress`` comes from ``script_progress``; a path occurs once on each side. A file is
+
+    - ``Added`` (all its blocks are to run) or ``Removed``,
+    - ``Unchanged``: it goes on behind the blocks that were run,
+    - ``Rest changed``: the blocks that were run are the same, so it goes on behind them as well,
+    - ``Prefix changed``: a block that was run is another one or gone. Nothing of it is to run: what
+      it did would have to be taken back first.
+
+    Texts are cut into blocks where they lie, and only hashes are joined.
+    """
+    known = progress.select(*path, "blocks_migrated", "migrated_hash", "blocks_hash", F.lit(True).alias("_known"))
+    blocks = S.split_blocks(F.col(text), comments=False)
+    # The hash of the migrated blocks needs their number, which is in the ledger: a hash per prefix is kept.
+    here = current.select(*path, blocks.alias("_blocks")).select(
+        *path,
+        F.size("_blocks").alias("blocks_total"),
+        S.chain_hash(F.col("_blocks")).alias("_hash"),
+        S.chain_hashes(F.col("_blocks")).alias("_prefixes"),
+    )
+    both = known.join(here, path, "full")
+    prefix = F.get("_prefixes", F.col("blocks_migrated"))
+    status = (
+        F.when(F.col("_known").isNull(), "Added")
+        .when(F.col("blocks_total").isNull(), "Removed")
+        .when(F.col("_hash") == F.col("blocks_hash"), "Unchanged")
+        .when(prefix.eqNullSafe(F.col("migrated_hash")), "Rest changed")
+        .otherwise("Prefix changed")
+    )
+    before = F.coalesce("blocks_migrated", F.lit(0))
+    goes_on = F.col("status").isin("Added", "Unchanged", "Rest changed") & (F.col("blocks_total") > before)
+    return both.withColumn("status", status).select(
+        *path,
+        "status",
+        "blocks_migrated",
+        "blocks_total",
+        F.when(goes_on, before + 1).alias("first_block"),
+        F.when(goes_on, F.col("blocks_total") - before).otherwise(0).alias("blocks_to_run"),
+    )
+
+
 def file_order(files: DataFrame, path: list[str] = PATH) -> DataFrame:
     """Position of each distinct path in the order of its parts."""
     return ordered_rank(files.select(*path).distinct(), path, "file_order_id")

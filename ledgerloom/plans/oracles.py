@@ -327,6 +327,7 @@ _SCANNED = r"""
                    regexp_split_to_array(s.o || s.c, '(?im)^[ \t]*GO[ \t]*\r?$'),
                    lambda b: regexp_matches(replace(b, chr(1), chr(10)), '\S')) AS blocks
         FROM scanned)"""
+_SPACE = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
 _SETTINGS = r"(?s)/\*\s*\[Settings\](.*?)\*/"
 
 ORACLES: dict[str, str] = {
@@ -463,6 +464,24 @@ ORACLES: dict[str, str] = {
         SELECT release_version, target_group_alias, filename,
                row_number() OVER (ORDER BY release_version, target_group_alias, filename) AS file_order_id
         FROM script""",
+    # Block lists are compared as they are, without hashes.
+    "script_resume": duckdb_ctes("script", "script_next") + rf""",
+        a AS (SELECT *, CASE doc_id % 3 WHEN 0 THEN len(blocks) // 3 WHEN 1 THEN len(blocks) ELSE 0 END AS done
+              FROM (SELECT release_version, target_group_alias, filename, doc_id,
+                           list_transform(list_filter({_BLOCKS}, lambda b: regexp_matches(b, '\S')), lambda b: trim(b, {_SPACE})) AS blocks FROM script)),
+        b AS (SELECT release_version, target_group_alias, filename,
+                     list_transform(list_filter({_BLOCKS}, lambda b: regexp_matches(b, '\S')), lambda b: trim(b, {_SPACE})) AS blocks FROM script_next),
+        s AS (SELECT release_version, target_group_alias, filename, done, len(b.blocks) AS total,
+                     CASE WHEN a.blocks IS NULL THEN 'Added' WHEN b.blocks IS NULL THEN 'Removed'
+                          WHEN a.blocks = b.blocks THEN 'Unchanged'
+                          WHEN a.blocks[1 : done] = b.blocks[1 : done] THEN 'Rest changed'
+                          ELSE 'Prefix changed' END AS status
+              FROM a FULL JOIN b USING (release_version, target_group_alias, filename))
+        SELECT release_version, target_group_alias, filename, status, CAST(done AS INTEGER) AS blocks_migrated,
+               CAST(total AS INTEGER) AS blocks_total,
+               CAST(CASE WHEN goes THEN coalesce(done, 0) + 1 END AS INTEGER) AS first_block,
+               CAST(CASE WHEN goes THEN total - coalesce(done, 0) ELSE 0 END AS INTEGER) AS blocks_to_run
+        FROM (SELECT *, status IN ('Added', 'Unchanged', 'Rest changed') AND total > coalesce(done, 0) AS goes FROM s)""",
     "script_drift": duckdb_ctes("script", "script_next") + """
         SELECT release_version, target_group_alias, filename,
                sha256(a.content) AS previous_hash, sha256(b.content) AS current_hash,

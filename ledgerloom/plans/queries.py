@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import values as V
 from ledgerloom.functions.envelope import format_envelope, parse_envelope
+from ledgerloom.functions.scripts import split_blocks
 from ledgerloom.operators import changes, checks, parameters, scripts, select
 from ledgerloom.plans.storage import new_folder, remove_folder, stored
 from ledgerloom.sources import fixtures, log, master
@@ -281,6 +282,16 @@ def file_order(spark: SparkSession, sf: str) -> DataFrame:
     return scripts.file_order(view(spark, sf, "script"))
 
 
+@query
+def script_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """Where files go on that ran by a third, by all of their blocks, or not at all, in their later state."""
+    before = view(spark, sf, "script")
+    third = F.floor(F.size(split_blocks(F.col("content"), comments=False)) / 3).cast("int")
+    migrated = F.when(F.col("doc_id") % 3 == 0, third).when(F.col("doc_id") % 3 == 1, 1 << 30).otherwise(0)
+    progress = scripts.script_progress(before, migrated)
+    return scripts.resume_points(progress, view(spark, sf, "script_next"))
+
+
 @query
 def script_drift(spark: SparkSession, sf: str) -> DataFrame:
     before = scripts.script_hashes(view(spark, sf, "script"), SETTINGS_TAG)

@@ -215,6 +215,45 @@ def test_drift(spark):
     }
 
 
+def test_resume_points(spark):
+    path = "release_version string, target_group_alias string, filename string, content string"
+    def files(**texts):
+        return spark.createDataFrame([("r", "g", name, text) for name, text in texts.items()], path)
+
+    before = files(same="a\nGO\nb\nGO\nc", done="a\nGO\nb", rest="a\nGO\nb\nGO\nc", prefix="a\nGO\nb", gone="a",
+                   short="a\nGO\nb", none="a", comment="a /* x */\nGO\nb", grown="a", order="a\nGO\nb\nGO\nc")
+    ran = F.create_map(*[F.lit(x) for pair in dict(same=2, done=9, rest=1, prefix=1, gone=0, short=2, none=0, comment=1, grown=1, order=2).items() for x in pair])
+    progress = scripts.script_progress(before, F.element_at(ran, F.col("filename")))
+    assert {r.filename: r.blocks_migrated for r in progress.collect()}["done"] == 2
+    after = files(same="a\nGO\nb\nGO\nc", done="a\nGO\nb", rest="a\nGO\nB\nGO\nc\nGO\nd", prefix="A\nGO\nb", new="a\nGO\nb",
+                  short="a", none="z\nGO\ny", comment="a /* y */\nGO\nc", grown="a\nGO\nb", order="b\nGO\na\nGO\nc", empty="")
+    got = scripts.resume_points(progress, after).collect()
+    assert {r.filename: (r.status, r.first_block, r.blocks_to_run) for r in got} == {
+        "same": ("Unchanged", 3, 1),
+        "done": ("Unchanged", None, 0),
+        "rest": ("Rest changed", 2, 3),
+        "prefix": ("Prefix changed", None, 0),
+        "gone": ("Removed", None, 0),
+        "new": ("Added", 1, 2),
+        "short": ("Prefix changed", None, 0),
+        "none": ("Rest changed", 1, 2),
+        "comment": ("Rest changed", 2, 1),
+        "grown": ("Rest changed", 2, 1),
+        "order": ("Prefix changed", None, 0),
+        "empty": ("Added", None, 0),
+    }
+
+
+def test_chain_hashes(spark):
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    chain = [sha("")]
+    for block in ("a", "b"):
+        chain.append(sha(chain[-1] + sha(block)))
+    df = spark.createDataFrame([(["a", "b"],)], "b array<string>")
+    row = df.select(S.chain_hashes(F.col("b")), *[S.chain_hash(F.col("b"), n) for n in range(4)], S.chain_hash(F.col("b"))).first()
+    assert list(row) == [chain, *chain, None, chain[2]]
+
+
 def test_file_order_over_many_partitions(spark, conf):
     conf(
         {
