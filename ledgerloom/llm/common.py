@@ -32,7 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def row_key(*columns: Column) -> Column:
     """A 128-bit key of a row, a pair of hashes with different seeds; never null, equal for rows that
     are the same in these columns."""
-    return F.struct(*[F.xxhash64(F.lit(seed), *columns).alias(name) for seed, name in ((1, "a"), (2, "b"))])
+    both = F.struct(*[F.xxhash64(F.lit(seed), *columns).alias(name) for seed, name in ((1, "a"), (2, "b"))])
+    # As it is read back from a file; otherwise joins would cast it and shuffle once more.
+    return both.cast("struct<a:bigint,b:bigint>")
 
 
 def let(value: Column, then: Callable[[Column], Column]) -> Column:

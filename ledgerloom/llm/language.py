@@ -30,7 +30,7 @@ SCRIPT_SHARE = 0.01
 _IMPOSSIBLE = -1e4
 # Characters scored at once, and characters of texts that go through Viterbi together.
 _CHARS_AT_ONCE = 1 << 20
-_CHARS_TOGETHER = 1 << 23
+_CHARS_TOGETHER = 1 << 22
 
 # First and last code point of the main ranges of scripts.
 SCRIPTS = {

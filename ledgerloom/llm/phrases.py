@@ -21,9 +21,9 @@ LONGEST = 5
 TOP = 2000
 UNKNOWN = "und"
 
-# Buckets in which pairs of words are counted to cut windows short: one for so many bytes of text,
-# within these bounds. Full buckets cut less; the result is the same.
-BYTES_PER_BUCKET = 128
+# Buckets in which pairs and triples of words are counted to cut windows short: one for so many bytes
+# of text, within these bounds. Full buckets cut less; the result is the same.
+BYTES_PER_BUCKET = 64
 MOST_BUCKETS = 1 << 25
 _PAGE = 1 << 16
 
@@ -54,17 +54,24 @@ class _Words:
                 line.append(0)
         return len(line) - before
 
-    def buckets(self, line: np.ndarray, n: int) -> np.ndarray:
-        """Of each place the bucket of its word and the next one; -1 where the piece ends."""
+    def buckets(self, line: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each place the buckets of its word and the next one, and of the next two; -1 where the
+        piece ends before."""
         hashes = np.zeros(len(self.numbers) + 1, dtype="u8")
         for i, word in enumerate(self.numbers, 1):
             hashes[i] = xxhash.xxh64_intdigest(word, self.seed)
         own = hashes[line]
-        after = np.append(own[1:], np.uint64(0))
-        mixed = (own ^ (after * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
-        places = (mixed >> np.uint64(64 - n.bit_length() + 1)).astype("i8")
+        shift = np.uint64(64 - n.bit_length() + 1)
+
+        def mixed(first: np.ndarray, words_on: int) -> np.ndarray:
+            after = np.append(own[words_on:], np.zeros(words_on, "u8"))
+            return (first ^ (after * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
+
         pair = (line > 0) & (np.append(line[1:], 0) > 0)
-        return np.where(pair, places, -1)
+        two = mixed(own, 1)
+        three = mixed(two ^ (two >> np.uint64(29)), 2)
+        places = [(m >> shift).astype("i8") for m in (two, three)]
+        return np.where(pair, places[0], -1), np.where(pair & np.append(pair[1:], False), places[1], -1)
 
 
 def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Words]]:
@@ -80,13 +87,19 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Word
     yield from held.items()
 
 
+def _count_type(enough: int) -> str:
+    """A type that holds the sum of two counts."""
+    return "u1" if enough < 128 else "u4"
+
+
 def _pair_counts(batches: Iterator[pa.RecordBatch], n: int, enough: int) -> Iterator[pa.RecordBatch]:
-    """How often pairs of words fall into each bucket, up to ``enough``, by pages."""
-    counts = np.zeros(n, dtype="u4")
+    """How often pairs and triples of words fall into each bucket, up to ``enough``, by pages."""
+    counts = np.zeros(n, dtype=_count_type(enough))
     for _, words in _by_language(batches):
-        found, times = np.unique(words.buckets(np.asarray(words.line), n), return_counts=True)
-        times, found = times[found >= 0], found[found >= 0]
-        counts[found] = np.minimum(counts[found] + times, enough)
+        for buckets in words.buckets(np.asarray(words.line), n):
+            found, times = np.unique(buckets, return_counts=True)
+            times, found = times[found >= 0], found[found >= 0]
+            counts[found] = np.minimum(counts[found] + times, enough)
     pages = counts.reshape(-1, _PAGE)
     for page in np.flatnonzero(pages.any(axis=1)).tolist():
         packed = zlib.compress(pages[page].tobytes(), 1)
@@ -98,7 +111,7 @@ def _frequent_pages(batches: Iterator[pd.DataFrame], enough: int) -> Iterator[pd
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for page, packed in zip(batch["page"], batch["counts"], strict=True):
-            counts = np.frombuffer(zlib.decompress(packed), dtype="u4")
+            counts = np.frombuffer(zlib.decompress(packed), dtype=_count_type(enough))
             before = total.get(page)
             total[page] = counts if before is None else np.minimum(before + counts, enough)
     rows = [(p, np.packbits(c >= enough, bitorder="little").tobytes()) for p, c in total.items()]
@@ -106,9 +119,9 @@ def _frequent_pages(batches: Iterator[pd.DataFrame], enough: int) -> Iterator[pd
 
 
 def frequent_pairs(docs: DataFrame, min_count: int) -> bytes:
-    """A bit per bucket of word pairs, set if its pairs together occur often enough.
+    """A bit per bucket of word pairs and triples, set if these together occur often enough.
 
-    At most ``MOST_BUCKETS`` bits. Every pair that occurs ``min_count`` times has its bit set.
+    At most ``MOST_BUCKETS`` bits. All that occur ``min_count`` times have their bits set.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(_PAGE, min(MOST_BUCKETS, 1 << (size // BYTES_PER_BUCKET).bit_length()))
@@ -122,16 +135,20 @@ def frequent_pairs(docs: DataFrame, min_count: int) -> bytes:
 
 def _windows(batches: Iterator[pa.RecordBatch], flags: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
     """Different windows with their counts: from each word on up to ``longest`` words, ending where
-    the piece ends or a pair is too rare to be part of a phrase."""
+    the piece ends or a pair or triple is too rare to be part of a phrase."""
     for lang, words in _by_language(batches):
         line = np.asarray(words.line + [0] * longest)
-        bucket = words.buckets(line, len(flags) * 8)
-        joined = (bucket >= 0) & ((flags[bucket >> 3] >> (bucket & 7).astype("u1")) & 1).astype(bool)
+        pairs, triples = (
+            (b >= 0) & ((flags[b >> 3] >> (b & 7).astype("u1")) & 1).astype(bool)
+            for b in words.buckets(line, len(flags) * 8)
+        )
         window = np.zeros((longest, len(line)), dtype="i4")
-        window[0], goes_on = line, joined
+        window[0], goes_on = line, pairs
         for k in range(1, longest):
             window[k, :-k] = np.where(goes_on[:-k], line[k:], 0)
-            goes_on = goes_on & np.append(joined[k:], np.zeros(k, bool))
+            # The next word has to be frequent behind the last two.
+            goes_on = goes_on & np.append(triples[k - 1 :], np.zeros(k - 1, bool))
+            goes_on &= np.append(pairs[k:], np.zeros(k, bool))
         alone = np.bincount(line[(line > 0) & (window[1] == 0)], minlength=1) if longest > 1 else np.bincount(line)
         alone[0] = 0
         single = np.zeros((longest, np.count_nonzero(alone)), dtype="i4")
@@ -211,8 +228,8 @@ def collocations(
     order, it gives the counts of all phrases in one pass over runs, and the frequent ones are kept
     as a stored count stream. Sort-merge joins of this stream in the order of first parts, and in the
     order of rests, give l, r and the counts of extensions to either side; no table of counts is held
-    in memory. Windows are cut short before pairs of words that are too rare, known from counts in
-    a bounded number of buckets.
+    in memory. Windows are cut short before pairs and triples of words that are too rare, known from
+    counts in a bounded number of buckets.
 
     Columns: lang, rank, phrase, a, l, r, n, score. A null language is ``und``, together with a
     language of that name; null and empty texts have no words. Repeated rows count as often as they occur.
