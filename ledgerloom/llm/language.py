@@ -23,7 +23,7 @@ SWITCH_PENALTY = 12.0
 # Languages that are learned, those with the most labelled documents; labels of words are bytes.
 MOST_LANGUAGES = 250
 # A document is in the learned languages if this part of its letters is in words of any of them.
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.2
 # A language is a candidate for a script that at least this part of its learned letters are in.
 SCRIPT_SHARE = 0.01
 
