@@ -298,12 +298,15 @@ def admit_runs(
     requests are shuffled once, to make the new runs.
     """
     wants_fix = F.coalesce(F.col(fix), F.lit(False)) if fix else F.lit(False)
-    narrow = requests.select(
-        "request_id",
-        "requested_at",
-        *_REQUIRED,
-        wants_fix.alias("_fix"),
-        _too_long("migration_run", _RUN_TEXTS).alias("_too_long"),
+    narrow = stored(
+        requests.select(
+            "request_id",
+            "requested_at",
+            *_REQUIRED,
+            wants_fix.alias("_fix"),
+            _too_long("migration_run", _RUN_TEXTS).alias("_too_long"),
+        ),
+        "run-requests",
     )
     names = _parents(products.select("id", "name"), narrow, "product_id", F.min("name").alias("_product"))
     builds = _parents(versions.select("id"), narrow, "migrator_version_id")
