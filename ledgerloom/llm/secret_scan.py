@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import bisect
 import contextlib
+import functools
 import hashlib
 import html
 import itertools
@@ -32,6 +33,9 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 # Bytes of a layer that are decoded and scanned at a time.
 CHUNK = 4 * 1024 * 1024
 
+# So many levels of escapes of escapes are layers of their own; what is left is unwrapped in one pass.
+ESCAPE_LEVELS = 4
+
 Span = tuple[str, int, int]
 
 
@@ -47,12 +51,14 @@ class Layer:
     """A text, and where each of its characters comes from: the span (start, end) in the document.
 
     ``starts`` and ``ends`` are either lists with an entry per character, or one number each for
-    all of them, as in what a base64 run unfolds to.
+    all of them, as in what a base64 run unfolds to. ``level`` counts the escapes unwrapped one
+    after another.
     """
 
     text: str
     starts: list[int] | int
     ends: list[int] | int
+    level: int = 0
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
         if isinstance(self.starts, int):
@@ -86,16 +92,28 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode: Callable[[str], str | N
         return None
     keep(at, len(layer.text))
     text = "".join(parts)
-    return Layer(text, layer.starts, layer.ends) if whole else Layer(text, starts, ends)
+    level = layer.level + 1
+    return Layer(text, layer.starts, layer.ends, level) if whole else Layer(text, starts, ends, level)
 
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(
-    r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|U\+[0-9A-F]{4,6})+"
+    r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|&(?:quot|apos|amp|lt|gt);|U\+[0-9A-F]{4,6})+"
 )
 _UNICODE_ONE = re.compile(
-    r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)|U\+([0-9A-F]+)|(&#[0-9xXA-Fa-f]+;)"
+    r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)|U\+([0-9A-F]+)|(&#[0-9xXA-Fa-f]+;|&[a-z]+;)"
+)
+_BACKSLASH = re.compile(r"""(?:\\["'\\/nrt])+""")
+_BACKSLASHED = {"n": "\n", "r": "\r", "t": "\t"}
+# What a text may end in, before a bar and the character that comes next; its last eleven
+# characters are enough to see it.
+_ENDS_IN_ESCAPE = re.compile(
+    r"""(?:%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}"""
+    r"""|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|&(?:quot|apos|amp|lt|gt);|\\["'\\/nrt]"""
+    r"""|U\+[0-9A-F]{6}|U\+[0-9A-F]{4,5}(?=\|(?:[^0-9A-F]|\Z)))(?=\|.?\Z)""",
+    re.DOTALL,
 )
+_ESCAPE_END = frozenset("0123456789abcdefABCDEF;}\"'\\/nrt")
 # A run of either alphabet, and runs on lines one after another, which may be one wrapped run.
 _RUN = re.compile(r"[A-Za-z0-9+/_-]+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -123,6 +141,60 @@ def _unicode(run: str) -> str | None:
     return new if new != run else None
 
 
+def _backslashes(run: str) -> str:
+    return "".join(_BACKSLASHED.get(c, c) for c in run[1::2])
+
+
+_ESCAPES = ((_URL, _url), (_UNICODE, _unicode), (_BACKSLASH, _backslashes))
+
+
+def _one(escape: str) -> str:
+    """The character of a single escape; bytes above 127 stay for themselves."""
+    if escape[0] == "%":
+        return chr(int(escape[1:], 16))
+    if _BACKSLASH.fullmatch(escape):
+        return _backslashes(escape)
+    return _UNICODE_ONE.sub(lambda m: html.unescape(m[4]) if m[4] else _character(m), escape)
+
+
+def _character(m: re.Match) -> str:
+    code = int(m[1] or m[2] or m[3], 16)
+    return chr(code) if code < 0x110000 else "\ufffd"
+
+
+def _settled(layer: Layer) -> Layer | None:
+    """The layer with escapes, and those they make with what stands around them, all decoded.
+
+    One pass from left to right: whenever what was read so far ends in an escape, its character
+    takes its place and may end another one. So the time grows with the length of the text,
+    however deep escapes are nested.
+    """
+    text, whole = layer.text, isinstance(layer.starts, int)
+    out: list[str] = []
+    starts: list[int] = []
+    ends: list[int] = []
+    changed = False
+    for i, c in enumerate(text):
+        out.append(c)
+        if not whole:
+            starts.append(layer.starts[i])
+            ends.append(layer.ends[i])
+        after = text[i + 1 : i + 2]
+        while out[-1] in _ESCAPE_END:
+            m = _ENDS_IN_ESCAPE.search("".join(out[-11:]) + "|" + after)
+            if m is None:
+                break
+            size = len(m[0])
+            out[-size:] = [(_one(m[0]) or "\ufffd")[0]]
+            if not whole:
+                starts[-size:], ends[-size:] = [starts[-size]], [ends[-1]]
+            changed = True
+    if not changed:
+        return None
+    settled = "".join(out)
+    return Layer(settled, layer.starts, layer.ends) if whole else Layer(settled, starts, ends)
+
+
 Source = Callable[[], Iterator[bytes]]
 
 
@@ -313,8 +385,9 @@ def layers(text: str, limit: int | None = None, cuts: set | None = None) -> Iter
     """All layers under a text and whether any was cut so far, without the text itself.
 
     Each layer is unwrapped in every way, and each new one likewise, until none is left; the inner
-    ones come first, so that of each depth one piece of about ``CHUNK`` bytes is held. A layer
-    whose text and place were seen before is not taken again. Places that ``limit`` cut are
+    ones come first, so that of each depth one piece of about ``CHUNK`` bytes is held. Escapes of
+    escapes are layers of their own for ``ESCAPE_LEVELS`` levels; deeper ones are unwrapped in one
+    pass, of which the last layer counts. A layer whose text and place were seen before is not taken again. Places that ``limit`` cut are
     added to ``cuts``.
     """
     cuts = set() if cuts is None else cuts
@@ -328,12 +401,15 @@ def layers(text: str, limit: int | None = None, cuts: set | None = None) -> Iter
         return new
 
     def under(layer: Layer) -> Iterator[Layer]:
-        if layer.starts is None and ("%" in text or "\\" in text or "&#" in text or "U+" in text):
-            if _URL.search(text) or _UNICODE.search(text):
+        if layer.starts is None and ("%" in text or "\\" in text or "&" in text or "U+" in text):
+            if any(pattern.search(text) for pattern, _ in _ESCAPES):
                 layer = Layer(text, list(range(len(text))), list(range(1, len(text) + 1)))
-        for pattern, decode in ((_URL, _url), (_UNICODE, _unicode)):
-            if layer.starts is not None and (found := _replaced(layer, pattern, decode)) and is_new(found):
-                yield found
+        if layer.starts is not None:
+            deep = layer.level >= ESCAPE_LEVELS
+            ways = [_settled] if deep else [functools.partial(_replaced, pattern=p, decode=d) for p, d in _ESCAPES]
+            for way in ways:
+                if (found := way(layer)) and is_new(found):
+                    yield found
         for start, end, data, packed in _candidates(layer.text):
             if layer.starts is not None:
                 start, end = layer.origin(start, end)
@@ -395,7 +471,7 @@ def find_secrets(
 
     ``plain`` has the matches in the text itself; ``spans`` also those in its decoded layers, with
     the place of the outermost encoded run. Unwrapped are URL escapes, Unicode and numeric
-    character escapes, base64 (both alphabets, also wrapped or after '/', '_' or '-'), gzip and
+    character escapes, the five entities of XML, backslashes as in JSON strings, base64 (both alphabets, also wrapped or after '/', '_' or '-'), gzip and
     zlib, in any nesting, until nothing new comes up. All members of a compressed layer are read as a stream to their end. Only with
     ``max_unfolded``, each is read up to so many bytes, and ``n_cut`` counts those that have more.
 

@@ -2,7 +2,11 @@
 
 import base64
 import gzip
+import itertools
+import json
+import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -158,6 +162,71 @@ def test_deep_and_cyclic():
     assert S.scan(bomb, limit=1000)[2] == 1 and S.scan(bomb)[2] == 0 and len(S.scan(bomb)[1]) == 1
 
 
+@pytest.mark.parametrize(
+    "lead, again, last",
+    [
+        ("%", "25", "3D"), ("\\", "x5c", "x3d"), ("\\", "u005c", "u003d"), ("&", "#38;", "#61;"),
+        ("&", "amp;", "#61;"), ("U", "+0055", "+003D"),
+    ],
+)
+def test_nested_escapes_take_linear_time(lead, again, last):
+    text = "x password" + lead + again * (100_000 // len(again)) + last + "hunter2hunter2 y"
+    began = time.perf_counter()
+    _, every, cut = S.scan(text)
+    assert time.perf_counter() - began < 5 and not cut
+    assert ("assign", 2, len(text) - 2) in every
+
+
+def test_many_backslashes():
+    text = '{"password' + "\\" * 65_535 + '": ' + "\\" * 65_535 + '"hunter2hunter2'
+    began = time.perf_counter()
+    _, every, _ = S.scan(text)
+    assert time.perf_counter() - began < 5
+    assert ("assign", 2, len(text)) in every
+
+
+def wrapped_again(text, kind):
+    if kind == "json":
+        return json.dumps(text)[1:-1]
+    if kind == "quoted":
+        return urllib.parse.quote(text, safe="")
+    # Only what is no letter or digit, so texts stay short.
+    one = "\\x{:02x}" if kind == "hexescape" else "&#{};"
+    return "".join(c if c.isalnum() else one.format(ord(c)) for c in text)
+
+
+@pytest.mark.parametrize("levels", [1, 2, 5, 12])
+@pytest.mark.parametrize("kinds", [["quoted"], ["hexescape", "quoted"], ["entity", "quoted"], ["json"]])
+def test_escapes_of_escapes(kinds, levels):
+    text = '"password": "hunter2hunter2"'
+    for level in range(levels):
+        text = wrapped_again(text, kinds[level % len(kinds)])
+    _, every, _ = S.scan(text)
+    assert any(kind == "assign" for kind, *_ in every)
+
+
+def test_settled_has_no_escape_left():
+    draw = random.Random(7)
+    parts = ["%", "25", "41", "3d", "a", " ", "&", "#38;", "#65;", "amp;", "quot;", "U+0041", "U+0055", "+0042", "%2", "%35", "|"]
+    for _ in range(2000):
+        text = "".join(draw.choices(parts, k=12))
+        layer = S.Layer(text, list(range(len(text))), list(range(1, len(text) + 1)))
+        got = S._settled(layer) or layer
+        assert len(got.starts) == len(got.ends) == len(got.text)
+        assert all(a < b for a, b in zip(got.starts, got.ends, strict=True))
+        assert all(b <= c for b, c in itertools.pairwise(x for pair in zip(got.starts, got.ends, strict=True) for x in pair))
+        assert not any(p.search(got.text) for p, _ in S._ESCAPES), (text, got.text)
+
+
+def test_json_and_entities():
+    for text in ('{\\"password\\": \\"hunter2hunter2\\"}', "password=&quot;hunter2hunter2&quot;", "secret:&#34;hunter2hunter2"):
+        _, every, _ = S.scan(text)
+        assert {kind for kind, *_ in every} == {"assign"}, text
+    wrapped = base64.encodebytes((SECRET + " and more text behind it, so that lines are many. " * 3).encode()).decode()
+    _, every, _ = S.scan(json.dumps({"key": wrapped}))
+    assert any(kind == "assign" for kind, *_ in every)
+
+
 def test_clean_text_has_no_layers():
     for text in cases.texts_of().values():
         assert all(not S.base_spans(layer.text) for layer, _ in S.layers(text or ""))
