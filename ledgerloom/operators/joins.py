@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _TAG = "_key_tag"
@@ -19,3 +19,26 @@ def lookup(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left")
     tag = F.xxhash64(*on).alias(_TAG)
     joined = rows.select("*", tag).join(table.select("*", tag), [_TAG, *on], how)
     return joined.drop(_TAG)
+
+
+# Values that are sent to a scan as a condition.
+FEW_VALUES = 200
+
+
+def few_values(asked: DataFrame, column: str, most: int = FEW_VALUES) -> list | None:
+    """The distinct values of a column without null, or nothing if there are more than ``most``."""
+    values = asked.select(column).where(F.col(column).isNotNull()).distinct()
+    found = values.limit(most + 1).collect()
+    return [row[0] for row in found] if len(found) <= most else None
+
+
+def any_of(column: str, values: list) -> Column:
+    """Whether the column has one of a few values.
+
+    Equalities, because of a longer ``IN`` list only the least and the largest value reach the
+    statistics and Bloom filters of Parquet files.
+    """
+    terms = [F.col(column) == F.lit(v) for v in values] or [F.lit(False)]
+    while len(terms) > 1:  # halves, so the condition stays flat
+        terms = [a | b for a, b in zip(terms[::2], terms[1::2], strict=False)] + terms[len(terms) & ~1 :]
+    return terms[0]

@@ -226,8 +226,8 @@ _REPAIRED = f"""
                WHERE fix AND environment IS NOT NULL) a USING ({_RUN_KEY})"""
 
 
-def _admission(fix: str) -> str:
-    """Requests in order per key; ``fix`` is the SQL of the repair flag."""
+def _admission(fix: str, numbered_by: str = "") -> str:
+    """Requests in order per key; ``fix`` is the SQL of the repair flag. Ids go by md5 within ``numbered_by``."""
     return duckdb_ctes("run_request", "migration_run", "product", "migrator_version") + f""",
     open_key AS (SELECT DISTINCT {_RUN_KEY} FROM migration_run WHERE finished_at IS NULL),
     numbered AS (
@@ -248,7 +248,7 @@ def _admission(fix: str) -> str:
     entering AS (SELECT *, valid AND (wants_fix OR (turn = 1 AND NOT was_open)) AS entered FROM placed),
     decided AS (
         SELECT *, CASE WHEN entered THEN (SELECT max(id) FROM migration_run) + row_number() OVER (
-                      PARTITION BY entered ORDER BY md5(CAST(request_id AS VARCHAR))) END AS new_id
+                      PARTITION BY entered ORDER BY {numbered_by}md5(CAST(request_id AS VARCHAR))) END AS new_id
         FROM entering)"""
 
 
@@ -266,8 +266,8 @@ def _admission_results(fix: str) -> str:
     FROM decided d LEFT JOIN (SELECT id, min(name) AS name FROM product GROUP BY id) p ON p.id = d.product_id"""
 
 
-def _admission_ledger() -> str:
-    return _admission("fix") + f""",
+def _admission_ledger(numbered_by: str = "") -> str:
+    return _admission("fix", numbered_by) + f""",
     repaired AS ({_REPAIRED.replace("<asked>", "(SELECT * FROM numbered WHERE valid)")})
     SELECT * FROM repaired
     UNION ALL BY NAME
@@ -511,6 +511,24 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT f.new_id, f.name, r.description, {_NOW} FROM fresh f JOIN product_request r ON r.request_id = f.first_id""",
     "run_ledger_applied_twice": _admission_ledger(),
+    "run_ledger_live": _admission_ledger(
+        "CASE WHEN year(requested_at) < 1994 THEN 1 WHEN year(requested_at) < 1997 THEN 2 ELSE 3 END, "
+    ),
+    "log_activity_live": duckdb_ctes("migration_log") + f""",
+        {_dimension_cte("migration_event")}, {_dimension_cte("migration_run_mode")},
+        come AS (SELECT *, CASE migration_event_id WHEN 10 THEN 1 WHEN 20 THEN 2 ELSE 3 END AS part FROM migration_log),
+        before AS (
+            SELECT part, max(max(created_at)) OVER (
+                       ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+            FROM come GROUP BY part),
+        timed AS (SELECT * FROM come JOIN before USING (part))
+        SELECT date_trunc('hour', l.created_at) AS hour, l.log_level_id, l.migration_event_id, l.run_mode_id,
+               count(*) AS n_entries,
+               count(*) FILTER (l.created_at < l.newest - INTERVAL 1 DAY) AS n_late,
+               e.name AS migration_event_name, m.name AS run_mode_name
+        FROM timed l LEFT JOIN migration_event e ON e.id = l.migration_event_id
+             LEFT JOIN migration_run_mode m ON m.id = l.run_mode_id
+        GROUP BY ALL""",
     "log_append_numbered": duckdb_ctes("log_entry", "migration_log") + f"""
         SELECT * FROM migration_log
         UNION ALL BY NAME
@@ -535,3 +553,4 @@ ORACLES: dict[str, str] = {
                CASE WHEN fits THEN 'ok' ELSE 'bad value' END AS status
         FROM typed_parameter""",
 }
+ORACLES["state_select_stored"] = ORACLES["state_select_many"]

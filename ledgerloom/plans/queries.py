@@ -20,6 +20,7 @@ from ledgerloom.sources.current import CurrentState
 from ledgerloom.sources.fixtures import view
 from ledgerloom.sources.repository import Repository
 from ledgerloom.sources.tables import TABLES, VERSION_KEY
+from ledgerloom.streaming import live
 from ledgerloom.streaming import log_stream as stream
 
 NOW = dt.datetime(2030, 1, 2, 3, 4, 5)
@@ -434,6 +435,47 @@ def run_ledger_applied_twice(spark: SparkSession, sf: str) -> DataFrame:
     return _in_repository(spark, sf, ["product", "migrator_version", "migration_run"], work)
 
 
+@query
+def state_select_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The state select for all open runs, over stored migrations."""
+    open_runs = view(spark, sf, "migration_run").where("finished_at IS NULL")
+    return _in_repository(spark, sf, ["migration"], lambda repo: repo.state_select_many(open_runs))
+
+
+def _arriving(spark: SparkSession, parts: list[DataFrame], follow: Callable) -> None:
+    """Add the parts to a folder one after another; ``follow`` starts a stream on it after each."""
+    source = new_folder(spark, "arriving")
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        follow(stream.read_stream(spark, source, part.schema)).awaitTermination()
+    remove_folder(spark, source)
+
+
+@query
+def run_ledger_live(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored run table after a stream of requests, which come in three parts in their order."""
+    asked, year = view(spark, sf, "run_request"), F.year("requested_at")
+    parts = [asked.where(year < 1994), asked.where((year >= 1994) & (year < 1997)), asked.where(year >= 1997)]
+
+    def work(repo: Repository) -> DataFrame:
+        paths = [f"{repo.location}/{p}" for p in ("answers", "checkpoint")]
+        _arriving(spark, parts, lambda asked: live.admit_stream(repo, asked, "live", *paths, NOW, "fix"))
+        return repo.read("migration_run")
+
+    return _in_repository(spark, sf, ["product", "migrator_version", "migration_run"], work)
+
+
+@query
+def log_activity_live(spark: SparkSession, sf: str) -> DataFrame:
+    """Log entries by hour, counted by a stream: views come first, then clicks, then the rest."""
+    events, kind = fixtures.raw(spark, sf, "events"), F.coalesce(F.col("event_type"), F.lit(""))
+    parts = [events.where(kind == "view"), events.where(kind == "click"), events.where(~kind.isin("view", "click"))]
+    folder = new_folder(spark, "log-activity")
+    activity = live.LogActivity(spark, folder, dt.timedelta(days=1), merge_every=2)
+    _arriving(spark, parts, lambda come: activity.start(come, fixtures.events_to_log, f"{folder}/checkpoint"))
+    return activity.read(master.dimensions(spark))
+
+
 @query
 def log_append_numbered(spark: SparkSession, sf: str) -> DataFrame:
     """The stored log after entries were appended, numbered by its high-water mark."""

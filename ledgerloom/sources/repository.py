@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.envelope import format_envelope
 from ledgerloom.functions.values import moment
-from ledgerloom.operators import changes
+from ledgerloom.operators import changes, select
 from ledgerloom.operators.checks import completeness, observe_columns
-from ledgerloom.operators.joins import lookup
+from ledgerloom.operators.joins import any_of, few_values, lookup
 from ledgerloom.plans.storage import remove_folder, stored, subfolders
 from ledgerloom.sources import log
 from ledgerloom.sources.batches import RequestLedger
@@ -23,9 +23,11 @@ from ledgerloom.sources.tables import (
     LOG_TABLES,
     LOOKUP_ORDER,
     REPOSITORY_TABLES,
+    RUN_KEY,
     VERSION_KEY,
     ddl,
     struct_type,
+    write_options,
 )
 
 
@@ -148,7 +150,7 @@ class Repository:
         report = None
         if checked:
             rows, report = observe_columns(table, rows)
-        rows.write.parquet(folder)
+        rows.write.options(**write_options(table)).parquet(folder)
         broken = report().where("null_violations > 0 OR length_violations > 0").collect() if report else []
         if broken:
             remove_folder(self.spark, folder)
@@ -258,18 +260,37 @@ class Repository:
     def apply_runs(
         self, requests: DataFrame, now: dt.datetime | None = None, fix: str | None = None, batch: str | None = None
     ) -> DataFrame:
-        """Admit run requests, repair and store runs, and return the answers."""
+        """Admit run requests, repair and store runs, and return the answers.
+
+        Of the run table only the open runs are read.
+        """
         now = _now() if now is None else now
         return self._apply(
             "migration_run",
             requests,
             batch,
             lambda asked, store: changes.admit_runs(
-                asked, self.read("migration_run"), self.read("product"), self.read("migrator_version"),
+                asked, self.spark.table(self.name(_OPEN_RUNS)), self.read("product"), self.read("migrator_version"),
                 now, fix, reserve=self._ids("migration_run").reserve, store=store,
             ),
         )
 
+    def state_select_many(self, keys: DataFrame) -> DataFrame:
+        """The state select for a table of keys, over the stored migrations.
+
+        The products of a few keys go to the scan as a condition, which by statistics and Bloom
+        filters leaves out all that can't have them; of many keys, the least and the largest product.
+        The semi join that follows is the same in both cases.
+        """
+        migrations, asked = self.read("migration"), stored(keys.select(*RUN_KEY).distinct(), "asked-keys")
+        products = few_values(asked, "product_id")
+        if products is None:
+            ends = asked.agg(F.min("product_id"), F.max("product_id")).first()
+            migrations = migrations.where(F.col("product_id").between(*ends))
+        else:
+            migrations = migrations.where(any_of("product_id", products))
+        return select.state_select_many(migrations, asked)
+
     def append_log(self, entries: DataFrame, key: list[str], now: dt.datetime | None = None) -> None:
         """Append entries to the log with ids after its highest one, which is not read for it.
 
@@ -355,8 +376,11 @@ class Repository:
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{self.schema}` LOCATION '{self.location}'")
         for table in tables:
             for name in (table, _OPEN_RUNS) if table == "migration_run" else (table,):
+                options = ", ".join(f"'{key}' = '{value}'" for key, value in write_options(table).items())
                 self.spark.sql(
-                    f"CREATE TABLE {self.name(name)} ({ddl(table)}) USING PARQUET LOCATION '{self._folder(name)}'"
+                    f"CREATE TABLE {self.name(name)} ({ddl(table)}) USING PARQUET"
+                    + (f" OPTIONS ({options})" if options else "")
+                    + f" LOCATION '{self._folder(name)}'"
                 )
             if table in master_rows():
                 self.append(table, dimension(self.spark, table, self.tool).coalesce(1))

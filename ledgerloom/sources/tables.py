@@ -89,6 +89,23 @@ LOOKUP_ORDER = {
     "migration_log": ["product_id", "id"],
 }
 
+# Columns with Bloom filters: rows that were appended are not yet in the order of the others, so the
+# least and the largest value of a file say little.
+BLOOM_FILTERS = {
+    "product": ["name"],
+    "migration_run": ["product_id"],
+    "migration": ["product_id"],
+    "migration_history": ["migration_id"],
+    "migration_log": ["product_id"],
+}
+
+
+def write_options(table: str) -> dict[str, str]:
+    """Options for writing a table as Parquet; the size of a filter follows its distinct values."""
+    filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM_FILTERS.get(table, [])}
+    return {**filters, "parquet.bloom.filter.adaptive.enabled": "true"} if filters else {}
+
+
 _SPARK_TYPES = {
     "smallint": T.ShortType(),
     "int": T.IntegerType(),
