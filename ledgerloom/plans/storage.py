@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +32,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+# The folders of the innermost open ``written_tables`` of this thread.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written_tables", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(folder)
+    return folder
+
+
+@contextlib.contextmanager
+def written_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end, also after an error, the folders that operators wrote for themselves inside.
+
+    A result that reads them must be collected or stored elsewhere before. Scopes nest; each removes
+    its own folders. Folders made by other threads inside, as by a running stream, stay.
+    """
+    folders: list[str] = []
+    token = _WRITTEN.set(folders)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(token)
+        for folder in folders:
+            remove_folder(spark, folder)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

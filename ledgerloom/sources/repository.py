@@ -14,7 +14,7 @@ from ledgerloom.functions.values import moment
 from ledgerloom.operators import changes, select
 from ledgerloom.operators.checks import completeness, observe_columns
 from ledgerloom.operators.joins import any_of, few_values, lookup
-from ledgerloom.plans.storage import remove_folder, stored, subfolders
+from ledgerloom.plans.storage import remove_folder, stored, subfolders, written_tables
 from ledgerloom.sources import log
 from ledgerloom.sources.batches import RequestLedger
 from ledgerloom.sources.marks import HighWater
@@ -94,9 +94,10 @@ class Repository:
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows; each file is sorted for lookups, without a shuffle. Ids after theirs are free."""
         if table == "migration_run":
-            rows = stored(rows, "new-runs")  # computed once for both tables
-            self._insert(table, rows.where("finished_at IS NOT NULL"))
-            self._insert(_OPEN_RUNS, rows.where("finished_at IS NULL"))
+            with written_tables(self.spark):
+                rows = stored(rows, "new-runs")  # computed once for both tables
+                self._insert(table, rows.where("finished_at IS NOT NULL"))
+                self._insert(_OPEN_RUNS, rows.where("finished_at IS NULL"))
         else:
             self._insert(table, rows)
 
@@ -188,6 +189,10 @@ class Repository:
 
     def _store(self, table: str, outcome: DataFrame, again: bool) -> None:
         """Store what an outcome changes; ``again`` after a try that may have stored a part of it."""
+        with written_tables(self.spark):
+            self._store_parts(table, outcome, again)
+
+    def _store_parts(self, table: str, outcome: DataFrame, again: bool) -> None:
         new = changes.new_rows_of(outcome)
         if table == "migration_run" and not outcome.where("repairs").isEmpty():
             first = new.agg(F.min("id").alias("id"), F.min("started_at").alias("at")).first()
@@ -223,7 +228,8 @@ class Repository:
             written.append(ledger.write(batch, outcome))
             return written[0][1]
 
-        answer = decide(requests, store)
+        with written_tables(self.spark):  # answers are read from the request ledger
+            answer = decide(requests, store)
         [(note, outcome)] = written
         self._store(table, outcome, again=False)
         ledger.stored(note)

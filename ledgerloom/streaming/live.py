@@ -19,6 +19,7 @@ from ledgerloom.plans.storage import (
     remove_folder,
     subfolders,
     write_file,
+    written_tables,
 )
 from ledgerloom.sources.repository import Repository
 
@@ -45,13 +46,13 @@ def admit_stream(
     """
 
     def admit(batch: DataFrame, number: int) -> None:
-        # Written because they are read twice; and Spark plans the rows of a stream without AQE.
-        folder = new_folder(repo.spark, "live-requests")
-        batch.write.parquet(folder)
-        asked = repo.spark.read.schema(batch.schema).parquet(folder)
-        answers = repo.apply_runs(asked, now, fix, batch=f"{name}-{number}")
-        answers.write.mode("overwrite").parquet(f"{answers_path}/batch={number}")
-        remove_folder(repo.spark, folder)
+        with written_tables(repo.spark):
+            # Written because they are read twice; and Spark plans the rows of a stream without AQE.
+            folder = new_folder(repo.spark, "live-requests")
+            batch.write.parquet(folder)
+            asked = repo.spark.read.schema(batch.schema).parquet(folder)
+            answers = repo.apply_runs(asked, now, fix, batch=f"{name}-{number}")
+            answers.write.mode("overwrite").parquet(f"{answers_path}/batch={number}")
 
     return (
         requests.writeStream.foreachBatch(admit)

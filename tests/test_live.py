@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import changes, select
 from ledgerloom.operators.joins import any_of, few_values
+from ledgerloom.plans.storage import stored, written_tables
 from ledgerloom.sources import log, master, repository
 from ledgerloom.sources.fixtures import view
 from ledgerloom.sources.repository import Repository
@@ -222,3 +223,31 @@ class TestPrunedSelect:
         assert sorted(few_values(rows, "k", 2)) == [1, 2] and few_values(rows, "k", 1) is None
         for n in range(9):
             assert spark.range(20).where(any_of("id", list(range(n)))).count() == n
+
+
+class TestWrittenTables:
+    def written(self, spark):
+        folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://").removeprefix("file:")
+        return set(os.listdir(folder))
+
+    def test_scopes_remove_their_own_folders(self, spark):
+        before = self.written(spark)
+        outside = stored(spark.range(3), "outside")
+        with written_tables(spark):
+            outer = stored(spark.range(5), "outer")
+            with pytest.raises(OSError, match="lost"), written_tables(spark):
+                stored(spark.range(7), "inner")
+                raise OSError("lost")
+            assert {n.split("-")[0] for n in self.written(spark) - before} == {"outside", "outer"}
+            assert outer.count() == 5
+        assert {n.split("-")[0] for n in self.written(spark) - before} == {"outside"}
+        assert outside.count() == 3
+
+    def test_batches_of_a_repository_leave_no_folder(self, spark, repo):
+        TestAdmitStream().tables(spark, repo)
+        before = self.written(spark)
+        answers = repo.apply_runs(view(spark, SF, "run_request"), NOW, "fix", batch="b")
+        names = spark.createDataFrame([(1, "new", None)], "request_id int, name string, description string")
+        products = repo.apply_products(names, NOW)
+        assert self.written(spark) == before
+        assert answers.count() == view(spark, SF, "run_request").count() and products.first().result_code > 0
