@@ -20,6 +20,8 @@ RADIUS = 3
 # Shingles whose bits are counted at once, and fingerprints compared by one call.
 _SHINGLES_AT_ONCE = 1 << 16
 _BLOCK = 1024
+# A bucket of more blocks is spread by wider masks: blocks would make more copies of it than masks do.
+_HOT_BLOCKS = 16
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -77,6 +79,13 @@ def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
     return [sum(1 << i for i, label in enumerate(labels) if (label & v).bit_count() % 2) for v in vectors]
 
 
+def wider_masks(mask: int, radius: int = RADIUS, bits: int = 64) -> list[int]:
+    """The mask with more bits: covering masks over those it leaves out are added to it."""
+    free = [i for i in range(bits) if not mask >> i & 1]
+    inner = covering_masks(radius, len(free))
+    return [mask | sum(1 << bit for i, bit in enumerate(free) if m >> i & 1) for m in inner]
+
+
 def star_links(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """(smallest member, other member) of each group of fingerprints linked within ``radius``."""
     values = np.unique(values)
@@ -108,23 +117,47 @@ def _links_of(values: Column, radius: int) -> Column:
     return of(values)
 
 
-def near_links(prints: DataFrame, radius: int = RADIUS, block: int = _BLOCK) -> DataFrame:
+def near_links(
+    prints: DataFrame, radius: int = RADIUS, block: int = _BLOCK, hot_blocks: int = _HOT_BLOCKS
+) -> DataFrame:
     """Links (a, b) that join all fingerprints at ``radius`` or fewer differing bits into groups.
 
     ``prints`` has distinct values ``fp``. Two such fingerprints share their bits under a covering
     mask and so meet in a bucket of it. A bucket of more than ``block`` values is dealt into
     blocks, and each two blocks meet in a task of their own, so no task holds a large group.
-    Each meeting gives the links of a star per group instead of all pairs.
+    A bucket of more than ``hot_blocks`` blocks is spread anew by masks that also keep some of the
+    bits its own mask leaves out; with three bits, 16 of 64 stay out, so such a bucket has at most
+    65,536 values, and the work grows with the fingerprints however many meet in a bucket. Each meeting gives the links of a star per group instead of all pairs.
     """
     masks = covering_masks(radius)
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    places = [
-        F.struct(F.lit(i).cast("short").alias("mask"), F.col("fp").bitwiseAND(F.lit(m).cast("bigint")).alias("kept"))
-        for i, m in enumerate(signed)
-    ]
-    spread = prints.select("fp", F.inline(F.array(*places)))
+    spread = prints.select("fp", F.inline(F.array(*[_place(i, F.lit(m)) for i, m in enumerate(map(_signed, masks))])))
+    met = _met(spread)
+    hot = F.col("_n") > hot_blocks * block
+    deeper = F.array(*[F.array(*[F.lit(_signed(m)) for m in wider_masks(mask, radius)]) for mask in masks])
+    below = F.transform(F.get(deeper, F.col("mask").cast("int")), lambda m, i: _place((F.col("mask") + 1) * len(masks) + i, m))
+    again = _met(met.where(hot).select("fp", F.inline(below)))
+    groups = _meetings(met.where(~hot).unionByName(again), block)
+    return groups.select(F.inline(_links_of(F.col("_group"), radius))).distinct()
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _place(number: Column | int, mask: Column) -> Column:
+    """The bucket of a fingerprint under a mask."""
+    kept = F.col("fp").bitwiseAND(mask.cast("bigint"))
+    return F.struct(F.lit(number).cast("int").alias("mask"), kept.alias("kept"))
+
+
+def _met(spread: DataFrame) -> DataFrame:
+    """The fingerprints of buckets with more than one, and how many it has."""
     sizes = spread.groupBy("mask", "kept").agg(F.count("*").alias("_n")).where("_n > 1")
-    met = lookup(spread, sizes, ["mask", "kept"], "inner")
+    return lookup(spread, sizes, ["mask", "kept"], "inner")
+
+
+def _meetings(met: DataFrame, block: int) -> DataFrame:
+    """The members of each two blocks of a bucket, in ``_group``."""
     n_blocks = F.ceil(F.col("_n") / block).cast("int")
     own = F.pmod(F.xxhash64("fp"), n_blocks).cast("int")
     meetings = F.transform(
@@ -137,7 +170,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, block: int = _BLOCK) ->
         .agg(F.collect_list("fp").alias("_group"))
         .where(F.size("_group") > 1)
     )
-    return groups.select(F.inline(_links_of(F.col("_group"), radius))).distinct()
+    return groups
 
 
 def smallest_reachable(links: DataFrame) -> DataFrame:

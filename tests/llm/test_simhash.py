@@ -61,9 +61,36 @@ def test_masks_cover(radius):
         assert any(m & flipped == 0 for m in masks)
 
 
-@pytest.mark.parametrize("block", [1024, 7])
-def test_chains_and_large_groups(spark, block):
-    """Chains of small steps, a dense cloud, and lone prints; also with buckets cut into blocks."""
+@pytest.mark.parametrize("radius", [1, 2, 3])
+def test_wider_masks_cover_what_a_mask_avoids(radius):
+    random.seed(radius)
+    for mask in simhash.covering_masks(radius):
+        wider = simhash.wider_masks(mask, radius)
+        assert all(m & mask == mask and m.bit_count() > mask.bit_count() for m in wider)
+        assert radius < 3 or all(64 - m.bit_count() <= 16 for m in wider)
+        free = [b for b in range(64) if not mask >> b & 1]
+        for _ in range(500):
+            flipped = sum(1 << b for b in random.sample(free, radius))
+            assert any(m & flipped == 0 for m in wider)
+
+
+def test_hot_buckets_meet_in_proportion(spark):
+    """20,000 prints that agree in half their bits: blocks alone would make 78 copies of a bucket."""
+    mask = simhash.covering_masks()[0]
+    free = [b for b in range(64) if not mask >> b & 1]
+    random.seed(1)
+    values = {sum(1 << b for b in free if random.random() < 0.5) for _ in range(20_000)}
+    signed = [int(np.array(v, np.uint64).view(np.int64)) for v in values]
+    df = spark.createDataFrame([(v,) for v in signed], "fp bigint")
+    links = simhash.near_links(df, block=256, hot_blocks=16)
+    found = {r.node: r.root for r in simhash.smallest_reachable(links).collect()}
+    plain = {r.node: r.root for r in simhash.smallest_reachable(simhash.near_links(df, block=256, hot_blocks=1 << 20)).collect()}
+    assert found == plain and found
+
+
+@pytest.mark.parametrize("block, hot_blocks", [(1024, 16), (7, 16), (7, 1), (1, 1), (1024, 0)])
+def test_chains_and_large_groups(spark, block, hot_blocks):
+    """Chains of small steps, a dense cloud, and lone prints; also with buckets cut into blocks and spread anew."""
     random.seed(block)
     values, at = set(), random.getrandbits(64)
     for _ in range(60):
@@ -79,7 +106,7 @@ def test_chains_and_large_groups(spark, block):
     values |= {random.getrandbits(64) for _ in range(100)} | {0, 1, 3, 7, 15, 31}
     signed = [int(np.array(v, np.uint64).view(np.int64)) for v in values]
     df = spark.createDataFrame([(v,) for v in signed], "fp bigint")
-    links = simhash.near_links(df, block=block)
+    links = simhash.near_links(df, block=block, hot_blocks=hot_blocks)
     got = {r.node: r.root for r in simhash.smallest_reachable(links).collect()}
     expected = groups(dict(zip(signed, signed)) | {})
     prints = dict(zip(signed, values))
