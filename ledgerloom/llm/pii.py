@@ -19,14 +19,29 @@ _IBAN_LENGTHS = {
 }
 _IBAN = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[0-9A-Z]){{{n - 4}}}" for n, c in _IBAN_LENGTHS.items())
 _DAY = "(?:0?[1-9]|[12][0-9]|3[01])"
+_YEAR = "(?:1[89]|2[01])[0-9]{2}"
+# Names of the months.
+MONTHS = {
+    "en": "January February March April May June July August September October November December",
+    "de": "Januar Februar März April Mai Juni Juli August September Oktober November Dezember",
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "short": "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec",
+}
+_ENGLISH = "|".join(f"{MONTHS['en']} {MONTHS['short']}".split())
+_NAMED = "|".join(" ".join(MONTHS.values()).split())
 # The first pattern that matches at a place counts.
 PATTERNS = {
     # Labels and dots are one class: a repeated group would recurse once for each label.
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}",
     "iban": rf"(?<![0-9A-Za-z])(?:{_IBAN})(?![0-9A-Za-z])",
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
-    "date": r"(?<![0-9A-Za-z-])(?:1[89]|2[01])[0-9]{2}([-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])(?!(?!T[0-9]{2}:)[0-9A-Za-z-])"
-    rf"|(?<![0-9A-Za-z./-]){_DAY}([-/.]){_DAY}\2(?:1[89]|2[01])[0-9]{{2}}(?!(?!T[0-9]{{2}}:)[0-9A-Za-z]|[-/.][0-9])",
+    "date": rf"(?<![0-9A-Za-z-]){_YEAR}([-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])(?!(?!T[0-9]{{2}}:)[0-9A-Za-z-])"
+    rf"|(?<![0-9A-Za-z./-]){_DAY}([-/.]){_DAY}\2{_YEAR}(?!(?!T[0-9]{{2}}:)[0-9A-Za-z]|[-/.][0-9])"
+    rf"|(?<![0-9A-Za-z./-]){_DAY}/{_DAY}/[0-9]{{2}}(?![0-9A-Za-z]|[-/.][0-9])"
+    # Months by name.
+    rf"|(?<![0-9A-Za-z.,/-]){_DAY}\.?(?: de)? (?:{_NAMED})\.?(?: de)? {_YEAR}(?![0-9A-Za-z])"
+    rf"|(?<![0-9A-Za-z])(?=[JFMASOND][a-z]{{2}})(?:{_ENGLISH})\.? {_DAY},? {_YEAR}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3}[ .-]?[0-9]{3,4}(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z])(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])"
     # Any grouping of 8 to 15 digits after a plus; area codes in brackets; national numbers with 0.
@@ -41,8 +56,6 @@ ANY = "|".join(PATTERNS.values())
 KINDS = list(PATTERNS)
 
 ROUNDS = 10
-# The days of 400 years from this one on are 189 times 773.
-_FIRST_DAY, _DAY_PARTS = "1800-01-01", (189, 773)
 
 
 def permuted(values: Column, radices: Column, tweak: Column, key: str) -> Column:
@@ -52,24 +65,28 @@ def permuted(values: Column, radices: Column, tweak: Column, key: str) -> Column
     of the other ones, so it can be undone.
     """
 
-    def shift(v: Column, r: Column) -> Column:
-        others = F.filter(v, lambda _, i: i % 2 != r % 2)
-        digest = F.sha2(
-            F.concat_ws("|", F.lit(key), tweak, F.array_join(radices, ","), r, F.array_join(others, ",")), 256
-        )
+    def network(sizes: Column) -> Column:
+        def shift(v: Column, r: Column) -> Column:
+            others = F.filter(v, lambda _, i: i % 2 != r % 2)
+            digest = F.sha2(
+                F.concat_ws("|", F.lit(key), tweak, F.array_join(sizes, ","), r, F.array_join(others, ",")), 256
+            )
+
+            def moved(d: Column) -> Column:
+                def each(x: Column, i: Column) -> Column:
+                    radix = F.get(sizes, i)
+                    drawn = F.conv(F.substring(F.sha2(F.concat(d, i.cast("string")), 256), 1, 15), 16, 10)
+                    new = F.pmod(x + drawn.cast("bigint"), radix).cast("int")
+                    return F.when((i % 2 == r % 2) & (radix > 1), new).otherwise(x)
 
-        def moved(d: Column) -> Column:
-            def each(x: Column, i: Column) -> Column:
-                radix = F.get(radices, i)
-                drawn = F.conv(F.substring(F.sha2(F.concat(d, i.cast("string")), 256), 1, 15), 16, 10)
-                new = F.pmod(x + drawn.cast("bigint"), radix).cast("int")
-                return F.when((i % 2 == r % 2) & (radix > 1), new).otherwise(x)
+                return F.transform(v, each)
 
-            return F.transform(v, each)
+            return let(digest, moved)
 
-        return let(digest, moved)
+        return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), values, shift)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), values, shift)
+    # Worked out once, not once for each digit.
+    return let(radices, network)
 
 
 def _chars(text: Column) -> Column:
@@ -198,19 +215,117 @@ def _address(address: Column, key: str) -> Column:
     return let(octets, of)
 
 
-def _date(text: Column, key: str) -> Column:
-    """A day of the years 1800 to 2199 for another; no change where the day does not exist."""
-    mark = F.substring(text, 5, 1)
-    day = F.try_to_date(F.translate(text, "/.", "--"), "yyyy-MM-dd")
-    first, (high, low) = F.lit(_FIRST_DAY).cast("date"), _DAY_PARTS
+def _month_names(name: Column, dotted: Column) -> Column:
+    """The twelve names of the language (or of the short forms) that a month's name is of; null if of none."""
+    lists = {of: F.array(*[F.lit(m) for m in names.split()]) for of, names in MONTHS.items()}
+    held = {of: F.when(F.array_contains(names, name), names) for of, names in lists.items()}
+    return F.when(dotted, F.coalesce(held["de"], *held.values())).otherwise(F.coalesce(*held.values()))
+
+
+def _months(day: Column, month: Column) -> Column:
+    """The months, as long in digits as the given one, that have such a day."""
+    few = lambda *months: F.array(*[F.lit(m) for m in months])
+    return (
+        F.when(month == 2, F.when(day == 29, few(2)).otherwise(few(*range(1, 10))))
+        .when(day == 31, F.when(month < 10, few(1, 3, 5, 7, 8)).otherwise(few(10, 12)))
+        .when(month > 9, few(10, 11, 12))
+        .when(day > 28, few(1, 3, 4, 5, 6, 7, 8, 9))
+        .otherwise(few(*range(1, 10)))
+    )
+
+
+def _leap_year(nth: Column) -> Column:
+    """The leap years from 1800 on, the first of which is 1804."""
+    q = nth + 1
+    q = q + F.when(q >= 25, 1).otherwise(0)
+    return 1800 + 4 * (q + F.when(q >= 75, 1).otherwise(0))
+
+
+def _moved_day(date: Column, short: Column, key: str) -> Column:
+    """Another day, month and year for an array of these, of the years 1800 to 2199, or 2000 to 2099 if ``short``.
+
+    Days up to 9, 10 to 12, 13 to 28, 29 and 30, and 31 stay among themselves, as do months up to 9 and
+    from 10 on. So a day keeps its length and its reading in every layout, and 29 February gets another
+    leap year.
+    """
+    day, month, year = (F.get(date, i) for i in range(3))
+    leap = (day == 29) & (month == 2)
+    low = F.when(day < 10, 1).when(day < 13, 10).when(day < 29, 13).when(leap | (day < 31), 29).otherwise(31)
+    days = F.when(leap, 1).when(day < 10, 9).when(day < 13, 3).when(day < 29, 16).when(day < 31, 2).otherwise(1)
+    side = F.when(short, 10).otherwise(20)
+    n = year - F.when(short, 2000).otherwise(1800)
+    skipped = F.floor(n / 4).cast("int")
+    nth = skipped - 1 - F.when(skipped > 25, 1).otherwise(0) - F.when(skipped > 75, 1).otherwise(0)
+
+    def among(months: Column) -> Column:
+        first = F.array(day - low, F.array_position(months, month).cast("int") - 1)
+        years = F.when(leap, F.array(F.when(short, skipped).otherwise(nth), F.lit(0)))
+        values = F.concat(first, years.otherwise(F.array(F.floor(n / side).cast("int"), n % side)))
+        sizes = F.when(leap, F.array(F.when(short, 25).otherwise(97), F.lit(1))).otherwise(F.array(side, side))
+        radices = F.concat(F.array(days, F.size(months)), sizes)
+        tweak = F.concat_ws(",", F.lit("day"), low.cast("string"), F.get(months, 0).cast("string"), short.cast("string"))
+
+        def moved(v: Column) -> Column:
+            in_leap = F.when(short, 2000 + 4 * F.get(v, 2)).otherwise(_leap_year(F.get(v, 2)))
+            plain = F.when(short, 2000).otherwise(1800) + F.get(v, 2) * side + F.get(v, 3)
+            return F.array(F.get(v, 0) + low, F.get(months, F.get(v, 1)), F.when(leap, in_leap).otherwise(plain))
+
+        return let(permuted(values, radices, tweak, key), moved)
 
-    def of(number: Column) -> Column:
-        values = F.array(F.floor(number / low).cast("int"), (number % low).cast("int"))
-        new = permuted(values, F.array(F.lit(high), F.lit(low)), F.lit("date"), key)
-        moved = let(new, lambda v: F.date_add(first, F.get(v, 0) * low + F.get(v, 1)))
-        return F.replace(F.date_format(moved, "yyyy-MM-dd"), F.lit("-"), mark)
+    return let(_months(day, month), among)
 
-    return F.when(day.isNull(), text).otherwise(let(F.date_diff(day, first), of))
+
+def _date(text: Column, key: str) -> Column:
+    """A day for another, in the same layout; no change where the day does not exist.
+
+    The day is permuted without its layout, so it has one pseudonym in all layouts with four digits of
+    the year. Where both numbers before the year are up to 12, the month is the first one if slashes
+    are between them, else the second one. Years of two digits are permuted among themselves, with the
+    leap years of 2000 to 2099.
+    """
+    name = F.regexp_extract(text, r"\p{L}{3,}", 0)
+    named, year_first = F.char_length(name) > 0, F.rlike(text, F.lit("^[0-9]{4}"))
+    pad = lambda n, like: F.lpad(n.cast("string"), F.char_length(like), F.lit("0"))
+
+    def of(numbers: Column, names: Column) -> Column:
+        a, b, c = (F.get(numbers, i) for i in range(3))
+        x, y = a.cast("int"), b.cast("int")
+        day_first = F.when(x > 12, True).when(y > 12, False).otherwise(~F.contains(text, F.lit("/")))
+        year_text = F.when(year_first, a).when(named, b).otherwise(c)
+        short = F.char_length(year_text) == 2
+        year = year_text.cast("int") + F.when(short, 2000).otherwise(0)
+        month = (
+            F.when(named, F.array_position(names, name).cast("int"))
+            .when(year_first | day_first, y)
+            .otherwise(x)
+        )
+        day = F.when(named, x).when(year_first, c.cast("int")).when(day_first, x).otherwise(y)
+        two = lambda n: F.lpad(n.cast("string"), 2, "0")
+        exists = F.try_to_date(F.concat_ws("-", year.cast("string"), two(month), two(day)), "yyyy-MM-dd").isNotNull()
+
+        def shown(new: Column) -> Column:
+            d, m, y4 = F.get(new, 0), F.get(new, 1), F.get(new, 2).cast("string")
+            in_year = F.when(short, F.right(y4, F.lit(2))).otherwise(y4)
+            mark = F.regexp_extract(text, "[^0-9]", 0)
+            between = lambda i, parts: F.regexp_extract(text, parts, i)
+            late, early = r"^[0-9]+([^0-9]*?)\p{L}{3,}([^0-9]*)", r"^\p{L}+([^0-9]+)[0-9]+([^0-9]+)"
+            by_name = F.when(
+                F.rlike(text, F.lit("^[0-9]")),
+                F.concat(pad(d, a), between(1, late), F.get(names, m - 1), between(2, late), in_year),
+            ).otherwise(F.concat(F.get(names, m - 1), between(1, early), pad(d, a), between(2, early), in_year))
+            first, second = F.when(day_first, d).otherwise(m), F.when(day_first, m).otherwise(d)
+            return (
+                F.when(named, by_name)
+                .when(year_first, F.concat_ws("", in_year, mark, pad(m, b), mark, pad(d, c)))
+                .otherwise(F.concat(pad(first, a), mark, pad(second, b), mark, in_year))
+            )
+
+        moved = let(F.array(day, month, year), lambda date: _moved_day(date, short, key))
+        return F.when(exists, let(moved, shown)).otherwise(text)
+
+    numbers = F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0))
+    dotted = F.rlike(text, F.lit(r"^[0-9]+\."))
+    return let(numbers, lambda ns: let(_month_names(name, dotted), lambda names: of(ns, names)))
 
 
 def _remainder(iban: Column) -> Column:
@@ -240,46 +355,6 @@ def _iban(text: Column, key: str) -> Column:
     return let(F.replace(text, F.lit(" "), F.lit("")), of)
 
 
-def _day_first_or_last(text: Column, key: str) -> Column:
-    """The same for day, month and year, or month, day and year, in digits as many as before.
-
-    Numbers up to 12 stay so, so it does not matter which one is the month; days from 29 on keep
-    their month, and 29 February gets another leap year. No change where the day does not exist.
-    """
-
-    def of(parts: Column) -> Column:
-        a, b, year = (F.get(parts, i) for i in range(3))
-        x, y, n = a.cast("int"), b.cast("int"), year.cast("int") - 1800
-        day, month = F.greatest(x, y), F.least(x, y)
-        exists = F.try_to_date(F.concat(year, F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-"), F.lpad(day.cast("string"), 2, "0")), "yyyy-MM-dd").isNotNull()
-        late, leap = day > 28, (day == 29) & (month == 2)
-        skipped = F.floor(n / 4).cast("int")
-        nth = skipped - 1 - F.when(skipped > 25, 1).otherwise(0) - F.when(skipped > 75, 1).otherwise(0)
-
-        def low(v: Column) -> Column:
-            return F.when(late, v).when(v > 12, 13).otherwise(1)
-
-        def size(v: Column, s: Column) -> Column:
-            return F.when(late, 1).when(v > 12, 16).when(F.char_length(s) == 1, 9).otherwise(12)
-
-        values = F.array(x - low(x), y - low(y), F.when(leap, nth).otherwise(F.floor(n / 20).cast("int")), F.when(leap, 0).otherwise(n % 20))
-        radices = F.array(size(x, a), size(y, b), F.when(leap, 97).otherwise(20), F.when(leap, 1).otherwise(20))
-        tweak = F.concat_ws(",", F.lit("day"), low(x).cast("string"), low(y).cast("string"))
-
-        def shown(v: Column) -> Column:
-            q = F.get(v, 2) + 1
-            q = q + F.when(q >= 25, 1).otherwise(0)
-            q = q + F.when(q >= 75, 1).otherwise(0)
-            new = F.when(leap, 1800 + 4 * q).otherwise(1800 + F.get(v, 2) * 20 + F.get(v, 3))
-            one = lambda i, u, s: F.lpad((F.get(v, i) + low(u)).cast("string"), F.char_length(s), F.lit("0"))
-            mark = F.substr(text, F.char_length(a) + 1, F.lit(1))
-            return F.concat(one(0, x, a), mark, one(1, y, b), mark, new.cast("string"))
-
-        return F.when(exists, let(permuted(values, radices, tweak, key), shown)).otherwise(text)
-
-    return let(F.split(text, "[-/.]"), of)
-
-
 # Of what has the form of personal data but is none.
 NONE = "none"
 
@@ -295,8 +370,9 @@ def kind_of(found: Column) -> Column:
         F.when(F.contains(found, F.lit("@")), "email")
         .when(F.rlike(found, F.lit(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$")) & (F.char_length(digits) <= 12)
               & F.rlike(found, F.lit(rf"^(?:{_OCTET}\.){{3}}{_OCTET}$")), "ip")
+        .when(F.rlike(found, F.lit(r"^(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4}"
+                                   r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}|[0-9]{1,2}[^0-9]*\p{L}.*|\p{L}{3}.*)$")), "date")
         .when(F.rlike(found, F.lit("^[A-Z]")), "iban")
-        .when(F.rlike(found, F.lit(r"^(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})$")), "date")
         .when(F.rlike(found, F.lit("^[0-9]{3}-[0-9]{2}-[0-9]{4}$")), F.when(F.rlike(found, F.lit(_SSN)), "ssn").otherwise(NONE))
         .when(F.rlike(found, F.lit("^[+(]")) | (F.char_length(digits) < 13), "phone")
         .otherwise(F.when(_luhn(found) == 0, "number").otherwise(NONE))
@@ -314,8 +390,7 @@ def pseudonym(found: Column, key: str) -> Column:
             F.when(kind == "email", F.concat(_text_pseudonym(name, "email", key), F.regexp_extract(found, at_end, 0)))
             .when(kind == "ip", _address(found, key))
             .when(kind == "iban", _iban(found, key))
-            .when((kind == "date") & F.rlike(found, F.lit("^[0-9]{4}")), _date(found, key))
-            .when(kind == "date", _day_first_or_last(found, key))
+            .when(kind == "date", _date(found, key))
             .when(kind == "phone", _after(found, country, lambda rest: _text_pseudonym(rest, "phone", key, True)))
             .when(kind == "ssn", _ssn(found, key))
             .when(kind == "number", _number(found, key))
@@ -326,15 +401,15 @@ def pseudonym(found: Column, key: str) -> Column:
 
 
 def pseudonymise(docs: DataFrame, text_col: str = "text", *, key: str, counts: str | None = None) -> DataFrame:
-    """The documents with all personal data in their texts replaced, in place and in length.
+    """The documents with all personal data in their texts replaced, in place and, but for names of months, in length.
 
-    Found are e-mail addresses, IBANs, IPv4 addresses, dates in digits (year, day or month first),
-    telephone numbers (with a country code in any grouping, or national ones with separators),
+    Found are e-mail addresses, IBANs, IPv4 addresses, dates (in digits with year, day or month first, or
+    with the month's name in English, German, Spanish or French), telephone numbers (with a country code in any grouping, or national ones with separators),
     social security numbers, and numbers of 13 to 19 digits such as those of cards. Octets, days of
     the calendar, check digits of IBANs, check sums of long numbers and areas, groups and serials are
     validated: what does not hold is left as it is. Each value is permuted among the valid ones of its
     format by a Feistel network under ``key``, which must not be empty, so equal values get equal
-    pseudonyms in all documents, long numbers also in any layout, and different ones different.
+    pseudonyms in all documents, long numbers and days also in any layout, and different ones different.
 
     A row per row, with all its columns; with ``counts``, a column of that name has the number of
     values found per kind, a map. Null texts stay null, and texts without personal data as they are.
