@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.values import duration_ms
-from ledgerloom.operators.joins import lookup
+from ledgerloom.operators.joins import lookup, with_keys
+from ledgerloom.plans.storage import stored
 from ledgerloom.sources.tables import RUN_KEY, TABLES
 
 # Columns of a migration that the state select leaves out.
@@ -41,10 +42,11 @@ def state_select_many(migration: DataFrame, keys: DataFrame) -> DataFrame:
     """The state select for a table of keys; a key asked for twice counts once.
 
     Requests are not paired with migrations: many requests of one hot key would repeat all its
-    rows. A request finds its rows again by its key.
+    rows. A request finds its rows again by its key. Runs jobs on the key columns, after which the
+    wide migrations are not shuffled.
     """
-    asked = keys.select(*RUN_KEY).distinct()
-    return lookup(migration, asked, RUN_KEY, "left_semi").select(*RUN_KEY, *_others(RUN_KEY))
+    asked = stored(keys.select(*RUN_KEY).distinct(), "asked-keys")
+    return with_keys(migration, asked, RUN_KEY).select(*RUN_KEY, *_others(RUN_KEY))
 
 
 def match_cardinality(

@@ -8,13 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from ledgerloom.operators import changes, ids
+from ledgerloom.operators import changes, ids, joins, select
 from ledgerloom.operators.ids import assign_ids, next_id_base, running_sums
 from ledgerloom.plans.queries import QUERIES
 from ledgerloom.plans.session import build_session, shuffle_partitions
 from ledgerloom.plans.storage import ensure_checkpoint_dir, new_folder
 from ledgerloom.sources.fixtures import view
-from ledgerloom.sources.tables import struct_type
+from ledgerloom.sources.tables import RUN_KEY, TABLES, struct_type
 
 SF = "/root/testdata/sf0.001"
 LAZY = [q for q in QUERIES if q not in ("log_stream", "repository_load", "file_order")]
@@ -174,3 +174,38 @@ def test_request_table_is_read_twice(spark, conf, tmp_path):
     finally:
         changes.stored = real
     assert sum(reads) == 2
+
+
+def _migrations(spark, n):
+    """Rows of two keys each, some without a part of the key; every row comes twice."""
+    values = {
+        "id": F.col("id"),
+        "product_id": F.when(F.col("id") % 101 != 0, F.col("id") % (n // 2)),
+        "environment": F.when(F.col("id") % 103 != 0, F.concat(F.lit("env "), F.col("id") % 2)),
+        "migration_run_mode_id": F.lit(100),
+        "file_up_hash": F.md5(F.col("id").cast("string")),
+    }
+    rows = spark.range(n).union(spark.range(n))
+    columns = [values.get(c.name, F.lit(None)).cast(c.spark_type).alias(c.name) for c in TABLES["migration"]]
+    return rows.select(*columns)
+
+
+def test_state_select_of_many_keys_shuffles_no_wide_rows(spark, conf):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "30k"})
+    rows = _migrations(spark, 60_000)
+    keys = rows.where("product_id % 2 = 0").select(*RUN_KEY).unionByName(rows.limit(5).select(*RUN_KEY))
+    keys = keys.withColumn("environment", F.when(F.col("product_id") % 10 != 0, F.col("environment")))
+    found = select.state_select_many(rows, keys)
+    assert "Exchange hashpartitioning" not in plan(found)
+    want = rows.join(keys.distinct(), RUN_KEY, "left_semi").select(*found.columns)
+    assert found.count() == want.count() > 40_000
+    assert found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+
+
+def test_rows_with_keys_are_those_of_the_semi_join_however_full_the_filter_is(spark, monkeypatch):
+    rows, keys = spark.range(60_000).selectExpr("id % 30000 AS k", "id"), spark.range(0, 40_000, 2).toDF("k")
+    want = sorted(map(tuple, rows.join(keys, "k", "left_semi").collect()))
+    for blocks in (1, 2, 2**13):
+        monkeypatch.setattr(joins, "_MOST_BLOCKS", blocks)
+        assert sorted(map(tuple, joins.with_keys(rows, keys, ["k"], few=0).collect())) == want
+    assert joins.with_keys(rows, keys.where("false"), ["k"], few=-1).isEmpty()
