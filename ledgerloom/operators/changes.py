@@ -370,8 +370,9 @@ def admit_runs(
     entering = decided.where("_entered").select("request_id")
     base = next_id_base(runs) if reserve is None else reserve(entering.count())
     numbered = assign_ids(entering, ["request_id"], base, id_col="_id")
-    answered = lookup(decided, numbered, ["request_id"])
-    rows = lookup(requests, answered, ["request_id"])
+    # Plain joins: the id is unique, and what the first one has dealt out by it stays where it is.
+    answered = decided.join(numbered, "request_id", "left")
+    rows = requests.join(answered, "request_id", "left")
     # Result messages.
     message = (
         F.when(F.col("_refusal").isNotNull(), F.col("_refusal"))

@@ -93,11 +93,16 @@ class Repository:
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows; each file is sorted for lookups, without a shuffle. Ids after theirs are free."""
-        if table == "migration_run":
-            with written_tables(self.spark):
+        with written_tables(self.spark):
+            if table == "migration_run":
                 rows = stored(rows, "new-runs")  # computed once for both tables
-                self._insert(table, rows.where("finished_at IS NOT NULL"))
-                self._insert(_OPEN_RUNS, rows.where("finished_at IS NULL"))
+            self._append_written(table, rows)
+
+    def _append_written(self, table: str, rows: DataFrame) -> None:
+        """``append`` for rows that may be read more than once."""
+        if table == "migration_run":
+            self._insert(table, rows.where("finished_at IS NOT NULL"))
+            self._insert(_OPEN_RUNS, rows.where("finished_at IS NULL"))
         else:
             self._insert(table, rows)
 
@@ -176,9 +181,13 @@ class Repository:
         runs = self.spark.table(self.name(_OPEN_RUNS))
         older = F.lit(True) if below is None else F.col("id") < below
         repaired = changes.repair_runs(runs.where(older), keys, now).unionByName(runs.where(~older))
-        still_open = self._write(_OPEN_RUNS, repaired.where("finished_at IS NULL"))
-        ended = repaired.where("finished_at IS NOT NULL")
-        self._insert("migration_run", self._missing(ended, self.spark.table(self.name("migration_run"))) if again else ended)
+        with written_tables(self.spark):
+            repaired = stored(repaired, "repaired-runs")  # read three times, with the sample for the ranges
+            still_open = self._write(_OPEN_RUNS, repaired.where("finished_at IS NULL"))
+            ended = repaired.where("finished_at IS NOT NULL")
+            if again:
+                ended = self._missing(ended, self.spark.table(self.name("migration_run")))
+            self._insert("migration_run", ended)
         self._point(_OPEN_RUNS, still_open)
 
     def _missing(self, rows: DataFrame, table: DataFrame) -> DataFrame:
@@ -200,7 +209,7 @@ class Repository:
         if again:
             new = self._missing(new, self.read(table))
         if not new.isEmpty():
-            self.append(table, new)
+            self._append_written(table, new)
 
     def recover(self, table: str) -> None:
         """Store what batches before a failure have decided and not stored."""

@@ -251,3 +251,14 @@ class TestWrittenTables:
         products = repo.apply_products(names, NOW)
         assert self.written(spark) == before
         assert answers.count() == view(spark, SF, "run_request").count() and products.first().result_code > 0
+
+    def test_a_batch_writes_its_runs_once_and_joins_the_open_ones_once(self, spark, repo, monkeypatch):
+        """New runs are read from the outcome; open runs, joined with the keys of repairs, are written."""
+        TestAdmitStream().tables(spark, repo)
+        names = []
+        monkeypatch.setattr(repository, "stored", lambda rows, name: names.append(name) or stored(rows, name))
+        runs = {r.id for r in repo.read("migration_run").select("id").collect()}
+        answers = repo.apply_runs(view(spark, SF, "run_request"), NOW, "fix").where("result_code > 0")
+        assert names == ["repaired-runs"]
+        entered = {r.id for r in answers.collect()}
+        assert entered and {r.id for r in repo.read("migration_run").select("id").collect()} == runs | entered
