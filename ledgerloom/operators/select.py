@@ -45,7 +45,11 @@ def state_select_many(migration: DataFrame, keys: DataFrame) -> DataFrame:
     rows. A request finds its rows again by its key. Runs jobs on the key columns, after which the
     wide migrations are not shuffled.
     """
-    asked = stored(keys.select(*RUN_KEY).distinct(), "asked-keys")
+    return state_select_asked(migration, stored(keys.select(*RUN_KEY).distinct(), "asked-keys"))
+
+
+def state_select_asked(migration: DataFrame, asked: DataFrame) -> DataFrame:
+    """The same for keys that are written already, each once."""
     return with_keys(migration, asked, RUN_KEY).select(*RUN_KEY, *_others(RUN_KEY))
 
 

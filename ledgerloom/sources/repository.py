@@ -295,7 +295,7 @@ class Repository:
 
         The products of a few keys go to the scan as a condition, which by statistics and Bloom
         filters leaves out all that can't have them; of many keys, the least and the largest product.
-        The semi join that follows is the same in both cases.
+        What follows is the same in both cases, and shuffles no stored migrations.
         """
         migrations, asked = self.read("migration"), stored(keys.select(*RUN_KEY).distinct(), "asked-keys")
         products = few_values(asked, "product_id")
@@ -304,7 +304,7 @@ class Repository:
             migrations = migrations.where(F.col("product_id").between(*ends))
         else:
             migrations = migrations.where(any_of("product_id", products))
-        return select.state_select_many(migrations, asked)
+        return select.state_select_asked(migrations, asked)
 
     def append_log(self, entries: DataFrame, key: list[str], now: dt.datetime | None = None) -> None:
         """Append entries to the log with ids after its highest one, which is not read for it.

@@ -9,12 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import changes, select
-from ledgerloom.operators.joins import any_of, few_values
+from ledgerloom.operators.joins import any_of, few_values, with_keys
 from ledgerloom.plans.storage import stored, written_tables
 from ledgerloom.sources import log, master, repository
 from ledgerloom.sources.fixtures import view
 from ledgerloom.sources.repository import Repository
-from ledgerloom.sources.tables import TABLES
+from ledgerloom.sources.tables import RUN_KEY, TABLES
 from ledgerloom.streaming import live
 from ledgerloom.streaming import log_stream as stream
 
@@ -218,6 +218,20 @@ class TestPrunedSelect:
             want = Counter(map(str, select.state_select_many(migrations, asked).collect()))
             assert Counter(map(str, repo.state_select_many(asked).collect())) == want
 
+    @pytest.mark.parametrize("few", [0, 10_000])
+    def test_stored_migrations_are_not_shuffled(self, spark, conf, repo, few, monkeypatch):
+        """Whether the asked keys or a filter of them go to the tasks."""
+        conf({"spark.sql.autoBroadcastJoinThreshold": "20k" if few == 0 else "-1"})
+        monkeypatch.setattr(select, "with_keys", lambda rows, asked, on: with_keys(rows, asked, on, few))
+        migrations = view(spark, SF, "migration")
+        repo.replace("migration", migrations)
+        keys = view(spark, SF, "migration_run").where("finished_at IS NULL")
+        found = repo.state_select_many(keys)
+        assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+        got = Counter(map(str, found.collect()))
+        want = migrations.join(keys.select(*RUN_KEY).distinct(), RUN_KEY, "left_semi").select(*found.columns)
+        assert got == Counter(map(str, want.collect())) and got
+
     def test_few_values(self, spark):
         rows = spark.createDataFrame([(1,), (None,), (2,), (2,)], "k int")
         assert sorted(few_values(rows, "k", 2)) == [1, 2] and few_values(rows, "k", 1) is None
