@@ -91,18 +91,17 @@ class Repository:
     def _requests(self, table: str) -> RequestLedger:
         return RequestLedger(self.spark, f"{self.location}/_requests/{self.prefix}{table}")
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        """Add rows; each file is sorted for lookups, without a shuffle. Ids after theirs are free."""
-        with written_tables(self.spark):
-            if table == "migration_run":
-                rows = stored(rows, "new-runs")  # computed once for both tables
-            self._append_written(table, rows)
+    def append(self, table: str, rows: DataFrame, written: bool = False) -> None:
+        """Add rows; each file is sorted for lookups, without a shuffle. Ids after theirs are free.
 
-    def _append_written(self, table: str, rows: DataFrame) -> None:
-        """``append`` for rows that may be read more than once."""
+        Runs are read once for each of their two tables, so they are written before, unless they are
+        ``written`` already.
+        """
         if table == "migration_run":
-            self._insert(table, rows.where("finished_at IS NOT NULL"))
-            self._insert(_OPEN_RUNS, rows.where("finished_at IS NULL"))
+            with written_tables(self.spark):
+                rows = rows if written else stored(rows, "new-runs")
+                self._insert(table, rows.where("finished_at IS NOT NULL"))
+                self._insert(_OPEN_RUNS, rows.where("finished_at IS NULL"))
         else:
             self._insert(table, rows)
 
@@ -209,7 +208,7 @@ class Repository:
         if again:
             new = self._missing(new, self.read(table))
         if not new.isEmpty():
-            self._append_written(table, new)
+            self.append(table, new, True)
 
     def recover(self, table: str) -> None:
         """Store what batches before a failure have decided and not stored."""
