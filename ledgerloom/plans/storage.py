@@ -62,6 +62,24 @@ def written_tables(spark: SparkSession) -> Iterator[None]:
             remove_folder(spark, folder)
 
 
+# With this setting, Spark removes the shuffle files of a query when it ends, instead of some time after a
+# garbage collection of the driver.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, changed: dict[str, str]) -> Iterator[None]:
+    """Settings of the session that hold inside."""
+    before = {key: spark.conf.get(key, None) for key in changed}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to and read from the shared folder.
 

@@ -14,8 +14,8 @@ from ledgerloom.functions.values import moment
 from ledgerloom.operators import changes, select
 from ledgerloom.operators.checks import completeness, observe_columns
 from ledgerloom.operators.joins import any_of, few_values, lookup
-from ledgerloom.plans.storage import remove_folder, stored, subfolders, written_tables
-from ledgerloom.sources import log
+from ledgerloom.plans.storage import FREE_SHUFFLES, remove_folder, settings, stored, subfolders, written_tables
+from ledgerloom.sources import log, ranges
 from ledgerloom.sources.batches import RequestLedger
 from ledgerloom.sources.marks import HighWater
 from ledgerloom.sources.master import REPOSITORY_VERSION, TOOL, dimension, master_rows
@@ -134,7 +134,9 @@ class Repository:
         The rows go to a new folder and the table is then pointed there, so the files being
         read are never overwritten and a failed write leaves the old version in place. Large
         tables are range-partitioned by their lookup order: a lookup skips, by the file
-        statistics, all files but the few with its key. Old folders stay until ``vacuum``.
+        statistics, all files but the few with its key. A table of many rows is first written as parts,
+        each a range of keys, and laid out part by part, so that not all of it is shuffled at a time.
+        Old folders stay until ``vacuum``.
         """
         parts = {table: rows}
         if table == "migration_run":
@@ -145,21 +147,35 @@ class Repository:
 
     def _write(self, stored_as: str, rows: DataFrame, checked: bool = False) -> str:
         """Rows in a new folder, in lookup order."""
+        with written_tables(self.spark), settings(self.spark, FREE_SHUFFLES):
+            return self._write_in_order(stored_as, rows, checked)
+
+    def _write_in_order(self, stored_as: str, rows: DataFrame, checked: bool) -> str:
         table = "migration_run" if stored_as == _OPEN_RUNS else stored_as
         folder = self._folder(stored_as)
         rows = rows.select(*struct_type(table).names)
-        if table in LOOKUP_ORDER:
-            order = LOOKUP_ORDER[table]
-            rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        order = LOOKUP_ORDER.get(table)
+        starts = ranges.part_starts(rows, order) if order else []
+        if order and not starts:
+            rows = ranges.in_order(rows, order)
         top, rows = self._observed(rows)
         report = None
         if checked:
             rows, report = observe_columns(table, rows)
-        rows.write.options(**write_options(table)).parquet(folder)
+
+        def write(some: DataFrame) -> None:
+            some.write.mode("append").options(**write_options(table)).parquet(folder)
+
+        parts = ranges.written_parts(rows, order, starts) if starts else []
+        if not starts:
+            write(rows)
         broken = report().where("null_violations > 0 OR length_violations > 0").collect() if report else []
         if broken:
             remove_folder(self.spark, folder)
             raise RefusedRows(table, {r.column_name: (r.null_violations, r.length_violations) for r in broken})
+        for part in parts:
+            write(ranges.in_order(self.spark.read.schema(rows.schema).parquet(part), order))
+            remove_folder(self.spark, part)
         self._raise(table, top)
         return folder
 

@@ -1,7 +1,9 @@
 """The log stream and the stored repository."""
 
 import datetime as dt
+import time
 import uuid
+from collections import Counter
 
 import pytest
 
@@ -10,11 +12,11 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import changes
 from ledgerloom.operators.select import state_select
 from ledgerloom.plans.storage import create_file, subfolders
-from ledgerloom.sources import log
+from ledgerloom.sources import log, ranges
 from ledgerloom.sources.fixtures import view
 from ledgerloom.sources.marks import HighWater
-from ledgerloom.sources.repository import Repository
-from ledgerloom.sources.tables import REPOSITORY_TABLES, struct_type
+from ledgerloom.sources.repository import RefusedRows, Repository
+from ledgerloom.sources.tables import LOOKUP_ORDER, REPOSITORY_TABLES, struct_type
 from ledgerloom.streaming import log_stream as stream
 
 NOW = dt.datetime(2030, 1, 1)
@@ -195,6 +197,46 @@ class TestRepository:
         text = got._jdf.queryExecution().executedPlan().toString()
         assert "PushedFilters: [IsNotNull(product_id)" in text
 
+    def test_large_table_is_laid_out_part_by_part(self, spark, conf, repo, monkeypatch):
+        conf({"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "3"})
+        monkeypatch.setattr(ranges, "SMALL_BYTES", 0)
+        monkeypatch.setattr(ranges, "ROWS_AT_ONCE", 400)
+        repo.check_create("1.0", "Spark", NOW)
+        some = view(spark, "/root/testdata/sf0.001", "migration").orderBy("id").limit(1000)
+        # One key with a third of the rows, null keys, and rows that are repeated.
+        hot = some.limit(500).withColumns({"product_id": F.lit(7).cast("bigint"), "environment": F.lit("hot")})
+        none = some.limit(9).withColumns({c: F.lit(None).cast(t) for c, t in some.dtypes if c in ("product_id", "environment")})
+        rows = some.unionByName(hot).unionByName(none).unionByName(none)
+        assert len(ranges.part_starts(rows, LOOKUP_ORDER["migration"])) == 3
+        expected = Counter(map(str, rows.collect()))
+        repo.replace("migration", rows)
+        stored = repo.read("migration")
+        assert Counter(map(str, stored.collect())) == expected
+        key = F.struct(*LOOKUP_ORDER["migration"])
+        files = stored.groupBy(F.input_file_name().alias("f")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+        assert files.count() > 6
+        assert repo._ids("migration").reserve(1) >= stored.select(F.max("id")).first()[0]
+        late = files.crossJoin(files.toDF("g", "low2", "high2")).where("f <> g AND low < low2 AND high > low2")
+        assert late.isEmpty()
+        broken = rows.withColumn("filename", F.when(F.col("id") % 5 > 0, F.col("filename")))
+        with pytest.raises(RefusedRows) as refused:
+            repo.replace("migration", broken, checked=True)
+        assert refused.value.columns["filename"][0] == broken.where("filename IS NULL").count() > 0
+        assert Counter(map(str, repo.read("migration").collect())) == expected
+
+    def test_replace_leaves_no_shuffle_files(self, spark, repo):
+        def shuffled():
+            disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+            return {name for name in disk.getAllBlocks().mkString(" ").split() if name.startswith("shuffle_")}
+
+        repo.check_create("1.0", "Spark", NOW)
+        rows, before = view(spark, "/root/testdata/sf0.001", "migration"), shuffled()
+        repo.replace("migration", rows)
+        until = time.time() + 5  # they are removed in the background
+        while shuffled() - before and time.time() < until:
+            time.sleep(0.1)
+        assert shuffled() <= before
+
     def test_log_tables(self, repo):
         assert repo.check_create_log() == "1,Database logging infrastructure successfully created"
         assert repo.check_create_log() == "0,Database logging infrastructure already exists"
